@@ -128,6 +128,24 @@ COMMUNITY_BLOG_DOMAINS = (
 UNVERIFIABLE_DOMAINS = ("reddit.com", "redd.it", "vertexaisearch.cloud.google.com")
 OTHER_DOMAINS = ("youtube.com", "youtu.be")
 
+# Host tables in order of precedence: kind, match, values. Matches: "starts" (host
+# starts with), "label" (first label with its dot), "exact", "under" (the domain or a
+# subdomain of it), "ends".
+TIER_TABLE = (
+    ("grounding_redirect", "starts", REDIRECT_PREFIXES),
+    ("grounding_redirect", "exact", REDIRECT_HOSTS),
+    ("official", "exact", OFFICIAL_HOSTS), ("official", "starts", OFFICIAL_PREFIXES),
+    ("semi_official", "exact", SEMI_OFFICIAL_HOSTS), ("community", "exact", COMMUNITY_HOSTS),
+    ("personal", "exact", PERSONAL_HOSTS), ("personal", "ends", PERSONAL_SUFFIXES),
+)
+RESOLVED_TABLE = (
+    ("vendor_community", "label", VENDOR_COMMUNITY_PREFIXES),
+    ("vendor_community", "under", VENDOR_COMMUNITY_DOMAINS),
+    ("official", "under", tuple(sorted({d for ds in TOOL_DOMAINS.values() for d in ds}))),
+    ("unverifiable", "under", UNVERIFIABLE_DOMAINS),
+    ("community_blog", "under", COMMUNITY_BLOG_DOMAINS), ("other", "under", OTHER_DOMAINS),
+)
+
 # Disqualifying phrases (rule B2): label, pattern
 DISQUALIFIERS = (
     ("error_not_directly_handled",
@@ -244,9 +262,15 @@ KANA_ROWS = (
     ("な", "なにぬねの"), ("は", "はひふへほ"), ("ま", "まみむめも"), ("や", "やゆよ"),
     ("ら", "らりるれろ"), ("わ", "わをん"),
 )
+KATAKANA = "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワヲン"
+HIRAGANA = "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆよらりるれろわをん"
 VOICED_KATAKANA = "ァィゥェォガギグゲゴザジズゼゾダヂヅデドバビブベボパピプペポ"
 VOICED_PLAIN = "あいうえおかきくけこさしすせそたちつてとはひふへほはひふへほ"
 
+# Source types by declared quality
+HIGH_QUALITY_TYPES = ("official", "documentation", "government", "academic", "company")
+LOW_QUALITY_TYPES = ("blog", "other", "unknown", "")
+
 # Score gates: live and audit presets
 LIVE_GATE = {"factual": ("min", 75), "citation": ("min", 15), "risk": ("max", 55)}
 AUDIT_GATE = {"factual": ("min", 75), "freshness": ("min", 50),

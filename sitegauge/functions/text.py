@@ -86,17 +86,48 @@ def url_host(col) -> Column:
     return F.lower(F.regexp_extract(as_col(col), "^[a-zA-Z][a-zA-Z0-9+.\\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
-def domain_tier(host) -> Column:
+def host_suffixes(host) -> Column:
+    """The host and its parent domains."""
+    labels = F.split(as_col(host), "\\.")
+    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(
+        F.slice(labels, i, F.size(labels)), "."))
+
+
+def under_domain(host, domains) -> Column:
+    """Host equals one of the domains or lies below it."""
+    return F.arrays_overlap(host_suffixes(host), F.array(*[F.lit(d) for d in domains]))
+
+
+def classify_host(host, table, default: str) -> Column:
+    """Kind of a host from a precedence table; no join is needed, the table is fixed."""
+    h = as_col(host)
+
+    def test(match, values):
+        if match == "starts":
+            return h.rlike("^" + any_of(values))
+        if match == "label":
+            return F.concat(F.substring_index(h, ".", 1), F.lit(".")).isin(*values)
+        if match == "exact":
+            return h.isin(*values)
+        if match == "ends":
+            return h.rlike(any_of(values) + "$")
+        return under_domain(h, values)
+
+    out = None
+    for kind, match, values in table:
+        cond = test(match, values)
+        out = F.when(cond, kind) if out is None else out.when(cond, kind)
+    return out.otherwise(default)
+
+
+def domain_tier(host, table=C.TIER_TABLE) -> Column:
     """Provenance tier of a host; a leading www. is dropped."""
-    h = F.regexp_replace(as_col(host), "^www\\.", "")
-    starts = lambda ps: F.lit(False) if not ps else h.rlike("^" + any_of(ps))
-    return (F.when(starts(C.REDIRECT_PREFIXES) | h.isin(*C.REDIRECT_HOSTS), "grounding_redirect")
-            .when(h.isin(*C.OFFICIAL_HOSTS) | starts(C.OFFICIAL_PREFIXES), "official")
-            .when(h.isin(*C.SEMI_OFFICIAL_HOSTS), "semi_official")
-            .when(h.isin(*C.COMMUNITY_HOSTS), "community")
-            .when(h.isin(*C.PERSONAL_HOSTS)
-                  | h.rlike(any_of(C.PERSONAL_SUFFIXES) + "$"), "personal")
-            .otherwise("other"))
+    return classify_host(F.regexp_replace(as_col(host), "^www\\.", ""), table, "other")
+
+
+def resolved_kind(host, table=C.RESOLVED_TABLE) -> Column:
+    h = as_col(host)
+    return F.when(h == "", "unknown").otherwise(classify_host(h, table, "unknown"))
 
 
 def mask_error_text(col) -> Column:
