@@ -66,3 +66,28 @@ def latest_per_key(df: DataFrame, keys, order: Column) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
     return picked.select(*keys, "_row.*")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer partitions than cores; larger inputs stay as they are.
+
+    Text work is heavy per byte, so a table in a single row group would keep
+    all but one core idle. Tables with enough splits are returned unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def guarded(cond: Column, value: Column, otherwise: Column) -> Column:
+    """Evaluate a costly expression only where a cheap test holds."""
+    return F.when(cond, value).otherwise(otherwise)
+
+
+def explode_once(df: DataFrame, keep, values: Column, name: str) -> DataFrame:
+    """One row per element of a computed array (null elements drop out).
+
+    A plain explode adds a size filter that evaluates the array again; the
+    outer form does not, so costly text expressions run once per row.
+    """
+    return (df.select(*keep, F.explode_outer(values).alias(name))
+            .filter(F.col(name).isNotNull()))

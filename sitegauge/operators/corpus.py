@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import constants as C
 from ..functions import text as tx
-from ..functions.common import any_of, as_col, contains_any, count_if, ratio
+from ..functions.common import any_of, as_col, contains_any, count_if, explode_once, guarded, ratio
 
 def _empty() -> Column:
     return F.array().cast("array<string>")
@@ -60,7 +60,8 @@ def _one(cond: Column, rule: str, severity: str, detail) -> Column:
 
 
 def unnamed_code(body) -> Column:
-    return F.size(F.filter(tx.fenced_languages(body), lambda g: g == ""))
+    return guarded(as_col(body).contains("```"), F.size(F.filter(
+        tx.fenced_languages(body), lambda g: g == "")), F.lit(0))
 
 
 def rule_a4(body="body") -> Column:
@@ -110,7 +111,9 @@ def rule_b2(patterns=C.DISQUALIFIERS, body="body") -> Column:
 
 
 def _code_or_all(body, scope: str) -> Column:
-    return as_col(body) if scope == "all" else F.array_join(tx.fenced_code(body), "\n")
+    if scope == "all":
+        return as_col(body)
+    return guarded(as_col(body).contains("```"), F.array_join(tx.fenced_code(body), "\n"), F.lit(""))
 
 
 def _real_token(tok: Column, min_len: int, words) -> Column:
@@ -127,7 +130,9 @@ def rule_secret_tokens(scope: str = "code", body="body", rules=C.SECRET_PREFIXES
 
     def hit(prefix, n):
         found = F.regexp_extract_all(code, F.lit(prefix + "(?=([A-Za-z0-9_\\-]*))"), F.lit(1))
-        return F.exists(found, lambda t: _real_token(t, n, words))
+        literal = prefix.split("(", 1)[0]
+        return guarded(code.contains(literal),
+                       F.exists(found, lambda t: _real_token(t, n, words)), F.lit(False))
 
     return F.array_compact(F.array(*[
         F.when(hit(p, n), _issue("C1", "FAIL", F.lit(f"token-like value: {name}")))
@@ -160,7 +165,8 @@ def url_tiers(body="body", distinct: bool = False) -> Column:
     """Array of provenance tiers, one per URL occurrence."""
     urls = tx.all_urls(body)
     urls = F.array_distinct(urls) if distinct else urls
-    return F.transform(urls, lambda u: tx.domain_tier(tx.url_host(u)))
+    some = as_col(body).contains("http") | as_col(body).contains("](")
+    return guarded(some, F.transform(urls, lambda u: tx.domain_tier(tx.url_host(u))), _empty())
 
 
 def rule_d2(body="body") -> Column:
@@ -192,16 +198,18 @@ def section(heading: str = C.NOTE_HEADING, body="body") -> Column:
     rest = F.concat(F.lit("x"), F.substr(masked, start))
     nxt = F.regexp_instr(rest, F.concat(F.lit("(?m)^#{1,"), level.cast("string"), F.lit("}\\s")))
     length = F.when(nxt > 0, nxt - 2).otherwise(F.length(b))
-    return F.when(at > 0, F.substr(b, start, F.greatest(length, F.lit(0))))
+    return F.when(b.rlike(pat), F.when(at > 0, F.substr(b, start, F.greatest(length, F.lit(0)))))
 
 
 def rule_e1(body="body") -> Column:
     s = section(body=body)
-    return _one(s.isNotNull() & (F.size(tx.all_urls(s)) == 0), "E1", "WARN", "note without URL")
+    n = F.when(s.isNotNull(), F.size(tx.all_urls(s))).otherwise(1)
+    return _one(n == 0, "E1", "WARN", "note without URL")
 
 
 def rule_e2(body="body") -> Column:
-    urls = F.array_distinct(F.transform(tx.all_urls(F.coalesce(section(body=body), F.lit(""))),
+    s = section(body=body)
+    urls = F.array_distinct(F.transform(guarded(s.isNotNull(), tx.all_urls(s), _empty()),
                                         lambda u: F.regexp_replace(u, "[).,、。]+$", "")))
     bad = F.filter(urls, lambda u: tx.domain_tier(tx.url_host(u)) == "grounding_redirect")
     return F.transform(bad, lambda u: F.struct(
@@ -236,7 +244,7 @@ def lint_classes(linted: DataFrame) -> DataFrame:
 
 def lint_rule_counts(linted: DataFrame) -> DataFrame:
     """Issues per rule and severity over error documents (issues, not documents)."""
-    return (linted.filter("is_error").select(F.explode("issues").alias("i"))
+    return (explode_once(linted.filter("is_error"), [], F.col("issues"), "i")
             .groupBy("i.rule", "i.severity").agg(F.count(F.lit(1)).alias("issues")))
 
 
@@ -525,7 +533,7 @@ def mine_terms(corpus: DataFrame, known=(), stop=C.TERM_STOP_WORDS, top: int = 6
     t = tx.without_code("body")
     found = F.concat(F.regexp_extract_all(t, F.lit("[ァ-ヶー]{3,}"), F.lit(0)),
                      F.regexp_extract_all(t, F.lit("\\b[A-Z]{2,6}\\b"), F.lit(0)))
-    return (corpus.select(F.explode(found).alias("term"))
+    return (explode_once(corpus, [], found, "term")
             .filter(~F.col("term").isin(*stop, *known))
             .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.desc("n"), "term").limit(top).filter(F.col("n") >= min_count))
@@ -548,7 +556,7 @@ def missing_terms(pages: DataFrame, existing: DataFrame,
     sec = F.regexp_extract(F.regexp_replace("body", "(?s)^---.*?---\\s*", ""),
                            f"(?sm)^##\\s*{heading}\\s*\\n(.*?)(?=\\n##\\s|\\z)", 1)
     bold = F.regexp_extract_all(sec, F.lit("\\*\\*([^*\\n]+)\\*\\*"), F.lit(1))
-    t = (pages.select(F.explode(bold).alias("term")).select(F.trim("term").alias("term"))
+    t = (explode_once(pages, [], bold, "term").select(F.trim("term").alias("term"))
          .filter(F.col("term") != "").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
          .withColumn("slug", tx.term_slug("term")))
     return t.join(existing.select("slug"), "slug", "left_anti").select("term", "slug", "n")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import constants as C
 from ..functions import text as tx
-from ..functions.common import any_of, count_if, r6, ratio, top_per_key
+from ..functions.common import any_of, count_if, explode_once, r6, ratio, top_per_key
 
 # --------------------------------------------------------------- J04 / G03 coverage
 
@@ -43,19 +43,39 @@ def coverage_score(q: Column) -> Column:
             + pts(hit("rel"), 0.5) + pts(hit("tq"), 1)) / 14.5
 
 
-def hot_tokens(postings: DataFrame, hot_df: int) -> DataFrame:
-    """Tokens carried by more than ``hot_df`` documents."""
-    return (postings.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-            .filter(F.col("df") > hot_df).select("token"))
+def hot_parts(post: DataFrame, q_post: DataFrame, doc: str, query: str, hot_df: int):
+    """Tokens in more than ``hot_df`` documents, per document and per query.
 
+    Only tokens some query uses matter, so documents list just those.
+    """
+    used = post.join(q_post.select("token").distinct(), "token", "left_semi")
+    hot = (used.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+           .filter(F.col("df") > hot_df).select("token"))
+
+    def part(p, key):
+        return (p.join(hot, "token", "left_semi").groupBy(key)
+                .agg(F.array_sort(F.collect_list("token")).alias("hot")))
+
+    return hot, part(used, doc), part(q_post, query)
+
+
+def candidate_pairs(post, q_post, hot, d_hot, q_hot, doc: str, query: str, max_hot: int):
+    """Pairs sharing a token that is not hot, plus all pairs of the few wide texts.
 
-def hot_part(postings: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    """Sorted hot tokens per document or query; short arrays by construction."""
-    return (postings.join(hot, "token", "left_semi").groupBy(key)
-            .agg(F.array_sort(F.collect_list("token")).alias("hot")))
+    A text with more than ``max_hot`` hot tokens has too many combinations to
+    list, so it is matched directly on every hot token instead.
+    """
+    rare = q_post.join(post.join(hot, "token", "left_anti"), "token").select(query, doc)
+    wide = F.size("hot") > max_hot
+    d_all = d_hot.select(doc, wide.alias("dw"), F.explode("hot").alias("token"))
+    q_all = q_hot.select(query, wide.alias("qw"), F.explode("hot").alias("token"))
+    by_query = q_all.filter("qw").join(d_all, "token").select(query, doc)
+    by_doc = q_all.filter("NOT qw").join(d_all.filter("dw"), "token").select(query, doc)
+    return rare.union(by_query).union(by_doc).distinct()
 
 
-def best_articles(queries: DataFrame, fields: DataFrame, hot_df: int = 10000) -> DataFrame:
+def best_articles(queries: DataFrame, fields: DataFrame, hot_df: int = 10000,
+                  max_hot: int = 10) -> DataFrame:
     """Best-covering article per query: (query_id, slug, score); lowest slug on ties.
 
     Queries and articles meet on tokens carried by at most ``hot_df`` articles.
@@ -64,24 +84,24 @@ def best_articles(queries: DataFrame, fields: DataFrame, hot_df: int = 10000) ->
     per task before the shuffle, and a query reads at most one row for each.
     """
     q = queries.select("query_id", "q_tok")
-    post = fields.select("slug", F.explode(F.array_distinct(F.concat(*FIELDS))).alias("token"))
-    q_post = q.select("query_id", F.explode("q_tok").alias("token"))
-    hot = hot_tokens(post, hot_df)
+    post = explode_once(fields, ["slug"], F.array_distinct(F.concat(*FIELDS)), "token")
+    q_post = explode_once(q, ["query_id"], F.col("q_tok"), "token")
+    hot, d_hot, q_hot = hot_parts(post, q_post, "slug", "query_id", hot_df)
     best = F.min(F.struct((-F.col("score")).alias("neg"), F.col("slug").alias("slug"))).alias("b")
 
-    rare = (q_post.join(post.join(hot, "token", "left_anti"), "token")
-            .select("query_id", "slug").distinct())
-    by_rare = (rare.join(q, "query_id").join(fields, "slug")
+    pairs = candidate_pairs(post, q_post, hot, d_hot, q_hot, "slug", "query_id", max_hot)
+    by_pair = (pairs.join(q, "query_id").join(fields, "slug")
                .withColumn("score", coverage_score(F.col("q_tok")))
                .filter(F.col("score") > 0).groupBy("query_id").agg(best))
 
-    combos = (fields.join(hot_part(post, hot, "slug"), "slug")
-              .withColumn("u", F.explode(tx.subsets("hot"))).filter(F.size("u") > 0)
+    narrow = F.size("hot") <= max_hot
+    combos = (explode_once(fields.join(d_hot.filter(narrow), "slug"), ["*"], tx.subsets("hot"), "u")
+              .filter(F.size("u") > 0)
               .withColumn("score", coverage_score(F.col("u"))).groupBy("u").agg(best))
-    by_hot = (hot_part(q_post, hot, "query_id").withColumn("u", F.explode(tx.subsets("hot")))
+    by_hot = (explode_once(q_hot.filter(narrow), ["query_id"], tx.subsets("hot"), "u")
               .join(combos, "u").groupBy("query_id").agg(F.min("b").alias("b")))
 
-    found = by_rare.unionByName(by_hot).groupBy("query_id").agg(F.min("b").alias("b"))
+    found = by_pair.unionByName(by_hot).groupBy("query_id").agg(F.min("b").alias("b"))
     return (queries.select("query_id").join(found, "query_id", "left")
             .select("query_id", F.coalesce("b.slug", F.lit("")).alias("best_match_slug"),
                     F.coalesce(-F.col("b.neg"), F.lit(0.0)).alias("match_score")))
@@ -122,9 +142,14 @@ def infer_components(q_tok: Column, table: dict = C.COMPONENT_MAP, k: int = 3) -
 def suggest_title(query: Column) -> Column:
     """Article title for a query: capitalized words and a rule-based ending."""
     ws = F.filter(F.split(query, "\\s+"), lambda w: w != "")
+
+    def capitalize(w):
+        head = F.upper(F.substring(w, 1, 1))  # one letter may become two
+        return F.concat(F.substring(head, 1, 1), F.lower(F.substr(head, F.lit(2))),
+                        F.lower(F.substr(w, F.lit(2))))
+
     capped = F.array_join(F.transform(ws, lambda w: F.when(
-        (F.length(w) <= 3) & w.rlike("^\\p{L}+$"), F.upper(w)).otherwise(
-        F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2)))))), " ")
+        (F.length(w) <= 3) & w.rlike("^\\p{L}+$"), F.upper(w)).otherwise(capitalize(w))), " ")
     ending = F.when(query.rlike("\\b([1-5]\\d{2})\\b"), C.TITLE_CODE_ENDING)
     for ws_, end in C.TITLE_RULES:
         ending = ending.when(F.lower(query).rlike(any_of(ws_)), end)
@@ -150,7 +175,8 @@ def related_items(items: DataFrame, k: int = 20, guide: str = "learning guide",
                 F.array_sort(u).alias("comps")))))))
     cards = (items.withColumn("components", F.array_distinct("components"))
              .withColumn("is_guide", F.col("error_type") == guide)
-             .select("item", "is_guide", F.explode(F.array_distinct(keys)).alias("key")))
+             )
+    cards = explode_once(cards, ["item", "is_guide"], F.array_distinct(keys), "key")
     base = (F.when(F.col("key.svc").isNotNull(), 5).otherwise(0)
             + F.when(F.col("key.typ").isNotNull(), 1).otherwise(0) + 3 * F.size("key.comps"))
     # an empty service or type matches nothing
@@ -203,9 +229,9 @@ def match_incidents(articles: DataFrame, incidents: DataFrame, key: str) -> Data
     """
     a = articles.select(F.lower("service").alias("service")).filter(F.col("service") != "").distinct()
     i = incidents.select(F.lower("service").alias("inc")).filter(F.col("inc") != "").distinct()
-    inside = (a.select("service", F.explode(tx.substrings("service")).alias("inc"))
+    inside = (explode_once(a, ["service"], tx.substrings("service"), "inc")
               .join(i, "inc", "left_semi").select("service"))
-    around = (i.select(F.explode(tx.substrings("inc")).alias("service"))
+    around = (explode_once(i, [], tx.substrings("inc"), "service")
               .join(a, "service", "left_semi").select("service"))
     names = inside.union(around).distinct()
     words = incidents.select(F.explode("keywords").alias("w")).select(F.lower("w").alias("w")).distinct()
@@ -255,8 +281,8 @@ def term_row(terms: DataFrame, max_terms: int = 10000) -> DataFrame:
 def term_occurrences(terms: DataFrame, texts: DataFrame, key: str, max_terms: int = 10000) -> DataFrame:
     """(key, term) for every dictionary term found as a substring of the text."""
     t = texts.join(F.broadcast(term_row(terms, max_terms)))
-    return t.select(key, F.explode(F.filter(
-        "terms", lambda w: (w != "") & F.contains(F.col("body"), w))).alias("term"))
+    return explode_once(t, [key], F.filter(
+        "terms", lambda w: (w != "") & F.contains(F.col("body"), w)), "term")
 
 
 def first_documents(occurrences: DataFrame, key: str, k: int = 8) -> DataFrame:
@@ -290,8 +316,8 @@ def dictionary_hits(terms: DataFrame, texts: DataFrame, key: str) -> DataFrame:
     """
     t = (terms.filter(F.length("term") >= 2).select("term").distinct()
          .withColumn("run", F.regexp_extract("term", RUNS, 0)))
-    runs = texts.select(key, F.explode(F.array_distinct(
-        F.regexp_extract_all("body", F.lit(f"({RUNS})"), F.lit(1)))).alias("run"))
+    runs = explode_once(texts, [key], F.array_distinct(
+        F.regexp_extract_all("body", F.lit(f"({RUNS})"), F.lit(1))), "run")
     cand = (runs.join(t, "run").groupBy(key).agg(F.collect_set("term").alias("cand")))
     return (texts.select(key, "body").join(cand, key)
             .select(key, F.explode("cand").alias("term"), "body")
@@ -309,8 +335,8 @@ def context_lookup(titles: DataFrame, results: DataFrame, key: str) -> DataFrame
              .filter(F.length("word") > 2).groupBy("word").agg(F.min("ord").alias("ord")))
     longest = words.agg(F.max(F.length("word")).alias("longest"))  # one row
     first = results.agg(F.min("ord").alias("first"))  # one row
-    cut = (titles.select(key, F.lower("title").alias("t")).join(F.broadcast(longest))
-           .select(key, F.explode(tx.substrings("t", 3, "longest")).alias("word")))
+    cut = explode_once(titles.select(key, F.lower("title").alias("t")).join(F.broadcast(longest)),
+                       [key], tx.substrings("t", 3, "longest"), "word")
     hit = cut.join(words, "word").groupBy(key).agg(F.min("ord").alias("ord"))
     return (titles.select(key).join(hit, key, "left").join(F.broadcast(first))
             .select(key, F.coalesce("ord", "first").alias("ord")))
@@ -409,11 +435,13 @@ def article_rank(title: Column, code: Column, cls: Column, q_code: Column, terms
 
 
 def search_articles(queries: DataFrame, articles: DataFrame, k: int = 10,
-                    hot_df: int = 10000) -> DataFrame:
+                    hot_df: int = 10000, max_hot: int = 10) -> DataFrame:
     """Top articles per query among those sharing its code or a title word.
 
     queries: query_id, query. articles: slug, title, code, permalink. A term
-    matches a title word here; hot words are answered from the combination index.
+    matches a title word here. Hot words, and codes, are answered from an index
+    of the first articles per combination; its order is the final order within
+    one rank, so k entries suffice.
     """
     ttok = lambda c: F.array_distinct(F.filter(F.split(F.trim(
         F.lower(c)), "\\s+"), lambda w: w != ""))
@@ -421,26 +449,24 @@ def search_articles(queries: DataFrame, articles: DataFrame, k: int = 10,
                        F.array_distinct(query_terms(F.col("query"))).alias("terms"))
     a = articles.select("slug", ttok(F.col("title")).alias("tt"), "code",
                         article_class(F.col("permalink"), F.col("code")).alias("cls"))
-    post = a.select("slug", F.explode("tt").alias("token"))
-    q_post = q.select("query_id", F.explode("terms").alias("token"))
-    hot = hot_tokens(post, hot_df)
+    post = explode_once(a, ["slug"], F.col("tt"), "token")
+    q_post = explode_once(q, ["query_id"], F.col("terms"), "token")
+    hot, d_hot, q_hot = hot_parts(post, q_post, "slug", "query_id", hot_df)
     none = F.array().cast("array<string>")
 
-    rare = q_post.join(post.join(hot, "token", "left_anti"), "token").select("query_id", "slug")
-    a_hot = a.join(hot_part(post, hot, "slug"), "slug", "left").withColumn("hot", F.coalesce("hot", none))
-    q_hot = q.join(hot_part(q_post, hot, "query_id"), "query_id", "left").withColumn(
-        "hot", F.coalesce("hot", none))
+    def with_keys(df, parts, key, code):
+        """(key, combination of hot words, code or nothing) rows; wide texts keep the code only."""
+        h = F.when(F.size("hot") <= max_hot, F.col("hot")).otherwise(none)
+        return (explode_once(df.join(parts, key, "left"), ["*"], tx.subsets(F.coalesce(h, none)), "u")
+                .withColumn("c", F.explode(F.array_distinct(F.array(F.col(code), F.lit("")))))
+                .filter((F.size("u") > 0) | (F.col("c") != "")))
 
-    def with_keys(df, code):
-        return (df.withColumn("u", F.explode(tx.subsets("hot")))
-                .withColumn("c", F.explode(F.array(F.col(code), F.lit(""))))
-                .filter((F.size("u") > 0) | (F.col("c") != "")).dropDuplicates(
-                    [df.columns[0], "u", "c"]))
-
-    index = top_per_key(with_keys(a_hot, "code"), ["u", "c"], [F.col("cls"), F.col("slug")], k)
-    listed = with_keys(q_hot, "q_code").select("query_id", "u", "c").join(
+    index = top_per_key(with_keys(a, d_hot, "slug", "code"), ["u", "c"],
+                        [F.col("cls"), F.col("slug")], k)
+    listed = with_keys(q, q_hot, "query_id", "q_code").select("query_id", "u", "c").join(
         index.select("u", "c", "slug"), ["u", "c"]).select("query_id", "slug")
-    pairs = rare.union(listed).distinct().join(q, "query_id").join(a, "slug")
+    direct = candidate_pairs(post, q_post, hot, d_hot, q_hot, "slug", "query_id", max_hot)
+    pairs = direct.union(listed).distinct().join(q, "query_id").join(a, "slug")
     same = (F.col("q_code") != "") & (F.col("q_code") == F.col("code"))
     tool = (F.size("terms") > 0) & (F.size(F.array_except("terms", "tt")) == 0)
     rank = (F.when(same & tool, 0).when(same, 1).when((F.col("q_code") != "") & tool, 2)
@@ -458,70 +484,85 @@ def _norm(c) -> Column:
     return tx.mask_error_text(F.coalesce(c, F.lit("")))
 
 
-def best_message(messages: Column, query: Column, service: Column) -> Column:
+def prepare_cases(cases: DataFrame) -> DataFrame:
+    """Normalize the searched fields once per case.
+
+    cases: case_id, messages, code, name, service, situation, aliases, cause.
+    """
+    joined = lambda c: F.array_join(F.coalesce(c, F.array().cast("array<string>")), " ")
+    everything = F.concat_ws(" ", "code", "name", "situation", joined(F.col("aliases")),
+                             joined(F.col("messages")), "cause")
+    return cases.select(
+        "case_id", "messages", F.transform("messages", _norm).alias("n_list"),
+        _norm(joined(F.col("messages"))).alias("n_messages"),
+        *[_norm(F.col(f)).alias(f"n_{f}") for f in ("code", "name", "service", "situation", "cause")],
+        _norm(joined(F.col("aliases"))).alias("n_aliases"), _norm(everything).alias("n_all"),
+        tx.case_tokens(F.coalesce("service", F.lit(""))).alias("s_tok"))
+
+
+def prepare_queries(queries: DataFrame) -> DataFrame:
+    return queries.select("query_id", _norm(F.col("query")).alias("qn"),
+                          tx.case_tokens("query").alias("qt"))
+
+
+def best_message() -> Column:
     """Longest message contained in the query, else the one sharing most non-service words."""
-    qn, stok = _norm(query), tx.case_tokens(F.coalesce(service, F.lit("")))
-    qtok = F.filter(tx.case_tokens(query), lambda t: ~F.array_contains(stok, t))
-    inside = F.filter(messages, lambda m: (_norm(m) != "") & F.contains(qn, _norm(m)))
-    pick = lambda arr, score: F.aggregate(
-        arr, F.struct(F.lit(0).alias("s"), F.lit("").alias("m")),
-        lambda acc, m: F.when(score(m) > acc["s"], F.struct(score(m).alias("s"), m.alias("m")))
-        .otherwise(acc))["m"]
-    longest = pick(inside, lambda m: F.length(m))
-    shared = pick(messages, lambda m: F.size(F.filter(qtok, lambda t: F.contains(_norm(m), t))))
+    qt = F.filter("qt", lambda t: ~F.array_contains("s_tok", t))
+    both = F.arrays_zip(F.col("messages").alias("m"), F.col("n_list").alias("n"))
+
+    def pick(score):
+        return F.aggregate(both, F.struct(F.lit(0).alias("s"), F.lit("").alias("m")),
+                           lambda acc, x: F.when(score(x) > acc["s"], F.struct(
+                               score(x).alias("s"), x["m"].alias("m"))).otherwise(acc))["m"]
+
+    longest = pick(lambda x: F.when((x["n"] != "") & F.contains(F.col("qn"), x["n"]),
+                                    F.length(x["m"])).otherwise(0))
+    shared = pick(lambda x: F.size(F.filter(qt, lambda t: F.contains(x["n"], t))))
     return F.when(longest != "", longest).otherwise(shared)
 
 
-def case_rank(case: dict[str, Column], query: Column, score: Column | None = None) -> Column:
-    """Rank of an error case for a query; lower is better."""
-    qn, qt = _norm(query), tx.case_tokens(query)
-    joined = lambda c: F.array_join(c, " ")
-    text = {"messages": joined(case["messages"]), "code": case["code"], "name": case["name"],
-            "service": case["service"], "situation": case["situation"],
-            "aliases": joined(case["aliases"]), "cause": case["cause"]}
-    n = {k: _norm(v) for k, v in text.items()}
+def case_rank(matched: Column) -> Column:
+    """Rank of a prepared case for a prepared query; lower is better.
+
+    ``matched`` tells whether some message of the case matches.
+    """
     pts = lambda cond, p: F.when(cond, -float(p)).otherwise(0.0)
-    within = lambda k: (n[k] != "") & F.contains(qn, n[k])
-    either = lambda k: (n[k] != "") & (F.contains(qn, n[k]) | F.contains(n[k], qn))
-    hits = lambda k: F.size(F.filter(qt, lambda t: F.contains(n[k], t)))
-    rank = F.lit(0.0) if score is None else score * 10
-    rank = rank + pts(best_message(case["messages"], query, case["service"]) != "", 30)
+    n = lambda k: F.col(f"n_{k}")
+    within = lambda k: (n(k) != "") & F.contains("qn", n(k))
+    either = lambda k: (n(k) != "") & (F.contains("qn", n(k)) | F.contains(n(k), "qn"))
+    rank = pts(matched, 30)
     for k, p in (("code", 12), ("name", 10), ("service", 6)):
         rank = rank + pts(within(k), p)
     for k, p in (("situation", 5), ("aliases", 3), ("cause", 1)):
         rank = rank + pts(either(k), p)
     for k, w in (("messages", 1.5), ("code", 1.2), ("name", 1.0), ("service", 0.8),
                  ("situation", 0.6), ("aliases", 0.4), ("cause", 0.1)):
-        rank = rank - hits(k) * w
+        rank = rank - F.size(F.filter("qt", lambda t, f=n(k): F.contains(f, t))) * w
     return rank
 
 
-def case_signal(case: dict[str, Column], query: Column) -> Column:
+def case_signal(matched: Column) -> Column:
     """A message, the code, the name or any non-service word of the query is in the case."""
-    qn, service = _norm(query), _norm(case["service"])
-    code, name = _norm(case["code"]), _norm(case["name"])
-    text = _norm(F.concat_ws(" ", case["code"], case["name"], case["situation"],
-                             F.array_join(case["aliases"], " "),
-                             F.array_join(case["messages"], " "), case["cause"]))
-    return ((best_message(case["messages"], query, case["service"]) != "")
-            | ((code != "") & F.contains(qn, code)) | ((name != "") & F.contains(qn, name))
-            | F.exists(tx.case_tokens(query), lambda t: (t != service) & F.contains(text, t)))
+    n = lambda k: F.col(f"n_{k}")
+    return (matched | ((n("code") != "") & F.contains("qn", n("code")))
+            | ((n("name") != "") & F.contains("qn", n("name")))
+            | F.exists("qt", lambda t: (t != n("service")) & F.contains(n("all"), t)))
 
 
-CASE_FIELDS = ("messages", "code", "name", "service", "situation", "aliases", "cause")
+def rank_case_pairs(pairs: DataFrame) -> DataFrame:
+    """Message, signal and rank for pairs of prepared queries and cases."""
+    p = pairs.withColumn("message", best_message())
+    matched = F.col("message") != ""
+    return p.withColumn("signal", case_signal(matched)).withColumn("case_rank", case_rank(matched))
 
 
 def search_cases(queries: DataFrame, cases: DataFrame, k: int = 12) -> DataFrame:
     """Ranked cases per query: they meet on shared words, then signal and rank decide."""
-    case = {f: F.col(f) for f in CASE_FIELDS}
-    everything = F.concat_ws(" ", F.array_join("messages", " "), "code", "name", "situation",
-                             F.array_join("aliases", " "), "cause")
-    post = cases.select("case_id", F.explode(F.array_distinct(tx.case_tokens(everything))).alias("t"))
-    q = queries.select("query_id", "query", F.array_distinct(tx.case_tokens("query")).alias("qt"))
-    pairs = (q.select("query_id", F.explode("qt").alias("t")).join(post, "t")
+    c, q = prepare_cases(cases), prepare_queries(queries)
+    words = F.filter(F.split("n_all", "\\s+"), lambda w: F.length(w) > 1)
+    post = explode_once(c, ["case_id"], F.array_distinct(words), "t")
+    pairs = (explode_once(q, ["query_id"], F.array_distinct("qt"), "t").join(post, "t")
              .select("query_id", "case_id").distinct())
-    scored = (pairs.join(q, "query_id").join(cases, "case_id")
-              .filter(case_signal(case, F.col("query")))
-              .withColumn("case_rank", case_rank(case, F.col("query"))))
-    return top_per_key(scored.select("query_id", "case_id", "case_rank"), ["query_id"],
+    scored = rank_case_pairs(pairs.join(q, "query_id").join(c, "case_id")).filter("signal")
+    return top_per_key(scored.select("query_id", "case_id", "message", "case_rank"), ["query_id"],
                        [F.col("case_rank"), F.col("case_id")], k, "position")

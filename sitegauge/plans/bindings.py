@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.common import spread
+
 AS_OF = "2025-06-01"
 RUN_DATE = "2024-01-31"
 SCORE_AXES = ("factual", "freshness", "citation", "risk")
@@ -29,7 +31,7 @@ SQL_WORDS = "regexp_split_to_array(trim({c}), '[ \\t\\r\\n]+')"
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"))
     return d.select(
         F.col("doc_id").alias("article_id"),
         F.col("text").alias("body"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.common import contains_any, r6
+from ..functions.common import contains_any, explode_once, r6
 from ..operators import corpus as co
 from .bindings import ARTICLES, AS_OF, SQL_WORDS, articles, table, words
 from .registry import query
@@ -61,7 +61,7 @@ def _linted(spark, sf):
 
 @query("t12_lint", f"WITH {LINT} SELECT article_id, rule, severity, count(*) AS n FROM issues GROUP BY ALL")
 def t12_lint(spark, sf):
-    i = _linted(spark, sf).select("article_id", F.explode("issues").alias("i"))
+    i = explode_once(_linted(spark, sf), ["article_id"], F.col("issues"), "i")
     return i.groupBy("article_id", "i.rule", "i.severity").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -154,7 +154,7 @@ FROM articles WHERE regexp_matches(body, 'Released under the [A-Z]+ License')
 UNION ALL SELECT article_id, 'rights', substr(regexp_extract(body, '(?:licensed|Licensed) under the [A-Za-z ]+'), 1, 60)
 FROM articles WHERE regexp_matches(body, '(?:licensed|Licensed) under the [A-Za-z ]+')""")
 def t07_disqualifiers(spark, sf):
-    i = articles(spark, sf).select("article_id", F.explode(co.rule_b2(PHRASES)).alias("i"))
+    i = explode_once(articles(spark, sf), ["article_id"], co.rule_b2(PHRASES), "i")
     d = F.split("i.detail", ": ", 2)
     return i.select("article_id", F.get(d, F.lit(0)).alias("label"), F.get(d, F.lit(1)).alias("excerpt"))
 
@@ -170,7 +170,7 @@ def t09_secrets(spark, sf):
 @query("t08_secret_tokens")
 def t08_tokens(spark, sf):
     """Known token prefixes anywhere in the corpus."""
-    i = articles(spark, sf).select("article_id", F.explode(co.rule_secret_tokens("all")).alias("i"))
+    i = explode_once(articles(spark, sf), ["article_id"], co.rule_secret_tokens("all"), "i")
     return i.select("article_id", F.col("i.detail").alias("detail"))
 
 
