@@ -1,8 +1,9 @@
-"""Session and checkpoint helpers."""
+"""Session and shared-folder helpers."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,18 +26,29 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the shared folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors see, as named by ``spark.checkpoint.dir``.
 
-    The cluster names that folder; only where none is set (tests on one
-    machine) a temporary folder is used.
+    Only a local session that names none falls back to a temporary folder.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="sitegauge-ckpt-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    folder = tempfile.mkdtemp(prefix="sitegauge-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Fresh path below the shared folder; nothing is created yet."""
+    return f"{shared_folder(spark).rstrip('/')}/sitegauge/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialize as a table in the shared folder and read it back."""
+    spark = df.sparkSession
+    path = new_folder(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
