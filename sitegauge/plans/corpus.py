@@ -167,13 +167,6 @@ def t09_secrets(spark, sf):
     return a.filter(F.col("value").isNotNull())
 
 
-@query("t08_secret_tokens")
-def t08_tokens(spark, sf):
-    """Known token prefixes anywhere in the corpus."""
-    i = explode_once(articles(spark, sf), ["article_id"], co.rule_secret_tokens("all"), "i")
-    return i.select("article_id", F.col("i.detail").alias("detail"))
-
-
 @query("t13_metadata", W + """,
 m AS (SELECT article_id, CASE WHEN article_id % 13 = 0 THEN 'empty: title' END AS a,
   CASE WHEN article_id % 6 = 0 THEN 'missing: description' END AS b,

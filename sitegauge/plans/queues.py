@@ -176,7 +176,7 @@ SELECT event_id, CASE WHEN c = '' THEN 'empty response' WHEN c = 'bad' THEN 'jso
   CASE WHEN c = 'ok' AND k <= 80 THEN k END AS score FROM c""")
 def t32_payload(spark, sf):
     e, m = table(spark, sf, "events"), F.col("event_id") % 11
-    raw = (F.when(m == 0, "").when(m == 1, F.concat("props", F.lit("{")))
+    raw = (F.when(m == 0, "").when(m == 1, F.concat(F.lit("{"), "props"))
            .when(m == 2, F.lit('{"k": true}')).when(m == 3, F.lit('{"x": 1}'))
            .when(m == 4, F.lit('{"k": "abc"}'))
            .when(m == 5, F.concat(F.lit("```json\n"), "props", F.lit("\n```")))
