@@ -12,8 +12,13 @@ def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def r6(c, digits: int = 6) -> Column:
-    return F.round(as_col(c), digits)
+def r6(c) -> Column:
+    """Report rounding to 6 places.
+
+    The offset moves exact ties off the boundary, so sums added up in another
+    order round alike.
+    """
+    return F.round(as_col(c) + 1e-10, 6)
 
 
 def count_if(cond: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.common import count_if
+from ..functions.common import count_if, r6
 
 # ------------------------------------------------------------- J10, G14, K05, K06, A21
 
@@ -122,10 +122,9 @@ def token_costs(usage: DataFrame, prices: DataFrame, keys=("model",)) -> DataFra
     web = F.col("web_requests") * F.col("web_price")
     cache = cost("cache_write") + cost("cache_read")
     return j.select(*keys, *[F.col(c).cast("long").alias(c) for c in (*TOKEN_CLASSES, "web_requests")],
-                    F.round(cost("input"), 6).alias("input_cost"),
-                    F.round(cost("output"), 6).alias("output_cost"),
-                    F.round(cache, 6).alias("cache_cost"), F.round(web, 6).alias("web_cost"),
-                    F.round(cost("input") + cost("output") + cache + web, 6).alias("total_cost"))
+                    r6(cost("input")).alias("input_cost"), r6(cost("output")).alias("output_cost"),
+                    r6(cache).alias("cache_cost"), r6(web).alias("web_cost"),
+                    r6(cost("input") + cost("output") + cache + web).alias("total_cost"))
 
 
 # ------------------------------------------------------------------------ selections

@@ -71,14 +71,14 @@ var AS (SELECT axis, count(*) AS n_groups, quantile_cont(range, 0.5) AS range_me
 
 @query("a26_rescore_variance", W + G + """
 SELECT axis, n_groups, round(range_median, 6) AS range_median, round(range_p90, 6) AS range_p90,
-  range_max, round(std_median, 3) AS std_median,
+  range_max, round(std_median, 6) AS std_median,
   CASE WHEN range_median < 5 THEN 'stable' WHEN range_median <= 15 THEN 'consider voting'
        ELSE 'revise gate' END AS verdict FROM var""")
 def a26_variance(spark, sf):
     v = au.rescore_variance(au.rescore_groups(ok_history(spark, sf)))
     return v.select("axis", "n_groups", r6("range_median").alias("range_median"),
                     r6("range_p90").alias("range_p90"), "range_max",
-                    F.round("std_median", 3).alias("std_median"), "verdict")
+                    r6("std_median").alias("std_median"), "verdict")
 
 
 @query("a26_worst_groups", W + G + """
@@ -152,9 +152,9 @@ c AS (SELECT unnest(['factual','factual','factual','factual','freshness','freshn
     corr(factual, freshness), 1.0, corr(freshness, citation), corr(freshness, risk),
     corr(factual, citation), corr(freshness, citation), 1.0, corr(citation, risk),
     corr(factual, risk), corr(freshness, risk), corr(citation, risk), 1.0]) AS rho, count(*) AS n_rows FROM r)
-SELECT axis1, axis2, n_rows, round(rho, 5) AS rho, axis1 < axis2 AND abs(rho) > 0.8 AS redundant FROM c""")
+SELECT axis1, axis2, n_rows, round(rho, 6) AS rho, axis1 < axis2 AND abs(rho) > 0.8 AS redundant FROM c""")
 def a30_spearman(spark, sf):
-    return au.spearman(latest(spark, sf)).withColumn("rho", F.round("rho", 5))
+    return au.spearman(latest(spark, sf)).withColumn("rho", r6("rho"))
 
 
 @query("a31_weekly_medians", W + """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,8 @@ def query(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryFn]:
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if oracle is not None:
-            ORACLES[name] = oracle.strip()
+            # the same tie offset as functions.common.r6
+            ORACLES[name] = re.sub(r"(?<!, \d)(?<!\(\d), 6\)", " + 1e-10, 6)", oracle.strip())
         return fn
 
     return register
