@@ -73,6 +73,25 @@ def latest_per_key(df: DataFrame, keys, order: Column) -> DataFrame:
     return picked.select(*keys, "_row.*")
 
 
+def first_per_key(df: DataFrame, keys, order: Column) -> DataFrame:
+    """One row per key with the smallest ``order``."""
+    rest = [c for c in df.columns if c not in keys]
+    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row"))
+    return picked.select(*keys, "_row.*")
+
+
+def newest_first(df: DataFrame, col: str) -> Column:
+    """Number that sorts a time column newest first, missing times last."""
+    c = F.col(col)
+    if df.schema[col].dataType.typeName() == "timestamp_ntz":
+        micros = (F.unix_date(F.to_date(c)).cast("long") * 86400000000
+                  + (F.hour(c) * 3600 + F.minute(c) * 60).cast("long") * 1000000
+                  + (F.extract(F.lit("SECOND"), c) * 1000000).cast("long"))
+    else:
+        micros = F.unix_micros(c)
+    return F.coalesce(-micros, F.lit(2 ** 62))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a scan with fewer partitions than cores; larger inputs stay as they are.
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import constants as C
-from ..functions.common import count_if, latest_per_key, ratio, top_per_key
+from ..functions.common import (count_if, first_per_key, latest_per_key, newest_first, ratio,
+                                top_per_key)
 
 AXES = ("factual", "freshness", "citation", "risk")
 
@@ -31,7 +32,7 @@ def keep_last(raw: DataFrame, order: str = "order_key") -> DataFrame:
 
 def latest(history: DataFrame, keys=("path",)) -> DataFrame:
     """Newest row per key; on equal times the first seen wins."""
-    return latest_per_key(history, list(keys), F.struct("checked_at", -F.col("seq")))
+    return first_per_key(history, list(keys), F.struct(newest_first(history, "checked_at"), "seq"))
 
 
 def axis_ok(axis: str, gate: dict) -> Column:
@@ -400,8 +401,8 @@ def resume_states(progress: DataFrame, ok: DataFrame, posts: DataFrame) -> DataF
 
 def newest_report(posts: DataFrame, reports: DataFrame, is_new: Column) -> DataFrame:
     """Newest report per document; reports of new-document runs come first."""
-    best = latest_per_key(reports.withColumn("is_new", is_new), ["path"],
-                          F.struct("is_new", "checked_at", -F.col("seq")))
+    order = F.struct(F.when(F.col("is_new"), 0).otherwise(1), newest_first(reports, "checked_at"), "seq")
+    best = first_per_key(reports.withColumn("is_new", is_new), ["path"], order)
     return posts.join(best, "path", "left")
 
 

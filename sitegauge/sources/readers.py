@@ -79,13 +79,15 @@ def read_history(spark: SparkSession, path: str, since: str | None = None,
     """
     from ..operators.audit import as_score, keep_last
 
-    raw = (spark.read.schema(HISTORY_SCHEMA).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt").json(path)
-           .withColumn("order_key", F.struct(F.col("_metadata.file_path").alias("f"),
-                                             F.col("_metadata.file_block_start").alias("b"),
-                                             F.monotonically_increasing_id().alias("i"))))
-    bad = raw.filter(F.col("_corrupt").isNotNull()).select("_corrupt")
-    good = raw.filter(F.col("_corrupt").isNull()).drop("_corrupt")
+    order = F.struct(F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row"))
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    raw = (spark.read.text(path).select(order.alias("order_key"), "value")
+           .filter(F.trim("value") != "")
+           .withColumn("r", F.from_json("value", HISTORY_SCHEMA, opts)))
+    bad = raw.filter(F.col("r._corrupt").isNotNull()).select("value")
+    good = raw.filter(F.col("r._corrupt").isNull()).select("order_key", "r.*").drop("_corrupt")
     score = lambda c: as_score(c).cast("int")
     ts = F.try_to_timestamp(F.regexp_replace("checked_at", "Z$", "+00:00"))
     rows = good.select(
@@ -94,7 +96,7 @@ def read_history(spark: SparkSession, path: str, since: str | None = None,
         score("risk_score").alias("risk"), F.col("gemini_model").alias("model"), "prompt_version",
         ts.alias("checked_at"), F.col("overall_judgement").alias("judgement"), "mode",
         "error_detail", "sources", "unsupported_claims", "vote_group_id",
-        F.monotonically_increasing_id().alias("seq"), "order_key")
+        F.col("order_key").alias("seq"), "order_key")
     out = keep_last(rows)
     for bound, after in ((since, True), (until, False)):
         if bound is not None:
