@@ -203,7 +203,7 @@ def spearman(rows: DataFrame, min_rows: int = 3, redundant: float = 0.8) -> Data
     full = rows.dropna(subset=list(AXES)).select(*AXES)
     cells = F.array(*[F.struct(F.lit(a).alias("a1"), F.col(a).alias("v1"),
                                F.lit(b).alias("a2"), F.col(b).alias("v2"))
-                      for a in AXES for b in AXES])
+                      for i, a in enumerate(AXES) for b in AXES[i:]])
     pairs = (full.select(F.explode(cells).alias("c")).select("c.*")
              .groupBy("a1", "v1", "a2", "v2").agg(F.count(F.lit(1)).alias("n")))
     marginal = (pairs.filter(F.col("a1") == F.col("a2"))
@@ -223,8 +223,11 @@ def spearman(rows: DataFrame, min_rows: int = 3, redundant: float = 0.8) -> Data
         F.sum(n * r1 * r1).alias("xx"), F.sum(n * r2 * r2).alias("yy"))
     rho = F.when(F.col("n_rows") >= min_rows,
                  F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy"))))
-    return s.select(F.col("a1").alias("axis1"), F.col("a2").alias("axis2"), "n_rows",
-                    rho.alias("rho")).withColumn(
+    # each unordered pair was counted once; list it both ways
+    ends = F.array_distinct(F.array(F.struct(F.col("a1").alias("axis1"), F.col("a2").alias("axis2")),
+                                    F.struct(F.col("a2").alias("axis1"), F.col("a1").alias("axis2"))))
+    return s.select(F.explode(ends).alias("e"), "n_rows", rho.alias("rho")).select(
+        "e.*", "n_rows", "rho").withColumn(
         "redundant", (F.col("axis1") < F.col("axis2")) & (F.abs("rho") > redundant))
 
 

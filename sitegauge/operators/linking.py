@@ -556,13 +556,51 @@ def rank_case_pairs(pairs: DataFrame) -> DataFrame:
     return p.withColumn("signal", case_signal(matched)).withColumn("case_rank", case_rank(matched))
 
 
-def search_cases(queries: DataFrame, cases: DataFrame, k: int = 12) -> DataFrame:
-    """Ranked cases per query: they meet on shared words, then signal and rank decide."""
+# weight of a query word found in a field, as in case_rank
+FIELD_WEIGHTS = (("messages", 1.5), ("code", 1.2), ("name", 1.0), ("service", 0.8),
+                 ("situation", 0.6), ("aliases", 0.4), ("cause", 0.1))
+
+
+def word_weights() -> Column:
+    """Words of a prepared case with their weight: array<struct<t, w>>, one entry per field."""
+    def words(field):
+        return F.array_distinct(F.filter(F.split(f"n_{field}", "\\s+"), lambda w: F.length(w) > 1))
+
+    return F.concat(*[F.transform(words(f), lambda t, w=w: F.struct(t.alias("t"), F.lit(w).alias("w")))
+                      for f, w in FIELD_WEIGHTS])
+
+
+def shared_weight(words: Column, tokens: Column) -> Column:
+    return F.aggregate(F.filter(words, lambda x: F.array_contains(tokens, x["t"])), F.lit(0.0),
+                       lambda acc, x: acc + x["w"])
+
+
+def search_cases(queries: DataFrame, cases: DataFrame, k: int = 12, fetch: int = 30,
+                 hot_df: int = 10000, max_hot: int = 10) -> DataFrame:
+    """Ranked cases per query: fetch the best by shared words, then signal and rank decide.
+
+    The fetch takes ``fetch`` cases by the weight of shared words (ties by id);
+    common words are answered from an index of the best cases per combination.
+    """
     c, q = prepare_cases(cases), prepare_queries(queries)
-    words = F.filter(F.split("n_all", "\\s+"), lambda w: F.length(w) > 1)
-    post = explode_once(c, ["case_id"], F.array_distinct(words), "t")
-    pairs = (explode_once(q, ["query_id"], F.array_distinct("qt"), "t").join(post, "t")
-             .select("query_id", "case_id").distinct())
-    scored = rank_case_pairs(pairs.join(q, "query_id").join(c, "case_id")).filter("signal")
+    cw = c.select("case_id", word_weights().alias("cw"))
+    qw = q.select("query_id", F.array_distinct("qt").alias("qd"))
+    post = explode_once(cw, ["case_id"], F.array_distinct(F.transform("cw", lambda x: x["t"])), "token")
+    q_post = explode_once(qw, ["query_id"], F.col("qd"), "token")
+    hot, d_hot, q_hot = hot_parts(post, q_post, "case_id", "query_id", hot_df)
+    narrow = F.size("hot") <= max_hot
+
+    combos = explode_once(cw.join(d_hot.filter(narrow), "case_id"), ["case_id", "cw"],
+                          tx.subsets("hot"), "u").filter(F.size("u") > 0)
+    combos = combos.select("u", "case_id", shared_weight(F.col("cw"), F.col("u")).alias("s"))
+    index = top_per_key(combos, ["u"], [F.desc("s"), F.col("case_id")], fetch)
+    listed = (explode_once(q_hot.filter(narrow), ["query_id"], tx.subsets("hot"), "u")
+              .join(index.select("u", "case_id"), "u").select("query_id", "case_id"))
+    direct = candidate_pairs(post, q_post, hot, d_hot, q_hot, "case_id", "query_id", max_hot)
+    pairs = direct.union(listed).distinct().join(qw, "query_id").join(cw, "case_id").select(
+        "query_id", "case_id", shared_weight(F.col("cw"), F.col("qd")).alias("s"))
+    fetched = top_per_key(pairs, ["query_id"], [F.desc("s"), F.col("case_id")], fetch).select(
+        "query_id", "case_id")
+    scored = rank_case_pairs(fetched.join(q, "query_id").join(c, "case_id")).filter("signal")
     return top_per_key(scored.select("query_id", "case_id", "message", "case_rank"), ["query_id"],
                        [F.col("case_rank"), F.col("case_id")], k, "position")

@@ -151,3 +151,17 @@ def test_title_rules(spark):
          "AWS Access Denied 認証・権限エラー：原因と解決策", "npm tls handshake": "NPM TLS Handshake SSL/TLS エラー：解決方法"}
     df = spark.createDataFrame([(k,) for k in q], "q string")
     assert {r.q: r.t for r in df.select("q", li.suggest_title(F.col("q")).alias("t")).collect()} == q
+
+
+def test_case_search_is_the_same_for_any_hot_limit(spark):
+    rnd = random.Random(2)
+    w = [f"w{i}" for i in range(15)]
+    cases = [(i, [" ".join(rnd.sample(w, 3))], rnd.choice(w), rnd.choice(w), "svc", rnd.choice(w), [rnd.choice(w)],
+              rnd.choice(w)) for i in range(50)]
+    c = spark.createDataFrame(cases, "case_id int, messages array<string>, code string, name string, "
+                              "service string, situation string, aliases array<string>, cause string")
+    q = spark.createDataFrame([(i, " ".join(rnd.sample(w, 4))) for i in range(12)], "query_id int, query string")
+    run = lambda **k: sorted(map(tuple, li.search_cases(q, c, k=5, fetch=8, **k).select(
+        "query_id", "case_id", "position").collect()))
+    plain = run()
+    assert plain == run(hot_df=0) == run(hot_df=10) == run(hot_df=0, max_hot=2)
