@@ -420,29 +420,34 @@ def pass_audit_sample(history: DataFrame, as_of: Column, days: int = 14, skip_ho
     return g.filter(ok).orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "path"))).limit(n)
 
 
-def stop_rule(rows: DataFrame, run: str, bucket: str, order, share: float = 0.6) -> DataFrame:
+def stop_rule(rows: DataFrame, run: str, buckets, order, share: float = 0.6) -> DataFrame:
     """Where each run stops: when unavailable rows reach ceil(share x rows).
 
-    Rows are counted per ordered bucket, the crossing bucket is found on those
-    counts, and only its rows are ranked. ``bucket`` must sort like ``order``.
+    ``buckets`` are columns that each refine the order (a day, then a key
+    prefix). Rows are counted per bucket, the crossing bucket is found on those
+    counts, and the next level looks only inside it, so just the rows of the
+    last crossing bucket are ranked.
     """
     bad = F.col("status") == "fact_check_unavailable"
-    c = rows.groupBy(run, bucket).agg(F.count(F.lit(1)).alias("n"), count_if(bad).alias("u"))
-    w = Window.partitionBy(run).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(run)
-    need = F.greatest(F.lit(1), F.ceil(F.sum("n").over(whole) * share)).cast("long")
-    c = (c.withColumn("need", need).withColumn("cu", F.sum("u").over(w))
-         .withColumn("cn", F.sum("n").over(w)).withColumn("total", F.sum("n").over(whole)))
-    hit = c.filter((F.col("cu") >= F.col("need")) & (F.col("cu") - F.col("u") < F.col("need")))
-    inside = rows.join(hit.select(run, bucket, (F.col("need") - F.col("cu") + F.col("u")).alias("k"),
-                                  (F.col("cn") - F.col("n")).alias("before")), [run, bucket])
-    inside = inside.withColumn("ord", F.struct(*order))
-    rk = F.row_number().over(Window.partitionBy(run, bucket).orderBy("ord"))
-    stop = (inside.filter(bad).withColumn("rk", rk).filter(F.col("rk") == F.col("k"))
-            .select(run, F.col("ord").alias("stop_ord"), F.col("eval_id").alias("stop_at")))
+    totals = rows.groupBy(run).agg(F.count(F.lit(1)).alias("total")).withColumn(
+        "need", F.greatest(F.lit(1), F.ceil(F.col("total") * share)).cast("long"))
+    state = totals.select(run, F.col("need").alias("k"), F.lit(0).cast("long").alias("before"))
+    w = Window.partitionBy(run).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    inside = rows.withColumn("ord", F.struct(*order))
+    for level in buckets:
+        inside = inside.withColumn("bucket", F.col(level))
+        c = (inside.groupBy(run, "bucket").agg(F.count(F.lit(1)).alias("n"), count_if(bad).alias("u"))
+             .withColumn("cu", F.sum("u").over(w)).withColumn("cn", F.sum("n").over(w)).join(state, run))
+        hit = c.filter((F.col("cu") >= F.col("k")) & (F.col("cu") - F.col("u") < F.col("k")))
+        state = hit.select(run, "bucket", (F.col("k") - F.col("cu") + F.col("u")).alias("k"),
+                           (F.col("before") + F.col("cn") - F.col("n")).alias("before"))
+        inside = inside.join(state.select(run, "bucket"), [run, "bucket"], "left_semi").drop("bucket")
+        state = state.drop("bucket")
+    rk = F.row_number().over(Window.partitionBy(run).orderBy("ord"))
+    stop = (inside.filter(bad).withColumn("rk", rk).join(state, run).filter(F.col("rk") == F.col("k"))
+            .select(run, "before", F.col("ord").alias("stop_ord"), F.col("eval_id").alias("stop_at")))
     done = (inside.join(stop, run).filter(F.col("ord") <= F.col("stop_ord"))
             .groupBy(run, "stop_at", "before").agg(F.count(F.lit(1)).alias("m")))
-    totals = c.select(run, "total", "need").distinct()
     return totals.join(done, run, "left").select(
         run, "total", "need", F.col("stop_at").isNotNull().alias("stopped"), "stop_at",
         F.coalesce(F.col("before") + F.col("m"), F.col("total")).alias("processed"))

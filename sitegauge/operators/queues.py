@@ -65,10 +65,13 @@ def upsert_candidates(existing: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def compare_sets(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows tagged both, left or right."""
-    tag = lambda d, s: d.withColumn("side", F.lit(s))
-    return (tag(left.intersect(right), "both").unionByName(tag(left.subtract(right), "left"))
-            .unionByName(tag(right.subtract(left), "right")))
+    """Distinct rows tagged both, left or right, in one aggregation."""
+    cols = left.columns
+    both = (left.select("*", F.lit(1).alias("l"), F.lit(0).alias("r"))
+            .unionByName(right.select("*", F.lit(0).alias("l"), F.lit(1).alias("r"))))
+    g = both.groupBy(*cols).agg(F.max("l").alias("l"), F.max("r").alias("r"))
+    side = F.when(F.col("r") == 0, "left").when(F.col("l") == 0, "right").otherwise("both")
+    return g.select(*cols, side.alias("side"))
 
 
 def replace_and_append(records: DataFrame, new: DataFrame, keys) -> DataFrame:

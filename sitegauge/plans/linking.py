@@ -406,13 +406,13 @@ def _cases(spark, sf):
 
 @query("j14_case_search")
 def j14_cases(spark, sf):
-    return li.search_cases(search_queries(spark, sf), _cases(spark, sf)).select(
+    return li.search_cases(search_queries(spark, sf), _cases(spark, sf), hot_df=HOT).select(
         "query_id", "case_id", "message", r6("case_rank").alias("case_rank"), "position")
 
 
 @query("f12_case_signal")
 def f12_signal(spark, sf):
     """Queries with at least one case that gives a signal."""
-    ranked = li.search_cases(search_queries(spark, sf), _cases(spark, sf), 1)
+    ranked = li.search_cases(search_queries(spark, sf), _cases(spark, sf), 1, hot_df=HOT)
     return search_queries(spark, sf).select("query_id").join(ranked, "query_id", "left").select(
         "query_id", F.col("case_id").isNotNull().alias("has_signal"))
