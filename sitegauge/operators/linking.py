@@ -74,8 +74,8 @@ def candidate_pairs(post, q_post, hot, d_hot, q_hot, doc: str, query: str, max_h
     return rare.union(by_query).union(by_doc).distinct()
 
 
-def best_articles(queries: DataFrame, fields: DataFrame, hot_df: int = 10000,
-                  max_hot: int = 10) -> DataFrame:
+def best_articles(queries: DataFrame, fields: DataFrame, hot_df: int = 500,
+                  max_hot: int = 8) -> DataFrame:
     """Best-covering article per query: (query_id, slug, score); lowest slug on ties.
 
     Queries and articles meet on tokens carried by at most ``hot_df`` articles.
@@ -163,33 +163,48 @@ def related_items(items: DataFrame, k: int = 20, guide: str = "learning guide",
                   min_score: int = 3) -> DataFrame:
     """Top related items: +5 same service (+100 if a guide), +1 same type, +3 per component.
 
-    Every item is listed under the feature combinations it carries, each list
-    holding its first k + 1 items. The true match of two items is one of these
-    combinations, and whoever is ahead of an item in that list scores at least
-    as much, so the lists hold all results without pairing a whole service.
+    Items with the same service, type and components form a profile and share
+    one result list. Every profile is listed under the feature combinations it
+    carries, each list holding its first k + 1 items. The true match of two
+    profiles is one of these combinations, and whoever is ahead of an item in
+    that list scores at least as much, so the lists hold all results without
+    pairing the items of a service.
     """
+    comps = F.array_sort(F.array_distinct("components"))
+    profile = F.to_json(F.struct("service", "error_type", comps.alias("comps")))
+    own = items.select("item", "service", "error_type", comps.alias("components"),
+                       profile.alias("profile"))
     keys = F.flatten(F.flatten(F.transform(tx.subsets("components"), lambda u: F.transform(
         F.array(F.lit(True), F.lit(False)), lambda s: F.transform(
             F.array(F.lit(True), F.lit(False)), lambda t: F.struct(
                 F.when(s, F.col("service")).alias("svc"), F.when(t, F.col("error_type")).alias("typ"),
-                F.array_sort(u).alias("comps")))))))
-    cards = (items.withColumn("components", F.array_distinct("components"))
-             .withColumn("is_guide", F.col("error_type") == guide)
-             )
-    cards = explode_once(cards, ["item", "is_guide"], F.array_distinct(keys), "key")
+                u.alias("comps")))))))
     base = (F.when(F.col("key.svc").isNotNull(), 5).otherwise(0)
             + F.when(F.col("key.typ").isNotNull(), 1).otherwise(0) + 3 * F.size("key.comps"))
     # an empty service or type matches nothing
     sane = (F.coalesce("key.svc", F.lit("x")) != "") & (F.coalesce("key.typ", F.lit("x")) != "")
-    cards = cards.withColumn("base", base).filter((F.col("base") >= min_score) & sane)
-    guided = F.col("key.svc").isNotNull() & F.col("is_guide")
-    lists = top_per_key(cards.withColumn("g", F.when(guided, 1).otherwise(0)), ["key"],
-                        [F.desc("g"), F.col("item")], k + 1)
-    lists = lists.select("key", F.col("item").alias("related"),
+    guided = F.col("key.svc").isNotNull() & (F.col("error_type") == guide)
+
+    def cards(df, keep):
+        c = explode_once(df, [*keep, "error_type"], F.array_distinct(keys), "key")
+        # the combination as one text: cheap to shuffle and sort by
+        return (c.withColumn("base", base).filter((F.col("base") >= min_score) & sane)
+                .select(*keep, "base", F.when(guided, 1).otherwise(0).alias("g"),
+                        F.to_json("key").alias("card")))
+
+    firsts = top_per_key(own, ["profile"], [F.col("item")], k + 1)
+    lists = top_per_key(cards(firsts, ["item"]), ["card"], [F.desc("g"), F.col("item")], k + 1)
+    lists = lists.select("card", F.col("item").alias("related"),
                          (F.col("base") + 100 * F.col("g")).alias("score"))
-    hits = (cards.select("item", "key").join(lists, "key").filter(F.col("item") != F.col("related"))
-            .groupBy("item", "related").agg(F.max("score").alias("score")))
-    return top_per_key(hits, ["item"], [F.desc("score"), F.col("related")], k)
+    profiles = own.drop("item").dropDuplicates(["profile"])
+    hits = (cards(profiles, ["profile"]).select("profile", "card").join(lists, "card")
+            .groupBy("profile", "related").agg(F.max("score").alias("score")))
+    best = top_per_key(hits, ["profile"], [F.desc("score"), F.col("related")], k + 1)
+    per_profile = best.groupBy("profile").agg(F.array_sort(F.collect_list(
+        F.struct("rank", "related", "score"))).alias("list"))  # k + 1 entries at most
+    mine = F.slice(F.filter("list", lambda x: x["related"] != F.col("item")), 1, k)
+    return (own.select("item", "profile").join(per_profile, "profile")
+            .select("item", F.explode(mine).alias("r")).select("item", "r.related", "r.score"))
 
 
 def related_by_tag(items: DataFrame, k: int = 3) -> DataFrame:
@@ -435,7 +450,7 @@ def article_rank(title: Column, code: Column, cls: Column, q_code: Column, terms
 
 
 def search_articles(queries: DataFrame, articles: DataFrame, k: int = 10,
-                    hot_df: int = 10000, max_hot: int = 10) -> DataFrame:
+                    hot_df: int = 500, max_hot: int = 8) -> DataFrame:
     """Top articles per query among those sharing its code or a title word.
 
     queries: query_id, query. articles: slug, title, code, permalink. A term
@@ -576,7 +591,7 @@ def shared_weight(words: Column, tokens: Column) -> Column:
 
 
 def search_cases(queries: DataFrame, cases: DataFrame, k: int = 12, fetch: int = 30,
-                 hot_df: int = 10000, max_hot: int = 10) -> DataFrame:
+                 hot_df: int = 500, max_hot: int = 8) -> DataFrame:
     """Ranked cases per query: fetch the best by shared words, then signal and rank decide.
 
     The fetch takes ``fetch`` cases by the weight of shared words (ties by id);

@@ -19,10 +19,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+HEAD_WORDS = 20
+
+
 def words(col, n: int | None = None, start: int = 1):
-    """Whitespace words of a text, optionally a slice of them."""
-    parts = F.split(F.trim(col), "[ \\t\\r\\n]+")
-    return parts if n is None else F.slice(parts, start, n)
+    """Whitespace words of a text: all, or ``n`` of the first HEAD_WORDS from ``start``.
+
+    Taking opening words stops splitting after them instead of splitting a
+    whole document.
+    """
+    if n is None:
+        return F.split(F.trim(col), "[ \\t\\r\\n]+")
+    head = F.split(F.trim(col), "[ \\t\\r\\n]+", HEAD_WORDS + 1)
+    return F.slice(F.slice(head, 1, HEAD_WORDS), start, n)
+
+
+def word(col, i: int):
+    """The i-th opening word of a text (from 1), null when there are fewer."""
+    return F.get(words(col, 1, i), F.lit(0))
 
 
 SQL_WORDS = "regexp_split_to_array(trim({c}), '[ \\t\\r\\n]+')"
@@ -56,7 +70,7 @@ def article_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("a"), F.lpad(F.col("article_id").cast("string"), 9, "0")).alias("slug"),
         F.array_join(words(F.col("body"), 8), " ").alias("title"),
         F.col("tool").alias("service"),
-        F.lower(F.coalesce(F.get(words(F.col("body")), F.lit(8)), F.lit(""))).alias("code"),
+        F.lower(F.coalesce(word(F.col("body"), 9), F.lit(""))).alias("code"),
         words(F.col("body"), 2, 10).alias("components"),
         F.array(F.col("segment")).alias("tags"),
         words(F.col("body"), 1, 15).alias("related_services"),

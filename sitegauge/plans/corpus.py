@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.common import contains_any, explode_once, r6
 from ..operators import corpus as co
-from .bindings import ARTICLES, AS_OF, SQL_WORDS, articles, table, words
+from .bindings import ARTICLES, AS_OF, SQL_WORDS, articles, table, word, words
 from .registry import query
 
 W = f"WITH {ARTICLES} "
@@ -311,7 +311,7 @@ SELECT article_id, regexp_replace(lower(tool || '_' || name), '[^a-z0-9_]', '_',
 FROM c""")
 def t28_slugs(spark, sf):
     name = F.array_join(words(F.col("body"), 4), " ")
-    tags = F.array(F.col("tool"), F.col("segment"), F.get(words(F.col("body")), F.lit(0)))
+    tags = F.array(F.col("tool"), F.col("segment"), word(F.col("body"), 1))
     return articles(spark, sf).select(
         "article_id",
         F.concat(tx.slug(F.concat("tool", F.lit("_"), name)), F.lit(".md")).alias("filename"),

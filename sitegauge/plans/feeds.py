@@ -11,7 +11,7 @@ from ..operators import traffic as tr
 from ..session import new_folder
 from ..sources import sinks
 from ..streaming import feeds as fd
-from .bindings import ARTICLES, FACTS, SQL_WORDS, articles, facts, table, words
+from .bindings import ARTICLES, FACTS, SQL_WORDS, articles, facts, table, word, words
 from .registry import query
 
 NOW = "2024-01-30 12:00:00"
@@ -138,7 +138,7 @@ def r04_flags(spark, sf):
     a = articles(spark, sf).select(
         "article_id", F.concat(F.when(i % 2 == 0, "GitHub").otherwise("Docker"), (i % 9).cast("string"))
         .alias("service"), (i % 5 == 0).alias("flagged"),
-        F.array(F.get(words(F.col("body")), F.lit(0))).alias("components"))
+        F.array(word(F.col("body"), 1)).alias("components"))
     m = li.match_incidents(a, _active(spark, sf), "article_id")
     return fd.flag_changes(a, m, "article_id").select("article_id", "change")
 

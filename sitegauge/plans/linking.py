@@ -8,9 +8,10 @@ from ..functions import text as tx
 from ..functions.common import r6
 from ..operators import linking as li
 from ..operators import search as se
+from ..session import cut_lineage
 from .bindings import (ARTICLE_FIELDS, ARTICLES, CITED_URLS, ENTITIES, FACTS, SEARCH_QUERIES,
                        SQL_WORDS, article_fields, articles, cited_urls, entities, facts,
-                       search_queries, table, words)
+                       search_queries, table, word, words)
 from .registry import query
 
 # ------------------------------------------------------------------ query coverage
@@ -46,8 +47,9 @@ cov AS (SELECT q.query_id, query, impressions, ctr, position, coalesce(slug, '')
 
 
 def _covered(spark, sf):
-    q = search_queries(spark, sf).withColumn("q_tok", tx.tokens("query"))
-    best = li.best_articles(q, li.field_tokens(article_fields(spark, sf)), HOT)
+    # token tables are read by several branches: write them once to the shared folder
+    q = cut_lineage(search_queries(spark, sf).withColumn("q_tok", tx.tokens("query")))
+    best = li.best_articles(q, cut_lineage(li.field_tokens(article_fields(spark, sf))), HOT)
     return (q.join(best, "query_id")
             .withColumn("coverage", li.coverage_class(F.col("match_score"), 0.3, 0.1))
             .withColumn("opportunity_score", se.opportunity()))
@@ -215,7 +217,7 @@ def j19_grid(spark, sf):
 def _terms(spark, sf):
     """One term page per benchmark item: its second word is the term, its text the page."""
     return table(spark, sf, "benchmark").select(
-        "item_id", F.lower(F.get(words(F.col("text")), F.lit(1))).alias("term"),
+        "item_id", F.lower(word(F.col("text"), 2)).alias("term"),
         F.col("text").alias("body")).filter(F.col("term").isNotNull() & (F.length("term") >= 4))
 
 
@@ -392,27 +394,27 @@ def g09_search(spark, sf):
     a = article_fields(spark, sf).select(
         "slug", "title", (100 + i % 400).cast("string").alias("code"),
         F.when(i % 11 == 0, "/glossary/x/").otherwise("/posts/x/").alias("permalink"))
-    return li.search_articles(q, a, 10, HOT).select("query_id", "slug", "search_rank")
+    return li.search_articles(q, cut_lineage(a), 10, HOT).select("query_id", "slug", "search_rank")
 
 
 def _cases(spark, sf):
     """Error cases cut from article openings: one message, situation and cause each."""
     w = lambda a, n: F.array_join(words(F.col("body"), n, a), " ")
-    return articles(spark, sf).select(
+    return cut_lineage(articles(spark, sf).select(
         F.col("article_id").alias("case_id"), F.array(w(1, 3)).alias("messages"),
         w(4, 1).alias("code"), w(5, 2).alias("name"), F.col("tool").alias("service"),
-        w(7, 4).alias("situation"), F.array(w(11, 2)).alias("aliases"), w(13, 4).alias("cause"))
+        w(7, 4).alias("situation"), F.array(w(11, 2)).alias("aliases"), w(13, 4).alias("cause")))
 
 
 @query("j14_case_search")
 def j14_cases(spark, sf):
-    return li.search_cases(search_queries(spark, sf), _cases(spark, sf), hot_df=HOT).select(
+    return li.search_cases(search_queries(spark, sf), _cases(spark, sf)).select(
         "query_id", "case_id", "message", r6("case_rank").alias("case_rank"), "position")
 
 
 @query("f12_case_signal")
 def f12_signal(spark, sf):
     """Queries with at least one case that gives a signal."""
-    ranked = li.search_cases(search_queries(spark, sf), _cases(spark, sf), 1, hot_df=HOT)
+    ranked = li.search_cases(search_queries(spark, sf), _cases(spark, sf), 1)
     return search_queries(spark, sf).select("query_id").join(ranked, "query_id", "left").select(
         "query_id", F.col("case_id").isNotNull().alias("has_signal"))

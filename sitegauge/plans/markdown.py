@@ -224,7 +224,7 @@ SELECT 'T' || article_id AS title, tool AS service, 'T' || article_id AS "errorN
   '/posts/' || article_id || '/#c' || n AS url FROM c WHERE n <> 3""")
 def s08_cases(spark, sf):
     from ..sources.sinks import case_index
-    i, w = F.col("article_id"), words(F.col("body"))
+    i, w = F.col("article_id"), words(F.col("body"), 3)
     none = F.lit(None).cast("string")
     case = lambda n: F.struct(
         F.lit(f"c{n}" if n < 3 else "").alias("id"), F.array(F.get(w, F.lit(0))).alias("messages"),
