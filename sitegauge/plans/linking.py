@@ -242,7 +242,10 @@ def j17_documents(spark, sf):
     return li.first_documents(occ, "article_id").select("term", "article_id")
 
 
-@query("j09_dictionary_hits")
+@query("j09_dictionary_hits", f"""WITH {TERMS}, {ARTICLES},
+p AS (SELECT DISTINCT term, CASE WHEN regexp_matches(term[1], '[A-Za-z0-9]') THEN '(^|[^A-Za-z0-9])' ELSE '' END || regexp_escape(term)
+  || CASE WHEN regexp_matches(term[-1], '[A-Za-z0-9]') THEN '([^A-Za-z0-9]|$)' ELSE '' END AS pat FROM terms)
+SELECT article_id, term FROM articles JOIN p ON contains(body, term) AND regexp_matches(body, pat)""")
 def j09_hits(spark, sf):
     """Terms with clean boundaries, any dictionary size."""
     return li.dictionary_hits(_terms(spark, sf), articles(spark, sf), "article_id")
@@ -412,6 +415,14 @@ def j14_cases(spark, sf):
         "query_id", "case_id", "message", r6("case_rank").alias("case_rank"), "position")
 
 
+@query("g08_case_rank")
+def g08_rank(spark, sf):
+    """Best rank per query and how many ranked cases reach it."""
+    ranked = li.search_cases(search_queries(spark, sf), _cases(spark, sf))
+    return ranked.groupBy("query_id").agg(
+        r6(F.min("case_rank")).alias("best_rank"), F.min_by("case_id", "position").alias("case_id"))
+
+
 @query("f12_case_signal")
 def f12_signal(spark, sf):
     """Queries with at least one case that gives a signal."""
