@@ -16,6 +16,8 @@ SCORE_AXES = ("factual", "freshness", "citation", "risk")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's tables; times in them are UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
