@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,16 +28,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors see, as named by ``spark.checkpoint.dir``.
 
-    Only a local session that names none falls back to a temporary folder.
+    A session that names none uses a folder below the warehouse, which is shared as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="sitegauge-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
