@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import linededup, mixing, rules
+from . import linededup, mixing, neardup, rules
 from .common import read
 
 
@@ -13,11 +13,13 @@ def _on(table, operator):
 QUERIES = {
     "op1_source_mix": _on("documents", mixing.op1),
     "op2_quality_rules": _on("documents", rules.op2),
+    "op3_near_duplicates": _on("documents", neardup.op3),
     "op5_line_dedup": _on("documents", linededup.op5),
 }
 
 ORACLES = {
     "op1_source_mix": mixing.ORACLE,
     "op2_quality_rules": rules.ORACLE,
+    "op3_near_duplicates": neardup.ORACLE,
     "op5_line_dedup": linededup.ORACLE,
 }
