@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import linededup, mixing, neardup, rules
+from . import grading, katz, langid, linededup, mixing, neardup, onebit, packing, rules
 from .common import read
 
 
@@ -14,7 +14,13 @@ QUERIES = {
     "op1_source_mix": _on("documents", mixing.op1),
     "op2_quality_rules": _on("documents", rules.op2),
     "op3_near_duplicates": _on("documents", neardup.op3),
+    "op4_best_fit_packing": _on("documents", packing.op4),
     "op5_line_dedup": _on("documents", linededup.op5),
+    "op7_quality_grades": lambda spark, sf_dir: grading.op7(read(spark, sf_dir, "documents"),
+                                                            read(spark, sf_dir, "labels")),
+    "op8_one_bit_search": _on("embeddings", onebit.op8),
+    "op9_katz_scores": _on("documents", katz.op9),
+    "op10_language_id": _on("documents", langid.op10),
 }
 
 ORACLES = {
@@ -22,4 +28,5 @@ ORACLES = {
     "op2_quality_rules": rules.ORACLE,
     "op3_near_duplicates": neardup.ORACLE,
     "op5_line_dedup": linededup.ORACLE,
+    "op8_one_bit_search": onebit.ORACLE,
 }
