@@ -8,8 +8,9 @@ id hashes, whole texts). Every document then gets its expected grade and the tai
 top grade, by which it is selected.
 
 Words count by presence: a feature is on if any of its words occurs, so that a few decisive words
-weigh the same in a long text. Shape features (shares of symbols, capitals, exclamation marks,
-repeated words and lines) catch junk whose words are unknown.
+weigh the same in a long text. Only buckets that tell grades apart in the sample get weights. Shape
+features (shares of symbols, capitals, exclamation marks, repeated words and lines) catch junk whose
+words are unknown.
 
 Defined results: a null or empty text has no features and gets the grade of the thresholds alone;
 ratings with a null id, quality or toxic are left out, and so are those of unknown documents; of
@@ -78,11 +79,23 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds - score, -40, 40)))
 
 
+def telling(rows: list[tuple[np.ndarray, list[float], int]], least: int = 8,
+            z: float = 5.0) -> np.ndarray:
+    """Buckets whose documents' mean grade is off the overall mean by ``z`` standard errors."""
+    grades = np.array([g for _, _, g in rows], np.float64)
+    buckets = np.concatenate([b for b, _, _ in rows])
+    n = np.bincount(buckets, minlength=1 << BITS)
+    off = np.bincount(buckets, np.repeat(grades - grades.mean(), [len(b) for b, _, _ in rows]), 1 << BITS)
+    return (n >= least) & (np.abs(off) > z * max(grades.std(), 1e-9) * np.sqrt(np.maximum(n, 1)))
+
+
 def train(rows: list[tuple[np.ndarray, list[float], int]], epochs: int = 8, rate: float = 0.3,
           decay: float = 1e-4, seed: int = 3) -> Model | None:
     """Maximize the likelihood of grades under ordered thresholds."""
     if not rows:
         return None
+    keep = telling(rows)
+    rows = [(b[keep[b]], s, g) for b, s, g in rows]
     rng = np.random.RandomState(seed)
     model = Model(np.zeros(1 << BITS), np.zeros(SHAPES), np.linspace(-2, 0, GRADES - 1))
     squares, shape_squares, cut_squares = np.full(1 << BITS, 1e-2), np.full(SHAPES, 1e-2), np.full(GRADES - 1, 1e-2)
@@ -99,7 +112,7 @@ def train(rows: list[tuple[np.ndarray, list[float], int]], epochs: int = 8, rate
             # AdaGrad: rare words take large steps, common ones settle.
             step = g - decay * model.weights[buckets]
             squares[buckets] += step * step
-            model.weights[buckets] += rate * step / np.sqrt(squares[buckets]) / np.sqrt(len(buckets) + 1)
+            model.weights[buckets] += rate * step / np.sqrt(squares[buckets])
             step = g * s
             shape_squares += step * step
             model.shapes += rate * step / np.sqrt(shape_squares)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import grading, katz, langid, linededup, mixing, neardup, onebit, packing, rules
+from . import grading, katz, langid, linededup, mixing, neardup, onebit, packing, pii, rules
 from .common import read
 
 
@@ -16,6 +16,7 @@ QUERIES = {
     "op3_near_duplicates": _on("documents", neardup.op3),
     "op4_best_fit_packing": _on("documents", packing.op4),
     "op5_line_dedup": _on("documents", linededup.op5),
+    "op6_personal_data": _on("documents", pii.op6),
     "op7_quality_grades": lambda spark, sf_dir: grading.op7(read(spark, sf_dir, "documents"),
                                                             read(spark, sf_dir, "labels")),
     "op8_one_bit_search": _on("embeddings", onebit.op8),
