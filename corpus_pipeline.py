@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitegauge.llm import linededup, mixing, rules
+from sitegauge.llm import linededup, mixing, neardup, packing, rules
 from sitegauge.llm.common import cut_lineage, read
 
 
@@ -18,15 +18,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return linededup.drop_repeated_lines(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    return neardup.keep_one(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole copies of documents, by source weights; the one at a cut gives its leading words."""
     return mixing.mix(docs)
 
 
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup),
+    ("near duplicates", near_duplicates),
     ("source mix", source_mix),
+    ("best-fit packing", best_fit_packing),
 ]
 
 #: SQL runs no tokenizer, so there is none; tests compare with a brute-force version.
