@@ -2,7 +2,8 @@
 
 A document's set holds its distinct shingles of five words (A-Z lower-cased); a shorter document has
 its whole sequence as one shingle. Documents with equal sets form a class, and only classes are
-compared. A class has a sketch of ``COORDINATES`` minwise values. Independent trees branch classes:
+compared. A class has a sketch of ``COORDINATES`` minwise values to branch by and ``FINE`` more, of
+four bits each, to estimate similarities. Independent trees branch classes:
 a node selects one of the coordinates, every third node two (4/3 on average, the inverse of the
 similarity), and a class goes to the child named by its value there. Two classes of similarity 0.75
 therefore share 1 node or more at any depth on average, and ``TREES`` trees bring the chance of
@@ -12,11 +13,13 @@ Nodes are handled level by level:
 
 1. Every class of a node is compared with the node's first class, which joins large groups in a
    number of pairs linear in their size.
-2. Nodes whose classes already belong to one component are done. Small open nodes compare all their
-   classes of different components, large ones branch again.
+2. Nodes whose classes already belong to one component are done. Open nodes of at most ``SMALL_NODE``
+   classes compare all classes of different components. In larger ones with at most ``OTHERS``
+   classes outside the largest component, each of these is compared with every class of the node,
+   which is linear in the node's size. All other nodes branch again.
 
-A pair is tested when its sketches agree in ``MIN_AGREE`` of 64 coordinates (over four standard
-deviations below the threshold) and its set sizes allow the threshold; a tested pair becomes a link
+A pair is tested when its fine sketches agree in ``MIN_AGREE`` values (four standard deviations
+below what the threshold gives) and its set sizes allow the threshold; a tested pair becomes a link
 only by its full sets, which are made anew from the texts of the documents concerned. Components
 are found by alternating large-star and small-star steps.
 
@@ -38,11 +41,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import cut_lineage, texts_of
 
 WIDTH = 5
-COORDINATES = 64
-TREES = 12
+COORDINATES = 48
+TREES = 10
 START_DEPTH = 2
-SMALL_NODE = 24
-MIN_AGREE = 32
+#: Nodes that one task compares exhaustively, and those that it compares in one array.
+SMALL_NODE, TINY_NODE = 4096, 32
+#: A larger node compares exhaustively while so few of its classes lie outside its largest component.
+OTHERS = 48
+#: Four-bit values per class; at the threshold 0.766 of them agree, with a deviation of 0.019.
+FINE = 512
+MIN_AGREE = 353
 #: Similarity as a fraction of integers.
 NUMERATOR, DENOMINATOR = 75, 100
 #: Bits of the filter that picks documents whose sets are needed; it never drops one that is.
@@ -53,6 +61,8 @@ CACHED_WORDS = 300_000
 _ODD = np.random.RandomState(11).randint(0, 2 ** 63, WIDTH, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _MUL = np.random.RandomState(12).randint(0, 2 ** 63, COORDINATES, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _XOR = np.random.RandomState(13).randint(0, 2 ** 63, COORDINATES, np.int64).astype(np.uint64) * np.uint64(2)
+_MUL32 = np.random.RandomState(14).randint(0, 2 ** 31, FINE, np.int64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
+_XOR32 = np.random.RandomState(15).randint(0, 2 ** 32, FINE, np.int64).astype(np.uint32)
 
 _word_hashes: dict[bytes, int] = {}
 
@@ -98,6 +108,25 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return (low >> np.uint64(32)).astype(np.uint32)
 
 
+def fine_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Four bits of each of ``FINE`` minwise values, two to a byte."""
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    low = np.full(FINE, np.iinfo(np.uint32).max, np.uint32)
+    for i in range(0, len(short), 4096):
+        for k in range(0, FINE, 64):
+            part = short[None, i:i + 4096] ^ _XOR32[k:k + 64, None]
+            part *= _MUL32[k:k + 64, None]
+            np.minimum(low[k:k + 64], part.min(axis=1), out=low[k:k + 64])
+    bits = ((low >> np.uint32(8)) & np.uint32(15)).astype(np.uint8)
+    return bits[0::2] | (bits[1::2] << 4)
+
+
+def agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Agreeing values of the rows of two matrices of fine sketches."""
+    differs = x ^ y
+    return ((differs & 15) == 0).sum(axis=1) + ((differs & 240) == 0).sum(axis=1)
+
+
 def fingerprint(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.tobytes())
 
@@ -112,7 +141,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 k = sketch(s)
                 prints.append(fingerprint(s))
                 sketches.append(k.tobytes())
-                minis.append((k & np.uint32(255)).astype(np.uint8).tobytes())
+                minis.append(fine_sketch(s).tobytes())
             else:
                 prints.append(None)
                 sketches.append(None)
@@ -123,17 +152,23 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "print", "n_shingles", "sketch", "mini"])
 
 
-def _matrix(column: pa.Array, dtype) -> np.ndarray:
+def _matrix(column: pa.Array, dtype, width: int) -> np.ndarray:
     """Rows of equal-length binaries as a matrix."""
-    width = COORDINATES
     return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(-1, width)
 
 
+def twofold(keys: np.ndarray) -> np.ndarray:
+    """Which nodes select two coordinates."""
+    first = mixed(keys + np.uint64(1)) % np.uint64(COORDINATES)
+    second = mixed(keys + np.uint64(2)) % np.uint64(COORDINATES)
+    return (mixed(keys + np.uint64(3)) % np.uint64(3) == 0) & (first != second)
+
+
 def branch(keys: np.ndarray, at: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Children of nodes: ``keys`` are nodes and ``at`` the rows of ``sketches`` that lie in them."""
     first = mixed(keys + np.uint64(1)) % np.uint64(COORDINATES)
     second = mixed(keys + np.uint64(2)) % np.uint64(COORDINATES)
-    two = (mixed(keys + np.uint64(3)) % np.uint64(3) == 0) & (first != second)
+    two = twofold(keys)
 
     def child(keys, at, chosen):
         value = sketches[at, chosen.astype(np.int64)].astype(np.uint64)
@@ -143,15 +178,35 @@ def branch(keys: np.ndarray, at: np.ndarray, sketches: np.ndarray) -> tuple[np.n
     return np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
 
 
+def _roots(tree: int, n: int) -> np.ndarray:
+    return np.full(n, mixed(np.array([1000 + tree], np.uint64))[0], np.uint64)
+
+
+def leaf_nodes(sketches: np.ndarray) -> np.ndarray:
+    """Nodes of every row at the first tested depth, in fixed places by path; 0 where there is none.
+
+    Two rows share a node only in the same place: the node before decides both branches.
+    """
+    out = np.zeros((len(sketches), TREES * 2 ** START_DEPTH), np.uint64)
+    for tree in range(TREES):
+        at = np.arange(len(sketches))
+        keys, place = _roots(tree, len(at)), np.zeros(len(at), np.int64)
+        for _ in range(START_DEPTH):
+            two = twofold(keys)
+            keys, at, place = *branch(keys, at, sketches), np.r_[2 * place, 2 * place[two] + 1]
+        out[at, tree * 2 ** START_DEPTH + place] = keys
+    return out
+
+
 def _rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(cid, sketch) to (node, cid) at the first tested depth of every tree."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sketches, ids = _matrix(batch.column(1), np.uint32), batch.column(0).to_numpy()
+        sketches, ids = _matrix(batch.column(1), np.uint32, COORDINATES), batch.column(0).to_numpy()
         for tree in range(TREES):
             at = np.arange(len(ids))
-            keys = np.full(len(ids), mixed(np.array([1000 + tree], np.uint64))[0], np.uint64)
+            keys = _roots(tree, len(ids))
             for _ in range(START_DEPTH):
                 keys, at = branch(keys, at, sketches)
             yield pa.RecordBatch.from_arrays(
@@ -163,7 +218,7 @@ def _branched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        sketches, ids = _matrix(batch.column(2), np.uint32), batch.column(1).to_numpy()
+        sketches, ids = _matrix(batch.column(2), np.uint32, COORDINATES), batch.column(1).to_numpy()
         keys, at = batch.column(0).to_numpy().view(np.uint64), np.arange(len(ids))
         for _ in range(2):
             keys, at = branch(keys, at, sketches)
@@ -175,36 +230,86 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, mini of a, mini of b) to the pairs whose sketches agree enough."""
     for batch in batches:
         if batch.num_rows:
-            same = (_matrix(batch.column(2), np.uint8) == _matrix(batch.column(3), np.uint8)).sum(axis=1)
+            same = agreement(_matrix(batch.column(2), np.uint8, FINE // 2),
+                             _matrix(batch.column(3), np.uint8, FINE // 2))
             keep = pa.array(same >= MIN_AGREE)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep),
                                               batch.column(1).filter(keep)], ["a", "b"])
 
 
-def _all_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, cid, comp, n, mini) sorted by node to agreeing pairs of different components.
+def _pairs_of(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))],
+                                      ["a", "b"])
+
+
+def _fitting(i: np.ndarray, k: np.ndarray, comp: np.ndarray, n: np.ndarray,
+             mini: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The index pairs (i, k) that differ in component and may reach the similarity; agreements."""
+    fits = np.flatnonzero((comp[i] != comp[k]) & (
+        DENOMINATOR * np.minimum(n[i], n[k]) >= NUMERATOR * np.maximum(n[i], n[k])))
+    # The first quarter of a sketch rules out most pairs; five deviations below the threshold.
+    fits = fits[agreement(mini[i[fits], :FINE // 8], mini[k[fits], :FINE // 8]) >= FINE * 0.58 / 4]
+    same = agreement(mini[i[fits]], mini[k[fits]])
+    fits, same = fits[same >= MIN_AGREE], same[same >= MIN_AGREE]
+    return i[fits], k[fits], same
+
+
+def _index_pairs(node: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of the same node, in arrays of bounded size; ``node`` is sorted."""
+    if not len(node):
+        return
+    starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+    sizes = np.diff(np.r_[starts, len(node)])
+    at = np.flatnonzero(np.repeat(sizes <= TINY_NODE, sizes))
+    for d in range(1, TINY_NODE):
+        i, k = at[:-d], at[d:]
+        same = node[i] == node[k]
+        if not same.any():
+            break
+        yield i[same], k[same]
+    for start, size in zip(starts[sizes > TINY_NODE], sizes[sizes > TINY_NODE]):
+        for row in range(0, size, 32):
+            i, k = np.meshgrid(np.arange(row, min(size, row + 32)), np.arange(row, size))
+            yield start + i[k > i], start + k[k > i]
+
 
-    Nodes are small, so the rows of an unfinished one are kept for the next batch.
+def _within_nodes(batches: Iterator[pa.RecordBatch], best: bool) -> Iterator[pa.RecordBatch]:
+    """Rows (node, cid, comp, n, mini, sketch) sorted by node to agreeing pairs of different
+    components: all of them, or of each row the one that agrees most.
+
+    With sketches, only the smallest of the nodes that a pair shares gives the pair. Nodes are
+    small, so the rows of an unfinished one are kept for the next batch.
     """
-    def pairs(node, cid, comp, n, mini):
-        for d in range(1, SMALL_NODE):
-            if d >= len(node):
-                return
-            fits = (node[d:] == node[:-d]) & (comp[d:] != comp[:-d])
-            at = np.flatnonzero(fits)
-            small, large = np.minimum(n[at], n[at + d]), np.maximum(n[at], n[at + d])
-            at = at[DENOMINATOR * small >= NUMERATOR * large]
-            at = at[(mini[at] == mini[at + d]).sum(axis=1) >= MIN_AGREE]
-            if len(at):
-                x, y = cid[at], cid[at + d]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)),
-                                                  pa.array(np.maximum(x, y))], ["a", "b"])
+    def pairs(node, cid, comp, n, mini, sketches=None):
+        most, partner = np.zeros(len(node), np.int64), np.full(len(node), -1)
+        for i, k in _index_pairs(node):
+            i, k, same = _fitting(i, k, comp, n, mini)
+            if best:
+                row, other, same = np.r_[i, k], np.r_[k, i], np.r_[same, same]
+                up = np.argsort(same, kind="stable")  # of equal rows the last assignment stays
+                up = up[same[up] > most[row[up]]]
+                most[row[up]], partner[row[up]] = same[up], other[up]
+                continue
+            if sketches is not None and len(i):
+                own, pos = np.unique(np.r_[i, k], return_inverse=True)
+                leaves = leaf_nodes(sketches[own])
+                x, y = leaves[pos[:len(i)]], leaves[pos[len(i):]]
+                least = np.where((x == y) & (x > 0), x, np.iinfo(np.uint64).max).min(axis=1)
+                here = least == node[i].view(np.uint64)
+                i, k = i[here], k[here]
+            yield _pairs_of(cid[i], cid[k])
+        if best:
+            found = np.flatnonzero(partner >= 0)
+            yield _pairs_of(cid[found], cid[partner[found]])
 
     held = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        now = [batch.column(i).to_numpy() for i in range(4)] + [_matrix(batch.column(4), np.uint8)]
+        now = [batch.column(i).to_numpy() for i in range(4)]
+        now.append(_matrix(batch.column(4), np.uint8, FINE // 2))
+        if batch.num_columns > 5:
+            now.append(_matrix(batch.column(5), np.uint32, COORDINATES))
         if held is not None:
             now = [np.concatenate([x, y]) for x, y in zip(held, now)]
         done = int(np.searchsorted(now[0], now[0][-1]))
@@ -214,6 +319,29 @@ def _all_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pairs(*held)
 
 
+def _against_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cid, comp, n, mini, others) to agreeing pairs of different components.
+
+    ``others`` are the classes of the row's node outside its largest component.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cid, comp, n = (batch.column(i).to_numpy() for i in range(3))
+        mini, lists = _matrix(batch.column(3), np.uint8, FINE // 2), batch.column(4)
+        at = np.repeat(np.arange(len(cid)), lists.value_lengths().to_numpy())
+        flat = lists.flatten()
+        other, other_comp, m = (flat.field(i).to_numpy() for i in range(3))
+        small, large = np.minimum(n[at], m), np.maximum(n[at], m)
+        fits = np.flatnonzero((comp[at] != other_comp)
+                              & (DENOMINATOR * small >= NUMERATOR * large))
+        if len(fits):
+            minis = _matrix(flat.field(3), np.uint8, FINE // 2)
+            fits = np.concatenate([part[agreement(mini[at[part]], minis[part]) >= MIN_AGREE]
+                                   for part in np.array_split(fits, 1 + len(fits) // 100_000)])
+        yield _pairs_of(cid[at[fits]], other[fits])
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(cid, print, text) to (cid, sorted hashes), for texts that have the class's set."""
     for batch in batches:
@@ -319,17 +447,28 @@ class _Join:
                 self.comps = components(pairs)
             return
         self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
-        self.add_sets(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
+        self.add_sets(pairs.select(F.col("a").alias("cid"))
+                      .unionByName(pairs.select(F.col("b").alias("cid"))).distinct())
         x = self.sets.select(F.col("cid").alias("a"), F.col("hashes").alias("x"))
         y = self.sets.select(F.col("cid").alias("b"), F.col("hashes").alias("y"))
         found = cut_lineage(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
                             .mapInArrow(_linked, "a long, b long"))
+        self.comps = self.merged(found)
+
+    def merged(self, links: DataFrame) -> DataFrame:
+        """(cid, comp) after adding links, which are first reduced to pairs of components."""
         if self.comps is None:
-            self.comps = cut_lineage(components(found))
-        else:
-            known = self.comps.filter("cid <> comp").select(F.col("cid").alias("a"),
-                                                            F.col("comp").alias("b"))
-            self.comps = cut_lineage(components(known.unionByName(found)))
+            return cut_lineage(components(links))
+        of_a = self.comps.select(F.col("cid").alias("a"), F.col("comp").alias("comp_a"))
+        of_b = self.comps.select(F.col("cid").alias("b"), F.col("comp").alias("comp_b"))
+        joins = (links.join(of_a, "a", "left").join(of_b, "b", "left")
+                 .select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))
+                 .distinct())
+        new = cut_lineage(components(joins))
+        moved = (self.comps.join(new.select(F.col("cid").alias("comp"), F.col("comp").alias("to")),
+                                 "comp", "left")
+                 .select("cid", F.coalesce("to", "comp").alias("comp")))
+        return cut_lineage(moved.unionByName(new.join(self.comps, "cid", "left_anti")))
 
     def shared(self, rows: DataFrame) -> DataFrame:
         """Of rows (node, cid), those in nodes of two or more, with the first class of the node."""
@@ -346,22 +485,47 @@ class _Join:
         return (pairs.join(y, "b").join(x, "a").filter(fits).select("a", "b", "x", "y")
                 .mapInArrow(_agreeing, "a long, b long"))
 
+    def open_members(self, members: DataFrame) -> DataFrame:
+        """Members of nodes with several components: node, cid, comp, size, main, n_others."""
+        placed = (members.select("node", "cid").join(self.comps, "cid", "left")
+                  .withColumn("comp", F.coalesce("comp", "cid")))
+        nodes = (placed.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("k"))
+                 .groupBy("node").agg(F.max(F.struct("k", "comp")).alias("most"),
+                                      F.sum("k").alias("size"))
+                 .select("node", "size", F.col("most.comp").alias("main"),
+                         (F.col("size") - F.col("most.k")).alias("n_others"))
+                 .filter("n_others > 0"))
+        return cut_lineage(placed.join(nodes, "node"))
+
+    def node_pairs(self, small: DataFrame, best: bool, first_depth: bool) -> DataFrame:
+        """Agreeing pairs inside nodes of at most SMALL_NODE classes."""
+        more = ["sketch"] if first_depth and not best else []
+        return (small.join(self.info, "cid").select("node", "cid", "comp", "n", "mini", *more)
+                .repartition("node").sortWithinPartitions("node")
+                .mapInArrow(lambda it: _within_nodes(it, best), "a long, b long").distinct())
+
     def run(self) -> None:
+        self.info = self.classes.select("cid", F.col("n_shingles").alias("n"), "mini", "sketch")
+        first_depth = True
         members = self.shared(self.classes.select("cid", "sketch")
                               .mapInArrow(_rooted, "node long, cid long"))
         self.test(self.star_pairs(members))
         while True:
-            placed = (members.select("node", "cid", "size").join(self.comps, "cid", "left")
-                      .withColumn("comp", F.coalesce("comp", "cid")))
-            open_nodes = (placed.groupBy("node").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-                          .filter("low < high").select("node"))
-            still = cut_lineage(placed.join(open_nodes, "node", "left_semi"))
-            small = (still.filter(F.col("size") <= SMALL_NODE)
-                     .join(self.classes.select("cid", F.col("n_shingles").alias("n"), "mini"), "cid")
-                     .select("node", "cid", "comp", "n", "mini"))
-            pairs = (small.repartition("node").sortWithinPartitions("node")
-                     .mapInArrow(_all_pairs, "a long, b long"))
-            large = still.filter(F.col("size") > SMALL_NODE)
+            small = F.col("size") <= SMALL_NODE
+            # The best partners first: they merge most of what can merge, and spare other tests.
+            self.test(self.node_pairs(self.open_members(members).filter(small), True, first_depth))
+            still = self.open_members(members)
+            pairs = self.node_pairs(still.filter(small), False, first_depth)
+            one_main = ~small & (F.col("n_others") <= OTHERS)
+            near = still.filter(one_main)
+            if not near.isEmpty():
+                near = near.join(self.info, "cid").select("node", "cid", "comp", "main", "n", "mini")
+                others = (near.filter("comp <> main").groupBy("node")  # at most OTHERS a node
+                          .agg(F.collect_list(F.struct("cid", "comp", "n", "mini")).alias("others")))
+                pairs = pairs.unionByName(
+                    near.join(others, "node").select("cid", "comp", "n", "mini", "others")
+                    .mapInArrow(_against_others, "a long, b long"))
+            large = still.filter(~small & ~one_main)
             deeper = not large.isEmpty()
             if deeper:
                 members = self.shared(large.select("node", "cid")
@@ -369,6 +533,7 @@ class _Join:
                                       .select("node", "cid", "sketch")
                                       .mapInArrow(_branched, "node long, cid long"))
                 pairs = pairs.unionByName(self.star_pairs(members))
+                first_depth = False
             self.test(pairs.distinct())
             if not deeper:
                 return
