@@ -11,7 +11,7 @@ The work is a dialogue of chunks and buckets, in shuffles of packed arrays inste
 token:
 
 1. Texts become chunks of about ``CHUNK_TOKENS`` tokens: sorted word hashes and local numbers.
-2. Every chunk sends its words and their training counts to buckets (ranges of the hash). Buckets
+2. Every chunk sends its words and their training counts to buckets (of the hash). Buckets
    sum them, store the unigram table, and answer with count and number of each word.
 3. Every chunk sends its distinct bigrams to the bucket of their history. A history with over
    ``1 / (4 * buckets)`` of all tokens goes to all buckets by bigram, so none holds it whole. Buckets
@@ -44,9 +44,11 @@ from .common import cut_lineage, id_bucket, partitions, texts_of
 #: Counts up to this one are discounted.
 K = 5
 CHUNK_TOKENS = 2_000_000
-END, START = b"\n", b"\n\n"  # no words can be like these
+#: A history of fewer tokens is never split.
+HOT_TOKENS = 1000
+END = b"\n"  # no word can be like this
 _MASK = (1 << 63) - 1
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 
 _known: dict[bytes, int] = {}
 
@@ -333,7 +335,8 @@ def _split_sums(frames: Iterator[pd.DataFrame], hot: set[int]) -> Iterator[pd.Da
             h = np.unique(unpack_sorted(row.h))
             at = np.flatnonzero(np.isin(h, list(hot)))
             low, mass = unpack(row.low).reshape(-1, K), unpack(row.mass, np.float64)
-            yield pd.DataFrame({"h": h[at], "low": list(low[at]), "mass": mass[at]})
+            yield pd.DataFrame({"h": h[at], "low": pd.Series(list(low[at]), dtype=object),
+                                "mass": mass[at]})
 
 
 # ------------------------------------------------------------------ 4. scores
@@ -371,7 +374,8 @@ def _score(chunk_rows: pd.DataFrame, answers: pd.DataFrame, buckets: int, hot: i
             at = local[np.searchsorted(words.numbers, unpack_sorted(a.numbers), sorter=local)]
             low[at], mass[at] = unpack(a.low).reshape(-1, K), unpack(a.mass, np.float64)
         for at in np.flatnonzero(words.counts > hot):
-            low[at], mass[at] = hot_sums[int(words.numbers[at])]
+            if int(words.numbers[at]) in hot_sums:  # the end mark is no history
+                low[at], mass[at] = hot_sums[int(words.numbers[at])]
         share, backoff = history_weights(words.counts, low, mass, bigrams)
         p_word = unigrams.unigram(words.counts[:-1])
         p = np.where(counts > 0, share[b.h] * bigrams.discounted(counts), backoff[b.h] * p_word[b.w])
@@ -407,7 +411,7 @@ def score(docs: DataFrame) -> DataFrame:
     sent = chunks.mapInPandas(lambda it: _send_words(it, buckets), WORD_ROWS)
     words = cut_lineage(sent.groupBy("bucket").applyInPandas(_answer_words, ANSWERS))
     unigrams = Discounts(_sum_stats(words))
-    hot = max(1000, (unigrams.total + n_train) // (4 * buckets))
+    hot = max(HOT_TOKENS, (unigrams.total + n_train) // (4 * buckets))
 
     word_answers = words.filter("chunk >= 0").drop("stats")
     sent = (chunks.groupBy("chunk").cogroup(word_answers.groupBy("chunk")).applyInPandas(
