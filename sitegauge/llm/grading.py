@@ -79,8 +79,8 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds - score, -40, 40)))
 
 
-def telling(rows: list[tuple[np.ndarray, list[float], int]], least: int = 8,
-            z: float = 5.0) -> np.ndarray:
+def telling(rows: list[tuple[np.ndarray, list[float], int]], least: int = 4,
+            z: float = 4.5) -> np.ndarray:
     """Buckets whose documents' mean grade is off the overall mean by ``z`` standard errors."""
     grades = np.array([g for _, _, g in rows], np.float64)
     buckets = np.concatenate([b for b, _, _ in rows])
@@ -149,7 +149,7 @@ def _graded(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
             ["doc_id", "expected_grade", "top_probability"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 4000) -> Model | None:
+def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 8000) -> Model | None:
     """A model from at most ``max_rows`` rated documents."""
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
     rated = (labels.filter("doc_id is not null and quality is not null and toxic is not null")

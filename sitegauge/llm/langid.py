@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import id_bucket, texts_of
+from .common import bounded_sample, id_bucket, texts_of
 
 BUCKETS = 1 << 15
 DIMENSIONS = 16
@@ -152,10 +152,9 @@ def _predicted(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordB
 
 def learn(docs: DataFrame, max_rows: int = 3000, max_chars: int = 2000) -> Model | None:
     """A model from at most ``max_rows`` labelled rows."""
-    sample = (docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-              .select(F.substring("text", 1, max_chars).alias("text"), "lang",
-                      F.xxhash64("doc_id").alias("h"))
-              .orderBy("h", "lang", "text").limit(max_rows).collect())
+    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        "doc_id", F.substring("text", 1, max_chars).alias("text"), "lang")
+    sample = bounded_sample(rows, ["doc_id", "text", "lang"], max_rows).collect()
     return train([(r.text.encode(), r.lang) for r in sample])
 
 

@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import cut_lineage
+from .common import bounded_sample, cut_lineage
 
 SAMPLE = 2000
 
@@ -139,7 +139,7 @@ def search(vectors: DataFrame, is_query, k: int = 5, epsilon: float = 4.0,
         F.count(F.lit(1)).alias("n"), F.sum(F.when(is_query, 1).otherwise(0)).alias("q")).collect()}
     centres = {}
     for d in sizes:
-        part = rows.filter(F.col("d") == d).orderBy(F.xxhash64("vec_id"), "spot").limit(SAMPLE)
+        part = bounded_sample(rows.filter(F.col("d") == d), ["vec_id", "spot"], SAMPLE)
         x = np.array([r[0] for r in part.select("embedding").collect()], np.float64)
         centres[d] = (x / np.sqrt((x ** 2).sum(axis=1))[:, None]).mean(axis=0)
 

@@ -30,6 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import bounded_sample
+
 KINDS = ("email", "ip", "card", "phone")
 #: The patterns of the base spans.
 PATTERNS = (
@@ -379,10 +381,11 @@ def _found(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
 
 def learn(docs: DataFrame, max_rows: int = 200, max_words: int = 4000) -> dict[str, np.ndarray]:
     """A tagger whose training strings stand between words of at most ``max_rows`` documents."""
-    rows = (docs.filter("text is not null").select("text", F.xxhash64("doc_id").alias("h"))
-            .orderBy("h", "text").limit(max_rows)
-            .select(F.regexp_extract_all("text", F.lit(r"[A-Za-zÀ-ɏ]+[.,!?]?"), F.lit(0)).alias("w"))
-            .select(F.slice("w", 1, max_words // max_rows).alias("w")).collect())
+    heads = docs.filter("text is not null").select(
+        "doc_id", F.substring("text", 1, 30 * max_words // max_rows).alias("text"))
+    words = F.regexp_extract_all("text", F.lit(r"[A-Za-zÀ-ɏ]+[.,!?]?"), F.lit(0))
+    rows = (bounded_sample(heads, ["doc_id", "text"], max_rows)
+            .select(F.slice(words, 1, max_words // max_rows).alias("w")).collect())
     return train(sorted(x for r in rows for x in r.w))
 
 
