@@ -1,13 +1,13 @@
 """Language identification with averaged hashed subword embeddings and a linear softmax.
 
-A text's features are its words and their character n-grams (2 to 4, with word borders), A-Z
-lower-cased, hashed to ``BUCKETS`` rows of an embedding table. The average embedding goes through a
+A text's features are the n-grams of 2 to 4 bytes of its words with their borders (UTF-8, A-Z
+lower-cased), hashed to ``BUCKETS`` rows of an embedding table. The average embedding goes through a
 linear layer and a softmax. Both are trained by stochastic gradient descent in numpy on a bounded
 sample of labelled rows (``max_rows``, the smallest hashes of the ids, and ``max_chars`` leading
 characters of each for training alone); a fifth of the sample is held back to calibrate a softmax
 temperature and the score below which a prediction is rejected (``reject_share`` of the correct
-held-back rows score lower). Prediction reads whole texts: the layer is linear, so every word has a
-vector of summed logits, remembered per worker, and a text sums its words.
+held-back rows score lower). Prediction reads whole texts: the layer is linear, so a text's logits
+are its counts of buckets times the logits of the buckets.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so is every text if
 no labelled row can be learned from; rows with a null ``lang`` teach nothing; a null id counts as
@@ -22,36 +22,48 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import bounded_sample, id_bucket, texts_of
 
-BUCKETS = 1 << 15
+BITS = 15
+BUCKETS = 1 << BITS
 DIMENSIONS = 16
-CACHED_WORDS = 150_000
+#: Words of a text that are looked at in one array.
+PART_WORDS = 50_000
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
 
 
-def word_features(word: bytes) -> list[int]:
-    """Buckets of a word and its character n-grams."""
-    text = "<" + word.decode("utf-8", "replace") + ">"
-    grams = {text}
-    for n in (2, 3, 4):
-        grams.update(text[i:i + n] for i in range(len(text) - n + 1))
-    return [xxhash.xxh3_64_intdigest(g) % BUCKETS for g in sorted(grams)]
-
-
-def text_features(text: bytes, known: dict[bytes, list[int]]) -> np.ndarray:
-    out: list[int] = []
-    for w in text.lower().split():
-        f = known.get(w)
-        if f is None:
-            f = known[w] = word_features(w)
-        out += f
-    return np.array(out, np.int64)
+def bucket_counts(text: bytes) -> np.ndarray:
+    """How often each bucket occurs in a text."""
+    counts = np.zeros(BUCKETS, np.int64)
+    words = text.lower().split()
+    for i in range(0, len(words), PART_WORDS):
+        b = np.frombuffer(b" " + b" ".join(words[i:i + PART_WORDS]) + b" ", np.uint8)
+        inner = b != 32
+        codes = b.astype(np.uint64)
+        for n in (2, 3, 4):
+            if len(b) < n:
+                break
+            gram = codes[:len(b) - n + 1].copy()
+            whole = np.ones(len(gram), bool)
+            for k in range(1, n):
+                gram |= codes[k:len(gram) + k] << np.uint64(8 * k)
+                if k < n - 1:  # a border may be at the ends alone
+                    whole &= inner[k:len(gram) + k]
+            hashed = (gram + np.uint64(n << 40)) * np.uint64(0x9E3779B97F4A7C15)
+            counts += np.bincount((hashed >> np.uint64(64 - BITS))[whole].astype(np.int64),
+                                  minlength=BUCKETS)
+    return counts
+
+
+def text_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a text and their shares."""
+    counts = bucket_counts(text)
+    at = np.flatnonzero(counts)
+    return at, counts[at] / max(1, counts.sum())
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -73,8 +85,7 @@ def train(rows: list[tuple[bytes, str]], epochs: int = 4, rate: float = 0.5, see
     langs = sorted({lang for _, lang in rows})
     if not langs:
         return None
-    known: dict[bytes, list[int]] = {}
-    data = [(f, langs.index(lang)) for text, lang in rows if len(f := text_features(text, known))]
+    data = [(f, langs.index(lang)) for text, lang in rows if len((f := text_features(text))[0])]
     held, fit = data[::5], [d for i, d in enumerate(data) if i % 5] or data
     rng = np.random.RandomState(seed)
     emb = rng.uniform(-0.5, 0.5, (BUCKETS, DIMENSIONS)) / DIMENSIONS
@@ -82,19 +93,19 @@ def train(rows: list[tuple[bytes, str]], epochs: int = 4, rate: float = 0.5, see
     steps, done = max(1, epochs * len(fit)), 0
     for _ in range(epochs):
         for i in rng.permutation(len(fit)):
-            f, y = fit[i]
+            (at, share), y = fit[i]
             step = rate * (1 - done / steps)
             done += 1
-            mean = emb[f].mean(axis=0)
+            mean = share @ emb[at]
             p = softmax(mean @ out)
             p[y] -= 1.0
             back = out @ p
             out -= step * np.outer(mean, p)
-            np.subtract.at(emb, f, step * back / len(f) * 4)
+            emb[at] -= 4 * step * np.outer(share, back)
     logits = emb @ out
     if not held:
         return Model(langs, logits, 1.0, 0.0)
-    z = np.array([logits[f].mean(axis=0) for f, _ in held])
+    z = np.array([share @ logits[at] for (at, share), _ in held])
     y = np.array([k for _, k in held])
     temperatures = np.geomspace(0.05, 4, 40)
     losses = [-np.log(softmax(z / t)[np.arange(len(y)), y] + 1e-12).mean() for t in temperatures]
@@ -104,44 +115,19 @@ def train(rows: list[tuple[bytes, str]], epochs: int = 4, rate: float = 0.5, see
     return Model(langs, logits, t, float(np.quantile(right, reject_share)) if len(right) else 0.0)
 
 
-class _Scorer:
-    """Predicts whole texts; sums of logits per word are remembered."""
-
-    def __init__(self, model: Model):
-        self.model, self.known = model, {}
-        self.table = np.empty((CACHED_WORDS, len(model.langs) + 1))
-
-    def row(self, word: bytes) -> int:
-        at = self.known.get(word)
-        if at is None:
-            if len(self.known) == CACHED_WORDS:
-                return -1
-            at = self.known[word] = len(self.known)
-            f = word_features(word)
-            self.table[at, :-1] = self.model.logits[f].sum(axis=0)
-            self.table[at, -1] = len(f)
-        return at
-
-    def predict(self, text: bytes) -> tuple[str, float]:
-        if not _LETTER.search(text.decode("utf-8", "replace")):
-            return UNKNOWN, 0.0
-        total = np.zeros(len(self.model.langs) + 1)
-        words = text.lower().split()
-        for i in range(0, len(words), 10_000):
-            part = words[i:i + 10_000]
-            if len(self.known) + len(part) > CACHED_WORDS:
-                self.known.clear()
-            total += self.table[[self.row(w) for w in part]].sum(axis=0)
-        p = softmax(total[:-1] / total[-1] / self.model.temperature)
-        k = int(p.argmax())
-        return self.model.langs[k], float(p[k])
+def predict(model: Model, text: bytes) -> tuple[str, float]:
+    if not _LETTER.search(text.decode("utf-8", "replace")):
+        return UNKNOWN, 0.0
+    counts = bucket_counts(text)
+    p = softmax(counts @ model.logits / counts.sum() / model.temperature)
+    k = int(p.argmax())
+    return model.langs[k], float(p[k])
 
 
 def _predicted(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     model = shared.value
-    scorer = _Scorer(model) if model else None
     for batch in batches:
-        found = [scorer.predict(t) if scorer else (UNKNOWN, 0.0) for t in texts_of(batch.column(2))]
+        found = [predict(model, t) if model else (UNKNOWN, 0.0) for t in texts_of(batch.column(2))]
         langs, scores = [x for x, _ in found], [x for _, x in found]
         low = [x < (model.reject if model else 1.0) for x in scores]
         yield pa.RecordBatch.from_arrays(

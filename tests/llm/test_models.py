@@ -192,7 +192,8 @@ def test_bounds_hold():
     rng = np.random.RandomState(2)
     x = rng.standard_normal((500, 64))
     centre = (x / np.linalg.norm(x, axis=1)[:, None]).mean(axis=0)
-    estimate, error = onebit.bounds(*onebit.encode(x, centre), centre, x[:50], 4.0)
+    codes, length, own = onebit.encode(x, centre)
+    estimate, error = onebit.bounds(onebit.signs_of(codes, 64), length, own, centre, x[:50], 4.0)
     unit = x / np.linalg.norm(x, axis=1)[:, None]
     assert (np.abs(estimate - unit[:50] @ unit.T) <= error).mean() > 0.9999
 
