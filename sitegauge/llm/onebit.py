@@ -9,8 +9,9 @@ with a probability that falls as exp(-epsilon**2 / 2).
 
 Vectors are dealt to blocks of ``block_rows``, each packed into one row. Blocks of queries meet
 blocks of codes through an equi-join on the query block's number, so no task holds more than one of
-each. Within a pair of blocks a query reranks the vectors whose upper bound reaches the k-th best
-lower bound, by the exact cosine in double precision; the best ``k`` of each block are then ranked.
+each. Within a pair of blocks a query first takes the exact cosines of the ``FIRST`` best estimates;
+then it reranks every vector whose upper bound reaches the k-th best of these, by the exact cosine
+in double precision. The best ``k`` of each block are then ranked.
 
 Defined results: vectors that are null, empty, zero or hold a null or non-finite component take no
 part, as query or candidate; vectors of another length are compared among themselves; a query skips
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import bounded_sample, cut_lineage
 
 SAMPLE = 2000
+FIRST = 48
 
 
 def rotation(d: int, seed: int = 5) -> np.ndarray:
@@ -49,19 +51,22 @@ def encode(vectors: np.ndarray, centre: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.packbits(signs, axis=1), length, own
 
 
-def bounds(codes: np.ndarray, length: np.ndarray, own: np.ndarray, centre: np.ndarray,
+def signs_of(codes: np.ndarray, d: int) -> np.ndarray:
+    """Codes as unit vectors."""
+    return (np.unpackbits(codes, axis=1, count=d).astype(np.float32) * 2 - 1) / np.float32(np.sqrt(d))
+
+
+def bounds(signs: np.ndarray, length: np.ndarray, own: np.ndarray, centre: np.ndarray,
            queries: np.ndarray, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated cosines of every query (rows) and coded vector (columns), and error bounds."""
+    """Estimated cosines of every query (rows) and coded vector (columns), and its error bound."""
     d = len(centre)
     unit = queries / np.sqrt((queries ** 2).sum(axis=1))[:, None]
-    turned = unit @ rotation(d)
-    signs = (np.unpackbits(codes, axis=1, count=d).astype(np.float32) * 2 - 1) / np.float32(np.sqrt(d))
     own = np.maximum(own, 1e-9)
-    inner = (turned.astype(np.float32) @ signs.T) / own  # of the query with the centred unit vector
+    # Inner products of queries with centred unit vectors.
+    inner = (unit @ rotation(d)).astype(np.float32) @ signs.T
+    estimate = (unit @ centre).astype(np.float32)[:, None] + inner * (length / own).astype(np.float32)
     spread = np.sqrt(np.maximum(0.0, 1 - own ** 2)) / own
-    estimate = (unit @ centre)[:, None] + length * inner
-    return estimate, np.broadcast_to(epsilon * length * spread / np.sqrt(max(1, d - 1)) + 1e-5,
-                                     estimate.shape)
+    return estimate, (epsilon * length * spread / np.sqrt(max(1, d - 1)) + 1e-5).astype(np.float32)
 
 
 def exact_cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -100,22 +105,24 @@ def _searched(batches: Iterator[pa.RecordBatch], centres, k: int,
             vectors = np.frombuffer(row["vectors"], "<f4").reshape(-1, d)
             codes = np.frombuffer(row["codes"], np.uint8).reshape(len(ids), -1)
             length, own = (np.frombuffer(row[c], "<f4").astype(np.float64) for c in ("length", "own"))
-            out = []
+            signs, out = signs_of(codes, d), []
+            unit = vectors.astype(np.float64)
+            unit /= np.sqrt((unit ** 2).sum(axis=1))[:, None]
             for i in range(0, len(qids), 64):
-                estimate, error = bounds(codes, length, own, centres[d], queries[i:i + 64], epsilon)
-                same = qids[i:i + 64, None] == ids
-                low = np.where(same, -np.inf, estimate - error)
-                if len(ids) > k:
-                    kth = np.partition(low, len(ids) - k, axis=1)[:, len(ids) - k]
-                else:
-                    kth = np.full(len(low), -np.inf)
-                for r in range(len(low)):
-                    at = np.flatnonzero((estimate[r] + error[r] >= kth[r]) & ~same[r])
+                estimate, error = bounds(signs, length, own, centres[d], queries[i:i + 64], epsilon)
+                for r, query in enumerate(queries[i:i + 64]):
+                    guess = np.where(ids == qids[i + r], np.float32(-np.inf), estimate[r])
+                    first = np.argpartition(-guess, min(FIRST, len(ids)) - 1)[:FIRST]
+                    cosines = unit[first] @ query / np.sqrt(query @ query)
+                    cosines[ids[first] == qids[i + r]] = -np.inf
+                    kth = np.sort(cosines)[-k] if len(first) >= k else -np.inf
+                    at = np.flatnonzero((guess + error >= kth - 1e-9) & (ids != qids[i + r]))
                     if len(at):
-                        x = vectors[at].astype(np.float64)
-                        score = exact_cosine(x, np.broadcast_to(queries[i + r], x.shape))
-                        best = np.lexsort((ids[at], -score))[:k]
-                        out += [(int(qids[i + r]), int(ids[at[b]]), float(score[b]), len(at))
+                        near = at[np.argsort(-(unit[at] @ query), kind="stable")[:k + 32]]
+                        x = vectors[near].astype(np.float64)
+                        score = exact_cosine(x, np.broadcast_to(query, x.shape))
+                        best = np.lexsort((ids[near], -score))[:k]
+                        out += [(int(qids[i + r]), int(ids[near[b]]), float(score[b]), len(at))
                                 for b in best]
             cols = list(zip(*out)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(
