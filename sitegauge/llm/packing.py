@@ -15,7 +15,8 @@ With the defaults a sequence of 2048 tokens can hold any number of documents and
 limits are parameters.
 
 Word ids are remembered: the tokenizer drops white space and its merges never cross it, so the ids
-of a text are those of its words in order.
+of a text are those of its words in order. It ignores case and never merges a letter or digit with a
+mark, so a new word is looked up in lower case and without a final full stop or comma first.
 
 Defined results: a null or empty text is the separator alone; rows with equal ids are packed each
 for itself; a null id is kept; an empty table gives an empty one; other columns are ignored.
@@ -23,7 +24,9 @@ for itself; a null id is kept; an empty table gives an empty one; other columns
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,31 +36,62 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import cut_lineage, texts_of
 
-#: Words whose ids a worker remembers.
-CACHED_WORDS = 250_000
+#: Words whose ids a worker remembers in each of two generations.
+CACHED_WORDS = 500_000
+
+
+def core_of(word: bytes) -> tuple[bytes, bytes]:
+    """A word in lower case without a final mark that follows an ASCII letter or digit; the mark."""
+    word = word.lower()
+    if word[-1:] in (b".", b",") and word[-2:-1].isalnum():
+        return word[:-1], word[-1:]
+    return word, b""
 
 
 class Words:
     """Token ids of words as little-endian bytes, by a tokenizer read on the worker."""
 
     def __init__(self, path: str):
+        # A task has one core; the library reads this when it is first used.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {}
+        self.marks = dict(zip((b".", b","), self.encode([b".", b","])))
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        out = []
+        for i in range(0, len(words), 20_000):
+            out += [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(
+                [w.decode() for w in words[i:i + 20_000]], add_special_tokens=False)]
+        return out
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text as unsigned 32-bit little-endian numbers."""
+        """Ids of each text as unsigned 32-bit little-endian numbers.
+
+        Words used lately stay known: a full generation becomes the older one, and words move back
+        from there when they come again.
+        """
+        if len(self.recent) > CACHED_WORDS:
+            self.older, self.recent = self.recent, {}
         split = [t.split() for t in texts]
-        known = self.known
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        new = list({w for words in split for w in words if w not in known})
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            found = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, found):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        known = self.recent
+        new = []
+        for w in set().union(*split).difference(known):
+            if w in self.older:
+                known[w] = self.older[w]
+            else:
+                new.append(w)
+        if len(self.cores) > CACHED_WORDS:
+            self.cores.clear()
+        parts = [core_of(w) for w in new]
+        fresh = list({core for core, _ in parts if core not in self.cores})
+        self.cores.update(zip(fresh, self.encode(fresh)))
+        for w, (core, mark) in zip(new, parts):
+            known[w] = self.cores[core] + self.marks[mark] if mark else self.cores[core]
         return [b"".join([known[w] for w in words]) for words in split]
 
 
@@ -108,28 +142,28 @@ def best_fit(lengths: np.ndarray, max_tokens: int, max_docs: int, max_cost: int,
     n = len(lengths)
     caps = np.array([max_tokens, max_docs, max_cost], np.float64)
     scale = np.asarray(weights, np.float64) / caps ** 2
-    rest = np.empty((n, 3))  # residual capacities of open bins, compact
+    rest = np.empty((3, n))  # residual capacities of open bins, compact
     name = np.empty(n, np.int64)
     bins, offsets = np.empty(n, np.int64), np.empty(n, np.int64)
     n_open = n_bins = 0
     least = float(lengths[-1]) if n else 0.0
     for i in range(n):
-        need = np.array([lengths[i], 1.0, float(lengths[i]) ** 2])
-        left = rest[:n_open] - need
-        at = np.flatnonzero((left >= 0).all(axis=1))
+        need = np.array([lengths[i], 1.0, float(lengths[i]) ** 2])[:, None]
+        free = rest[:, :n_open]
+        at = np.flatnonzero((free[0] >= need[0]) & (free[1] >= 1) & (free[2] >= need[2]))
         if len(at):
-            value = ((left[at] ** 2) @ scale if score == "norm"
-                     else -(rest[at] * need) @ scale)
+            value = (scale @ (free[:, at] - need) ** 2 if score == "norm"
+                     else -(scale * need[:, 0]) @ free[:, at])
             k = at[int(np.argmin(value))]
         else:
             k = n_open
-            rest[k], name[k] = caps, n_bins
+            rest[:, k], name[k] = caps, n_bins
             n_open, n_bins = n_open + 1, n_bins + 1
-        bins[i], offsets[i] = name[k], max_tokens - rest[k, 0]
-        rest[k] -= need
-        if rest[k, 0] < least or rest[k, 1] < 1:  # closed: the last open bin takes its place
+        bins[i], offsets[i] = name[k], max_tokens - rest[0, k]
+        rest[:, k] -= need[:, 0]
+        if rest[0, k] < least or rest[1, k] < 1:  # closed: the last open bin takes its place
             n_open -= 1
-            rest[k], name[k] = rest[n_open], name[n_open]
+            rest[:, k], name[k] = rest[:, n_open], name[n_open]
     return bins, offsets
 
 
