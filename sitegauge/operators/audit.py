@@ -92,6 +92,14 @@ def rescore_groups(ok: DataFrame, gate: dict = C.AUDIT_GATE) -> DataFrame:
             .drop("h1", "h2", "v1", "v2", "verdicts"))
 
 
+def hash_groups(ok: DataFrame) -> DataFrame:
+    """Size and hash stability per path, as in ``rescore_groups``, without reading scores."""
+    h = F.coalesce("article_hash", F.lit("\u0000none"))
+    g = ok.groupBy("path").agg(F.count(F.lit(1)).alias("rows"), F.min(h).alias("h1"), F.max(h).alias("h2"))
+    return g.select("path", "rows", ((F.col("h1") == F.col("h2")) & (F.col("rows") >= 2)).alias("pure"),
+                    (F.col("h1") != F.col("h2")).alias("hash_changed"))
+
+
 def per_axis(df: DataFrame, suffix: str, value: str) -> DataFrame:
     """Unpivot ``<axis><suffix>`` columns to (axis, value)."""
     cols = [F.col(f"{a}{suffix}").cast("double").alias(a) for a in AXES]

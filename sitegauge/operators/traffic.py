@@ -132,26 +132,34 @@ def traffic_summary(facts: DataFrame, group: str | None = None, *, organic: str
                     error_events: str = "error") -> DataFrame:
     """Traffic totals: channel sessions, ratios and error-event count per group.
 
-    Distinct counts are taken per (group, channel) and per (group, country) so
-    that no single group funnels its users into one task.
+    Sessions are distinct user-days. Shares are taken of the sum over channels, and of the users
+    summed over countries, as a user-day with two channels is a session of both. Rows are first
+    reduced to one per (group, channel, country, user, day), before any shuffle by group.
     """
     keys = [group] if group else []
-    user_days = facts.groupBy(*keys, "channel", "country", "user_id", "day").agg(
+    channel, country = (F.coalesce(c, F.lit("")) for c in ("channel", "country"))
+    rows = facts.groupBy(*keys, channel.alias("channel"), country.alias("country"), "user_id", "day").agg(
         F.count(F.lit(1)).alias("views"),
         count_if(F.lower("event_type").rlike(error_events)).alias("errors"))
-    return user_days.groupBy(*keys).agg(
+
+    def user_days(cond):
+        return F.countDistinct(F.when(cond, F.struct("user_id", "day")))
+
+    return rows.groupBy(*keys).agg(
         F.countDistinct("user_id").alias("active_users"),
-        F.count(F.lit(1)).alias("sessions"),
+        F.countDistinct("user_id", "day").alias("sessions"),
+        F.countDistinct("channel", "user_id", "day").alias("channel_sessions"),
+        F.countDistinct("country", "user_id").alias("country_users"),
         F.sum("views").cast("long").alias("page_views"),
-        count_if(F.col("channel") == organic).alias("organic_sessions"),
-        count_if(F.lower("channel") == direct.lower()).alias("direct_sessions"),
+        user_days(F.col("channel") == organic).alias("organic_sessions"),
+        user_days(F.lower("channel") == direct.lower()).alias("direct_sessions"),
         F.countDistinct(F.when(F.col("country") == home_country, F.col("user_id")))
         .alias("home_users"),
         F.sum("errors").cast("long").alias("js_errors"),
     ).select(
         *keys, "active_users", "sessions", "organic_sessions", "direct_sessions",
-        ratio("organic_sessions", "sessions").alias("organic_ratio"),
-        ratio("home_users", "active_users").alias("home_ratio"),
+        ratio("organic_sessions", "channel_sessions").alias("organic_ratio"),
+        ratio("home_users", "country_users").alias("home_ratio"),
         ratio("page_views", "sessions").alias("pv_per_session"), "js_errors")
 
 

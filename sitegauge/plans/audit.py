@@ -13,19 +13,23 @@ from .registry import query
 W = f"WITH {HISTORY} "
 AS_OF = "1998-06-01"
 AUDIT_OK = "factual >= 75 AND freshness >= 50 AND citation >= 10 AND risk <= 55"
+GROUP = ("path", "article_hash", "judgement", *au.AXES)  # columns of rescore groups
 AXES_SQL = "['factual', 'freshness', 'citation', 'risk']"
 
 
-def history(spark, sf):
-    return au.keep_last(history_raw(spark, sf))
+def history(spark, sf, *cols):
+    """History with the given columns; keeping the last row per id hides unused ones from pruning."""
+    raw = history_raw(spark, sf).select(*dict.fromkeys(("eval_id", "order_key", *cols)))
+    return au.keep_last(raw)
 
 
-def ok_history(spark, sf):
-    return history(spark, sf).filter(F.col("status") == "ok")
+def ok_history(spark, sf, *cols):
+    return history(spark, sf, "status", *cols).filter(F.col("status") == "ok").select(
+        *dict.fromkeys(("eval_id", *cols)))
 
 
-def latest(spark, sf):
-    return au.latest(ok_history(spark, sf))
+def latest(spark, sf, *cols):
+    return au.latest(ok_history(spark, sf, "path", "checked_at", "seq", *cols))
 
 
 def as_of():
@@ -36,8 +40,9 @@ def as_of():
 SELECT eval_id, path, strftime(checked_at, '%Y-%m-%d') AS checked, factual, risk, status FROM history
 WHERE checked_at >= DATE '1996-01-01' AND checked_at < DATE '1999-01-01'""")
 def s02_history(spark, sf):
-    h = history(spark, sf).filter((F.col("checked_at") >= F.lit("1996-01-01").cast("timestamp_ntz"))
-                                  & (F.col("checked_at") < F.lit("1999-01-01").cast("timestamp_ntz")))
+    rows = history(spark, sf, "path", "checked_at", "factual", "risk", "status")
+    h = rows.filter((F.col("checked_at") >= F.lit("1996-01-01").cast("timestamp_ntz"))
+                    & (F.col("checked_at") < F.lit("1999-01-01").cast("timestamp_ntz")))
     return h.select("eval_id", "path", F.date_format("checked_at", "yyyy-MM-dd").alias("checked"),
                     "factual", "risk", "status")
 
@@ -45,7 +50,7 @@ def s02_history(spark, sf):
 @query("w01_latest", W + """
 SELECT path, eval_id, strftime(checked_at, '%Y-%m-%d') AS checked, factual FROM latest""")
 def w01_latest(spark, sf):
-    return latest(spark, sf).select(
+    return latest(spark, sf, "factual").select(
         "path", "eval_id", F.date_format("checked_at", "yyyy-MM-dd").alias("checked"), "factual")
 
 
@@ -53,7 +58,7 @@ def w01_latest(spark, sf):
 SELECT path, count(*) AS rows, count(DISTINCT article_hash) = 1 AND count(*) >= 2 AS pure,
   count(DISTINCT article_hash) > 1 AS hash_changed FROM ok_history GROUP BY path""")
 def w09_groups(spark, sf):
-    return au.rescore_groups(ok_history(spark, sf)).select("path", "rows", "pure", "hash_changed")
+    return au.hash_groups(ok_history(spark, sf, "path", "article_hash"))
 
 
 G = """,
@@ -75,7 +80,7 @@ SELECT axis, n_groups, round(range_median, 6) AS range_median, round(range_p90,
   CASE WHEN range_median < 5 THEN 'stable' WHEN range_median <= 15 THEN 'consider voting'
        ELSE 'revise gate' END AS verdict FROM var""")
 def a26_variance(spark, sf):
-    v = au.rescore_variance(au.rescore_groups(ok_history(spark, sf)))
+    v = au.rescore_variance(au.rescore_groups(ok_history(spark, sf, *GROUP)))
     return v.select("axis", "n_groups", r6("range_median").alias("range_median"),
                     r6("range_p90").alias("range_p90"), "range_max",
                     r6("std_median").alias("std_median"), "verdict")
@@ -84,7 +89,7 @@ def a26_variance(spark, sf):
 @query("a26_worst_groups", W + G + """
 SELECT path, factual::DOUBLE AS factual_range FROM rg ORDER BY factual DESC, path LIMIT 5""")
 def a26_worst(spark, sf):
-    return au.worst_groups(au.rescore_groups(ok_history(spark, sf)))
+    return au.worst_groups(au.rescore_groups(ok_history(spark, sf, *GROUP)))
 
 
 @query("a27_flip_rate", W + f""",
@@ -101,7 +106,7 @@ SELECT *, (SELECT count(*) FROM v WHERE ok <> (judgement = 'pass')) AS judgement
   CASE WHEN flip_count / n_groups < 0.1 THEN 'stable' WHEN flip_count / n_groups <= 0.25 THEN 'consider voting'
        ELSE 'revise gate' END AS verdict FROM s""")
 def a27_flips(spark, sf):
-    return au.flip_rate(au.rescore_groups(ok_history(spark, sf))).withColumn(
+    return au.flip_rate(au.rescore_groups(ok_history(spark, sf, *GROUP))).withColumn(
         "flip_rate", r6("flip_rate"))
 
 
@@ -119,7 +124,7 @@ r AS (SELECT axis, delta, (base + delta)::DOUBLE AS threshold, count(*) AS n,
 SELECT axis, delta, threshold, n, round(median, 6) AS median, round(p10, 6) AS p10, round(p90, 6) AS p90,
   min, max, round(pass_rate, 6) AS pass_rate, delta = 0 AND pass_rate > 0.95 AS non_functional FROM r""")
 def a28_sensitivity(spark, sf):
-    t = au.threshold_sensitivity(latest(spark, sf))
+    t = au.threshold_sensitivity(latest(spark, sf, *au.AXES))
     return t.select("axis", "delta", "threshold", "n", r6("median").alias("median"),
                     r6("p10").alias("p10"), r6("p90").alias("p90"), "min", "max",
                     r6("pass_rate").alias("pass_rate"), "non_functional")
@@ -134,7 +139,7 @@ SELECT unnest(['factual', 'freshness', 'citation', 'risk', 'overall']) AS axis,
   unnest([round(avg(za::INT), 6), round(avg(zb::INT), 6), round(avg(zc::INT), 6), round(avg(zd::INT), 6),
           round(avg((za OR zb OR zc OR zd)::INT), 6)]) AS rate FROM z""")
 def a29_grey_zone(spark, sf):
-    ok = ok_history(spark, sf)
+    ok = ok_history(spark, sf, "checked_at", "seq", *GROUP)
     v = au.rescore_variance(au.rescore_groups(ok))
     return au.grey_zone(au.latest(ok), v).withColumn("rate", r6("rate"))
 
@@ -154,7 +159,7 @@ c AS (SELECT unnest(['factual','factual','factual','factual','freshness','freshn
     corr(factual, risk), corr(freshness, risk), corr(citation, risk), 1.0]) AS rho, count(*) AS n_rows FROM r)
 SELECT axis1, axis2, n_rows, round(rho, 6) AS rho, axis1 < axis2 AND abs(rho) > 0.8 AS redundant FROM c""")
 def a30_spearman(spark, sf):
-    return au.spearman(latest(spark, sf)).withColumn("rho", r6("rho"))
+    return au.spearman(latest(spark, sf, *au.AXES)).withColumn("rho", r6("rho"))
 
 
 @query("a31_weekly_medians", W + """
@@ -162,7 +167,7 @@ SELECT strftime(checked_at, '%Y-W%W') AS week, quantile_cont(factual, 0.5) AS fa
   quantile_cont(freshness, 0.5) AS freshness, quantile_cont(citation, 0.5) AS citation,
   quantile_cont(risk, 0.5) AS risk, count(*) AS n FROM ok_history GROUP BY 1""")
 def a31_weekly(spark, sf):
-    return au.weekly_medians(ok_history(spark, sf))
+    return au.weekly_medians(ok_history(spark, sf, "checked_at", *au.AXES))
 
 
 @query("w08_change_points", W + """,
@@ -171,7 +176,7 @@ f AS (SELECT 'model' AS type, model AS value, min(checked_at) AS first_seen FROM
 SELECT type, value, strftime(first_seen, '%Y-%m-%d') AS first_seen FROM f
 QUALIFY row_number() OVER (PARTITION BY type ORDER BY first_seen, value) > 1""")
 def w08_change_points(spark, sf):
-    return au.change_points(history(spark, sf)).withColumn(
+    return au.change_points(history(spark, sf, "model", "prompt_version", "checked_at")).withColumn(
         "first_seen", F.date_format("first_seen", "yyyy-MM-dd"))
 
 
@@ -190,12 +195,12 @@ en AS (SELECT l.*, coalesce(d.o_orderkey IS NOT NULL, false) AS is_deleted,
   LEFT JOIN orders a ON l.path = 'p' || a.o_orderkey AND a.o_orderkey % 10 <> 0)"""
 
 
-def _enriched(spark, sf):
+def _enriched(spark, sf, *cols):
     posts = _posts(spark, sf)
     deleted = posts.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 2 == 0))
     arts = posts.filter(F.col("o_orderkey") % 10 != 0).select(
         "path", F.array("o_orderpriority").alias("tags"))
-    h = latest(spark, sf)
+    h = latest(spark, sf, *cols)
     k = F.substring("path", 2, 20).cast("long")
     name = F.when(k % 3 == 0, F.concat(F.lit("auto_"), "path")).otherwise(F.col("path"))
     return au.enrich_history(h, deleted, arts, name)
@@ -213,7 +218,7 @@ l AS (SELECT CASE WHEN is_deleted THEN 'deleted' ELSE article_type END AS segmen
 SELECT segment, axis, count(*) AS n, quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.5) AS median,
   quantile_cont(value, 0.75) AS p75, min(value) AS min, max(value) AS max FROM l GROUP BY ALL""")
 def a32_segments(spark, sf):
-    return au.segment_quantiles(_enriched(spark, sf))
+    return au.segment_quantiles(_enriched(spark, sf, *au.AXES))
 
 
 @query("a32_tool_medians", W + ENRICH + """
@@ -221,14 +226,14 @@ SELECT tool, count(*) AS n, quantile_cont(factual, 0.5) AS factual, quantile_con
   quantile_cont(citation, 0.5) AS citation, quantile_cont(risk, 0.5) AS risk
 FROM en GROUP BY tool HAVING count(*) >= 3""")
 def a32_tools(spark, sf):
-    return au.tool_medians(_enriched(spark, sf))
+    return au.tool_medians(_enriched(spark, sf, *au.AXES))
 
 
 @query("a12_status_rates", W + """
 SELECT status, count(*) AS n, round(count(*) / (SELECT count(*) FROM history), 6) AS rate
 FROM history GROUP BY status""")
 def a12_status(spark, sf):
-    return au.status_rates(history(spark, sf)).withColumn("rate", r6("rate"))
+    return au.status_rates(history(spark, sf, "status")).withColumn("rate", r6("rate"))
 
 
 @query("a13_error_patterns", f"""WITH {ARTICLES},
@@ -281,7 +286,7 @@ SELECT m.*, factual >= 75 AND citation >= 15 AND risk <= 55 AS passed,
   CASE WHEN risk >= 85 THEN 'critical' WHEN factual >= 75 AND citation >= 15 AND risk <= 55 THEN 'pass'
        ELSE 'reject' END AS status, template FROM m JOIN t USING (path)""")
 def a33_votes(spark, sf):
-    return au.majority_vote(ok_history(spark, sf))
+    return au.majority_vote(ok_history(spark, sf, "path", "seq", *au.AXES))
 
 
 @query("w07_degraded", W + """,
@@ -294,7 +299,7 @@ p AS (SELECT c.path, c.eval_id, c.factual, c.risk,
 SELECT p.path, p.eval_id, previous, coalesce(h.factual - p.factual >= 10 OR p.risk - h.risk >= 15, false) AS degraded
 FROM p LEFT JOIN ok_history h ON h.eval_id = previous""")
 def w07_degraded(spark, sf):
-    return au.degraded(ok_history(spark, sf))
+    return au.degraded(ok_history(spark, sf, "path", "checked_at", "seq", "factual", "risk", "judgement"))
 
 
 @query("w10_retention", W + f""",
@@ -303,7 +308,7 @@ SELECT model, eval_id FROM y
 QUALIFY row_number() OVER (PARTITION BY model ORDER BY checked_at DESC, eval_id) <= 500""")
 def w10_retention(spark, sf):
     young = F.col("checked_at") >= as_of() - F.make_dt_interval(days=F.lit(300))
-    rows = history(spark, sf).filter(F.col("checked_at") <= as_of())
+    rows = history(spark, sf, "checked_at", "model").filter(F.col("checked_at") <= as_of())
     return au.retain(rows, ["model"], [F.desc("checked_at"), F.col("eval_id")], young).select(
         "model", "eval_id")
 
@@ -315,7 +320,7 @@ s AS (SELECT CASE WHEN c > TIMESTAMP '{AS_OF}' - INTERVAL 168 HOUR THEN 'recentl
   WHEN u > TIMESTAMP '{AS_OF}' - INTERVAL 2400 HOUR THEN 'recently_unavailable' ELSE 'due' END AS state FROM g)
 SELECT state, count(*) AS paths FROM s GROUP BY state""")
 def f07_cooldown(spark, sf):
-    rows = history(spark, sf).filter(F.col("checked_at") <= as_of())
+    rows = history(spark, sf, "path", "checked_at", "status").filter(F.col("checked_at") <= as_of())
     return au.cooldown(rows, as_of(), unavailable_hours=2400).groupBy("state").agg(
         F.count(F.lit(1)).alias("paths"))
 
@@ -328,7 +333,7 @@ UNION ALL SELECT path, 'requeue' FROM posts WHERE o_orderkey % 2 = 0 AND path NO
 UNION ALL SELECT path, 'missing' FROM posts WHERE path NOT IN (SELECT path FROM ok)""")
 def j12_resume(spark, sf):
     posts = _posts(spark, sf)
-    ok = ok_history(spark, sf).filter(F.col("factual") >= 20)
+    ok = ok_history(spark, sf, "path", "factual").filter(F.col("factual") >= 20)
     return au.resume_states(posts.filter(F.col("o_orderkey") % 2 == 0), ok, posts)
 
 
@@ -337,7 +342,8 @@ b AS (SELECT * FROM history QUALIFY row_number() OVER (PARTITION BY path
    ORDER BY CASE WHEN prompt_version = 'N' THEN 0 ELSE 1 END, checked_at DESC, seq) = 1)
 SELECT 'p' || o_orderkey AS path, eval_id, prompt_version = 'N' AS is_new FROM orders LEFT JOIN b ON b.path = 'p' || o_orderkey""")
 def j13_newest(spark, sf):
-    return au.newest_report(_posts(spark, sf).select("path"), history(spark, sf),
+    return au.newest_report(_posts(spark, sf).select("path"),
+                            history(spark, sf, "path", "checked_at", "seq", "prompt_version"),
                             F.col("prompt_version") == "N").select("path", "eval_id", "is_new")
 
 
@@ -348,7 +354,7 @@ SELECT path, CASE WHEN risk >= 85 THEN 'high' WHEN model = 'F' AND factual < 55
   {AUDIT_OK} AS audit_pass FROM latest""")
 def g07_gates(spark, sf):
     s = au.live_status(critical_topic=F.col("model") == "F", mode="existing")
-    return latest(spark, sf).select("path", s["critical_level"].alias("critical_level"),
+    return latest(spark, sf, "model", *au.AXES).select("path", s["critical_level"].alias("critical_level"),
                                     s["status"].alias("status"),
                                     au.gate_passes(C.AUDIT_GATE).alias("audit_pass"))
 
@@ -374,7 +380,7 @@ g AS (SELECT path, max(checked_at) AS c, max(CASE WHEN judgement = 'pass' THEN c
 SELECT path FROM g WHERE p >= TIMESTAMP '{AS_OF}' - INTERVAL 14 DAY AND c <= TIMESTAMP '{AS_OF}' - INTERVAL 168 HOUR
 ORDER BY md5('42:' || path) LIMIT 1""")
 def g17_pass_audit(spark, sf):
-    rows = history(spark, sf).filter(F.col("checked_at") <= as_of())
+    rows = history(spark, sf, "path", "checked_at", "judgement").filter(F.col("checked_at") <= as_of())
     return au.pass_audit_sample(rows, as_of()).select("path")
 
 
@@ -390,6 +396,6 @@ t AS (SELECT DISTINCT run, total, need FROM n)
 SELECT t.run, t.total, t.need, s.stop_at IS NOT NULL AS stopped, s.stop_at, coalesce(s.rn, t.total) AS processed
 FROM t LEFT JOIN s USING (run)""")
 def g18_stop(spark, sf):
-    h = history(spark, sf).withColumn("run", F.year("checked_at").cast("long"))
+    h = history(spark, sf, "checked_at", "status").withColumn("run", F.year("checked_at").cast("long"))
     h = h.withColumn("day", F.to_date("checked_at")).withColumn("prefix", F.substring("eval_id", 1, 2))
     return au.stop_rule(h, "run", ["day", "prefix"], ["checked_at", "eval_id"], 0.06)

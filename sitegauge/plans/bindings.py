@@ -104,7 +104,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("long").alias("nk"), F.col("n_name").alias("country"))
     k = F.get_json_object("props", "$.k").cast("long")
-    channel = F.get(F.array(*[F.lit(c) for c in CHANNELS]), (F.col("user_id") % 5).cast("int"))
+    channel = F.get(F.array(*[F.lit(c) for c in CHANNELS]), (F.col("event_id") % 5).cast("int"))
     f = e.select(
         "event_id", "ts", F.to_date("ts").alias("day"), "user_id", "event_type",
         F.col("event_type").alias("query"), k.alias("k"),
@@ -114,18 +114,19 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit(".example")).alias("host"),
         channel.alias("channel"), "value", (F.col("value") / 10).alias("seconds"),
     )
-    return f.join(n, F.col("user_id") % 25 == F.col("nk"), "left").drop("nk")
+    home = (F.col("user_id") + F.col("event_id") % 2) % 25  # users move between two countries
+    return f.join(n, home == F.col("nk"), "left").drop("nk")
 
 
 FACTS = """facts AS (
   SELECT event_id, ts, CAST(ts AS DATE) AS day, user_id, event_type, event_type AS query, k,
          CASE WHEN k % 10 = 0 THEN '/tags/t' ELSE '/posts/p' END || CAST(k AS VARCHAR) || '/' AS page,
          'site' || CAST(user_id % 3 AS VARCHAR) || '.example' AS host,
-         CASE user_id % 5 WHEN 0 THEN 'Organic Search' WHEN 1 THEN 'Direct'
+         CASE event_id % 5 WHEN 0 THEN 'Organic Search' WHEN 1 THEN 'Direct'
               WHEN 2 THEN 'Organic Social' WHEN 3 THEN 'Referral' ELSE 'Email' END AS channel,
          value, value / 10 AS seconds, n_name AS country
   FROM (SELECT *, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS k FROM events) e
-  LEFT JOIN nation ON user_id % 25 = n_nationkey)"""
+  LEFT JOIN nation ON (user_id + event_id % 2) % 25 = n_nationkey)"""
 
 # ----------------------------------------------------------------- V3 history
 

@@ -173,7 +173,7 @@ def _site_name():
 @query("j05_incident_articles", f"""WITH {CITED_URLS},
 inc AS (SELECT DISTINCT regexp_extract(host, '^(?:m\\.|blog\\.)?([^.]+)\\.', 1) AS service,
    regexp_extract(url, '/(?:en|fr|de|es)/([0-9]{{2}})', 1) AS kw FROM cited_urls WHERE page_id % 25 = 0),
-art AS (SELECT page_id, substr(regexp_extract(host, '^(?:m\\.|blog\\.)?([^.]+)\\.', 1), 1, 4) AS service,
+art AS (SELECT page_id, regexp_extract(host, '^(?:m\\.|blog\\.)?([^.]+)\\.', 1) AS service,
    regexp_extract(url, '/(?:en|fr|de|es)/([0-9]{{2}})', 1) AS comp FROM cited_urls)
 SELECT page_id FROM art a WHERE EXISTS (SELECT 1 FROM inc i WHERE
   (i.service <> '' AND a.service <> '' AND (contains(a.service, i.service) OR contains(i.service, a.service))) OR a.comp = i.kw)""")
@@ -182,7 +182,7 @@ def j05_incidents(spark, sf):
     kw = F.array(F.regexp_extract("url", "/(?:en|fr|de|es)/([0-9]{2})", 1))
     inc = u.filter(F.col("page_id") % 25 == 0).select(
         _site_name().alias("service"), kw.alias("keywords"))
-    art = u.select("page_id", F.substring(_site_name(), 1, 4).alias("service"), kw.alias("components"))
+    art = u.select("page_id", _site_name().alias("service"), kw.alias("components"))
     return li.match_incidents(art, inc, "page_id").select("page_id")
 
 

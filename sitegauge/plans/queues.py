@@ -59,7 +59,7 @@ j AS (SELECT coalesce(e.path, r.path) AS path, coalesce(r.priority, e.priority)
 SELECT path, priority, array_to_string(list_concat(o, list_filter(n, lambda x: NOT list_contains(o, x))), ',') AS reasons,
   array_to_string(list_concat(oa, list_filter(na, lambda x: NOT list_contains(oa, x))), ',') AS actions FROM j""")
 def u03_candidates(spark, sf):
-    lt = latest(spark, sf)
+    lt = latest(spark, sf, *au.AXES)
     reasons = F.array_compact(F.array(F.when(F.col("factual") < 75, "factual"),
                                       F.when(F.col("risk") > 55, "risk"),
                                       F.when(F.col("citation") < 15, "citation")))
@@ -67,7 +67,7 @@ def u03_candidates(spark, sf):
     new = lt.filter(~passed).select(
         "path", qu.candidate_priority(F.lit(False), F.lit(False)).alias("priority"),
         reasons.alias("reasons"), F.array(F.lit("review"), F.lit("rescore")).alias("actions"))
-    old = ok_history(spark, sf).filter(F.col("risk") > 97).select("path").distinct().select(
+    old = ok_history(spark, sf, "path", "risk").filter(F.col("risk") > 97).select("path").distinct().select(
         "path", F.lit("low").alias("priority"), F.array(F.lit("legacy"), F.lit("risk")).alias("reasons"),
         F.array(F.lit("review")).alias("actions"))
     u = qu.upsert_candidates(old, new)
@@ -109,7 +109,8 @@ n AS (SELECT h.path, count(*) AS failures FROM history h JOIN l USING (path)
   WHERE judgement <> 'pass' AND (last IS NULL OR (checked_at, seq) > last) GROUP BY h.path)
 SELECT path, failures, CASE WHEN failures >= 3 THEN 'needs_manual_review' ELSE 'retry' END AS state FROM n""")
 def u06_attempts(spark, sf):
-    return qu.attempts_since_success(history(spark, sf), "path", F.col("judgement") == "pass",
+    return qu.attempts_since_success(
+        history(spark, sf, "path", "judgement", "checked_at", "seq"), "path", F.col("judgement") == "pass",
                                      ["checked_at", "seq"])
 
 

@@ -162,19 +162,19 @@ t AS (SELECT k, max(n) AS traffic FROM w WHERE day IN (SELECT DISTINCT day FROM
 pr AS (SELECT path, min(factual - risk) AS prior FROM ok_history GROUP BY path),
 d AS (SELECT 'p' || article_id AS path, DATE '{AS_OF}' - pub_date AS age, DATE '{AS_OF}' - (pub_date + (article_id % 30)::INTEGER) AS stale,
   regexp_matches(lower(body), '{HIGH}') AS high, traffic, article_id % 4 AS citations, prior
-  FROM articles LEFT JOIN t ON t.k = article_id % 100 LEFT JOIN pr ON pr.path = 'p' || article_id WHERE article_id % 10 <> 0)
+  FROM articles LEFT JOIN t ON t.k = article_id % 100 LEFT JOIN pr ON pr.path = 'p' || article_id)
 SELECT path, (age + stale + CASE WHEN high THEN 180 ELSE 0 END + least(200, coalesce(traffic, 0)) + CASE WHEN citations < 2 THEN 80 ELSE 0 END
   + CASE WHEN prior < 35 THEN 40 ELSE 0 END)::BIGINT AS priority FROM d ORDER BY priority DESC, path DESC LIMIT 20""")
 def k07_recheck(spark, sf):
     from ..operators.search import weights_of_newest
-    a = articles(spark, sf).filter(F.col("article_id") % 10 != 0)
+    a = articles(spark, sf)
     as_of = F.lit(AS_OF).cast("date")
     path = F.concat(F.lit("p"), F.col("article_id").cast("string"))
     daily = facts(spark, sf).groupBy("day", F.col("k").alias("page")).agg(
         F.count(F.lit(1)).alias("impressions"))
     traffic = weights_of_newest(daily, "day").select(
         F.col("page").alias("k"), F.col("weight").alias("traffic"))
-    prior = ok_history(spark, sf).groupBy("path").agg(
+    prior = ok_history(spark, sf, "path", "factual", "risk").groupBy("path").agg(
         F.min(F.col("factual") - F.col("risk")).alias("prior"))
     d = a.select(
         path.alias("path"), (F.col("article_id") % 100).alias("k"),

@@ -157,9 +157,9 @@ SELECT count(DISTINCT user_id) AS active_users, count(DISTINCT (user_id, day)) A
   count(DISTINCT CASE WHEN channel = 'Organic Search' THEN (user_id, day) END) AS organic_sessions,
   count(DISTINCT CASE WHEN channel = 'Direct' THEN (user_id, day) END) AS direct_sessions,
   round(count(DISTINCT CASE WHEN channel = 'Organic Search' THEN (user_id, day) END)::DOUBLE
-    / count(DISTINCT (user_id, day)), 6) AS organic_ratio,
+    / count(DISTINCT (channel, user_id, day)), 6) AS organic_ratio,
   round(count(DISTINCT CASE WHEN country = 'NATION_2' THEN user_id END)::DOUBLE
-    / count(DISTINCT user_id), 6) AS home_ratio,
+    / count(DISTINCT (country, user_id)), 6) AS home_ratio,
   round(count(*)::DOUBLE / count(DISTINCT (user_id, day)), 6) AS pv_per_session,
   sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END)::BIGINT AS js_errors"""
 
@@ -222,7 +222,7 @@ per AS (SELECT host, period, count(*)::DOUBLE AS impressions,
    avg(value) / 4 AS position,
    count(DISTINCT CASE WHEN channel = 'Organic Search' THEN (user_id, day) END)::DOUBLE AS organic_sessions,
    count(DISTINCT (user_id, day))::DOUBLE AS sessions,
-   count(DISTINCT CASE WHEN country = 'NATION_2' THEN user_id END)::DOUBLE / count(DISTINCT user_id) AS home_ratio
+   count(DISTINCT CASE WHEN country = 'NATION_2' THEN user_id END)::DOUBLE / count(DISTINCT (country, user_id)) AS home_ratio
    FROM tagged GROUP BY host, period),
 long AS (SELECT host, period, unnest(['impressions', 'clicks', 'ctr', 'position', 'organic_sessions', 'sessions', 'home_ratio']) AS metric,
    unnest(['number', 'number', 'rate', 'position', 'number', 'number', 'ratio']) AS kind,

@@ -138,3 +138,13 @@ def test_slots_stop_inspecting_when_full(spark):
     assert run(4) == {1: "dropped", 2: "published", 3: "published", 4: "dropped",
                       10: "published", 11: "pending", 12: "pending"}
     assert run(1) == {1: "pending", 2: "pending", 3: "pending", 4: "pending"}
+
+
+def test_sessions_of_a_user_on_two_channels_in_a_day(spark):
+    rows = [(1, "2024-01-01", "Organic Search", "A", "view"), (1, "2024-01-01", "Direct", "B", "view"),
+            (1, "2024-01-02", "Direct", "A", "error"), (2, "2024-01-01", None, None, "view")]
+    facts = spark.createDataFrame(rows, "user_id long, day string, channel string, country string, event_type string")
+    t = tr.traffic_summary(facts, home_country="A").first()
+    assert (t.active_users, t.sessions, t.organic_sessions, t.direct_sessions, t.js_errors) == (2, 3, 1, 2, 1)
+    # channel sessions 1 + 2 + 1, users over countries 1 + 1 + 1
+    assert t.organic_ratio == 0.25 and abs(t.home_ratio - 1 / 3) < 1e-12 and abs(t.pv_per_session - 4 / 3) < 1e-12
