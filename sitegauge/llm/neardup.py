@@ -55,8 +55,8 @@ MIN_AGREE = 353
 NUMERATOR, DENOMINATOR = 75, 100
 #: Bits of the filter that picks documents whose sets are needed; it never drops one that is.
 FILTER_BITS = 1 << 20
-#: Words whose hashes a worker remembers.
-CACHED_WORDS = 300_000
+#: Words whose hashes a task remembers.
+CACHED_WORDS = 200_000
 
 _ODD = np.random.RandomState(11).randint(0, 2 ** 63, WIDTH, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _MUL = np.random.RandomState(12).randint(0, 2 ** 63, COORDINATES, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -64,8 +64,6 @@ _XOR = np.random.RandomState(13).randint(0, 2 ** 63, COORDINATES, np.int64).asty
 _MUL32 = np.random.RandomState(14).randint(0, 2 ** 31, FINE, np.int64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
 _XOR32 = np.random.RandomState(15).randint(0, 2 ** 32, FINE, np.int64).astype(np.uint32)
 
-_word_hashes: dict[bytes, int] = {}
-
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
@@ -74,8 +72,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    known = _word_hashes
+def word_hashes(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
     if len(known) > CACHED_WORDS:
         known.clear()
     out = []
@@ -87,12 +84,12 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def shingles(text: bytes) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text."""
+def shingles(text: bytes, known: dict[bytes, int]) -> np.ndarray:
+    """Sorted distinct shingle hashes of a text; ``known`` remembers word hashes."""
     words = text.lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    h = word_hashes(words)
+    h = word_hashes(words, known)
     n = max(1, len(h) - WIDTH + 1)
     total = np.full(n, len(words) if len(words) < WIDTH else 0, np.uint64)
     for k in range(min(WIDTH, len(h))):
@@ -132,10 +129,11 @@ def fingerprint(hashes: np.ndarray) -> bytes:
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[bytes, int] = {}
     for batch in batches:
         prints, sizes, sketches, minis = [], [], [], []
         for text in texts_of(batch.column(1)):
-            s = shingles(text)
+            s = shingles(text, known)
             sizes.append(len(s))
             if len(s):
                 k = sketch(s)
@@ -344,11 +342,12 @@ def _against_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(cid, print, text) to (cid, sorted hashes), for texts that have the class's set."""
+    known: dict[bytes, int] = {}
     for batch in batches:
         ids, out = [], []
         for cid, want, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                    texts_of(batch.column(2))):
-            s = shingles(text)
+            s = shingles(text, known)
             if len(s) and fingerprint(s) == want:
                 ids.append(cid)
                 out.append(s.tobytes())

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import cut_lineage, texts_of
 
-#: Words whose ids a worker remembers in each of two generations.
+#: Words whose ids a Python worker remembers in each of two generations, some 200 bytes each.
 CACHED_WORDS = 500_000
 
 
@@ -51,7 +51,8 @@ def core_of(word: bytes) -> tuple[bytes, bytes]:
 class Words:
     """Token ids of words as little-endian bytes, by a tokenizer read on the worker."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_WORDS):
+        self.cached = cached
         # A task has one core; the library reads this when it is first used.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -75,7 +76,7 @@ class Words:
         Words used lately stay known: a full generation becomes the older one, and words move back
         from there when they come again.
         """
-        if len(self.recent) > CACHED_WORDS:
+        if len(self.recent) > self.cached:
             self.older, self.recent = self.recent, {}
         split = [t.split() for t in texts]
         known = self.recent
@@ -85,7 +86,7 @@ class Words:
                 known[w] = self.older[w]
             else:
                 new.append(w)
-        if len(self.cores) > CACHED_WORDS:
+        if len(self.cores) > self.cached:
             self.cores.clear()
         parts = [core_of(w) for w in new]
         fresh = list({core for core, _ in parts if core not in self.cores})
@@ -95,13 +96,13 @@ class Words:
         return [b"".join([known[w] for w in words]) for words in split]
 
 
-_words: dict[str, Words] = {}
+_words: dict[tuple[str, int], Words] = {}
 
 
-def words_of(path: str) -> Words:
-    if path not in _words:
-        _words[path] = Words(path)
-    return _words[path]
+def words_of(path: str, cached: int = CACHED_WORDS) -> Words:
+    if (path, cached) not in _words:
+        _words[path, cached] = Words(path, cached)
+    return _words[path, cached]
 
 
 def default_tokenizer() -> str:
@@ -113,10 +114,10 @@ def default_tokenizer() -> str:
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], path: str, max_tokens: int,
+def _pieces(batches: Iterator[pa.RecordBatch], path: str, cached: int, max_tokens: int,
             separator: int) -> Iterator[pa.RecordBatch]:
     end = np.array([separator], "<u4").tobytes()
-    words, width = words_of(path), 4 * max_tokens
+    words, width = words_of(path, cached), 4 * max_tokens
     for batch in batches:
         for first in range(0, batch.num_rows, 256):
             part = batch.slice(first, 256)
@@ -170,14 +171,14 @@ def best_fit(lengths: np.ndarray, max_tokens: int, max_docs: int, max_cost: int,
 def pack(docs: DataFrame, tokenizer: str | None = None, max_tokens: int = 2048, separator: int = 0,
          max_docs: int = 2048, max_cost: int = 2048 ** 2, score: str = "norm",
          weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
-         group_pieces: int = 8000) -> DataFrame:
+         group_pieces: int = 8000, cached_words: int = CACHED_WORDS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset, one row per piece."""
     if max_docs < 1 or max_cost < max_tokens ** 2:
         raise ValueError("a full piece must fit into an empty sequence")
     path = tokenizer or default_tokenizer()
     pieces = cut_lineage(
         docs.select("doc_id", "text")
-        .mapInArrow(lambda it: _pieces(it, path, max_tokens, separator), PIECES)
+        .mapInArrow(lambda it: _pieces(it, path, cached_words, max_tokens, separator), PIECES)
         .withColumn("uid", F.monotonically_increasing_id()))
     full = pieces.filter(F.col("length") == max_tokens)
     rest = pieces.filter(F.col("length") < max_tokens)
