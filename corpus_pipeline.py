@@ -30,7 +30,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences."""
-    return packing.pack(docs)
+    return packing.pack(docs, cached_words=100_000)  # workers still hold what other stages left
 
 
 STAGES = [
