@@ -7,7 +7,7 @@ four bits each, to estimate similarities. Independent trees branch classes:
 a node selects one of the coordinates, every third node two (4/3 on average, the inverse of the
 similarity), and a class goes to the child named by its value there. Two classes of similarity 0.75
 therefore share 1 node or more at any depth on average, and ``TREES`` trees bring the chance of
-sharing none at the first tested depth below one in a million.
+sharing none at the first tested depth to about one in a hundred thousand.
 
 Nodes are handled level by level:
 

@@ -130,7 +130,7 @@ def targets(sizes):
 
 def test_mix_targets_and_amounts(docs):
     rows = [(i, "w " * (i % 40), "en", ("a", "b", "c", "é", None, "z")[i * i % 11 % 6]) for i in range(900)]
-    rows += [(None, "null id", "en", "a"), (None, None, "en", "a"), (5, "w " * 5, "en", "b"), (5, "w " * 5, "en", "b"),
+    rows += [(None, "null id", "en", "a"), (None, None, "en", "a"), (3000, "w " * 5, "en", "b"), (3000, "w " * 5, "en", "b"),
              (2000, "w " * 50000, "en", "z"), (2001, "", "en", "empty"), (2002, None, "en", "empty")]
     df = docs(rows, CLASH)
     got = mixing.op1(df).collect()
