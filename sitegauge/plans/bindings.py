@@ -186,7 +186,8 @@ pure AS (
 # ----------------------------------------------------------------- V4 queries
 
 
-def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def search_queries(spark: SparkSession, sf_dir: str, head: int | None = 6) -> DataFrame:
+    """Searches with their metrics: the opening words of a text, or with ``head`` None all of it."""
     b = table(spark, sf_dir, "benchmark").select(
         F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("query_id"), "text")
     c = (table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
@@ -194,7 +195,7 @@ def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.col("turn").cast("string")).alias("query_id"), "text"))
     n = F.length("text")
     return b.unionByName(c).select(
-        "query_id", F.array_join(words(F.col("text"), 6), " ").alias("query"),
+        "query_id", F.array_join(words(F.col("text"), head), " ").alias("query"),
         (n % 200).cast("long").alias("impressions"),
         ((n % 10) / 100.0).alias("ctr"), (n % 40).cast("double").alias("position"))
 
@@ -208,6 +209,9 @@ SEARCH_QUERIES = f"""search_queries AS (
         SELECT 'c' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR), text
         FROM conversations WHERE role = 'user'))"""
 
+WHOLE_QUERIES = SEARCH_QUERIES.replace(
+    f"list_slice({SQL_WORDS.format(c='text')}, 1, 6)", SQL_WORDS.format(c="text"))
+
 # ------------------------------------------------------------------- V5 hosts
 
 
