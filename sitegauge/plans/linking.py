@@ -10,7 +10,7 @@ from ..operators import linking as li
 from ..operators import search as se
 from ..session import cut_lineage
 from .bindings import (ARTICLE_FIELDS, ARTICLES, CITED_URLS, ENTITIES, FACTS, SEARCH_QUERIES,
-                       SQL_WORDS, article_fields, articles, cited_urls, entities, facts,
+                       SQL_WORDS, WHOLE_QUERIES, article_fields, articles, cited_urls, entities, facts,
                        search_queries, table, word, words)
 from .registry import query
 
@@ -87,7 +87,7 @@ _CASE_S = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SERVICES.items())
 _CASE_P = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PARTS.items())
 
 
-@query("t34_infer_fields", f"""WITH {SEARCH_QUERIES},
+@query("t34_infer_fields", f"""WITH {WHOLE_QUERIES},
 t AS (SELECT query_id, query, {tok('query')} AS q FROM search_queries),
 s AS (SELECT *, list_sort(list_filter(q, lambda x: x IN ('le', 'que', 'der', 'und', 'la', 'is', 'de'))) AS ks,
   list_slice(list_transform(list_sort(list_filter(q, lambda x: x IN ('les', 'die', 'sh', 'tion', 'in', 'un'))),
@@ -104,18 +104,17 @@ SELECT query_id, coalesce(CASE ks[1] {_CASE_S} END, '') AS service, array_to_str
    WHEN regexp_matches(lower(query), 'ssl|tls|certificate|cert') THEN ' SSL/TLS エラー：解決方法'
    ELSE ' エラー：トラブルシューティングガイド' END AS title FROM s""")
 def t34_infer(spark, sf):
-    q = search_queries(spark, sf).withColumn("q_tok", tx.tokens("query"))
+    q = search_queries(spark, sf, None).withColumn("q_tok", tx.tokens("query"))
     return q.select("query_id", li.infer_service(F.col("q_tok"), SERVICES).alias("service"),
                     F.array_join(li.infer_components(F.col("q_tok"), PARTS), ",").alias("components"),
                     li.suggest_title(F.col("query")).alias("title"))
 
 
-@query("k10_distinct_queries", f"""WITH {SEARCH_QUERIES},
-d AS (SELECT trim(regexp_split_to_array(query, ' ')[1]) AS top_query, query_id FROM search_queries)
+@query("k10_distinct_queries", f"""WITH {WHOLE_QUERIES},
+d AS (SELECT trim(query) AS top_query, query_id FROM search_queries)
 SELECT top_query FROM d WHERE top_query <> '' GROUP BY top_query ORDER BY min(query_id) LIMIT 25""")
 def k10_distinct(spark, sf):
-    q = search_queries(spark, sf).select(
-        F.trim(F.get(F.split("query", " "), F.lit(0))).alias("top_query"), "query_id")
+    q = search_queries(spark, sf, None).select(F.trim("query").alias("top_query"), "query_id")
     return (se.first_wins(q.filter(F.col("top_query") != ""), F.col("top_query"), ["query_id"])
             .orderBy("query_id").limit(25).select("top_query"))
 

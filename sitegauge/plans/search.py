@@ -8,7 +8,7 @@ from ..functions import text as tx
 from ..functions.common import r6
 from ..operators import search as se
 from ..operators import traffic as tr
-from .bindings import FACTS, SEARCH_QUERIES, facts, search_queries
+from .bindings import FACTS, WHOLE_QUERIES, facts, search_queries
 from .registry import query
 from .traffic import SCORED, vote_scores
 
@@ -210,7 +210,7 @@ hyg AS (SELECT *, key = ''
   OR regexp_matches(key, '(^|[^\\p{{L}}\\p{{N}}_])(const|let|var|require|import|function|=>)([^\\p{{L}}\\p{{N}}_]|$)')
   OR (regexp_matches(key, '[;=<>{{}}()]') AND regexp_matches(key, '(^|[^\\p{{L}}\\p{{N}}_])[a-z_][a-z0-9_]*([^\\p{{L}}\\p{{N}}_]|$)'))
   OR regexp_matches(key, '^[^\\p{{L}}]+$') AS bad FROM norm)"""
-WQ = f"WITH {SEARCH_QUERIES} "
+WQ = f"WITH {WHOLE_QUERIES} "
 
 
 @query("t24_query_tokens", WQ + """,
@@ -224,18 +224,18 @@ SELECT s.query_id, coalesce(string_agg(tok, ' ' ORDER BY tok), '') AS tokens FRO
   'get','cannot','can','could','that','this','these','those','using','use','via','make','do','did','does','my')) u
  USING (query_id) GROUP BY s.query_id""")
 def query_tokens(spark, sf):
-    q = search_queries(spark, sf)
+    q = search_queries(spark, sf, None)
     return q.select("query_id", F.array_join(F.array_sort(tx.tokens("query")), " ").alias("tokens"))
 
 
 @query("t25_normalize_query", WQ + NORM + "SELECT query_id, key FROM norm")
 def normalize_query(spark, sf):
-    return search_queries(spark, sf).select("query_id", tx.normalize_query("query").alias("key"))
+    return search_queries(spark, sf, None).select("query_id", tx.normalize_query("query").alias("key"))
 
 
 @query("f04_query_hygiene", WQ + NORM + "SELECT query_id, query, NOT bad AS kept FROM hyg")
 def query_hygiene(spark, sf):
-    return search_queries(spark, sf).select(
+    return search_queries(spark, sf, None).select(
         "query_id", "query", (~tx.is_bad_query("query")).alias("kept"))
 
 
@@ -243,4 +243,4 @@ def query_hygiene(spark, sf):
 SELECT query_id, query FROM hyg WHERE NOT bad
 QUALIFY row_number() OVER (PARTITION BY key ORDER BY query_id) = 1""")
 def first_wins(spark, sf):
-    return se.gap_queries(search_queries(spark, sf), ["query_id"]).select("query_id", "query")
+    return se.gap_queries(search_queries(spark, sf, None), ["query_id"]).select("query_id", "query")
