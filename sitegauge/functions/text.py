@@ -180,9 +180,9 @@ def term_slug(col) -> Column:
     return F.when(s == "", "term").otherwise(s)
 
 
-def post_slug(stem) -> Column:
+def post_slug(stem, prefix: str = "") -> Column:
     """Hyphenated slug of 12 to 50 characters."""
-    s = dashed(F.concat(F.lit("el-"), as_col(stem)))
+    s = dashed(F.concat(F.lit(prefix), as_col(stem)))
     s = F.when(F.length(s) > 50, F.regexp_replace(F.substring(s, 1, 50), "-+$", "")).otherwise(s)
     missing = F.greatest(F.lit(0), F.ceil((12 - F.length(s)) / 2)).cast("int")
     return F.concat(s, F.repeat(F.lit("-x"), missing))

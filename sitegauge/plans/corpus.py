@@ -300,7 +300,7 @@ def t26_mask(spark, sf):
 @query("t28_slugs", W + f""",
 w AS (SELECT article_id, tool, segment, {SQL_WORDS.format(c='body')} AS w FROM articles),
 s AS (SELECT *, array_to_string(list_slice(w, 1, 4), ' ') AS name FROM w),
-d AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(lower('el-' || name), '[^a-z0-9]', '-', 'g'), '-+', '-', 'g'), '^-|-$', '', 'g') AS d,
+d AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(lower('kb-' || name), '[^a-z0-9]', '-', 'g'), '-+', '-', 'g'), '^-|-$', '', 'g') AS d,
    regexp_replace(regexp_replace(regexp_replace(lower(w[1]), '[^a-z0-9-]', '-', 'g'), '-+', '-', 'g'), '^-|-$', '', 'g') AS t1 FROM s),
 c AS (SELECT *, CASE WHEN length(d) > 50 THEN regexp_replace(substr(d, 1, 50), '-+$', '') ELSE d END AS c,
    CASE WHEN length(t1) > 20 THEN regexp_replace(substr(t1, 1, 20), '-+$', '') ELSE t1 END AS t2 FROM d)
@@ -315,7 +315,7 @@ def t28_slugs(spark, sf):
     return articles(spark, sf).select(
         "article_id",
         F.concat(tx.slug(F.concat("tool", F.lit("_"), name)), F.lit(".md")).alias("filename"),
-        tx.post_slug(name).alias("post_slug"),
+        tx.post_slug(name, "kb-").alias("post_slug"),
         F.array_join(tx.topics(tags, F.lit("doc")), ",").alias("topics"))
 
 
@@ -425,11 +425,11 @@ def a20_weeks(spark, sf):
 
 
 @query("a25_title_index", W + f""",
-t AS (SELECT article_id, array_to_string(list_slice({SQL_WORDS.format(c='body')}, 1, 8), ' ') AS title FROM articles)
+t AS (SELECT article_id, string_split(body, chr(10))[1] AS title FROM articles)
 SELECT article_id, title, 'A' AS section FROM t WHERE regexp_matches(title, '^[A-Za-z0-9]')""")
 def a25_index(spark, sf):
     t = articles(spark, sf).select(
-        "article_id", F.array_join(words(F.col("body"), 8), " ").alias("title"))
+        "article_id", F.get(F.split("body", "\n"), F.lit(0)).alias("title"))
     return co.title_index(t).select("article_id", "title", "section")
 
 
