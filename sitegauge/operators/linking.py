@@ -1,19 +1,21 @@
 """Matching: queries to articles, related items, terms, domains and search ranking.
 
-Search-like joins go through shared features (tokens, tags, codes). A feature
-that very many documents carry would pair them all with every query, so those
-hot features are answered from an index that keeps only the best documents per
-feature combination. Because every score here only grows with more matches,
-the index returns the same best documents as comparing all pairs would.
+Related items go through shared features (tags, codes) with short lists per feature. Searches
+compare every query with every item in pairs of bounded blocks (``functions.blocks``), so common
+words, long texts and matches inside words are all seen; scores are whole numbers.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import blocks as bl
 from ..functions import constants as C
 from ..functions import text as tx
 from ..functions.common import any_of, count_if, explode_once, r6, ratio, top_per_key
+from ..session import cut_lineage
 
 # --------------------------------------------------------------- J04 / G03 coverage
 
@@ -33,78 +35,37 @@ def field_tokens(articles: DataFrame) -> DataFrame:
         flat("related_services", generic).alias("rel"), flat("top_queries").alias("tq"))
 
 
-def coverage_score(q: Column) -> Column:
-    """Weighted share of matched fields for query tokens ``q`` (at most 1)."""
-    hit = lambda f: F.arrays_overlap(F.col(f), q)
-    n = lambda f: F.size(F.array_intersect(F.col(f), q))
-    pts = lambda c, p: F.when(c, float(p)).otherwise(0.0)
-    return (pts(hit("svc"), 5) + pts(hit("code"), 4) + F.least(n("comp"), F.lit(2)).cast("double")
-            + pts(hit("tag"), 1) + F.least(n("title") * 0.3, F.lit(1.0))
-            + pts(hit("rel"), 0.5) + pts(hit("tq"), 1)) / 14.5
+#: Tenths of a point per matched word of a field, and how many words count; the title's words
+#: give 3 each and 10 at most. All points together are 145.
+COVERAGE_POINTS = (("svc", 50, 1), ("code", 40, 1), ("comp", 10, 2), ("tag", 10, 1), ("rel", 5, 1),
+                   ("tq", 10, 1))
 
 
-def hot_parts(post: DataFrame, q_post: DataFrame, doc: str, query: str, hot_df: int):
-    """Tokens in more than ``hot_df`` documents, per document and per query.
-
-    Only tokens some query uses matter, so documents list just those.
-    """
-    used = post.join(q_post.select("token").distinct(), "token", "left_semi")
-    hot = (used.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-           .filter(F.col("df") > hot_df).select("token"))
-
-    def part(p, key):
-        return (p.join(hot, "token", "left_semi").groupBy(key)
-                .agg(F.array_sort(F.collect_list("token")).alias("hot")))
-
-    return hot, part(used, doc), part(q_post, query)
-
-
-def candidate_pairs(post, q_post, hot, d_hot, q_hot, doc: str, query: str, max_hot: int):
-    """Pairs sharing a token that is not hot, plus all pairs of the few wide texts.
-
-    A text with more than ``max_hot`` hot tokens has too many combinations to
-    list, so it is matched directly on every hot token instead.
-    """
-    rare = q_post.join(post.join(hot, "token", "left_anti"), "token").select(query, doc)
-    wide = F.size("hot") > max_hot
-    d_all = d_hot.select(doc, wide.alias("dw"), F.explode("hot").alias("token"))
-    q_all = q_hot.select(query, wide.alias("qw"), F.explode("hot").alias("token"))
-    by_query = q_all.filter("qw").join(d_all, "token").select(query, doc)
-    by_doc = q_all.filter("NOT qw").join(d_all.filter("dw"), "token").select(query, doc)
-    return rare.union(by_query).union(by_doc).distinct()
-
-
-def best_articles(queries: DataFrame, fields: DataFrame, hot_df: int = 500,
-                  max_hot: int = 8) -> DataFrame:
+def best_articles(queries: DataFrame, fields: DataFrame, **sizes) -> DataFrame:
     """Best-covering article per query: (query_id, slug, score); lowest slug on ties.
 
-    Queries and articles meet on tokens carried by at most ``hot_df`` articles.
-    Matches through commoner tokens only come from an index holding, for each
-    combination of common tokens, the best article: combinations are combined
-    per task before the shuffle, and a query reads at most one row for each.
+    queries: query_id, q_tok. Every query meets every article, in blocks of ``sizes``.
     """
     q = queries.select("query_id", "q_tok")
-    post = explode_once(fields, ["slug"], F.array_distinct(F.concat(*FIELDS)), "token")
-    q_post = explode_once(q, ["query_id"], F.col("q_tok"), "token")
-    hot, d_hot, q_hot = hot_parts(post, q_post, "slug", "query_id", hot_df)
-    best = F.min(F.struct((-F.col("score")).alias("neg"), F.col("slug").alias("slug"))).alias("b")
-
-    pairs = candidate_pairs(post, q_post, hot, d_hot, q_hot, "slug", "query_id", max_hot)
-    by_pair = (pairs.join(q, "query_id").join(fields, "slug")
-               .withColumn("score", coverage_score(F.col("q_tok")))
-               .filter(F.col("score") > 0).groupBy("query_id").agg(best))
-
-    narrow = F.size("hot") <= max_hot
-    combos = (explode_once(fields.join(d_hot.filter(narrow), "slug"), ["*"], tx.subsets("hot"), "u")
-              .filter(F.size("u") > 0)
-              .withColumn("score", coverage_score(F.col("u"))).groupBy("u").agg(best))
-    by_hot = (explode_once(q_hot.filter(narrow), ["query_id"], tx.subsets("hot"), "u")
-              .join(combos, "u").groupBy("query_id").agg(F.min("b").alias("b")))
-
-    found = by_pair.unionByName(by_hot).groupBy("query_id").agg(F.min("b").alias("b"))
-    return (queries.select("query_id").join(found, "query_id", "left")
+    f = fields.select("slug", *FIELDS)
+
+    def search(q: pd.DataFrame, a: pd.DataFrame) -> pd.DataFrame:
+        n = bl.shared([set(t) for t in q["q_tok"]], [[set(w) for w in a[f]] for f in FIELDS],
+                      match=bl.equal_to)
+        n = {f: n[:, i] for i, f in enumerate(FIELDS)}
+        score = (np.minimum(3 * n["title"], 10)
+                 + sum(p * np.minimum(n[f], most) for f, p, most in COVERAGE_POINTS))
+        return bl.best(q["query_id"], a["slug"], score, score > 0, 1, ["query_id", "slug", "points"])
+
+    kinds = dict(q.dtypes) | dict(f.dtypes)
+    size = lambda *cols: sum((F.size(c) for c in cols), F.lit(0)) * 8
+    found = bl.in_blocks(q, f, size("q_tok"), size(*FIELDS), search,
+                         f"query_id {kinds['query_id']}, slug {kinds['slug']}, points long", **sizes)
+    top = found.groupBy("query_id").agg(
+        F.min(F.struct((-F.col("points")).alias("neg"), F.col("slug").alias("slug"))).alias("b"))
+    return (queries.select("query_id").join(top, "query_id", "left")
             .select("query_id", F.coalesce("b.slug", F.lit("")).alias("best_match_slug"),
-                    F.coalesce(-F.col("b.neg"), F.lit(0.0)).alias("match_score")))
+                    F.coalesce(-F.col("b.neg") / 145, F.lit(0.0)).alias("match_score")))
 
 
 def coverage_class(score: Column, covered: float = 0.60, partial: float = 0.25) -> Column:
@@ -343,16 +304,19 @@ def dictionary_hits(terms: DataFrame, texts: DataFrame, key: str) -> DataFrame:
 def context_lookup(titles: DataFrame, results: DataFrame, key: str) -> DataFrame:
     """First result whose query has a word over two letters inside the title, else the first.
 
-    Words are reduced to their first result, and titles meet them on substrings
-    no longer than the longest word.
+    Words are reduced to their first result. A query word has no white space, so it lies inside one
+    title word: the distinct words of all titles meet query words on their substrings, no longer
+    than the longest query word.
     """
     words = (results.select("ord", F.explode(F.split(F.lower("query"), "\\s+")).alias("word"))
              .filter(F.length("word") > 2).groupBy("word").agg(F.min("ord").alias("ord")))
     longest = words.agg(F.max(F.length("word")).alias("longest"))  # one row
     first = results.agg(F.min("ord").alias("first"))  # one row
-    cut = explode_once(titles.select(key, F.lower("title").alias("t")).join(F.broadcast(longest)),
-                       [key], tx.substrings("t", 3, "longest"), "word")
-    hit = cut.join(words, "word").groupBy(key).agg(F.min("ord").alias("ord"))
+    parts = explode_once(titles, [key], F.array_distinct(F.split(F.lower("title"), "\\s+")), "part")
+    cut = explode_once(parts.select("part").distinct().join(F.broadcast(longest)),
+                       ["part"], tx.substrings("part", 3, "longest"), "word")
+    best = cut.join(words, "word").groupBy("part").agg(F.min("ord").alias("ord"))
+    hit = parts.join(best, "part").groupBy(key).agg(F.min("ord").alias("ord"))
     return (titles.select(key).join(hit, key, "left").join(F.broadcast(first))
             .select(key, F.coalesce("ord", "first").alias("ord")))
 
@@ -439,57 +403,36 @@ def article_class(permalink: Column, code: Column) -> Column:
     return F.when(permalink.contains("/glossary/"), 2).when(code != "", 0).otherwise(1)
 
 
-def article_rank(title: Column, code: Column, cls: Column, q_code: Column, terms: Column):
-    """(rank, all terms in the title): code and tool 0, code 1, tool 2, else 3 + class."""
-    t = F.trim(F.regexp_replace(F.lower(title), "　", " "))
-    tool = (F.size(terms) > 0) & F.forall(terms, lambda w: F.contains(t, w))
-    same = (q_code != "") & (code == q_code)
-    rank = (F.when((q_code != "") & same & tool, 0).when((q_code != "") & same, 1)
-            .when((q_code != "") & tool, 2).otherwise(3 + cls))
-    return rank, tool
-
+def search_articles(queries: DataFrame, articles: DataFrame, k: int = 10, **sizes) -> DataFrame:
+    """Top articles per query among those with its code or one of its terms in the title.
 
-def search_articles(queries: DataFrame, articles: DataFrame, k: int = 10,
-                    hot_df: int = 500, max_hot: int = 8) -> DataFrame:
-    """Top articles per query among those sharing its code or a title word.
-
-    queries: query_id, query. articles: slug, title, code, permalink. A term
-    matches a title word here. Hot words, and codes, are answered from an index
-    of the first articles per combination; its order is the final order within
-    one rank, so k entries suffice.
+    queries: query_id, query. articles: slug, title, code, permalink. Rank 0 has the code and all
+    terms, 1 the code, 2 all terms beside another code, 3 and more the rest by class.
     """
-    ttok = lambda c: F.array_distinct(F.filter(F.split(F.trim(
-        F.lower(c)), "\\s+"), lambda w: w != ""))
-    q = queries.select("query_id", query_code(F.col("query")).alias("q_code"),
-                       F.array_distinct(query_terms(F.col("query"))).alias("terms"))
-    a = articles.select("slug", ttok(F.col("title")).alias("tt"), "code",
-                        article_class(F.col("permalink"), F.col("code")).alias("cls"))
-    post = explode_once(a, ["slug"], F.col("tt"), "token")
-    q_post = explode_once(q, ["query_id"], F.col("terms"), "token")
-    hot, d_hot, q_hot = hot_parts(post, q_post, "slug", "query_id", hot_df)
-    none = F.array().cast("array<string>")
-
-    def with_keys(df, parts, key, code):
-        """(key, combination of hot words, code or nothing) rows; wide texts keep the code only."""
-        h = F.when(F.size("hot") <= max_hot, F.col("hot")).otherwise(none)
-        return (explode_once(df.join(parts, key, "left"), ["*"], tx.subsets(F.coalesce(h, none)), "u")
-                .withColumn("c", F.explode(F.array_distinct(F.array(F.col(code), F.lit("")))))
-                .filter((F.size("u") > 0) | (F.col("c") != "")))
-
-    index = top_per_key(with_keys(a, d_hot, "slug", "code"), ["u", "c"],
-                        [F.col("cls"), F.col("slug")], k)
-    listed = with_keys(q, q_hot, "query_id", "q_code").select("query_id", "u", "c").join(
-        index.select("u", "c", "slug"), ["u", "c"]).select("query_id", "slug")
-    direct = candidate_pairs(post, q_post, hot, d_hot, q_hot, "slug", "query_id", max_hot)
-    pairs = direct.union(listed).distinct().join(q, "query_id").join(a, "slug")
-    same = (F.col("q_code") != "") & (F.col("q_code") == F.col("code"))
-    tool = (F.size("terms") > 0) & (F.size(F.array_except("terms", "tt")) == 0)
-    rank = (F.when(same & tool, 0).when(same, 1).when((F.col("q_code") != "") & tool, 2)
-            .otherwise(3 + F.col("cls")))
-    late = F.when((F.col("q_code") == "") & ~tool, 1).otherwise(0)
-    scored = pairs.select("query_id", "slug", rank.alias("search_rank"), "cls", late.alias("late"))
-    return top_per_key(scored, ["query_id"], [F.col("search_rank"), F.col("cls"), F.col("late"),
-                                              F.col("slug")], k, "position")
+    text = F.coalesce("query", F.lit(""))
+    q = queries.select("query_id", query_code(text).alias("q_code"),
+                       F.array_distinct(query_terms(text)).alias("terms"))
+    a = articles.select("slug", F.regexp_replace(F.lower(F.coalesce("title", F.lit(""))), "　", " ").alias("t"),
+                        F.coalesce("code", F.lit("")).alias("code"),
+                        article_class(F.coalesce("permalink", F.lit("")),
+                                      F.coalesce("code", F.lit(""))).alias("cls"))
+
+    def search(q: pd.DataFrame, a: pd.DataFrame) -> pd.DataFrame:
+        terms, cls = [list(t) for t in q["terms"]], a["cls"].to_numpy()
+        n = bl.shared(terms, [bl.split_words(a["t"])])[:, 0]
+        size = np.array([len(t) for t in terms])[:, None]
+        tool = (size > 0) & (n == size)
+        asked = (q["q_code"] != "").to_numpy()[:, None]
+        same = asked & (q["q_code"].to_numpy()[:, None] == a["code"].to_numpy()[None, :])
+        rank = np.where(same & tool, 0, np.where(same, 1, np.where(asked & tool, 2, 3 + cls)))
+        place = 100 * rank + 10 * cls + (~asked & ~tool)
+        return bl.best(q["query_id"], a["slug"], -place, same | (n > 0), k, ["query_id", "slug", "place"])
+
+    kinds = dict(q.dtypes) | dict(a.dtypes)
+    found = bl.in_blocks(q, a, F.size("terms") * 8, F.length("t"), search,
+                         f"query_id {kinds['query_id']}, slug {kinds['slug']}, place long", **sizes)
+    return top_per_key(found.select("query_id", "slug", F.expr("int(-place div 100)").alias("search_rank"), "place"),
+                       ["query_id"], [F.desc("place"), F.col("slug")], k, "position").drop("place")
 
 
 # ---------------------------------------------------------------------- case search
@@ -505,19 +448,17 @@ def prepare_cases(cases: DataFrame) -> DataFrame:
     cases: case_id, messages, code, name, service, situation, aliases, cause.
     """
     joined = lambda c: F.array_join(F.coalesce(c, F.array().cast("array<string>")), " ")
-    everything = F.concat_ws(" ", "code", "name", "situation", joined(F.col("aliases")),
-                             joined(F.col("messages")), "cause")
+    messages = F.coalesce("messages", F.array().cast("array<string>"))
     return cases.select(
-        "case_id", "messages", F.transform("messages", _norm).alias("n_list"),
-        _norm(joined(F.col("messages"))).alias("n_messages"),
+        "case_id", messages.alias("messages"), F.transform(messages, _norm).alias("n_list"),
         *[_norm(F.col(f)).alias(f"n_{f}") for f in ("code", "name", "service", "situation", "cause")],
-        _norm(joined(F.col("aliases"))).alias("n_aliases"), _norm(everything).alias("n_all"),
+        _norm(joined(F.col("aliases"))).alias("n_aliases"),
         tx.case_tokens(F.coalesce("service", F.lit(""))).alias("s_tok"))
 
 
 def prepare_queries(queries: DataFrame) -> DataFrame:
     return queries.select("query_id", _norm(F.col("query")).alias("qn"),
-                          tx.case_tokens("query").alias("qt"))
+                          tx.case_tokens(F.coalesce("query", F.lit(""))).alias("qt"))
 
 
 def best_message() -> Column:
@@ -536,86 +477,67 @@ def best_message() -> Column:
     return F.when(longest != "", longest).otherwise(shared)
 
 
-def case_rank(matched: Column) -> Column:
-    """Rank of a prepared case for a prepared query; lower is better.
-
-    ``matched`` tells whether some message of the case matches.
-    """
-    pts = lambda cond, p: F.when(cond, -float(p)).otherwise(0.0)
-    n = lambda k: F.col(f"n_{k}")
-    within = lambda k: (n(k) != "") & F.contains("qn", n(k))
-    either = lambda k: (n(k) != "") & (F.contains("qn", n(k)) | F.contains(n(k), "qn"))
-    rank = pts(matched, 30)
-    for k, p in (("code", 12), ("name", 10), ("service", 6)):
-        rank = rank + pts(within(k), p)
-    for k, p in (("situation", 5), ("aliases", 3), ("cause", 1)):
-        rank = rank + pts(either(k), p)
-    for k, w in (("messages", 1.5), ("code", 1.2), ("name", 1.0), ("service", 0.8),
-                 ("situation", 0.6), ("aliases", 0.4), ("cause", 0.1)):
-        rank = rank - F.size(F.filter("qt", lambda t, f=n(k): F.contains(f, t))) * w
-    return rank
-
-
-def case_signal(matched: Column) -> Column:
-    """A message, the code, the name or any non-service word of the query is in the case."""
-    n = lambda k: F.col(f"n_{k}")
-    return (matched | ((n("code") != "") & F.contains("qn", n("code")))
-            | ((n("name") != "") & F.contains("qn", n("name")))
-            | F.exists("qt", lambda t: (t != n("service")) & F.contains(n("all"), t)))
-
-
-def rank_case_pairs(pairs: DataFrame) -> DataFrame:
-    """Message, signal and rank for pairs of prepared queries and cases."""
-    p = pairs.withColumn("message", best_message())
-    matched = F.col("message") != ""
-    return p.withColumn("signal", case_signal(matched)).withColumn("case_rank", case_rank(matched))
-
-
-# weight of a query word found in a field, as in case_rank
-FIELD_WEIGHTS = (("messages", 1.5), ("code", 1.2), ("name", 1.0), ("service", 0.8),
-                 ("situation", 0.6), ("aliases", 0.4), ("cause", 0.1))
-
-
-def word_weights() -> Column:
-    """Words of a prepared case with their weight: array<struct<t, w>>, one entry per field."""
-    def words(field):
-        return F.array_distinct(F.filter(F.split(f"n_{field}", "\\s+"), lambda w: F.length(w) > 1))
-
-    return F.concat(*[F.transform(words(f), lambda t, w=w: F.struct(t.alias("t"), F.lit(w).alias("w")))
-                      for f, w in FIELD_WEIGHTS])
-
-
-def shared_weight(words: Column, tokens: Column) -> Column:
-    return F.aggregate(F.filter(words, lambda x: F.array_contains(tokens, x["t"])), F.lit(0.0),
-                       lambda acc, x: acc + x["w"])
-
-
-def search_cases(queries: DataFrame, cases: DataFrame, k: int = 12, fetch: int = 30,
-                 hot_df: int = 500, max_hot: int = 8) -> DataFrame:
-    """Ranked cases per query: fetch the best by shared words, then signal and rank decide.
-
-    The fetch takes ``fetch`` cases by the weight of shared words (ties by id);
-    common words are answered from an index of the best cases per combination.
+# fixed values, in tenths: a query word found in a field; a field found in the query; the latter two
+# for fields that may also hold the query
+FIELD_WEIGHTS = (("messages", 15), ("code", 12), ("name", 10), ("service", 8), ("situation", 6),
+                 ("aliases", 4), ("cause", 1))
+WITHIN_POINTS = (("code", 120), ("name", 100), ("service", 60))
+EITHER_POINTS = (("situation", 50), ("aliases", 30), ("cause", 10))
+
+
+def _case_points(q: pd.DataFrame, c: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Query x case: points (tenths, higher is better) and whether there is a signal."""
+    qn, qt = list(q["qn"]), [list(t) for t in q["qt"]]
+    names = [f for f, _ in FIELD_WEIGHTS]
+    words = [bl.split_words(" ".join(n) for n in c["n_list"])] + [bl.split_words(c[f"n_{f}"]) for f in names[1:]]
+    service, own = list(c["n_service"]), [set(t) for t in c["s_tok"]]
+
+    def fill(tokens: list[str], planes: np.ndarray) -> np.ndarray:
+        """Planes of weights, of words that give a signal, and of words that meet a message."""
+        at = {t: i for i, t in enumerate(tokens)}
+        weights = sum(planes[:, i] * np.uint8(w) for i, (_, w) in enumerate(FIELD_WEIGHTS))
+        signal = planes[:, [i for i, f in enumerate(names) if f != "service"]].max(axis=1)
+        message = planes[:, 0].copy()
+        for column, (name, mine) in enumerate(zip(service, own)):
+            if name in at:
+                signal[at[name], column] = 0
+            message[[at[t] for t in mine & at.keys()], column] = 0
+        return np.stack([weights, signal, message], axis=1)
+
+    n = bl.shared(qt, words, fill)
+    points, signal, told = n[:, 0], n[:, 1] > 0, n[:, 2] > 0
+    lines = [(column, n) for column, ns in enumerate(c["n_list"]) for n in ns]
+    for line, query in zip(*np.nonzero(bl.lies_in([n for _, n in lines], qn))):
+        told[query, lines[line][0]] = True
+    for f, p in WITHIN_POINTS + EITHER_POINTS:
+        values = list(c[f"n_{f}"])
+        hit = bl.lies_in(values, qn).T
+        if f in ("code", "name"):
+            signal |= hit
+        if (f, p) in EITHER_POINTS:
+            hit = hit | bl.lies_in(qn, values)
+        points = points + p * hit
+    return points + 300 * told, signal | told
+
+
+def search_cases(queries: DataFrame, cases: DataFrame, k: int = 12, **sizes) -> DataFrame:
+    """Best ``k`` cases per query among all that give a signal, with message and rank; ties by id.
+
+    Every query meets every case, in blocks of ``sizes``; the message is looked up for the best.
     """
-    c, q = prepare_cases(cases), prepare_queries(queries)
-    cw = c.select("case_id", word_weights().alias("cw"))
-    qw = q.select("query_id", F.array_distinct("qt").alias("qd"))
-    post = explode_once(cw, ["case_id"], F.array_distinct(F.transform("cw", lambda x: x["t"])), "token")
-    q_post = explode_once(qw, ["query_id"], F.col("qd"), "token")
-    hot, d_hot, q_hot = hot_parts(post, q_post, "case_id", "query_id", hot_df)
-    narrow = F.size("hot") <= max_hot
-
-    combos = explode_once(cw.join(d_hot.filter(narrow), "case_id"), ["case_id", "cw"],
-                          tx.subsets("hot"), "u").filter(F.size("u") > 0)
-    combos = combos.select("u", "case_id", shared_weight(F.col("cw"), F.col("u")).alias("s"))
-    index = top_per_key(combos, ["u"], [F.desc("s"), F.col("case_id")], fetch)
-    listed = (explode_once(q_hot.filter(narrow), ["query_id"], tx.subsets("hot"), "u")
-              .join(index.select("u", "case_id"), "u").select("query_id", "case_id"))
-    direct = candidate_pairs(post, q_post, hot, d_hot, q_hot, "case_id", "query_id", max_hot)
-    pairs = direct.union(listed).distinct().join(qw, "query_id").join(cw, "case_id").select(
-        "query_id", "case_id", shared_weight(F.col("cw"), F.col("qd")).alias("s"))
-    fetched = top_per_key(pairs, ["query_id"], [F.desc("s"), F.col("case_id")], fetch).select(
-        "query_id", "case_id")
-    scored = rank_case_pairs(fetched.join(q, "query_id").join(c, "case_id")).filter("signal")
-    return top_per_key(scored.select("query_id", "case_id", "message", "case_rank"), ["query_id"],
-                       [F.col("case_rank"), F.col("case_id")], k, "position")
+    c, q = cut_lineage(prepare_cases(cases)), prepare_queries(queries)  # read twice, costly to make
+    own = [f"n_{f}" for f, _ in FIELD_WEIGHTS[1:]]
+    narrow = c.select("case_id", "n_list", "s_tok", *own)
+
+    def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        points, signal = _case_points(q, c)
+        return bl.best(q["query_id"], c["case_id"], points, signal, k, ["query_id", "case_id", "points"])
+
+    kinds = dict(q.dtypes) | dict(c.dtypes)
+    size = F.length(F.concat_ws(" ", F.array_join("n_list", " "), *own))
+    found = bl.in_blocks(q, narrow, F.length("qn"), size, search,
+                         f"query_id {kinds['query_id']}, case_id {kinds['case_id']}, points long", **sizes)
+    top = top_per_key(found, ["query_id"], [F.desc("points"), F.col("case_id")], k, "position")
+    return (top.join(q, "query_id").join(c.select("case_id", "messages", "n_list", "s_tok"), "case_id")
+            .select("query_id", "case_id", best_message().alias("message"),
+                    (-F.col("points") / 10).alias("case_rank"), "position"))

@@ -64,33 +64,39 @@ ARTICLES = """articles AS (
   FROM documents)"""
 
 
+def first_line(col):
+    """The first line of a text, whole."""
+    return F.substring_index(col, "\n", 1)
+
+
 def article_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Knowledge fields cut from the opening words of each document."""
+    """Knowledge fields from whole documents: first line, long words, last word, all lines."""
     a = articles(spark, sf_dir)
+    body = F.coalesce("body", F.lit(""))
+    w = F.filter(F.split(body, "[ \\t\\r\\n.,]+"), lambda x: x != "")
+    lines = F.split(body, "\n")
     return a.select(
-        "article_id", "segment",
+        "article_id", "segment", "body",
         F.concat(F.lit("a"), F.lpad(F.col("article_id").cast("string"), 9, "0")).alias("slug"),
-        F.array_join(words(F.col("body"), 8), " ").alias("title"),
+        first_line(body).alias("title"),
         F.col("tool").alias("service"),
-        F.lower(F.coalesce(word(F.col("body"), 9), F.lit(""))).alias("code"),
-        words(F.col("body"), 2, 10).alias("components"),
+        F.lower(F.coalesce(F.get(w, F.size(w) - 1), F.lit(""))).alias("code"),
+        F.filter(w, lambda x: F.length(x) >= 12).alias("components"),
         F.array(F.col("segment")).alias("tags"),
-        words(F.col("body"), 1, 15).alias("related_services"),
-        F.array(F.array_join(words(F.col("body"), 3, 12), " ")).alias("top_queries"),
+        F.array(F.substring_index(body, "\n", -1)).alias("related_services"),
+        lines.alias("top_queries"),
     )
 
 
-def _w(a: int, b: int) -> str:
-    return f"array_to_string(list_slice(w, {a}, {b}), ' ')"
-
-
 ARTICLE_FIELDS = f"""{ARTICLES},
-aw AS (SELECT *, {SQL_WORDS.format(c='body')} AS w FROM articles),
+aw AS (SELECT *, coalesce(body, '') AS b,
+         list_filter(regexp_split_to_array(coalesce(body, ''), '[ \\t\\r\\n.,]+'), lambda x: x <> '') AS w
+  FROM articles),
 article_fields AS (
-  SELECT article_id, segment, 'a' || lpad(CAST(article_id AS VARCHAR), 9, '0') AS slug,
-         {_w(1, 8)} AS title, tool AS service, lower(coalesce(w[9], '')) AS code,
-         {_w(10, 11)} AS components, segment AS tags, {_w(15, 15)} AS related_services,
-         {_w(12, 14)} AS top_queries
+  SELECT article_id, segment, b, 'a' || lpad(CAST(article_id AS VARCHAR), 9, '0') AS slug,
+         string_split(b, chr(10))[1] AS title, tool AS service, lower(coalesce(w[-1], '')) AS code,
+         array_to_string(list_filter(w, lambda x: length(x) >= 12), ' ') AS components, segment AS tags,
+         string_split(b, chr(10))[-1] AS related_services, replace(b, chr(10), ' ') AS top_queries
   FROM aw)"""
 
 # ------------------------------------------------------------------- V2 facts
@@ -186,8 +192,8 @@ pure AS (
 # ----------------------------------------------------------------- V4 queries
 
 
-def search_queries(spark: SparkSession, sf_dir: str, head: int | None = 6) -> DataFrame:
-    """Searches with their metrics: the opening words of a text, or with ``head`` None all of it."""
+def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searches with their metrics; the query is a whole text, its white space made single."""
     b = table(spark, sf_dir, "benchmark").select(
         F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("query_id"), "text")
     c = (table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
@@ -195,13 +201,13 @@ def search_queries(spark: SparkSession, sf_dir: str, head: int | None = 6) -> Da
                           F.col("turn").cast("string")).alias("query_id"), "text"))
     n = F.length("text")
     return b.unionByName(c).select(
-        "query_id", F.array_join(words(F.col("text"), head), " ").alias("query"),
+        "query_id", F.array_join(words(F.col("text")), " ").alias("query"),
         (n % 200).cast("long").alias("impressions"),
         ((n % 10) / 100.0).alias("ctr"), (n % 40).cast("double").alias("position"))
 
 
 SEARCH_QUERIES = f"""search_queries AS (
-  SELECT query_id, array_to_string(list_slice({SQL_WORDS.format(c='text')}, 1, 6), ' ') AS query,
+  SELECT query_id, array_to_string({SQL_WORDS.format(c='text')}, ' ') AS query,
          CAST(length(text) % 200 AS BIGINT) AS impressions,
          (length(text) % 10) / 100.0 AS ctr, CAST(length(text) % 40 AS DOUBLE) AS position
   FROM (SELECT 'b' || CAST(item_id AS VARCHAR) AS query_id, text FROM benchmark
@@ -209,9 +215,6 @@ SEARCH_QUERIES = f"""search_queries AS (
         SELECT 'c' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR), text
         FROM conversations WHERE role = 'user'))"""
 
-WHOLE_QUERIES = SEARCH_QUERIES.replace(
-    f"list_slice({SQL_WORDS.format(c='text')}, 1, 6)", SQL_WORDS.format(c="text"))
-
 # ------------------------------------------------------------------- V5 hosts
 
 

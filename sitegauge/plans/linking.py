@@ -10,13 +10,12 @@ from ..operators import linking as li
 from ..operators import search as se
 from ..session import cut_lineage
 from .bindings import (ARTICLE_FIELDS, ARTICLES, CITED_URLS, ENTITIES, FACTS, SEARCH_QUERIES,
-                       SQL_WORDS, WHOLE_QUERIES, article_fields, articles, cited_urls, entities, facts,
+                       SQL_WORDS, article_fields, articles, cited_urls, entities, facts,
                        search_queries, table, word, words)
 from .registry import query
 
 # ------------------------------------------------------------------ query coverage
 
-HOT = 200  # small enough that the small tables exercise the hot-token index
 STOPS = ("'a','an','the','in','on','at','for','to','of','and','or','is','are','was','be','with','by','from','as',"
          "'it','i','not','how','what','why','when','where','error','vs','get','cannot','can','could','that','this',"
          "'these','those','using','use','via','make','do','did','does','my'")
@@ -33,11 +32,11 @@ ft AS (SELECT slug, {tok('service')} AS svc, CASE WHEN code <> '' THEN [code] EL
   {tok('components')} AS comp, {tok('tags')} AS tag, {tok('title')} AS title, {tok('related_services')} AS rel,
   {tok('top_queries')} AS tq FROM article_fields),
 qt AS (SELECT *, {tok('query')} AS q FROM search_queries),
-sc AS (SELECT query_id, slug, (CASE WHEN len(list_intersect(svc, q)) > 0 THEN 5.0 ELSE 0.0 END
-  + CASE WHEN len(list_intersect(code, q)) > 0 THEN 4.0 ELSE 0.0 END + least(len(list_intersect(comp, q)), 2)::DOUBLE
-  + CASE WHEN len(list_intersect(tag, q)) > 0 THEN 1.0 ELSE 0.0 END + least(len(list_intersect(title, q))::DOUBLE * 0.3::DOUBLE, 1.0::DOUBLE)
-  + CASE WHEN len(list_intersect(rel, q)) > 0 THEN 0.5 ELSE 0.0 END
-  + CASE WHEN len(list_intersect(tq, q)) > 0 THEN 1.0 ELSE 0.0 END)::DOUBLE / 14.5::DOUBLE AS score FROM qt CROSS JOIN ft),
+sc AS (SELECT query_id, slug, (CASE WHEN list_has_any(svc, q) THEN 50 ELSE 0 END
+  + CASE WHEN list_has_any(code, q) THEN 40 ELSE 0 END + 10 * least(len(list_intersect(comp, q)), 2)
+  + CASE WHEN list_has_any(tag, q) THEN 10 ELSE 0 END + least(3 * len(list_intersect(title, q)), 10)
+  + CASE WHEN list_has_any(rel, q) THEN 5 ELSE 0 END
+  + CASE WHEN list_has_any(tq, q) THEN 10 ELSE 0 END) / 145.0::DOUBLE AS score FROM qt CROSS JOIN ft),
 bst AS (SELECT query_id, slug, score FROM sc WHERE score > 0
   QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, slug) = 1),
 cov AS (SELECT q.query_id, query, impressions, ctr, position, coalesce(slug, '') AS best_match_slug, coalesce(score, 0.0) AS match_score,
@@ -47,9 +46,9 @@ cov AS (SELECT q.query_id, query, impressions, ctr, position, coalesce(slug, '')
 
 
 def _covered(spark, sf):
-    # token tables are read by several branches: write them once to the shared folder
+    # token tables are counted before they are used: write them once to the shared folder
     q = cut_lineage(search_queries(spark, sf).withColumn("q_tok", tx.tokens("query")))
-    best = li.best_articles(q, cut_lineage(li.field_tokens(article_fields(spark, sf))), HOT)
+    best = li.best_articles(q, cut_lineage(li.field_tokens(article_fields(spark, sf))))
     return (q.join(best, "query_id")
             .withColumn("coverage", li.coverage_class(F.col("match_score"), 0.3, 0.1))
             .withColumn("opportunity_score", se.opportunity()))
@@ -87,7 +86,7 @@ _CASE_S = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SERVICES.items())
 _CASE_P = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PARTS.items())
 
 
-@query("t34_infer_fields", f"""WITH {WHOLE_QUERIES},
+@query("t34_infer_fields", f"""WITH {SEARCH_QUERIES},
 t AS (SELECT query_id, query, {tok('query')} AS q FROM search_queries),
 s AS (SELECT *, list_sort(list_filter(q, lambda x: x IN ('le', 'que', 'der', 'und', 'la', 'is', 'de'))) AS ks,
   list_slice(list_transform(list_sort(list_filter(q, lambda x: x IN ('les', 'die', 'sh', 'tion', 'in', 'un'))),
@@ -104,17 +103,17 @@ SELECT query_id, coalesce(CASE ks[1] {_CASE_S} END, '') AS service, array_to_str
    WHEN regexp_matches(lower(query), 'ssl|tls|certificate|cert') THEN ' SSL/TLS エラー：解決方法'
    ELSE ' エラー：トラブルシューティングガイド' END AS title FROM s""")
 def t34_infer(spark, sf):
-    q = search_queries(spark, sf, None).withColumn("q_tok", tx.tokens("query"))
+    q = search_queries(spark, sf).withColumn("q_tok", tx.tokens("query"))
     return q.select("query_id", li.infer_service(F.col("q_tok"), SERVICES).alias("service"),
                     F.array_join(li.infer_components(F.col("q_tok"), PARTS), ",").alias("components"),
                     li.suggest_title(F.col("query")).alias("title"))
 
 
-@query("k10_distinct_queries", f"""WITH {WHOLE_QUERIES},
+@query("k10_distinct_queries", f"""WITH {SEARCH_QUERIES},
 d AS (SELECT trim(query) AS top_query, query_id FROM search_queries)
 SELECT top_query FROM d WHERE top_query <> '' GROUP BY top_query ORDER BY min(query_id) LIMIT 25""")
 def k10_distinct(spark, sf):
-    q = search_queries(spark, sf, None).select(F.trim("query").alias("top_query"), "query_id")
+    q = search_queries(spark, sf).select(F.trim("query").alias("top_query"), "query_id")
     return (se.first_wins(q.filter(F.col("top_query") != ""), F.col("top_query"), ["query_id"])
             .orderBy("query_id").limit(25).select("top_query"))
 
@@ -381,11 +380,11 @@ def a24_submitted(spark, sf):
 @query("g09_article_search", f"""WITH {ARTICLE_FIELDS}, {SEARCH_QUERIES},
 q AS (SELECT query_id, (100 + impressions * 7 % 400)::VARCHAR AS qc, list_distinct(list_filter(regexp_split_to_array(trim(lower(query)), '\\s+'), lambda w: w <> '')) AS terms
   FROM search_queries),
-a AS (SELECT slug, list_distinct(list_filter(regexp_split_to_array(trim(lower(title)), '\\s+'), lambda w: w <> '')) AS tt,
-  (100 + article_id % 400)::VARCHAR AS code, CASE WHEN article_id % 11 = 0 THEN 2 ELSE 0 END AS cls FROM article_fields),
-p AS (SELECT query_id, slug, cls, qc = code AS same, len(terms) > 0 AND len(list_intersect(terms, tt)) = len(terms) AS tool
-  FROM q CROSS JOIN a WHERE qc = code OR len(list_intersect(terms, tt)) > 0),
-r AS (SELECT *, CASE WHEN same AND tool THEN 0 WHEN same THEN 1 WHEN tool THEN 2 ELSE 3 + cls END AS search_rank FROM p)
+a AS (SELECT slug, lower(title) AS t, (100 + article_id % 400)::VARCHAR AS code, CASE WHEN article_id % 11 = 0 THEN 2 ELSE 0 END AS cls FROM article_fields),
+p AS (SELECT query_id, slug, cls, qc = code AS same, len(terms) AS n, len(list_filter(terms, lambda w: contains(t, w))) AS hits
+  FROM q CROSS JOIN a),
+r AS (SELECT *, CASE WHEN same AND n > 0 AND hits = n THEN 0 WHEN same THEN 1 WHEN n > 0 AND hits = n THEN 2 ELSE 3 + cls END AS search_rank
+  FROM p WHERE same OR hits > 0)
 SELECT query_id, slug, search_rank::INTEGER AS search_rank FROM r
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY search_rank, cls, slug) <= 10""")
 def g09_search(spark, sf):
@@ -396,33 +395,78 @@ def g09_search(spark, sf):
     a = article_fields(spark, sf).select(
         "slug", "title", (100 + i % 400).cast("string").alias("code"),
         F.when(i % 11 == 0, "/glossary/x/").otherwise("/posts/x/").alias("permalink"))
-    return li.search_articles(q, cut_lineage(a), 10, HOT).select("query_id", "slug", "search_rank")
+    return li.search_articles(q, a).select("query_id", "slug", "search_rank")
 
 
 def _cases(spark, sf):
-    """Error cases cut from article openings: one message, situation and cause each."""
-    w = lambda a, n: F.array_join(words(F.col("body"), n, a), " ")
-    return cut_lineage(articles(spark, sf).select(
-        F.col("article_id").alias("case_id"), F.array(w(1, 3)).alias("messages"),
-        w(4, 1).alias("code"), w(5, 2).alias("name"), F.col("tool").alias("service"),
-        w(7, 4).alias("situation"), F.array(w(11, 2)).alias("aliases"), w(13, 4).alias("cause")))
-
-
-@query("j14_case_search")
+    """Error cases from whole articles: lines as messages, a number, first and last line, long words."""
+    return article_fields(spark, sf).select(
+        F.col("article_id").alias("case_id"), F.col("top_queries").alias("messages"),
+        F.regexp_extract(F.coalesce("body", F.lit("")), "[0-9]{3}", 0).alias("code"), F.col("code").alias("name"),
+        "service", F.col("title").alias("situation"), F.col("components").alias("aliases"),
+        F.get("related_services", F.lit(0)).alias("cause"))
+
+
+def _sql_norm(c):
+    """Masked text, as t26_mask_error_text."""
+    for pattern, mark in (("[“”]", '"'), ("[‘’]", "''"), ("https?://\\S+", " <url> "),
+                          ("([0-9]{1,3}(\\.[0-9]{1,3}){3})", " <ip> "), ("[a-f0-9]{12,}", " <id> "),
+                          ("[a-z]:\\\\[^\\s]+", " <path> "), ("/[^\\s]+(?:/[^\\s]+)+", " <path> "),
+                          ("[<>{}()\\[\\],:;]+", " "), ("\\s+", " ")):
+        c = f"regexp_replace({c if c.startswith('regexp') else f'lower({c})'}, '{pattern}', '{mark}', 'g')"
+    return f"trim({c})"
+
+
+_FIELDS = ("code", "name", "service", "situation", "aliases", "cause")
+_IN = " + ".join(
+    [f"CASE WHEN n_{f} <> '' AND contains(qn, n_{f}) THEN {p} ELSE 0 END"
+     for f, p in (("code", 120), ("name", 100), ("service", 60))]
+    + [f"CASE WHEN n_{f} <> '' AND (contains(qn, n_{f}) OR contains(n_{f}, qn)) THEN {p} ELSE 0 END"
+       for f, p in (("situation", 50), ("aliases", 30), ("cause", 10))])
+_WORDS = " + ".join(
+    f"{w} * len(list_filter(qt, lambda t: contains(n_{f}, t)))"
+    for f, w in (("messages", 15), ("code", 12), ("name", 10), ("service", 8), ("situation", 6), ("aliases", 4), ("cause", 1)))
+SEARCH_CASES = f"""{ARTICLE_FIELDS}, {SEARCH_QUERIES},
+cq AS (SELECT query_id, qn, list_filter(string_split(qn, ' '), lambda t: length(t) > 1 AND t NOT IN ('error', 'from')) AS qt
+  FROM (SELECT query_id, {_sql_norm('query')} AS qn FROM search_queries)),
+cc AS (SELECT article_id AS case_id, string_split(b, chr(10)) AS messages,
+  list_transform(string_split(b, chr(10)), lambda x: {_sql_norm('x')}) AS n_list, {_sql_norm('top_queries')} AS n_messages,
+  regexp_extract(b, '[0-9]{{3}}') AS n_code, {_sql_norm('code')} AS n_name, {_sql_norm("coalesce(service, '')")} AS n_service,
+  {_sql_norm('title')} AS n_situation, {_sql_norm('components')} AS n_aliases, {_sql_norm('related_services')} AS n_cause
+  FROM article_fields),
+cs AS (SELECT *, list_filter(string_split(n_service, ' '), lambda t: length(t) > 1 AND t NOT IN ('error', 'from')) AS s_tok,
+  n_code || ' ' || n_name || ' ' || n_situation || ' ' || n_aliases || ' ' || n_messages || ' ' || n_cause AS n_all FROM cc),
+cp AS (SELECT *, len(list_filter(qt, lambda t: contains(n_messages, t) AND NOT list_contains(s_tok, t))) > 0
+    OR len(list_filter(n_list, lambda n: n <> '' AND contains(qn, n))) > 0 AS told FROM cq CROSS JOIN cs),
+cr AS (SELECT query_id, case_id, qn, qt, s_tok, messages, n_list,
+    CASE WHEN told THEN 300 ELSE 0 END + {_IN} + {_WORDS} AS points
+  FROM cp WHERE told OR (n_code <> '' AND contains(qn, n_code)) OR (n_name <> '' AND contains(qn, n_name))
+    OR len(list_filter(qt, lambda t: t <> n_service AND contains(n_all, t))) > 0),
+best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY points DESC, case_id) AS position FROM cr
+  QUALIFY position <= 12),
+best_scored AS (SELECT *, list_transform(list_zip(messages, n_list), lambda x: CASE WHEN x[2] <> '' AND contains(qn, x[2]) THEN length(x[1]) ELSE 0 END) AS longest,
+  list_transform(n_list, lambda n: len(list_filter(qt, lambda t: contains(n, t) AND NOT list_contains(s_tok, t)))) AS common FROM best)"""
+
+
+@query("j14_case_search", f"""WITH {SEARCH_CASES}
+SELECT query_id, case_id, CASE WHEN list_max(longest) > 0 THEN messages[list_position(longest, list_max(longest))]
+  WHEN list_max(common) > 0 THEN messages[list_position(common, list_max(common))] ELSE '' END AS message,
+  round(-points / 10, 6) AS case_rank, position::INTEGER AS position FROM best_scored""")
 def j14_cases(spark, sf):
     return li.search_cases(search_queries(spark, sf), _cases(spark, sf)).select(
         "query_id", "case_id", "message", r6("case_rank").alias("case_rank"), "position")
 
 
-@query("g08_case_rank")
+@query("g08_case_rank", f"""WITH {SEARCH_CASES}
+SELECT query_id, round(-points / 10, 6) AS best_rank, case_id FROM best WHERE position = 1""")
 def g08_rank(spark, sf):
-    """Best rank per query and how many ranked cases reach it."""
-    ranked = li.search_cases(search_queries(spark, sf), _cases(spark, sf))
-    return ranked.groupBy("query_id").agg(
-        r6(F.min("case_rank")).alias("best_rank"), F.min_by("case_id", "position").alias("case_id"))
+    """Best case per query and its rank."""
+    return li.search_cases(search_queries(spark, sf), _cases(spark, sf), 1).select(
+        "query_id", r6("case_rank").alias("best_rank"), "case_id")
 
 
-@query("f12_case_signal")
+@query("f12_case_signal", f"""WITH {SEARCH_CASES}
+SELECT query_id, query_id IN (SELECT query_id FROM cr) AS has_signal FROM search_queries""")
 def f12_signal(spark, sf):
     """Queries with at least one case that gives a signal."""
     ranked = li.search_cases(search_queries(spark, sf), _cases(spark, sf), 1)

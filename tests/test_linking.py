@@ -9,10 +9,11 @@ CASE = ("case_id string, service string, code string, name string, cause string,
 
 
 def ranked(spark, query, cases):
-    q = li.prepare_queries(spark.createDataFrame([("q", query)], "query_id string, query string"))
-    c = li.prepare_cases(spark.createDataFrame(cases, CASE))
-    r = li.rank_case_pairs(q.crossJoin(c)).orderBy("case_rank").collect()
-    return [(x.case_id, x.signal, x.message) for x in r]
+    """(case, signal, message), best first; cases without a signal come last."""
+    q = spark.createDataFrame([("q", query)], "query_id string, query string")
+    c = spark.createDataFrame(cases, CASE)
+    found = [(x.case_id, True, x.message) for x in li.search_cases(q, c).orderBy("position").collect()]
+    return found + [(c[0], False, "") for c in cases if c[0] not in {f[0] for f in found}]
 
 
 PULL = "pull access denied"
@@ -51,12 +52,11 @@ def test_situation_and_missing_code(spark):
 
 
 def article_order(spark, query, hits):
-    df = spark.createDataFrame(hits, "title string, code string, permalink string, score double")
-    rank, tool = li.article_rank(F.col("title"), F.col("code"), li.article_class(
-        F.col("permalink"), F.col("code")), li.query_code(F.lit(query)), li.query_terms(F.lit(query)))
-    late = F.when((li.query_code(F.lit(query)) == "") & ~tool, 1).otherwise(0)
-    cls = li.article_class(F.col("permalink"), F.col("code"))
-    return [r.title for r in df.orderBy(rank, cls, late, "score").collect()]
+    """Titles in order of the search; equal ranks go by the slug, here the score."""
+    a = spark.createDataFrame([(f"{s:.3f}-{i}", t, c, p) for i, (t, c, p, s) in enumerate(hits)],
+                              "slug string, title string, code string, permalink string")
+    q = spark.createDataFrame([(1, query)], "query_id int, query string")
+    return [r.title for r in li.search_articles(q, a).join(a, "slug").orderBy("position").collect()]
 
 
 HITS = [("Docker の 400 エラー", "400", "/posts/docker-400/", 0.05),
@@ -77,7 +77,7 @@ def test_article_search_order(spark):
     assert article_order(spark, "docker 500", HITS)[1] == "Nginx の 500 エラー"
 
 
-def test_coverage_is_exact_for_any_hot_limit(spark):
+def test_coverage_is_exact_for_any_block_size(spark):
     rnd = random.Random(5)
     vocab = [f"w{i}" for i in range(12)]
 
@@ -98,11 +98,13 @@ def test_coverage_is_exact_for_any_hot_limit(spark):
                 + .5 * hit(rel) + hit(tq)) / 14.5
 
     want = {qid: max((round(score(t, a), 9), -i) for i, a in enumerate(fields)) for qid, t in queries}
-    for hot_df, max_hot in ((1000, 10), (0, 10), (20, 10), (0, 3)):
-        for r in li.best_articles(q, f, hot_df, max_hot).collect():
+    for sizes in ({}, {"q_rows": 7, "i_rows": 11}):
+        rows = li.best_articles(q, f, **sizes).collect()
+        assert len(rows) == len(queries)
+        for r in rows:
             best, i = want[r.query_id]
             assert abs(r.match_score - best) < 1e-8
-            assert r.best_match_slug == (fields[-i][0] if best > 0 else ""), (hot_df, r)
+            assert r.best_match_slug == (fields[-i][0] if best > 0 else ""), (sizes, r)
 
 
 def test_related_items_with_one_dominant_service(spark):
@@ -153,15 +155,72 @@ def test_title_rules(spark):
     assert {r.q: r.t for r in df.select("q", li.suggest_title(F.col("q")).alias("t")).collect()} == q
 
 
-def test_case_search_is_the_same_for_any_hot_limit(spark):
+def brute_cases(queries, cases, k):
+    """All cases of all queries by plain string search; words are already normalized."""
+    out = []
+    for qid, query in queries:
+        words = [w for w in query.split() if len(w) > 1 and w not in ("error", "from")]
+        rows = []
+        for cid, messages, code, name, service, situation, aliases, cause in cases:
+            fields = {"m": " ".join(messages), "code": code, "name": name, "service": service,
+                      "sit": situation, "al": " ".join(aliases), "cause": cause}
+            own = [w for w in service.split() if len(w) > 1 and w not in ("error", "from")]
+            whole = [m for m in messages if m and m in query]
+            free = [w for w in words if w not in own]
+            if whole:
+                message = max(whole, key=len)
+            else:
+                common = [sum(w in m for w in free) for m in messages]
+                message = messages[common.index(max(common))] if messages and max(common) else ""
+            told = message != ""
+            everything = " ".join(v for f, v in fields.items() if f != "service")
+            if not (told or (code and code in query) or (name and name in query)
+                    or any(w != service and w in everything for w in words)):
+                continue
+            points = 300 * told
+            points += sum(p for f, p in (("code", 120), ("name", 100), ("service", 60))
+                          if fields[f] and fields[f] in query)
+            points += sum(p for f, p in (("sit", 50), ("al", 30), ("cause", 10))
+                          if fields[f] and (fields[f] in query or query in fields[f]))
+            points += sum(p * sum(w in fields[f] for w in words) for f, p in (
+                ("m", 15), ("code", 12), ("name", 10), ("service", 8), ("sit", 6), ("al", 4), ("cause", 1)))
+            rows.append((-points, cid, message))
+        out += [(qid, cid, m, p / 10, i + 1) for i, (p, cid, m) in enumerate(sorted(rows)[:k])]
+    return sorted(out)
+
+
+def test_case_search_equals_all_pairs(spark):
     rnd = random.Random(2)
-    w = [f"w{i}" for i in range(15)]
-    cases = [(i, [" ".join(rnd.sample(w, 3))], rnd.choice(w), rnd.choice(w), "svc", rnd.choice(w), [rnd.choice(w)],
-              rnd.choice(w)) for i in range(50)]
+    w = [a + b for a in ("ka", "lo", "mi", "x", "error") for b in ("", "ka", "zu", "mi")]
+    some = lambda a, b: " ".join(rnd.choices(w, k=rnd.randint(a, b)))
+    cases = [(i, [some(0, 3) for _ in range(rnd.randint(0, 3))], some(0, 1), some(0, 2), rnd.choice(w[1:3]),
+              some(0, 4), [some(1, 1) for _ in range(rnd.randint(0, 2))], some(0, 2)) for i in range(80)]
+    queries = [(i, some(1, 6)) for i in range(25)] + [(25, ""), (26, "none")]
     c = spark.createDataFrame(cases, "case_id int, messages array<string>, code string, name string, "
                               "service string, situation string, aliases array<string>, cause string")
-    q = spark.createDataFrame([(i, " ".join(rnd.sample(w, 4))) for i in range(12)], "query_id int, query string")
-    run = lambda **k: sorted(map(tuple, li.search_cases(q, c, k=5, fetch=8, **k).select(
-        "query_id", "case_id", "position").collect()))
-    plain = run()
-    assert plain == run(hot_df=0) == run(hot_df=10) == run(hot_df=0, max_hot=2)
+    q = spark.createDataFrame(queries, "query_id int, query string")
+    want = brute_cases(queries, cases, 5)
+    for sizes in ({}, {"q_rows": 4, "i_rows": 9}):
+        got = li.search_cases(q, c, k=5, **sizes).select("query_id", "case_id", "message", "case_rank", "position")
+        assert sorted(map(tuple, got.collect())) == want
+    assert li.search_cases(q, c.limit(0)).count() == li.search_cases(q.limit(0), c).count() == 0
+
+
+def test_case_search_with_missing_fields(spark):
+    c = spark.createDataFrame([(1, ["a timeout"], None, None, None, None, None, None), (2, None, "504", *[None] * 5),
+                               (3, [None, "time"], None, None, None, None, None, None)],
+                              "case_id int, messages array<string>, code string, name string, service string, "
+                              "situation string, aliases array<string>, cause string")
+    q = spark.createDataFrame([(1, "time 504"), (2, None)], "query_id int, query string")
+    got = [(r.query_id, r.case_id, r.message) for r in li.search_cases(q, c).orderBy("position").collect()]
+    assert got == [(1, 1, "a timeout"), (1, 3, "time"), (1, 2, "")]  # a tie of 1 and 3
+
+
+def test_article_search_meets_words_inside_titles(spark):
+    a = spark.createDataFrame([("a", "Dockerエラーの原因", "", "/posts/a/"), ("b", "docker-compose の使い方", "", "/posts/b/"),
+                               ("c", "GitHub", "", "/posts/c/"), ("d", None, None, None)],
+                              "slug string, title string, code string, permalink string")
+    q = spark.createDataFrame([(1, "エラー"), (2, "compose"), (3, "docker"), (4, ""), (5, None)], "query_id int, query string")
+    for sizes in ({}, {"q_rows": 1, "i_rows": 1}):
+        got = sorted((r.query_id, r.slug) for r in li.search_articles(q, a, **sizes).collect())
+        assert got == [(1, "a"), (2, "b"), (3, "a"), (3, "b")]
