@@ -21,24 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-HEAD_WORDS = 20
-
-
-def words(col, n: int | None = None, start: int = 1):
-    """Whitespace words of a text: all, or ``n`` of the first HEAD_WORDS from ``start``.
-
-    Taking opening words stops splitting after them instead of splitting a
-    whole document.
-    """
-    if n is None:
-        return F.split(F.trim(col), "[ \\t\\r\\n]+")
-    head = F.split(F.trim(col), "[ \\t\\r\\n]+", HEAD_WORDS + 1)
-    return F.slice(F.slice(head, 1, HEAD_WORDS), start, n)
-
-
-def word(col, i: int):
-    """The i-th opening word of a text (from 1), null when there are fewer."""
-    return F.get(words(col, 1, i), F.lit(0))
+def words(col):
+    """Whitespace words of a text."""
+    return F.split(F.trim(col), "[ \\t\\r\\n]+")
 
 
 SQL_WORDS = "regexp_split_to_array(trim({c}), '[ \\t\\r\\n]+')"

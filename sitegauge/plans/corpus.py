@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.common import contains_any, explode_once, r6
 from ..operators import corpus as co
-from .bindings import ARTICLES, AS_OF, SQL_WORDS, articles, table, word, words
+from .bindings import ARTICLES, AS_OF, SQL_WORDS, articles, first_line, table, words
 from .registry import query
 
 W = f"WITH {ARTICLES} "
@@ -28,12 +28,12 @@ def lint_corpus(spark, sf):
     """Articles with front matter: some lack a code or title or are drafts."""
     a = articles(spark, sf)
     i = F.col("article_id")
-    opening = F.array_join(words(F.col("body"), 12), " ")
+    text = F.col("body")
     fm = F.create_map(
-        F.lit("title"), F.when(i % 13 == 0, "").otherwise(F.array_join(words(F.col("body"), 8), " ")),
+        F.lit("title"), F.when(i % 13 == 0, "").otherwise(first_line(text)),
         F.lit("tags"), F.concat(F.lit('["'), F.col("tool"), F.lit('"]')),
         F.lit("errorCode"), F.when(i % 3 == 0, "500").otherwise(""),
-        F.lit("description"), F.when(i % 19 == 0, F.concat(opening, F.lit("。。"))).otherwise(opening),
+        F.lit("description"), F.when(i % 19 == 0, F.concat(text, F.lit("。。"))).otherwise(text),
         F.lit("date"), F.col("pub_date").cast("string"),
         F.lit("draft"), F.when(i % 10 == 0, "TRUE").otherwise("false"))
     return a.select("*", F.concat(F.lit("doc_"), i.cast("string")).alias("stem"), fm.alias("fm"))
@@ -46,7 +46,7 @@ issues AS (
   SELECT article_id, is_error, 'A7' AS rule, 'FAIL' AS severity FROM lc WHERE is_error AND NOT contains(body, 'License')
   UNION ALL SELECT article_id, is_error, 'A8', 'WARN' FROM lc WHERE is_error
   UNION ALL SELECT article_id, is_error, 'A6', 'FAIL' FROM lc WHERE is_error AND NOT has_code
-  UNION ALL SELECT article_id, is_error, 'A6', 'FAIL' FROM lc WHERE article_id % 13 = 0
+  UNION ALL SELECT article_id, is_error, 'A6', 'FAIL' FROM lc WHERE article_id % 13 = 0 OR string_split(body, chr(10))[1] = ''
   UNION ALL SELECT article_id, is_error, 'A6', 'FAIL' FROM lc WHERE article_id % 19 = 0
   UNION ALL SELECT article_id, is_error, 'B2', 'FAIL' FROM lc WHERE regexp_matches(body, 'Released under the [A-Z]+ License')
   UNION ALL SELECT article_id, is_error, 'B2', 'FAIL' FROM lc WHERE regexp_matches(body, '(?:licensed|Licensed) under the [A-Za-z ]+')
@@ -298,20 +298,20 @@ def t26_mask(spark, sf):
 
 
 @query("t28_slugs", W + f""",
-w AS (SELECT article_id, tool, segment, {SQL_WORDS.format(c='body')} AS w FROM articles),
-s AS (SELECT *, array_to_string(list_slice(w, 1, 4), ' ') AS name FROM w),
+w AS (SELECT article_id, tool, segment, body, {SQL_WORDS.format(c='body')} AS w FROM articles),
+s AS (SELECT *, string_split(body, chr(10))[1] AS name FROM w),
 d AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(lower('kb-' || name), '[^a-z0-9]', '-', 'g'), '-+', '-', 'g'), '^-|-$', '', 'g') AS d,
-   regexp_replace(regexp_replace(regexp_replace(lower(w[1]), '[^a-z0-9-]', '-', 'g'), '-+', '-', 'g'), '^-|-$', '', 'g') AS t1 FROM s),
+   regexp_replace(regexp_replace(regexp_replace(lower(w[-1]), '[^a-z0-9-]', '-', 'g'), '-+', '-', 'g'), '^-|-$', '', 'g') AS t1 FROM s),
 c AS (SELECT *, CASE WHEN length(d) > 50 THEN regexp_replace(substr(d, 1, 50), '-+$', '') ELSE d END AS c,
    CASE WHEN length(t1) > 20 THEN regexp_replace(substr(t1, 1, 20), '-+$', '') ELSE t1 END AS t2 FROM d)
 SELECT article_id, regexp_replace(lower(tool || '_' || name), '[^a-z0-9_]', '_', 'g') || '.md' AS filename,
   c || repeat('-x', greatest(0, ceil((12 - length(c)) / 2)::INTEGER)) AS post_slug,
-  CASE WHEN regexp_matches(w[1], '^[0-9]+$') OR length(t1) < 2 OR t2 = tool OR t2 = segment
+  CASE WHEN regexp_matches(w[-1], '^[0-9]+$') OR length(t1) < 2 OR t2 = tool OR t2 = segment
        THEN tool || ',' || segment || ',error' ELSE tool || ',' || segment || ',' || t2 || ',error' END AS topics
 FROM c""")
 def t28_slugs(spark, sf):
-    name = F.array_join(words(F.col("body"), 4), " ")
-    tags = F.array(F.col("tool"), F.col("segment"), word(F.col("body"), 1))
+    name = first_line(F.col("body"))
+    tags = F.array(F.col("tool"), F.col("segment"), F.element_at(words(F.col("body")), -1))
     return articles(spark, sf).select(
         "article_id",
         F.concat(tx.slug(F.concat("tool", F.lit("_"), name)), F.lit(".md")).alias("filename"),
@@ -435,7 +435,7 @@ def a25_index(spark, sf):
 
 @query("t20_excerpt")
 def t20_excerpt(spark, sf):
-    e = co.excerpt(F.array_join(words(F.col("body"), 8), " "), {"service": F.col("tool")})
+    e = co.excerpt(first_line(F.col("body")), {"service": F.col("tool")})
     return articles(spark, sf).select("article_id", e.alias("e")).select(
         "article_id", "e.text", "e.truncated")
 

@@ -11,7 +11,7 @@ from ..operators import traffic as tr
 from ..session import new_folder
 from ..sources import sinks
 from ..streaming import feeds as fd
-from .bindings import ARTICLES, FACTS, SQL_WORDS, articles, facts, table, word, words
+from .bindings import ARTICLES, FACTS, SQL_WORDS, articles, facts, first_line, table, words
 from .registry import query
 
 NOW = "2024-01-30 12:00:00"
@@ -130,15 +130,15 @@ def r03_stream(spark, sf):
 
 @query("r04_flag_changes", f"""WITH {ENTRIES}, {ACTIVE}, {ARTICLES},
 a AS (SELECT article_id, lower(CASE WHEN article_id % 2 = 0 THEN 'GitHub' ELSE 'Docker' END || article_id % 9) AS service,
-  article_id % 5 = 0 AS flagged, lower({SQL_WORDS.format(c='body')}[1]) AS comp FROM articles),
-h AS (SELECT *, service IN (SELECT lower(service) FROM active) OR comp IN (SELECT lower(unnest(string_split(keywords, ','))) FROM active) AS hit FROM a)
+  article_id % 5 = 0 AS flagged, {SQL_WORDS.format(c='lower(body)')} AS comp FROM articles),
+h AS (SELECT *, service IN (SELECT lower(service) FROM active) OR list_has_any(comp, (SELECT list(lower(w)) FROM (SELECT unnest(string_split(keywords, ',')) AS w FROM active))) AS hit FROM a)
 SELECT article_id, CASE WHEN hit THEN 'apply' ELSE 'clear' END AS change FROM h WHERE hit <> flagged""")
 def r04_flags(spark, sf):
     i = F.col("article_id")
     a = articles(spark, sf).select(
         "article_id", F.concat(F.when(i % 2 == 0, "GitHub").otherwise("Docker"), (i % 9).cast("string"))
         .alias("service"), (i % 5 == 0).alias("flagged"),
-        F.array(word(F.col("body"), 1)).alias("components"))
+        words(F.col("body")).alias("components"))
     m = li.match_incidents(a, _active(spark, sf), "article_id")
     return fd.flag_changes(a, m, "article_id").select("article_id", "change")
 
@@ -214,12 +214,12 @@ def s07_markdown(spark, sf):
 
 
 @query("s08_page_index", f"""WITH {ARTICLES}
-SELECT array_to_string(list_slice({SQL_WORDS.format(c='body')}, 1, 8), ' ') AS title, substr(body, 1, 200) AS content,
+SELECT string_split(body, chr(10))[1] AS title, substr(body, 1, 200) AS content,
   '/posts/' || article_id || '/' AS permalink, '' AS "errorCode", tool AS tag FROM articles WHERE article_id % 12 <> 0""")
 def s08_pages(spark, sf):
     a = articles(spark, sf)
     return sinks.page_index(a.select(
-        F.array_join(words(F.col("body"), 8), " ").alias("title"), F.col("body").alias("content"),
+        first_line(F.col("body")).alias("title"), F.col("body").alias("content"),
         F.concat(F.lit("/posts/"), F.col("article_id").cast("string"), F.lit("/")).alias("permalink"),
         F.lit(None).cast("string").alias("errorCode"), F.array("tool").alias("tags"),
         (F.col("article_id") % 12 == 0).alias("hidden")))

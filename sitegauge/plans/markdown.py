@@ -165,14 +165,14 @@ def t37_terms(spark, sf):
 
 @query("a17_missing_terms", f"""{W},
 w AS (SELECT article_id, {SQL_WORDS.format(c='body')} AS w FROM articles),
-t AS (SELECT trim(unnest([regexp_replace(w[1], '[*]', '', 'g'), regexp_replace(w[2], '[*]', '', 'g')])) AS term FROM w),
+t AS (SELECT regexp_replace(unnest(w), '[*]', '', 'g') AS term FROM w),
 s AS (SELECT term, count(*) AS n, CASE WHEN regexp_replace(regexp_replace(regexp_replace(lower(term), '[^a-z0-9぀-鿿]', '-', 'g'), '-+', '-', 'g'), '^-|-$', '', 'g') = '' THEN 'term'
   ELSE regexp_replace(regexp_replace(regexp_replace(lower(term), '[^a-z0-9぀-鿿]', '-', 'g'), '-+', '-', 'g'), '^-|-$', '', 'g') END AS slug FROM t WHERE term <> '' GROUP BY term)
 SELECT * FROM s WHERE slug NOT IN ('the', 'de', 'le', 'und', 'la')""")
 def a17_missing(spark, sf):
-    w = words(F.regexp_replace(F.array_join(words(F.col("body"), 2), " "), "[*]", ""))
-    sec = F.concat(F.lit("## 関連する言葉\n- **"), F.get(w, F.lit(0)), F.lit("**: x\n- **"),
-                   F.coalesce(F.get(w, F.lit(1)), F.lit(" ")), F.lit("**\n\n## 次\n"))
+    items = F.transform(words(F.regexp_replace("body", "[*]", "")),
+                        lambda w: F.concat(F.lit("- **"), w, F.lit("**: x\n")))
+    sec = F.concat(F.lit("## 関連する言葉\n"), F.array_join(items, ""), F.lit("\n## 次\n"))
     pages = articles(spark, sf).withColumn("body", F.concat(sec, F.lit("**not this**\n"), "body"))
     have = spark.createDataFrame([(s,) for s in ("the", "de", "le", "und", "la")], "slug string")
     return co.missing_terms(pages, have)
@@ -220,12 +220,12 @@ def s04_queue(spark, sf):
 
 
 @query("s08_case_index", f"""{W},
-c AS (SELECT article_id, tool, {SQL_WORDS.format(c='body')} AS w, unnest([1, 2, 3]) AS n FROM articles WHERE article_id % 12 <> 0)
+c AS (SELECT article_id, tool, string_split(body, chr(10)) AS w, unnest([1, 2, 3]) AS n FROM articles WHERE article_id % 12 <> 0)
 SELECT 'T' || article_id AS title, tool AS service, 'T' || article_id AS "errorName", 'c' || n AS "causeId", coalesce(w[n], '') AS situation,
   '/posts/' || article_id || '/#c' || n AS url FROM c WHERE n <> 3""")
 def s08_cases(spark, sf):
     from ..sources.sinks import case_index
-    i, w = F.col("article_id"), words(F.col("body"), 3)
+    i, w = F.col("article_id"), F.split("body", "\n")
     none = F.lit(None).cast("string")
     case = lambda n: F.struct(
         F.lit(f"c{n}" if n < 3 else "").alias("id"), F.array(F.get(w, F.lit(0))).alias("messages"),
