@@ -180,22 +180,6 @@ def _roots(tree: int, n: int) -> np.ndarray:
     return np.full(n, mixed(np.array([1000 + tree], np.uint64))[0], np.uint64)
 
 
-def leaf_nodes(sketches: np.ndarray) -> np.ndarray:
-    """Nodes of every row at the first tested depth, in fixed places by path; 0 where there is none.
-
-    Two rows share a node only in the same place: the node before decides both branches.
-    """
-    out = np.zeros((len(sketches), TREES * 2 ** START_DEPTH), np.uint64)
-    for tree in range(TREES):
-        at = np.arange(len(sketches))
-        keys, place = _roots(tree, len(at)), np.zeros(len(at), np.int64)
-        for _ in range(START_DEPTH):
-            two = twofold(keys)
-            keys, at, place = *branch(keys, at, sketches), np.r_[2 * place, 2 * place[two] + 1]
-        out[at, tree * 2 ** START_DEPTH + place] = keys
-    return out
-
-
 def _rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(cid, sketch) to (node, cid) at the first tested depth of every tree."""
     for batch in batches:
@@ -272,13 +256,13 @@ def _index_pairs(node: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _within_nodes(batches: Iterator[pa.RecordBatch], best: bool) -> Iterator[pa.RecordBatch]:
-    """Rows (node, cid, comp, n, mini, sketch) sorted by node to agreeing pairs of different
-    components: all of them, or of each row the one that agrees most.
+    """Rows (node, cid, comp, n, mini) sorted by node to agreeing pairs of different components:
+    all of them, or of each row the one that agrees most.
 
-    With sketches, only the smallest of the nodes that a pair shares gives the pair. Nodes are
-    small, so the rows of an unfinished one are kept for the next batch.
+    Every node gives its pairs, as another node that a pair shares may be too large to be compared.
+    Nodes are small, so the rows of an unfinished one are kept for the next batch.
     """
-    def pairs(node, cid, comp, n, mini, sketches=None):
+    def pairs(node, cid, comp, n, mini):
         most, partner = np.zeros(len(node), np.int64), np.full(len(node), -1)
         for i, k in _index_pairs(node):
             i, k, same = _fitting(i, k, comp, n, mini)
@@ -288,13 +272,6 @@ def _within_nodes(batches: Iterator[pa.RecordBatch], best: bool) -> Iterator[pa.
                 up = up[same[up] > most[row[up]]]
                 most[row[up]], partner[row[up]] = same[up], other[up]
                 continue
-            if sketches is not None and len(i):
-                own, pos = np.unique(np.r_[i, k], return_inverse=True)
-                leaves = leaf_nodes(sketches[own])
-                x, y = leaves[pos[:len(i)]], leaves[pos[len(i):]]
-                least = np.where((x == y) & (x > 0), x, np.iinfo(np.uint64).max).min(axis=1)
-                here = least == node[i].view(np.uint64)
-                i, k = i[here], k[here]
             yield _pairs_of(cid[i], cid[k])
         if best:
             found = np.flatnonzero(partner >= 0)
@@ -306,8 +283,6 @@ def _within_nodes(batches: Iterator[pa.RecordBatch], best: bool) -> Iterator[pa.
             continue
         now = [batch.column(i).to_numpy() for i in range(4)]
         now.append(_matrix(batch.column(4), np.uint8, FINE // 2))
-        if batch.num_columns > 5:
-            now.append(_matrix(batch.column(5), np.uint32, COORDINATES))
         if held is not None:
             now = [np.concatenate([x, y]) for x, y in zip(held, now)]
         done = int(np.searchsorted(now[0], now[0][-1]))
@@ -496,25 +471,23 @@ class _Join:
                  .filter("n_others > 0"))
         return cut_lineage(placed.join(nodes, "node"))
 
-    def node_pairs(self, small: DataFrame, best: bool, first_depth: bool) -> DataFrame:
+    def node_pairs(self, small: DataFrame, best: bool) -> DataFrame:
         """Agreeing pairs inside nodes of at most SMALL_NODE classes."""
-        more = ["sketch"] if first_depth and not best else []
-        return (small.join(self.info, "cid").select("node", "cid", "comp", "n", "mini", *more)
+        return (small.join(self.info, "cid").select("node", "cid", "comp", "n", "mini")
                 .repartition("node").sortWithinPartitions("node")
                 .mapInArrow(lambda it: _within_nodes(it, best), "a long, b long").distinct())
 
     def run(self) -> None:
-        self.info = self.classes.select("cid", F.col("n_shingles").alias("n"), "mini", "sketch")
-        first_depth = True
+        self.info = self.classes.select("cid", F.col("n_shingles").alias("n"), "mini")
         members = self.shared(self.classes.select("cid", "sketch")
                               .mapInArrow(_rooted, "node long, cid long"))
         self.test(self.star_pairs(members))
         while True:
             small = F.col("size") <= SMALL_NODE
             # The best partners first: they merge most of what can merge, and spare other tests.
-            self.test(self.node_pairs(self.open_members(members).filter(small), True, first_depth))
+            self.test(self.node_pairs(self.open_members(members).filter(small), True))
             still = self.open_members(members)
-            pairs = self.node_pairs(still.filter(small), False, first_depth)
+            pairs = self.node_pairs(still.filter(small), False)
             one_main = ~small & (F.col("n_others") <= OTHERS)
             near = still.filter(one_main)
             if not near.isEmpty():
@@ -532,7 +505,6 @@ class _Join:
                                       .select("node", "cid", "sketch")
                                       .mapInArrow(_branched, "node long, cid long"))
                 pairs = pairs.unionByName(self.star_pairs(members))
-                first_depth = False
             self.test(pairs.distinct())
             if not deeper:
                 return

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +93,28 @@ def test_near_duplicates_large_nodes(docs, monkeypatch):
     assert Counter(map(tuple, got)) == Counter(groups(rows))
 
 
+def test_pair_in_a_large_and_a_small_node():
+    # The smallest-numbered node of a pair may be too large to be compared; the others still give it.
+    sets = [neardup.shingles(" ".join(f"w{i}" for i in r).encode(), {}) for r in (range(300), range(25, 300))]
+    sketches = np.stack([neardup.sketch(s) for s in sets])
+    shared = set()
+    for tree in range(10):
+        at, keys = np.arange(2), neardup._roots(tree, 2)
+        for _ in range(neardup.START_DEPTH):
+            keys, at = neardup.branch(keys, at, sketches)
+        shared |= set(keys[at == 0].tolist()) & set(keys[at == 1].tolist())
+    nodes = np.repeat(sorted(np.array(sorted(shared), np.uint64)[1:].view(np.int64)), 2)
+    assert len(nodes)
+    cid = np.tile([0, 1], len(nodes) // 2)
+    column = lambda rows: pa.array([rows[i].tobytes() for i in cid])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(nodes), pa.array(cid), pa.array(cid), pa.array([len(sets[i]) for i in cid]),
+         column([neardup.fine_sketch(s) for s in sets]), column(sketches)],
+        ["node", "cid", "comp", "n", "mini", "sketch"])
+    found = [(r["a"], r["b"]) for b in neardup._within_nodes(iter([batch]), False) for r in b.to_pylist()]
+    assert set(found) == {(0, 1)}
+
+
 def test_keep_one(docs):
     rows = [(3, "a b c d e f"), (1, "A b c d e f"), (1, "a B c d e f"), (2, None), (4, "other words are here now")]
     df = docs(rows, CLASH)
