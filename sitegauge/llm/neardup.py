@@ -6,8 +6,9 @@ compared. A class has a sketch of ``COORDINATES`` minwise values to branch by an
 four bits each, to estimate similarities. Independent trees branch classes:
 a node selects one of the coordinates, every third node two (4/3 on average, the inverse of the
 similarity), and a class goes to the child named by its value there. Two classes of similarity 0.75
-therefore share 1 node or more at any depth on average, and ``TREES`` trees bring the chance of
-sharing none at the first tested depth to about one in a hundred thousand.
+therefore share 1 node or more at any depth on average. The chance that they share none in a tree
+grows with the depth, so ``trees`` gives the number of trees that brings it to ``MISS`` at a depth:
+10 at the first tested depth, 21 at depth 4, 39 at depth 6.
 
 Nodes are handled level by level:
 
@@ -16,7 +17,8 @@ Nodes are handled level by level:
 2. Nodes whose classes already belong to one component are done. Open nodes of at most ``SMALL_NODE``
    classes compare all classes of different components. In larger ones with at most ``OTHERS``
    classes outside the largest component, each of these is compared with every class of the node,
-   which is linear in the node's size. All other nodes branch again.
+   which is linear in the node's size. All other nodes branch again, and the classes of these nodes
+   are branched in further trees from the root, as many as the new depth asks for.
 
 A pair is tested when its fine sketches agree in ``MIN_AGREE`` values (four standard deviations
 below what the threshold gives) and its set sizes allow the threshold; a tested pair becomes a link
@@ -31,7 +33,10 @@ compared by 64-bit hashes, classes by 128 bits.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +47,8 @@ from .common import cut_lineage, texts_of
 
 WIDTH = 5
 COORDINATES = 48
-TREES = 10
+#: Largest chance that a pair at the threshold shares no node at a tested depth.
+MISS = 1e-4
 START_DEPTH = 2
 #: Nodes that one task compares exhaustively, and those that it compares in one array.
 SMALL_NODE, TINY_NODE = 4096, 32
@@ -180,16 +186,42 @@ def _roots(tree: int, n: int) -> np.ndarray:
     return np.full(n, mixed(np.array([1000 + tree], np.uint64))[0], np.uint64)
 
 
-def _rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cid, sketch) to (node, cid) at the first tested depth of every tree."""
+def miss_chance(depth: int, n_trees: int) -> float:
+    """Chance that a pair at the threshold shares no node at a depth of any tree.
+
+    All trees select from the same coordinates, so it is a mean over how many of them agree.
+    """
+    chance = NUMERATOR / DENOMINATOR
+    agree = np.arange(COORDINATES + 1)
+    weight = np.array([math.comb(COORDINATES, m) for m in agree]) * chance ** agree * (
+        1 - chance) ** (COORDINATES - agree)
+    none = np.zeros(COORDINATES + 1)  # within one tree
+    two = (1 - 1 / COORDINATES) / 3  # a node selects two different coordinates
+    for _ in range(depth):
+        lost = 1 - agree / COORDINATES * (1 - none)
+        none = (1 - two) * lost + two * lost ** 2
+    return float(weight @ none ** n_trees)
+
+
+@cache
+def trees(depth: int) -> int:
+    """The smallest number of trees whose miss chance at a depth is at most ``MISS``."""
+    high = 1
+    while miss_chance(depth, high) > MISS:
+        high *= 2
+    return bisect_left(range(high), True, key=lambda n: miss_chance(depth, n) <= MISS)
+
+
+def _rooted(batches: Iterator[pa.RecordBatch], numbers: range, depth: int) -> Iterator[pa.RecordBatch]:
+    """(cid, sketch) to (node, cid) at a depth of the trees of these numbers."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sketches, ids = _matrix(batch.column(1), np.uint32, COORDINATES), batch.column(0).to_numpy()
-        for tree in range(TREES):
+        for tree in numbers:
             at = np.arange(len(ids))
             keys = _roots(tree, len(ids))
-            for _ in range(START_DEPTH):
+            for _ in range(depth):
                 keys, at = branch(keys, at, sketches)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.view(np.int64)), pa.array(ids[at])], ["node", "cid"])
@@ -450,6 +482,10 @@ class _Join:
                  .filter("size > 1"))
         return cut_lineage(rows.join(nodes, "node"))
 
+    def planted(self, rows: DataFrame, numbers: range, depth: int) -> DataFrame:
+        """(node, cid) of rows (cid, sketch) at a depth of the trees of these numbers."""
+        return rows.mapInArrow(lambda it: _rooted(it, numbers, depth), "node long, cid long")
+
     def star_pairs(self, members: DataFrame) -> DataFrame:
         pairs = (members.filter("cid <> first")
                  .select(F.col("first").alias("a"), F.col("cid").alias("b")).distinct())
@@ -479,8 +515,8 @@ class _Join:
 
     def run(self) -> None:
         self.info = self.classes.select("cid", F.col("n_shingles").alias("n"), "mini")
-        members = self.shared(self.classes.select("cid", "sketch")
-                              .mapInArrow(_rooted, "node long, cid long"))
+        depth, sketches = START_DEPTH, self.classes.select("cid", "sketch")
+        members = self.shared(self.planted(sketches, range(trees(depth)), depth))
         self.test(self.star_pairs(members))
         while True:
             small = F.col("size") <= SMALL_NODE
@@ -500,10 +536,13 @@ class _Join:
             large = still.filter(~small & ~one_main)
             deeper = not large.isEmpty()
             if deeper:
-                members = self.shared(large.select("node", "cid")
-                                      .join(self.classes.select("cid", "sketch"), "cid")
-                                      .select("node", "cid", "sketch")
-                                      .mapInArrow(_branched, "node long, cid long"))
+                further = range(trees(depth), trees(depth + 2))
+                depth += 2
+                members = self.shared(
+                    large.select("node", "cid").join(sketches, "cid").select("node", "cid", "sketch")
+                    .mapInArrow(_branched, "node long, cid long")
+                    .unionByName(self.planted(sketches.join(large.select("cid").distinct(), "cid",
+                                                            "left_semi"), further, depth)))
                 pairs = pairs.unionByName(self.star_pairs(members))
             self.test(pairs.distinct())
             if not deeper:

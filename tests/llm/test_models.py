@@ -115,6 +115,40 @@ def test_pair_in_a_large_and_a_small_node():
     assert set(found) == {(0, 1)}
 
 
+def test_deeper_nodes_get_further_trees(docs, monkeypatch):
+    assert [neardup.trees(d) for d in (2, 4, 6)] == [10, 21, 39]
+    rng = np.random.RandomState(3)
+    x = rng.randint(0, 2 ** 32, (20_000, neardup.COORDINATES), np.int64).astype(np.uint32)
+    y = np.where(rng.random_sample(x.shape) < 0.75, x, x + np.uint32(1))
+    met = np.zeros(len(x), bool)
+    ids = pa.array(np.arange(len(x)))
+    for tree in range(neardup.trees(4)):
+        nodes = []
+        for side in (x, y):
+            batch = pa.RecordBatch.from_arrays([ids, pa.array([r.tobytes() for r in side])], ["cid", "sketch"])
+            nodes.append({p for b in neardup._rooted(iter([batch]), range(tree, tree + 1), 4)
+                          for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist())})
+        met[[cid for _, cid in nodes[0] & nodes[1]]] = True
+    assert (~met).mean() <= 3e-4  # ten trees: 3e-3
+
+    planted, asked = neardup._Join.planted, []
+
+    def noted(self, rows, numbers, depth):
+        asked.append((numbers, depth, rows.count()))
+        if depth > 2:
+            raise StopIteration
+        return planted(self, rows, numbers, depth)
+
+    monkeypatch.setattr(neardup, "SMALL_NODE", 6)
+    monkeypatch.setattr(neardup, "OTHERS", 2)
+    monkeypatch.setattr(neardup._Join, "planted", noted)
+    common = " ".join(f"s{i}" for i in range(40))
+    rows = [(i, common + "".join(f" p{i}w{k}" for k in range(30))) for i in range(60)]
+    with pytest.raises(StopIteration):
+        neardup.op3(docs(rows))
+    assert [a[:2] for a in asked] == [(range(10), 2), (range(10, 21), 4)] and 6 < asked[1][2] <= 60
+
+
 def test_keep_one(docs):
     rows = [(3, "a b c d e f"), (1, "A b c d e f"), (1, "a B c d e f"), (2, None), (4, "other words are here now")]
     df = docs(rows, CLASH)
