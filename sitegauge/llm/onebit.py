@@ -32,6 +32,8 @@ from .common import bounded_sample, cut_lineage
 
 SAMPLE = 2000
 FIRST = 48
+#: Rounding of a cosine by a matrix product, and rows whose exact cosines one array takes.
+MARGIN, SLICE = 1e-9, 1024
 
 
 def rotation(d: int, seed: int = 5) -> np.ndarray:
@@ -93,6 +95,35 @@ def _coded(frames: Iterator[pd.DataFrame], shared) -> Iterator[pd.DataFrame]:
         yield frame.assign(**out)
 
 
+def _kth(ids: np.ndarray, scores: np.ndarray, k: int) -> float:
+    """The k-th best score of different ids."""
+    names, pos = np.unique(ids, return_inverse=True)
+    if len(names) < k:
+        return -np.inf
+    top = np.full(len(names), -np.inf)
+    np.maximum.at(top, pos, scores)
+    return np.partition(top, -k)[-k]
+
+
+def _nearest(at: np.ndarray, ids: np.ndarray, vectors: np.ndarray, unit: np.ndarray,
+             query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows among ``at`` of the ``k`` best different ids and their exact cosines; ties by id.
+
+    Every row whose rounded cosine is within ``MARGIN`` of the k-th best is compared exactly.
+    """
+    rounded = unit[at] @ query / np.sqrt(query @ query)
+    kth = _kth(ids[at], rounded, k)
+    near, score = np.empty(0, np.int64), np.empty(0)
+    keep = at[rounded >= kth - MARGIN]
+    for part in np.array_split(keep, 1 + len(keep) // SLICE):
+        x = vectors[part].astype(np.float64)
+        near, score = np.r_[near, part], np.r_[score, exact_cosine(x, np.broadcast_to(query, x.shape))]
+        order = np.lexsort((ids[near], -score))
+        order = order[np.sort(np.unique(ids[near[order]], return_index=True)[1])][:k]
+        near, score = near[order], score[order]
+    return near, score
+
+
 def _searched(batches: Iterator[pa.RecordBatch], centres, k: int,
               epsilon: float) -> Iterator[pa.RecordBatch]:
     """Pairs of a query block and a coded block to the best k of each query."""
@@ -115,15 +146,12 @@ def _searched(batches: Iterator[pa.RecordBatch], centres, k: int,
                     first = np.argpartition(-guess, min(FIRST, len(ids)) - 1)[:FIRST]
                     cosines = unit[first] @ query / np.sqrt(query @ query)
                     cosines[ids[first] == qids[i + r]] = -np.inf
-                    kth = np.sort(cosines)[-k] if len(first) >= k else -np.inf
+                    kth = _kth(ids[first], cosines, k)
                     at = np.flatnonzero((guess + error >= kth - 1e-9) & (ids != qids[i + r]))
                     if len(at):
-                        near = at[np.argsort(-(unit[at] @ query), kind="stable")[:k + 32]]
-                        x = vectors[near].astype(np.float64)
-                        score = exact_cosine(x, np.broadcast_to(query, x.shape))
-                        best = np.lexsort((ids[near], -score))[:k]
-                        out += [(int(qids[i + r]), int(ids[near[b]]), float(score[b]), len(at))
-                                for b in best]
+                        near, score = _nearest(at, ids, vectors, unit, query, k)
+                        out += [(int(qids[i + r]), int(b), float(s), len(at))
+                                for b, s in zip(ids[near], score)]
             cols = list(zip(*out)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),

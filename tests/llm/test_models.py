@@ -238,6 +238,16 @@ def test_search_beside_brute_force(spark):
     assert onebit.op8(df.filter("vec_id < 0")).collect() == []
 
 
+def test_search_ties_go_to_the_smaller_ids(spark):
+    # More copies than a block may hold back, with the smaller ids in any place of it.
+    x = [float(v) for v in np.random.RandomState(4).standard_normal(24)]
+    rows = [(i, [v * 2 ** (i % 7) for v in x] if i % 3 else x[::-1]) for i in reversed(range(1, 4000))]
+    rows += [(0, x)] + [(7, x)] * 50
+    found = onebit.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"),
+                          F.col("vec_id") == 0, block_rows=8192).collect()
+    assert [r.vec_id for r in sorted(found, key=lambda r: r["rank"])] == [1, 2, 4, 5, 7]
+
+
 def _by(rows, key):
     out = defaultdict(list)
     for r in rows:
