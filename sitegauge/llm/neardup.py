@@ -42,8 +42,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import cut_lineage, texts_of
+from .common import cut_lineage, free_name, texts_of
 
 WIDTH = 5
 COORDINATES = 48
@@ -568,17 +569,35 @@ def op3(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs)
 
 
+def _printed(batches: Iterator[pa.RecordBatch], text: str, name: str) -> Iterator[pa.RecordBatch]:
+    """Rows with the fingerprint of their set as a further column."""
+    known: dict[bytes, int] = {}
+    for batch in batches:
+        sets = (shingles(t, known) for t in texts_of(batch.column(text)))
+        prints = pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns, prints], [*batch.schema.names, name])
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each group, with the columns of ``docs``; of rows that share the kept id, one.
+    """One row of each group, with the columns of ``docs``.
 
-    Documents without words form no group and stay.
+    A group keeps its smallest id, null only if it has no other; of its classes with that id it keeps
+    the one of the smallest fingerprint, and of that id's rows in the class, one. Rows of other groups
+    may share the id. Documents without words form no group and stay.
     """
-    found = near_duplicates(docs).filter("kept and n_shingles > 0").select(
-        F.col("doc_id").alias("_kept_id")).distinct()
+    join = _Join(docs)
+    join.run()
+    found = (join.classes.select("cid", "print", "low").join(join.comps, "cid", "left")
+             .groupBy(F.coalesce("comp", "cid"))
+             .agg(F.min(F.struct(F.col("low").isNull(), "low", "print")).alias("s"))
+             .select(F.col("s.low").alias("_kept_id"), F.col("s.print").alias("_kept_print")))
     words = F.regexp_like(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]"))
-    with_words = docs.filter(words)
-    kept = (with_words.join(found, with_words["doc_id"].eqNullSafe(found["_kept_id"]), "left_semi")
-            .dropDuplicates(["doc_id"]))
+    own = free_name(docs, "_print")
+    schema = StructType([*docs.schema.fields, StructField(own, BinaryType())])
+    printed = docs.filter(words).mapInArrow(lambda it: _printed(it, "text", own), schema)
+    kept = (printed.join(found, printed["doc_id"].eqNullSafe(found["_kept_id"])
+                         & (printed[own] == found["_kept_print"]), "left_semi")
+            .dropDuplicates(["doc_id", own]).drop(own))
     return kept.unionByName(docs.filter(~words))
 
 

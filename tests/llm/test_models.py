@@ -158,6 +158,16 @@ def test_keep_one(docs):
     assert neardup.op3(docs([])).collect() == [] and neardup.keep_one(docs([])).collect() == []
 
 
+def test_keep_one_of_rows_that_share_an_id(docs):
+    text = [" ".join(f"t{k}w{i}" for i in range(12)) for k in range(6)]
+    rows = [(None, text[0]), (None, text[1]), (None, text[1]), (5, text[2]), (5, text[3]), (5, text[3]),
+            (2, text[3]), (None, text[4]), (9, text[4]), (5, text[5]), (None, None), (None, "")]
+    kept = neardup.keep_one(docs(rows, CLASH)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(
+        [(None, text[0]), (None, text[1]), (5, text[2]), (2, text[3]), (9, text[4]), (5, text[5]),
+         (None, None), (None, "")])
+
+
 def test_components_of_a_chain(spark):
     edges = spark.range(300).select((F.col("id") * 7 % 301).alias("a"), ((F.col("id") + 1) * 7 % 301).alias("b"))
     assert {r.comp for r in neardup.components(edges).collect()} == {0}
