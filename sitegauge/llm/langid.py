@@ -3,8 +3,8 @@
 A text's features are the n-grams of 2 to 4 bytes of its words with their borders (UTF-8, A-Z
 lower-cased), hashed to ``BUCKETS`` rows of an embedding table. The average embedding goes through a
 linear layer and a softmax. Both are trained by stochastic gradient descent in numpy on a bounded
-sample of labelled rows (``max_rows``, the smallest hashes of the ids, and ``max_chars`` leading
-characters of each for training alone); a fifth of the sample is held back to calibrate a softmax
+sample of whole labelled rows (``max_rows`` in all, dealt to the values of ``lang``, in each the
+smallest hashes); a fifth of the sample is held back to calibrate a softmax
 temperature and the score below which a prediction is rejected (``reject_share`` of the correct
 held-back rows score lower). Prediction reads whole texts: the layer is linear, so a text's logits
 are its counts of buckets times the logits of the buckets.
@@ -22,9 +22,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import bounded_sample, id_bucket, texts_of
+from .common import id_bucket, texts_of
 
 BITS = 15
 BUCKETS = 1 << BITS
@@ -79,13 +79,18 @@ class Model:
         self.temperature, self.reject = temperature, reject
 
 
-def train(rows: list[tuple[bytes, str]], epochs: int = 4, rate: float = 0.5, seed: int = 7,
-          reject_share: float = 0.01) -> Model | None:
+def train(rows: list[tuple[bytes, str]], **options) -> Model | None:
     """Fit on (text, lang); every fifth row calibrates."""
+    return train_features([(text_features(text), lang) for text, lang in rows], **options)
+
+
+def train_features(rows: list[tuple[tuple[np.ndarray, np.ndarray], str]], epochs: int = 4,
+                   rate: float = 0.5, seed: int = 7, reject_share: float = 0.01) -> Model | None:
+    """Fit on (features, lang)."""
     langs = sorted({lang for _, lang in rows})
     if not langs:
         return None
-    data = [(f, langs.index(lang)) for text, lang in rows if len((f := text_features(text))[0])]
+    data = [(f, langs.index(lang)) for f, lang in rows if len(f[0])]
     held, fit = data[::5], [d for i, d in enumerate(data) if i % 5] or data
     rng = np.random.RandomState(seed)
     emb = rng.uniform(-0.5, 0.5, (BUCKETS, DIMENSIONS)) / DIMENSIONS
@@ -136,12 +141,46 @@ def _predicted(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordB
             ["doc_id", "held_out", "lang_pred", "score", "rejected"])
 
 
-def learn(docs: DataFrame, max_rows: int = 3000, max_chars: int = 2000) -> Model | None:
-    """A model from at most ``max_rows`` labelled rows."""
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, lang) to the features of whole texts, as arrays of bytes."""
+    for batch in batches:
+        found = [text_features(t) for t in texts_of(batch.column(0))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([at.astype("<u2").tobytes() for at, _ in found], pa.binary()),
+             pa.array([share.astype("<f8").tobytes() for _, share in found], pa.binary()),
+             batch.column(1)], ["at", "share", "lang"])
+
+
+def learn(docs: DataFrame, max_rows: int = 3000) -> Model | None:
+    """A model from at most ``max_rows`` labelled rows (or one per lang), dealt to the values of ``lang``.
+
+    A lang gives an equal share of the rows, the smallest hashes first, or all it has; what smaller
+    ones leave goes to the others. Tasks turn the whole texts of these rows into features.
+    """
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        "doc_id", F.substring("text", 1, max_chars).alias("text"), "lang")
-    sample = bounded_sample(rows, ["doc_id", "text", "lang"], max_rows).collect()
-    return train([(r.text.encode(), r.lang) for r in sample])
+        "doc_id", "text", "lang")
+    taken, left = {}, max_rows
+    counts = sorted((r["count"], r["lang"]) for r in rows.groupBy("lang").count().collect())
+    for i, (n, lang) in enumerate(counts):
+        taken[lang] = min(n, max(1, left // (len(counts) - i)))
+        left -= taken[lang]
+    if not taken:
+        return None
+    quota = F.create_map(*[F.lit(x) for pair in taken.items() for x in pair])
+    by = ["doc_id", "text", "lang"]
+    # A few more than the quota by hash, then exactly the smallest.
+    total = F.create_map(*[F.lit(x) for n, lang in counts for x in (lang, n)])
+    share = (1.5 * quota[F.col("lang")] + 100) / total[F.col("lang")]
+    h = F.xxhash64(*by)
+    order = Window.partitionBy("lang").orderBy("_hash", *by)
+    sample = (rows.withColumn("_hash", h)
+              .filter(F.pmod("_hash", F.lit(1 << 30)) < F.least(share, F.lit(1.0)) * (1 << 30))
+              .withColumn("_place", F.row_number().over(order))
+              .filter(F.col("_place") <= quota[F.col("lang")]))
+    found = sample.orderBy("_hash", *by).select("text", "lang").mapInArrow(
+        _featured, "at binary, share binary, lang string").collect()
+    return train_features([((np.frombuffer(r["at"], "<u2").astype(np.int64),
+                             np.frombuffer(r["share"], "<f8")), r["lang"]) for r in found])
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:

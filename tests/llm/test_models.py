@@ -362,6 +362,17 @@ def test_language_id_held_out(spark, docs):
     assert all(0 <= r.score <= 1 for r in got) and sum(r.rejected for r in got) <= 0.1 * len(got)
 
 
+def test_language_id_learns_rare_langs_and_whole_texts(docs):
+    rng = random.Random(6)
+    say = lambda letters, n: " ".join("".join(rng.choices(letters, k=5)) for _ in range(n))
+    rows = [(i, say("abcde", 12), "aa") for i in range(4000)]
+    rows += [(5000 + i, say("klmno", 12), "kk") for i in range(5)]
+    rows += [(6000 + i, say("abcde", 400) + " " + say("vwxyz", 1600), "vv") for i in range(60)]
+    model = langid.learn(docs(rows), max_rows=300)
+    assert model.langs == ["aa", "kk", "vv"]
+    assert langid.predict(model, say("vwxyz", 12).encode())[0] == "vv"
+
+
 def test_language_id_edges(docs):
     rows = [(i, "the and with of in" if i % 2 else "der die das und ist", "en" if i % 2 else "de") for i in range(60)]
     rows += [(900, None, "en"), (901, "", "en"), (902, "12 34 !?", "en"), (903, "the and", None), (None, "und ist das", "de"),
