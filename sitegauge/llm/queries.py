@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import grading, katz, langid, linededup, mixing, neardup, onebit, packing, pii, rules
+from . import grading, katz, langid, linededup, mixing, neardup, onebit, packing, passages, pii, rules
 from .common import read
 
 
@@ -22,6 +22,7 @@ QUERIES = {
     "op8_one_bit_search": _on("embeddings", onebit.op8),
     "op9_katz_scores": _on("documents", katz.op9),
     "op10_language_id": _on("documents", langid.op10),
+    "op13_repeated_passages": _on("documents", passages.op13),
 }
 
 ORACLES = {
@@ -30,4 +31,5 @@ ORACLES = {
     "op3_near_duplicates": neardup.ORACLE,
     "op5_line_dedup": linededup.ORACLE,
     "op8_one_bit_search": onebit.ORACLE,
+    "op13_repeated_passages": passages.ORACLE,
 }
