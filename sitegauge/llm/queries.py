@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import grading, katz, langid, linededup, mixing, neardup, onebit, packing, passages, pii, rules
+from . import (grading, katz, langid, lexical, linededup, mixing, neardup, onebit, packing, passages,
+               pii, pivots, rules)
 from .common import read
 
 
@@ -22,6 +23,9 @@ QUERIES = {
     "op8_one_bit_search": _on("embeddings", onebit.op8),
     "op9_katz_scores": _on("documents", katz.op9),
     "op10_language_id": _on("documents", langid.op10),
+    "op11_lexical_search": lambda spark, sf_dir: lexical.op11(read(spark, sf_dir, "documents"),
+                                                              read(spark, sf_dir, "benchmark")),
+    "op12_pivot_codes": _on("embeddings", pivots.op12),
     "op13_repeated_passages": _on("documents", passages.op13),
 }
 
@@ -31,5 +35,7 @@ ORACLES = {
     "op3_near_duplicates": neardup.ORACLE,
     "op5_line_dedup": linededup.ORACLE,
     "op8_one_bit_search": onebit.ORACLE,
+    "op11_lexical_search": lexical.ORACLE,
+    "op12_pivot_codes": pivots.ORACLE,
     "op13_repeated_passages": passages.ORACLE,
 }
