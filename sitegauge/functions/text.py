@@ -209,6 +209,15 @@ def subsets(arr) -> Column:
         acc, F.transform(acc, lambda s: F.concat(s, F.array(x)))))
 
 
+def grams(col, n: int) -> Column:
+    """Substrings of ``n`` characters, by start; none in a shorter text."""
+    c = as_col(col)
+    last = F.length(c) - n + 1
+    return F.when(last >= 1, F.transform(
+        F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substr(c, i, F.lit(n)))
+    ).otherwise(F.array().cast("array<string>"))
+
+
 def substrings(col, min_len=1, max_len=None) -> Column:
     """Distinct substrings of a short text, by start position and length."""
     c = as_col(col)

@@ -244,63 +244,6 @@ def work_grid(documents: DataFrame, rounds: int, finished: DataFrame) -> DataFra
             .join(finished.select("key"), "key", "left_anti"))
 
 
-# -------------------------------------------------------------- terms in documents
-
-
-def term_row(terms: DataFrame, max_terms: int = 10000) -> DataFrame:
-    """The whole dictionary as one row; fails rather than broadcast more than max_terms."""
-    row = terms.agg(F.sort_array(F.collect_set("term")).alias("terms"))
-    return row.select(F.when(F.size("terms") <= max_terms, F.col("terms")).otherwise(
-        F.raise_error(F.lit(f"more than {max_terms} terms: use dictionary_hits"))).alias("terms"))
-
-
-def term_occurrences(terms: DataFrame, texts: DataFrame, key: str, max_terms: int = 10000) -> DataFrame:
-    """(key, term) for every dictionary term found as a substring of the text."""
-    t = texts.join(F.broadcast(term_row(terms, max_terms)))
-    return explode_once(t, [key], F.filter(
-        "terms", lambda w: (w != "") & F.contains(F.col("body"), w)), "term")
-
-
-def first_documents(occurrences: DataFrame, key: str, k: int = 8) -> DataFrame:
-    return top_per_key(occurrences, ["term"], [F.col(key)], k)
-
-
-# fixed values: character classes that bound a term
-CLASSES = {"hiragana": "\\x{3040}-\\x{309F}", "katakana": "\\x{30A0}-\\x{30FF}\\x{FF65}-\\x{FF9F}",
-           "kanji": "\\x{4E00}-\\x{9FFF}\\x{3400}-\\x{4DBF}", "ascii": "A-Za-z0-9"}
-RUNS = "|".join(f"[{c}]+" for c in CLASSES.values())
-
-
-def bounded_pattern(term: Column) -> Column:
-    """Pattern for a term not touched by characters of its own class at either end."""
-    def edge(ch, before):
-        out = F.lit("")
-        for cls in CLASSES.values():
-            look = f"(?<![{cls}])" if before else f"(?![{cls}])"
-            out = F.when(ch.rlike(f"^[{cls}]$"), look).otherwise(out)
-        return out
-
-    quoted = F.concat(F.lit("\\Q"), F.replace(term, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
-    return F.concat(edge(F.substring(term, 1, 1), True), quoted, edge(F.substring(term, -1, 1), False))
-
-
-def dictionary_hits(terms: DataFrame, texts: DataFrame, key: str) -> DataFrame:
-    """(key, term) where the term occurs with clean boundaries, for dictionaries of any size.
-
-    A bounded term starts with a whole run of its character class, so terms and
-    texts meet on that run and the pattern is checked on the few that do.
-    """
-    t = (terms.filter(F.length("term") >= 2).select("term").distinct()
-         .withColumn("run", F.regexp_extract("term", RUNS, 0)))
-    runs = explode_once(texts, [key], F.array_distinct(
-        F.regexp_extract_all("body", F.lit(f"({RUNS})"), F.lit(1))), "run")
-    cand = (runs.join(t, "run").groupBy(key).agg(F.collect_set("term").alias("cand")))
-    return (texts.select(key, "body").join(cand, key)
-            .select(key, F.explode("cand").alias("term"), "body")
-            .filter(F.regexp_like("body", bounded_pattern(F.col("term"))))
-            .select(key, "term"))
-
-
 def context_lookup(titles: DataFrame, results: DataFrame, key: str) -> DataFrame:
     """First result whose query has a word over two letters inside the title, else the first.
 

@@ -1,21 +1,132 @@
-"""Glossary linking over a corpus."""
+"""Dictionary terms in a corpus, for dictionaries of any size, and glossary links.
+
+Terms and texts meet by equi-joins, never all with all. A term inside a word is found through an
+index of the distinct words of the corpus: every term is looked up by its rarest n-gram there, and
+words and documents meet after that. A term with clean ends consists of whole runs of its character
+classes, so it is looked up by its rarest run. A document gets its own terms only.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import text as tx
+from ..functions.common import explode_once, top_per_key
 from ..functions.pyudf import term_linker
+from ..session import cut_lineage
+
+#: Characters of the n-grams of the word index; shorter terms are looked up whole.
+GRAM = 3
+SPACES = "[ \\t\\n\\x0B\\f\\r]+"
+
+# fixed values: character classes that bound a term
+CLASSES = {"hiragana": "\\x{3040}-\\x{309F}", "katakana": "\\x{30A0}-\\x{30FF}\\x{FF65}-\\x{FF9F}",
+           "kanji": "\\x{4E00}-\\x{9FFF}\\x{3400}-\\x{4DBF}", "ascii": "A-Za-z0-9"}
+RUNS = "|".join(f"[{c}]+" for c in CLASSES.values())
+
+
+def rarest(keys: DataFrame, owner: str, key: str, index: DataFrame) -> DataFrame:
+    """(owner, key): of the keys of each owner, the one with the fewest rows in ``index``.
+
+    An owner with a key that the index lacks can match nothing and drops out.
+    """
+    used = index.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    found = keys.join(used, key, "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    best = found.groupBy(owner).agg(F.min(F.struct("n", key)).alias("best"))
+    return best.filter("best.n > 0").select(owner, F.col(f"best.{key}").alias(key))
+
+
+def _pieces(text: Column) -> Column:
+    return F.filter(F.split(text, SPACES), lambda w: w != "")
+
+
+def words_with(parts: DataFrame, words: DataFrame) -> DataFrame:
+    """(part, word) where the part lies in the word; both tables hold distinct texts without spaces."""
+    grams = explode_once(parts, ["part"], F.when(
+        F.length("part") < GRAM, F.array("part")).otherwise(tx.grams("part", GRAM)), "gram")
+    longer = explode_once(words, ["word"], F.array_distinct(F.concat(
+        *[tx.grams("word", n) for n in range(1, GRAM + 1)])), "gram")
+    index = cut_lineage(longer.join(grams.select("gram").distinct(), "gram", "left_semi"))
+    return (rarest(grams, "part", "gram", index).join(index, "gram")
+            .filter(F.contains("word", F.col("part"))).select("part", "word"))
+
+
+def term_occurrences(terms: DataFrame, texts: DataFrame, key: str) -> DataFrame:
+    """(key, term) for every dictionary term found as a substring of ``body``.
+
+    A term's longest piece without spaces lies in one word of the text; terms of several pieces are
+    then looked for in the whole body. White space at the ends of a term does not count, and blank
+    terms match nothing.
+    """
+    t = (terms.select(F.trim("term").alias("term")).distinct()
+         .withColumn("pieces", _pieces(F.col("term"))).filter(F.size("pieces") > 0))
+    longest = F.aggregate("pieces", F.lit(""), lambda a, w: F.when(F.length(w) > F.length(a), w).otherwise(a))
+    t = t.select("term", longest.alias("part"), (F.size("pieces") > 1).alias("several"))
+    own = explode_once(texts, [key], F.array_distinct(_pieces(F.col("body"))), "word")
+    index = words_with(t.select("part").distinct(), cut_lineage(own.select("word").distinct()))
+    found = own.join(index, "word").join(t, "part").select(key, "term", "several").distinct()
+    if t.filter("several").isEmpty():  # the dictionary alone is read for this
+        return found.select(key, "term")
+    phrases = (texts.select(key, "body").join(found.filter("several"), key)
+               .filter(F.contains("body", F.col("term"))).select(key, "term").distinct())
+    return found.filter("not several").select(key, "term").unionByName(phrases)
+
+
+def first_documents(occurrences: DataFrame, key: str, k: int = 8) -> DataFrame:
+    return top_per_key(occurrences, ["term"], [F.col(key)], k)
+
+
+def bounded_pattern(term: Column) -> Column:
+    """Pattern for a term not touched by characters of its own class at either end."""
+    def edge(ch, before):
+        out = F.lit("")
+        for cls in CLASSES.values():
+            look = f"(?<![{cls}])" if before else f"(?![{cls}])"
+            out = F.when(ch.rlike(f"^[{cls}]$"), look).otherwise(out)
+        return out
+
+    quoted = F.concat(F.lit("\\Q"), F.replace(term, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    return F.concat(edge(F.substring(term, 1, 1), True), quoted, edge(F.substring(term, -1, 1), False))
+
+
+def _runs(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"({RUNS})"), F.lit(1)))
+
+
+def dictionary_hits(terms: DataFrame, texts: DataFrame, key: str) -> DataFrame:
+    """(key, term) where a term of two or more characters occurs with clean ends.
+
+    A term that is one run is found by that run alone; others are looked up by their rarest run and
+    checked in the body. Terms without any run have no ends to be clean, so they are substrings.
+    """
+    t = cut_lineage(terms.filter(F.length("term") >= 2).select("term").distinct()
+                    .withColumn("runs", _runs(F.col("term"))))
+    wanted = explode_once(t, ["term"], F.col("runs"), "run")
+    own = explode_once(texts, [key], _runs(F.col("body")), "run").join(
+        wanted.select("run").distinct(), "run", "left_semi")
+    single = t.filter((F.size("runs") == 1) & (F.col("runs")[0] == F.col("term")))
+    hits = own.join(single.select("term"), F.col("run") == F.col("term")).select(key, "term").distinct()
+    mixed = wanted.join(single.select("term"), "term", "left_anti")
+    if not mixed.isEmpty():
+        own = cut_lineage(own)
+        cand = own.join(rarest(mixed, "term", "run", own), "run").select(key, "term").distinct()
+        hits = hits.unionByName(texts.select(key, "body").join(cand, key)
+                                .filter(F.regexp_like("body", bounded_pattern(F.col("term"))))
+                                .select(key, "term").distinct())
+    bare = t.filter(F.size("runs") == 0).select("term")
+    if not bare.isEmpty():
+        hits = hits.unionByName(term_occurrences(bare, texts, key))
+    return hits
 
 
-def link_terms(corpus: DataFrame, terms: DataFrame, max_terms: int = 10000) -> DataFrame:
-    """Add ``linked``: the body with dictionary terms turned into links.
+def link_terms(corpus: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+    """Add ``linked``: the body with dictionary terms turned into links, the longest first.
 
-    The dictionary travels as one row next to each batch; its size is checked.
+    Each document gets the terms that occur in it; of several addresses a term keeps the smallest.
     """
-    row = terms.filter(F.length("term") >= 2).groupBy("term").agg(F.min("url").alias("url")).agg(
-        F.map_from_entries(F.collect_list(F.struct("term", "url"))).alias("m"))
-    row = row.select(F.to_json(F.when(F.size("m") <= max_terms, F.col("m")).otherwise(
-        F.raise_error(F.lit(f"more than {max_terms} terms in one dictionary")))).alias("dictionary"))
-    return (corpus.join(F.broadcast(row))
-            .withColumn("linked", term_linker(F.col("body"), F.col("dictionary")))
-            .drop("dictionary"))
+    url = terms.filter(F.length("term") >= 2).groupBy("term").agg(F.min("url").alias("url"))
+    own = (dictionary_hits(terms, corpus, key).join(url, "term").groupBy(key)
+           .agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("term", "url")))).alias("dictionary")))
+    found = corpus.join(own, key, "left")
+    return found.withColumn("linked", F.when(F.col("dictionary").isNull(), F.col("body")).otherwise(
+        term_linker(F.col("body"), F.col("dictionary")))).drop("dictionary")

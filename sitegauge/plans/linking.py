@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.common import r6
+from ..functions.common import explode_once, r6
+from ..operators import corpus as co
 from ..operators import linking as li
 from ..operators import search as se
+from ..operators import termlinks as te
 from ..session import cut_lineage
 from .bindings import (ARTICLE_FIELDS, ARTICLES, CITED_URLS, ENTITIES, FACTS, SEARCH_QUERIES,
                        SQL_WORDS, article_fields, articles, cited_urls, entities, facts,
@@ -212,52 +214,93 @@ def j19_grid(spark, sf):
     return li.work_grid(d, 3, one.union(two)).select("path", "round")
 
 
-def _terms(spark, sf):
-    """One term page per benchmark item: its second word is the term, its text the page."""
+def _pages(spark, sf):
+    """One term page per benchmark item; its own term is the second word."""
     return table(spark, sf, "benchmark").select(
-        "item_id", F.lower(F.get(words(F.col("text")), F.lit(1))).alias("term"),
-        F.col("text").alias("body")).filter(F.col("term").isNotNull() & (F.length("term") >= 4))
+        "item_id", F.lower(F.get(words(F.col("text")), F.lit(1))).alias("own"), F.col("text").alias("body"))
+
+
+def _terms(spark, sf):
+    """The dictionary: all words of four or more characters of the term pages."""
+    w = explode_once(_pages(spark, sf), [], F.array_distinct(words(F.lower("body"))), "term")
+    return w.filter(F.length("term") >= 4).distinct()
 
 
-TERMS = f"""terms AS (SELECT item_id, lower({SQL_WORDS.format(c='text')}[2]) AS term, text AS body FROM benchmark
-  WHERE length({SQL_WORDS.format(c='text')}[2]) >= 4)"""
+PAGES = f"""pages_ AS (SELECT item_id, lower({SQL_WORDS.format(c='text')}[2]) AS own, text AS body FROM benchmark),
+terms AS (SELECT DISTINCT term FROM (SELECT unnest({SQL_WORDS.format(c='lower(text)')}) AS term FROM benchmark) WHERE length(term) >= 4)"""
 
 
-@query("j17_related_terms", f"""WITH {TERMS}
-SELECT a.item_id, b.term FROM terms a JOIN (SELECT DISTINCT term FROM terms) b ON a.term <> b.term AND contains(a.body, b.term)""")
+@query("j17_related_terms", f"""WITH {PAGES}
+SELECT item_id, term FROM pages_ JOIN terms ON term IS DISTINCT FROM own AND contains(body, term)""")
 def j17_terms(spark, sf):
-    t = _terms(spark, sf)
-    occ = li.term_occurrences(t, t, "item_id")
-    return occ.join(t.select("item_id", F.col("term").alias("own")), "item_id").filter(
-        F.col("term") != F.col("own")).select("item_id", "term")
+    pages = _pages(spark, sf)
+    occ = te.term_occurrences(_terms(spark, sf), pages, "item_id")
+    return occ.join(pages.select("item_id", "own"), "item_id").filter(
+        ~F.col("term").eqNullSafe(F.col("own"))).select("item_id", "term")
 
 
-@query("j17_term_documents", f"""WITH {TERMS}, {ARTICLES}
-SELECT t.term, article_id FROM (SELECT DISTINCT term FROM terms) t JOIN articles ON contains(body, t.term)
+@query("j17_term_documents", f"""WITH {PAGES}, {ARTICLES}
+SELECT t.term, article_id FROM terms t JOIN articles ON contains(body, t.term)
 QUALIFY row_number() OVER (PARTITION BY t.term ORDER BY article_id) <= 8""")
 def j17_documents(spark, sf):
-    occ = li.term_occurrences(_terms(spark, sf), articles(spark, sf), "article_id")
-    return li.first_documents(occ, "article_id").select("term", "article_id")
+    occ = te.term_occurrences(_terms(spark, sf), articles(spark, sf), "article_id")
+    return te.first_documents(occ, "article_id").select("term", "article_id")
 
 
-@query("j09_dictionary_hits", f"""WITH {TERMS}, {ARTICLES},
-p AS (SELECT DISTINCT term, CASE WHEN regexp_matches(term[1], '[A-Za-z0-9]') THEN '(^|[^A-Za-z0-9])' ELSE '' END || regexp_escape(term)
-  || CASE WHEN regexp_matches(term[-1], '[A-Za-z0-9]') THEN '([^A-Za-z0-9]|$)' ELSE '' END AS pat FROM terms)
-SELECT article_id, term FROM articles JOIN p ON contains(body, term) AND regexp_matches(body, pat)""")
-def j09_hits(spark, sf):
-    """Terms with clean boundaries, any dictionary size."""
-    return li.dictionary_hits(_terms(spark, sf), articles(spark, sf), "article_id")
+# A term with its ends, found in the body with a line feed at both ends.
+_BOUNDED = """CASE WHEN regexp_matches(term[1], '[A-Za-z0-9]') THEN '[^A-Za-z0-9]' ELSE '' END || regexp_escape(term)
+  || CASE WHEN regexp_matches(term[-1], '[A-Za-z0-9]') THEN '[^A-Za-z0-9]' ELSE '' END"""
 
 
-@query("t23_term_links")
+@query("j09_dictionary_hits", f"""WITH {PAGES}, {ARTICLES},
+p AS (SELECT term, {_BOUNDED} AS pat FROM terms)
+SELECT article_id, term FROM articles JOIN p
+  ON contains(body, term) AND regexp_matches(chr(10) || body || chr(10), pat)""")
+def j09_hits(spark, sf):
+    """Terms with clean boundaries."""
+    return te.dictionary_hits(_terms(spark, sf), articles(spark, sf), "article_id")
+
+
+#: Links per document and term: all places of all terms with clean ends, outside of headings, fences
+#: and protected spans; then from left to right, the longest first, none into the one before. Places
+#: that meet form a chain, and each chain is walked by itself.
+LINKS = f"""{PAGES}, {ARTICLES},
+ln AS (SELECT article_id, unnest(range(1, len(l) + 1)) AS n, unnest(l) AS line
+  FROM (SELECT article_id, string_split(body, chr(10)) AS l FROM articles)),
+fe AS (SELECT *, regexp_matches(line, '^(`{{3,}}|~{{3,}})') AS fence FROM ln),
+op AS (SELECT article_id, n, chr(10) || regexp_replace(line,
+    '!?\[[^\]\n]*\]\([^)\n]*\)|`[^`\n]+`|<a\b[^>]*>.*?</a>|<[^>\n]+>|https?://\S+', chr(10), 'g') || chr(10) AS line
+  FROM (SELECT *, sum(fence::INT) OVER (PARTITION BY article_id ORDER BY n) AS f FROM fe)
+  WHERE NOT fence AND f % 2 = 0 AND NOT regexp_matches(line, '^#{{1,6}}\s')),
+sz AS (SELECT DISTINCT length(term) AS k FROM terms),
+bl AS (SELECT article_id, n, b, substr(line, 200 * b + 1, 200 + (SELECT max(k) FROM sz) + 1) AS part
+  FROM (SELECT *, unnest(range(0, length(line) // 200 + 1)) AS b FROM op)),
+ps AS (SELECT article_id, n, 200 * b + x AS pos, substr(part, x, k) AS term, k, substr(part, x - 1, 1) AS bf, substr(part, x + k, 1) AS af
+  FROM (SELECT *, unnest(range(2, least(202, length(part)))) AS x FROM bl), sz WHERE x + k <= length(part)),
+ok AS (SELECT article_id, n, pos, pos + k AS fin, term FROM ps JOIN terms USING (term)
+  WHERE NOT (regexp_matches(term[1], '[A-Za-z0-9]') AND regexp_matches(bf, '[A-Za-z0-9]'))
+    AND NOT (regexp_matches(term[-1], '[A-Za-z0-9]') AND regexp_matches(af, '[A-Za-z0-9]'))),
+lo AS (SELECT * FROM ok QUALIFY row_number() OVER (PARTITION BY article_id, n, pos ORDER BY fin DESC) = 1),
+ch AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY article_id, n ORDER BY pos) AS c FROM (
+  SELECT *, pos >= coalesce(max(fin) OVER (PARTITION BY article_id, n ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS fresh FROM lo)),
+nx AS (SELECT a.article_id, a.n, a.c, a.pos, a.fin, a.term, min(b.pos) AS nxt FROM ch a
+  LEFT JOIN ch b ON a.article_id = b.article_id AND a.n = b.n AND a.c = b.c AND b.pos >= a.fin GROUP BY ALL)"""
+
+
+@query("t23_term_links", f"""WITH RECURSIVE {LINKS},
+wk AS (SELECT article_id, n, c, pos, term, nxt FROM nx
+    QUALIFY row_number() OVER (PARTITION BY article_id, n, c ORDER BY pos) = 1
+  UNION ALL SELECT x.article_id, x.n, x.c, x.pos, x.term, x.nxt FROM wk JOIN nx x
+    ON x.article_id = wk.article_id AND x.n = wk.n AND x.c = wk.c AND x.pos = wk.nxt)
+SELECT article_id, term, count(*) AS links, true AS undone FROM wk GROUP BY article_id, term""")
 def t23_links(spark, sf):
-    """Articles with glossary links, and the links that undoing removes again."""
-    from ..operators.termlinks import link_terms
-    from ..operators.corpus import undo_term_links
-    linked = link_terms(articles(spark, sf), _terms(spark, sf).select(
-        "term", F.concat(F.lit("/glossary/"), tx.term_slug("term"), F.lit("/")).alias("url")))
-    return linked.select("article_id", F.length("linked").alias("chars"),
-                         (undo_term_links("linked") == F.col("body")).alias("undone"))
+    """Links per article and term, and whether undoing gives the body back."""
+    linked = te.link_terms(articles(spark, sf), _terms(spark, sf).select(
+        "term", F.concat(F.lit("/glossary/"), F.sha2("term", 256), F.lit("/")).alias("url")), "article_id")
+    put = F.regexp_extract_all("linked", F.lit("\\[([^\\]\\n]+)\\]\\(/glossary/[0-9a-f]{64}/\\)"), F.lit(1))
+    undone = (co.undo_term_links("linked") == F.col("body")).alias("undone")
+    return (explode_once(linked, ["article_id", undone], put, "term")
+            .groupBy("article_id", "term").agg(F.count(F.lit(1)).alias("links"), F.first("undone").alias("undone")))
 
 
 # -------------------------------------------------------------- sources and tiers

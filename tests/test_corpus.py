@@ -141,7 +141,7 @@ def test_term_links_respect_boundaries_and_protection(spark):
     terms = spark.createDataFrame([("ポート", "/glossary/port/"), ("HTTP", "/glossary/http/"),
                                    ("HTTP ポート", "/glossary/http-port/")], "term string, url string")
     body = ("サポート ポート HTTPS HTTP [HTTP](x) `HTTP` https://a/HTTP\n# HTTP\n```\nHTTP\n```\nHTTP ポート")
-    r = link_terms(texts(spark, body), terms)
+    r = link_terms(texts(spark, body), terms, "i")
     out = r.collect()[0].linked
     assert out == ("サポート [ポート](/glossary/port/) HTTPS [HTTP](/glossary/http/) [HTTP](x) `HTTP` "
                    "https://a/HTTP\n# HTTP\n```\nHTTP\n```\n[HTTP ポート](/glossary/http-port/)")

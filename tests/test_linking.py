@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from sitegauge.operators import linking as li
+from sitegauge.operators import termlinks as te
 
 CASE = ("case_id string, service string, code string, name string, cause string, situation string, "
         "messages array<string>, aliases array<string>")
@@ -129,7 +130,7 @@ def test_dictionary_hits_need_clean_boundaries(spark):
     terms = spark.createDataFrame([("ポート",), ("HTTP",), ("docker compose",), ("C++",)], "term string")
     texts = spark.createDataFrame([(1, "サポート HTTPS"), (2, "このポートをHTTPで"), (3, "docker compose up"),
                                    (4, "docker composer, C++ と")], "i int, body string")
-    got = sorted((r.i, r.term) for r in li.dictionary_hits(terms, texts, "i").collect())
+    got = sorted((r.i, r.term) for r in te.dictionary_hits(terms, texts, "i").collect())
     assert got == [(2, "HTTP"), (2, "ポート"), (3, "docker compose"), (4, "C++")]
 
 
@@ -140,14 +141,6 @@ def test_incidents_match_both_directions(spark):
     assert sorted(r.id for r in li.match_incidents(arts, inc, "id").collect()) == [1, 2, 3]
 
 
-def test_dictionary_size_is_checked(spark):
-    import pytest
-    terms = spark.createDataFrame([("a1",), ("b1",)], "term string")
-    texts = spark.createDataFrame([(1, "a1")], "i int, body string")
-    with pytest.raises(Exception, match="more than 1 terms"):
-        li.term_occurrences(terms, texts, "i", max_terms=1).collect()
-
-
 def test_title_rules(spark):
     q = {"docker 404 pull": "Docker 404 Pull エラー：原因と解決策", "aws access denied":
          "AWS Access Denied 認証・権限エラー：原因と解決策", "npm tls handshake": "NPM TLS Handshake SSL/TLS エラー：解決方法"}
