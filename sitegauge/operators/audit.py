@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import constants as C
 from ..functions.common import (count_if, first_per_key, latest_per_key, newest_first, ratio,
                                 top_per_key)
+from ..session import cut_lineage
 
 AXES = ("factual", "freshness", "citation", "risk")
 
@@ -428,37 +429,35 @@ def pass_audit_sample(history: DataFrame, as_of: Column, days: int = 14, skip_ho
     return g.filter(ok).orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "path"))).limit(n)
 
 
-def stop_rule(rows: DataFrame, run: str, buckets, order, share: float = 0.6) -> DataFrame:
+def stop_rule(rows: DataFrame, run: str, order, share: float = 0.6) -> DataFrame:
     """Where each run stops: when unavailable rows reach ceil(share x rows).
 
-    ``buckets`` are columns that each refine the order (a day, then a key
-    prefix). Rows are counted per bucket, the crossing bucket is found on those
-    counts, and the next level looks only inside it, so just the rows of the
-    last crossing bucket are ranked.
+    The rows are dealt by ranges of (run, order) and stored once, with the number of their range.
+    Sums per run and range, one row each, say in which range a run crosses; only the rows of those
+    ranges are ranked, so no task gets more than ranges hold. ``order`` must name each row of a run.
     """
     bad = F.col("status") == "fact_check_unavailable"
-    totals = rows.groupBy(run).agg(F.count(F.lit(1)).alias("total")).withColumn(
-        "need", F.greatest(F.lit(1), F.ceil(F.col("total") * share)).cast("long"))
-    state = totals.select(run, F.col("need").alias("k"), F.lit(0).cast("long").alias("before"))
-    w = Window.partitionBy(run).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    inside = rows.withColumn("ord", F.struct(*order))
-    for level in buckets:
-        inside = inside.withColumn("bucket", F.col(level))
-        c = (inside.groupBy(run, "bucket").agg(F.count(F.lit(1)).alias("n"), count_if(bad).alias("u"))
-             .withColumn("cu", F.sum("u").over(w)).withColumn("cn", F.sum("n").over(w)).join(state, run))
-        hit = c.filter((F.col("cu") >= F.col("k")) & (F.col("cu") - F.col("u") < F.col("k")))
-        state = hit.select(run, "bucket", (F.col("k") - F.col("cu") + F.col("u")).alias("k"),
-                           (F.col("before") + F.col("cn") - F.col("n")).alias("before"))
-        inside = inside.join(state.select(run, "bucket"), [run, "bucket"], "left_semi").drop("bucket")
-        state = state.drop("bucket")
-    rk = F.row_number().over(Window.partitionBy(run).orderBy("ord"))
-    stop = (inside.filter(bad).withColumn("rk", rk).join(state, run).filter(F.col("rk") == F.col("k"))
-            .select(run, "before", F.col("ord").alias("stop_ord"), F.col("eval_id").alias("stop_at")))
-    done = (inside.join(stop, run).filter(F.col("ord") <= F.col("stop_ord"))
-            .groupBy(run, "stop_at", "before").agg(F.count(F.lit(1)).alias("m")))
-    return totals.join(done, run, "left").select(
-        run, "total", "need", F.col("stop_at").isNotNull().alias("stopped"), "stop_at",
-        F.coalesce(F.col("before") + F.col("m"), F.col("total")).alias("processed"))
+    ranged = cut_lineage(rows.select(run, "eval_id", F.coalesce(bad, F.lit(False)).alias("bad"),
+                                     F.struct(*order).alias("ord"))
+                         .repartitionByRange(run, "ord").withColumn("part", F.spark_partition_id()))
+    before = Window.partitionBy(run).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (ranged.groupBy(run, "part").agg(F.count(F.lit(1)).alias("n"), count_if(F.col("bad")).alias("u"))
+             .select(run, "part", "u", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_before"),
+                     F.coalesce(F.sum("u").over(before), F.lit(0)).alias("bad_before"),
+                     F.sum("n").over(Window.partitionBy(run)).alias("total"))
+             .withColumn("need", F.greatest(F.lit(1), F.ceil(F.col("total") * share)).cast("long")))
+    crossed = parts.filter((F.col("bad_before") < F.col("need"))
+                           & (F.col("bad_before") + F.col("u") >= F.col("need")))
+    inside = ranged.join(crossed.select(run, "part", "rows_before", (F.col("need") - F.col("bad_before")).alias("k")),
+                         [run, "part"])
+    w = Window.partitionBy(run).orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
+    stop = (inside.withColumn("place", F.count(F.lit(1)).over(w)).withColumn("nth", F.sum(F.col("bad").cast("int")).over(w))
+            .filter(F.col("bad") & (F.col("nth") == F.col("k")))
+            .select(run, F.col("eval_id").alias("stop_at"), (F.col("rows_before") + F.col("place")).alias("at")))
+    return (parts.groupBy(run).agg(F.max("total").alias("total"), F.max("need").alias("need"))
+            .join(stop, run, "left").select(
+                run, "total", "need", F.col("stop_at").isNotNull().alias("stopped"), "stop_at",
+                F.coalesce("at", "total").alias("processed")))
 
 
 def stratified_sample(pool: DataFrame, key: str, stratum: str, length: str, n: int = 30,

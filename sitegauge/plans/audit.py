@@ -397,5 +397,4 @@ SELECT t.run, t.total, t.need, s.stop_at IS NOT NULL AS stopped, s.stop_at, coal
 FROM t LEFT JOIN s USING (run)""")
 def g18_stop(spark, sf):
     h = history(spark, sf, "checked_at", "status").withColumn("run", F.year("checked_at").cast("long"))
-    h = h.withColumn("day", F.to_date("checked_at")).withColumn("prefix", F.substring("eval_id", 1, 2))
-    return au.stop_rule(h, "run", ["day", "prefix"], ["checked_at", "eval_id"], 0.06)
+    return au.stop_rule(h, "run", ["checked_at", "eval_id"], 0.06)
