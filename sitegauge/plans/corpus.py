@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.common import contains_any, explode_once, r6
 from ..operators import corpus as co
+from ..sources.readers import read_pages
 from .bindings import ARTICLES, AS_OF, SQL_WORDS, articles, first_line, table, words
 from .registry import query
 
@@ -459,10 +460,11 @@ def t27_outline(spark, sf):
 b AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(h,
   '(?is)<script[\\s>].*?</script>', ' ', 'g'), '(?is)<style[\\s>].*?</style>', ' ', 'g'), '(?is)<nav[\\s>].*?</nav>', ' ', 'g'),
   '(?is)<footer[\\s>].*?</footer>', ' ', 'g'), '(?is)<header[\\s>].*?</header>', ' ', 'g'), '(?is)<title[\\s>].*?</title>', ' ', 'g') AS h FROM a)
-SELECT page_id, length(trim(regexp_replace(regexp_replace(h, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))) AS chars FROM b""")
+SELECT page_id, url, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g')) AS title,
+  trim(regexp_replace(regexp_replace(h, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS text FROM b JOIN pages USING (page_id)""")
 def s06_page_text(spark, sf):
-    p = table(spark, sf, "pages")
-    return p.select("page_id", F.length(tx.html_text("html")).cast("long").alias("chars"))
+    """Titles and whole visible texts."""
+    return read_pages(table(spark, sf, "pages"))
 
 
 @query("a34_outlines", """

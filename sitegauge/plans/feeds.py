@@ -109,23 +109,16 @@ def r03_active(spark, sf):
         "service", "title", F.date_format("detected_at", "yyyy-MM-dd HH:mm:ss").alias("detected_at"))
 
 
-LEDGER = "service string, detected_at timestamp, title string, keywords array<string>"
-
-
 @query("r03_stream_ledger", f"""WITH {ENTRIES},
-m AS (SELECT max(ts) AS now FROM entries)
-SELECT service, title FROM inc QUALIFY row_number() OVER (PARTITION BY service ORDER BY detected_at DESC, title DESC) = 1""")
+m AS (SELECT max(detected_at) - INTERVAL 1 HOUR AS seen FROM inc),
+n AS (SELECT * FROM inc QUALIFY row_number() OVER (PARTITION BY service ORDER BY detected_at DESC, title DESC) = 1)
+SELECT service, title FROM n, m WHERE detected_at + INTERVAL 12 HOUR > seen""")
 def r03_stream(spark, sf):
-    """Incident ledger kept by a stream: the newest flag per service survives a batch."""
-    from ..functions.common import latest_per_key
+    """Incidents still open at the stream's event time, from the log of raised and ended ones."""
     out = new_folder(spark, "r03")
-
-    def merge(old, batch):
-        both = old.unionByName(batch)
-        return latest_per_key(both, ["service"], F.struct("detected_at", "title"))
-
-    fd.run_ledger(_flags(shape_entries(_stream(spark, sf))), out, LEDGER, merge)
-    return fd.read_ledger(spark, out, LEDGER).select("service", "title")
+    fd.run_incidents(_flags(shape_entries(_stream(spark, sf))), out, 12)
+    changes = spark.read.schema(fd.CHANGES).parquet(f"{out}/log")
+    return fd.open_incidents(changes).select("service", "title")
 
 
 @query("r04_flag_changes", f"""WITH {ENTRIES}, {ACTIVE}, {ARTICLES},
@@ -134,15 +127,34 @@ a AS (SELECT article_id, lower(CASE WHEN article_id % 2 = 0 THEN 'GitHub' ELSE '
 h AS (SELECT *, service IN (SELECT lower(service) FROM active) OR list_has_any(comp, (SELECT list(lower(w)) FROM (SELECT unnest(string_split(keywords, ',')) AS w FROM active))) AS hit FROM a)
 SELECT article_id, CASE WHEN hit THEN 'apply' ELSE 'clear' END AS change FROM h WHERE hit <> flagged""")
 def r04_flags(spark, sf):
-    i = F.col("article_id")
-    a = articles(spark, sf).select(
-        "article_id", F.concat(F.when(i % 2 == 0, "GitHub").otherwise("Docker"), (i % 9).cast("string"))
-        .alias("service"), (i % 5 == 0).alias("flagged"),
-        words(F.col("body")).alias("components"))
+    a = _flagged_articles(spark, sf)
     m = li.match_incidents(a, _active(spark, sf), "article_id")
     return fd.flag_changes(a, m, "article_id").select("article_id", "change")
 
 
+def _flagged_articles(spark, sf):
+    i = F.col("article_id")
+    return articles(spark, sf).select(
+        "article_id", F.concat(F.when(i % 2 == 0, "GitHub").otherwise("Docker"), (i % 9).cast("string"))
+        .alias("service"), (i % 5 == 0).alias("flagged"), words(F.col("body")).alias("components"))
+
+
+@query("r04_stream_flags", f"""WITH {ENTRIES}, {ARTICLES},
+n AS (SELECT * FROM inc QUALIFY row_number() OVER (PARTITION BY service ORDER BY detected_at DESC, title DESC) = 1),
+active AS (SELECT * FROM n WHERE detected_at > (SELECT max(detected_at) FROM inc) - INTERVAL 12 HOUR),
+a AS (SELECT article_id, lower(CASE WHEN article_id % 2 = 0 THEN 'GitHub' ELSE 'Docker' END || article_id % 9) AS service,
+  {SQL_WORDS.format(c='lower(body)')} AS comp FROM articles)
+SELECT article_id, service IN (SELECT lower(service) FROM active)
+  OR list_has_any(comp, (SELECT list(lower(w)) FROM (SELECT unnest(string_split(keywords, ',')) AS w FROM active))) AS flagged FROM a""")
+def r04_stream(spark, sf):
+    """Flags of all articles after the stream has applied and cleared them."""
+    out = new_folder(spark, "r04")
+    a = _flagged_articles(spark, sf)
+    fd.run_flags(_flags(shape_entries(_stream(spark, sf))), a, "article_id", out, li.match_incidents, 12)
+    changes = fd.read_epochs(spark, f"{out}/changes", "article_id long, change string")
+    return fd.flag_state(a, changes, "article_id").select("article_id", "flagged")
+
+
 @query("r05_score_log", f"""WITH {ENTRIES}
 SELECT CASE WHEN k % 10 = 3 THEN 8 ELSE 0 END + CASE WHEN regexp_matches(title, '[^0-9][45][0-9][0-9]$') THEN 30 ELSE 0 END AS score,
   '2' AS prompt_version, count(*) AS rows FROM entries GROUP BY 1""")
@@ -166,6 +178,16 @@ def r06_notify(spark, sf):
     return fd.to_notify(p, p.filter(F.col("page_id") % 3 == 0), ["page_id"])
 
 
+@query("r06_stream_notify", """
+SELECT regexp_replace(url, '[?#].*$', '') AS url, min(page_id) AS page_id FROM pages GROUP BY 1""")
+def r06_stream(spark, sf):
+    """The log of URLs that a stream of published pages has notified."""
+    out = new_folder(spark, "r06")
+    pages = fd.read_stream(spark, f"{sf}/pages.parque[t]", table(spark, sf, "pages").schema)
+    fd.run_notify(pages.select("page_id", F.regexp_replace("url", "[?#].*$", "").alias("url")), out, ["page_id"])
+    return fd.read_epochs(spark, f"{out}/notified", "page_id long, url string").select("url", "page_id")
+
+
 @query("r07_settled_windows", """
 WITH m AS (SELECT max(ts) AS t FROM events),
 w AS (SELECT time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') AS s, count(*) AS views,
@@ -204,6 +226,17 @@ def s07_report(spark, sf):
     return sinks.read_report(spark, out, "day string, users long, views long, run_date string")
 
 
+@query("s07_run_log", f"""WITH {FACTS}
+SELECT channel, k, count(*) AS views, CASE WHEN k % 2 = 0 THEN 'even' ELSE 'odd' END AS run FROM facts GROUP BY channel, k""")
+def s07_log(spark, sf):
+    """A log of two runs, one of which is retried after its commit."""
+    out = new_folder(spark, "s07log")
+    views = facts(spark, sf).groupBy("channel", "k").agg(F.count(F.lit(1)).alias("views"))
+    for run, rest in (("even", 0), ("odd", 1), ("even", 0)):
+        sinks.append_log(views.filter(F.col("k") % 2 == rest), out, run)
+    return sinks.read_log(spark, out, "channel string, k long, views long")
+
+
 @query("s07_markdown", f"""WITH {FACTS},
 c AS (SELECT channel, count(*) AS views, round(avg(seconds), 2) AS s FROM facts GROUP BY channel)
 SELECT 0 AS ord, '| channel | views |' AS line UNION ALL SELECT 1, '| :--- | :--- |'
@@ -218,8 +251,11 @@ SELECT string_split(body, chr(10))[1] AS title, substr(body, 1, 200) AS content,
   '/posts/' || article_id || '/' AS permalink, '' AS "errorCode", tool AS tag FROM articles WHERE article_id % 12 <> 0""")
 def s08_pages(spark, sf):
     a = articles(spark, sf)
-    return sinks.page_index(a.select(
+    out = new_folder(spark, "s08")
+    index = sinks.page_index(a.select(
         first_line(F.col("body")).alias("title"), F.col("body").alias("content"),
         F.concat(F.lit("/posts/"), F.col("article_id").cast("string"), F.lit("/")).alias("permalink"),
         F.lit(None).cast("string").alias("errorCode"), F.array("tool").alias("tags"),
         (F.col("article_id") % 12 == 0).alias("hidden")))
+    sinks.write_index(index, out)
+    return sinks.read_index(spark, out, index.schema)

@@ -13,7 +13,8 @@ from ..functions.common import explode_once
 from ..operators import corpus as co
 from ..session import new_folder
 from ..sources import readers as rd
-from .bindings import ARTICLES, CITED_URLS, SQL_WORDS, articles, cited_urls, table, words
+from .bindings import (ARTICLES, CITED_URLS, HISTORY, SQL_WORDS, articles, cited_urls, history_raw,
+                       table, words)
 from .registry import query
 
 W = f"WITH {ARTICLES} "
@@ -137,13 +138,21 @@ def t29_stems(spark, sf):
         "article_id", "p.tool", "p.code")
 
 
-@query("t30_internal_links", W + """
-SELECT article_id, 'see t and [p](https://example.org/posts/p/).' AS rewritten, 'see t and p.' AS dropped FROM articles WHERE article_id % 8 = 0""")
+@query("t30_internal_links", W + """,
+h AS (SELECT article_id, body, regexp_extract(body, '[A-Za-z]+') AS word, length(body) AS n FROM articles)
+SELECT article_id, 'see ' || word || ' or [' || upper(word) || n || '](https://example.org/posts/p' || article_id || '/).' || chr(10) || body AS rewritten,
+  'see ' || word || ' or ' || upper(word) || n || '.' || chr(10) || body AS dropped FROM h WHERE word <> ''
+UNION ALL SELECT article_id, 'see [](/glossary/t' || article_id || '/) or [' || n || '](https://example.org/posts/p' || article_id || '/).' || chr(10) || body,
+  'see [](/glossary/t' || article_id || '/) or ' || n || '.' || chr(10) || body FROM h WHERE word = ''""")
 def t30_links(spark, sf):
-    line = lambda c: F.regexp_extract(c, "(?m)^(see .*)$", 1)
-    m = markdown(spark, sf).filter(F.col("article_id") % 8 == 0)
-    return m.select("article_id", line(co.rewrite_links("body", "https://example.org")).alias("rewritten"),
-                    line(co.drop_links()).alias("dropped"))
+    """Whole bodies after a line of links named by their own words and length."""
+    i = F.col("article_id").cast("string")
+    word = F.regexp_extract("body", "[A-Za-z]+", 0)
+    line = F.concat(F.lit("see ["), word, F.lit("](/glossary/t"), i, F.lit("/) or ["), F.upper(word),
+                    F.length("body").cast("string"), F.lit("](/posts/p"), i, F.lit("/).\n"))
+    m = articles(spark, sf).withColumn("body", F.concat(line, "body"))
+    return m.select("article_id", co.rewrite_links("body", "https://example.org").alias("rewritten"),
+                    co.drop_links().alias("dropped"))
 
 
 @query("t36_code_preview", W + """
@@ -199,15 +208,60 @@ def s01_front(spark, sf):
 SELECT doc, page_id, host FROM cited_urls WHERE doc % 6 <> 5
 UNION ALL SELECT DISTINCT doc, NULL::BIGINT, NULL FROM cited_urls WHERE doc % 6 = 5""")
 def s03_reports(spark, sf):
-    """One multi-line JSON report per document, read back with its sources exploded."""
+    """Multi-line JSON files of about 100 reports each, read back with their sources exploded."""
     src = F.collect_list(F.when(F.col("doc") % 6 != 5, F.struct("page_id", "host")))
     reports = cited_urls(spark, sf).groupBy("doc").agg(src.alias("sources"))
     out = new_folder(spark, "s03")
-    reports.write.option("ignoreNullFields", False).partitionBy("doc").json(out)
-    r = rd.read_json_reports(spark, f"{out}/doc=*",
-                             "sources array<struct<page_id: long, host: string>>", "sources")
-    doc = F.regexp_extract("file", "doc=([0-9]+)", 1).cast("long")
-    return r.select(doc.alias("doc"), "sources.page_id", "sources.host")
+    files = reports.groupBy(F.floor(F.col("doc") / 100)).agg(F.to_json(
+        F.collect_list(F.struct("doc", "sources")), {"ignoreNullFields": "false", "pretty": "true"}).alias("value"))
+    files.select("value").write.option("maxRecordsPerFile", 1).text(out)
+    r = rd.read_json_reports(spark, out, "doc long, sources array<struct<page_id: long, host: string>>", "sources")
+    return r.select("doc", "sources.page_id", "sources.host")
+
+
+@query("s01_corpus_files", f"""WITH {ARTICLES}
+SELECT article_id::VARCHAR AS id, coalesce(tool, '') AS title, list_filter([tool, segment], lambda x: x IS NOT NULL) AS tags,
+  coalesce(body, '') || chr(10) AS body FROM articles""")
+def s01_corpus(spark, sf):
+    """One Markdown file per article, read back: front matter, tags and whole body."""
+    out = new_folder(spark, "s01")
+    tags = F.concat(F.lit("tags: ["), F.concat_ws(", ", F.concat(F.lit('"'), "tool", F.lit('"')),
+                                                  F.concat(F.lit("'"), "segment", F.lit("'"))), F.lit("]\n"))
+    page = F.concat(F.lit("---\nid: "), F.col("article_id").cast("string"), F.lit('\ntitle: "'),
+                    F.coalesce("tool", F.lit("")), F.lit('"\n'), tags, F.lit("---\n"),
+                    F.coalesce("body", F.lit("")))
+    articles(spark, sf).select(page.alias("value")).write.option("maxRecordsPerFile", 1).text(out)
+    c = rd.read_corpus(spark, out)
+    return c.select(F.col("fm")["id"].alias("id"), F.col("fm")["title"].alias("title"), "tags", "body")
+
+
+@query("s02_history_files", f"""WITH {HISTORY},
+good AS (SELECT eval_id, path, factual, strftime(checked_at, '%Y-%m-%d') AS day, judgement, 0::BIGINT AS bad FROM history
+  WHERE checked_at IS NULL OR checked_at >= TIMESTAMP '1994-01-01')
+SELECT * FROM good
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, count(*) FROM history_raw WHERE l_partkey % 50 = 0""")
+def s02_files(spark, sf):
+    """A history written as JSON lines in the order of its events, with broken lines, read back.
+
+    The last line of an id wins; broken lines are counted.
+    """
+    raw = history_raw(spark, sf)
+    line = F.to_json(F.struct(
+        "eval_id", "path", "article_hash", "status", F.col("factual").alias("factual_score"),
+        F.col("freshness").alias("freshness_score"), F.col("citation").alias("citation_coverage"),
+        F.col("risk").alias("risk_score"), F.col("model").alias("gemini_model"), "prompt_version",
+        F.date_format("checked_at", "yyyy-MM-dd'T'HH:mm:ss").alias("checked_at"),
+        F.col("judgement").alias("overall_judgement")))
+    broken = F.concat(F.lit('{"eval_id": "'), "eval_id", F.lit('", "path'))
+    lines = F.when(F.col("order_key.l_partkey") % 50 == 0, F.array(broken, line)).otherwise(F.array(line))
+    out = new_folder(spark, "s02")
+    # part files are numbered by the ranges of the sort, so files and lines follow the events
+    raw.orderBy("order_key").select(F.explode(lines).alias("value")).write.text(out)
+    good, bad = rd.read_history(spark, out, since="1994-01-01")
+    rows = good.select("eval_id", "path", "factual", F.date_format("checked_at", "yyyy-MM-dd").alias("day"),
+                       "judgement", F.lit(0).cast("long").alias("bad"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in rows.dtypes[:-1]]
+    return rows.unionByName(bad.agg(F.count(F.lit(1)).alias("bad")).select(*none, "bad"))
 
 
 @query("s04_queue", "SELECT p_name AS tool, p_size::VARCHAR AS status_code, p_partkey::VARCHAR AS ord FROM part")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -11,9 +12,33 @@ def write_report(df: DataFrame, path: str, run_date: str, fmt: str = "json") ->
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").format(fmt).save(path))
 
 
-def append_log(df: DataFrame, path: str, fmt: str = "json") -> None:
-    """Append-only log of JSON lines (or parquet)."""
-    df.write.mode("append").format(fmt).save(path)
+def append_log(df: DataFrame, path: str, run: str) -> bool:
+    """Append one run's rows to a log of JSON lines; true if this call committed them.
+
+    The rows go into a folder of the run, and a manifest written after them commits the run. A run
+    that failed in between is written anew by its retry, and a committed one is left as it is, so
+    no line comes twice.
+    """
+    spark = df.sparkSession
+    if not _committed(spark, path).filter(F.col("run") == run).isEmpty():
+        return False
+    df.write.mode("overwrite").json(f"{path}/rows/run={run}")
+    spark.range(1).select(F.lit(run).alias("run")).coalesce(1).write.mode("append").json(f"{path}/manifest")
+    return True
+
+
+def _committed(spark: SparkSession, path: str) -> DataFrame:
+    """Runs with a manifest; the pattern also fits where nothing was committed yet."""
+    try:
+        return spark.read.schema("run string").json(f"{path}/manifest").distinct()
+    except AnalysisException:  # the folder does not exist before the first commit
+        return spark.createDataFrame([], "run string")
+
+
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of committed runs, with the run's name."""
+    rows = spark.read.schema(f"{schema}, run string").json(f"{path}/rows")
+    return rows.join(_committed(spark, path), "run", "left_semi")
 
 
 def read_report(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -64,4 +89,9 @@ def page_index(pages: DataFrame, chars: int = 200) -> DataFrame:
 
 
 def write_index(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    """The search index: one JSON row per line, empty fields as empty text."""
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def read_index(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).json(path)

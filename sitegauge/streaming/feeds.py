@@ -7,9 +7,11 @@ lost executor or a restart resumes from the checkpoint.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions import constants as C
 from ..functions.common import contains_any, latest_per_key
@@ -129,29 +131,173 @@ def run_append(stream: DataFrame, path: str) -> None:
      .trigger(availableNow=True).start().awaitTermination())
 
 
-def run_ledger(stream: DataFrame, path: str, schema,
-               merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-    """Keep a keyed table by merging each micro-batch into its last version.
+def run_batches(stream: DataFrame, path: str, step: Callable[[DataFrame, int], None]) -> None:
+    """Run ``step`` on every micro-batch that is available, from the checkpoint on."""
+    (stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{path}/checkpoint")
+     .trigger(availableNow=True).start().awaitTermination())
+
+
+def put_epoch(df: DataFrame, path: str, epoch: int) -> None:
+    """One batch's rows of a log. A replayed batch replaces its own rows."""
+    df.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+
+def read_epochs(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
+    """Rows of a log with their epoch, by default of all batches, or of those before one.
 
-    A version is named by its batch, so a replayed batch rewrites the same
-    version from the same predecessor.
+    A batch must not see what a replaced run of itself or of a later one has left.
     """
+    full = f"{schema}, epoch int"
+    if before == 0:
+        return spark.createDataFrame([], full)
+    log = spark.read.schema(full).parquet(path)
+    return log if before is None else log.filter(F.col("epoch") < before)
+
+
+# ------------------------------------------------------ R03 incidents with a lifetime
+
+FLAGS = "service string, detected_at timestamp, title string, keywords array<string>"
+CHANGES = f"{FLAGS}, event string"
+
+
+class _Incidents(StatefulProcessor):
+    """Newest flag per service; a timer ends it ``hours`` after its own time."""
+
+    def __init__(self, hours: int):
+        self.life_ms = hours * 3_600_000
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.newest = handle.getValueState(
+            "newest", "detected_at timestamp, title string, keywords array<string>")
+
+    def _row(self, service, state, event):
+        return pd.DataFrame({"service": [service], "detected_at": [state[0]], "title": [state[1]],
+                             "keywords": [list(state[2])], "event": [event]})
+
+    def handleInputRows(self, key, rows, timerValues):
+        old = self.newest.get() if self.newest.exists() else None
+        best = None
+        for frame in rows:
+            for r in frame[["detected_at", "title", "keywords"]].itertuples(index=False, name=None):
+                if best is None or r[:2] > best[:2]:
+                    best = r
+        if best is None or (old is not None and (old[0], old[1]) >= best[:2]):
+            return  # nothing newer; a late flag changes nothing
+        end = int(pd.Timestamp(best[0]).tz_localize("UTC").value // 1_000_000) + self.life_ms
+        if end <= timerValues.getCurrentWatermarkInMs():
+            return  # over before it arrived
+        if old is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+        self.newest.update((best[0].to_pydatetime(), best[1], list(best[2])))
+        self.handle.registerTimer(end)
+        yield self._row(key[0], best, "raise")
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        old = self.newest.get()
+        self.newest.clear()
+        yield self._row(key[0], (pd.Timestamp(old[0]), old[1], old[2]), "end")
+
+    def close(self) -> None:
+        pass
+
+
+def _newest_in_task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per service and Arrow batch, so that a busy service sends few rows to its task."""
+    for frame in frames:
+        if len(frame):
+            yield frame.sort_values(["detected_at", "title"]).drop_duplicates("service", keep="last")
+
+
+def incident_changes(flags: DataFrame, hours: int = 24, delay: str = "1 hour") -> DataFrame:
+    """Stream of raised and ended incidents from a stream of flags, by event time.
+
+    State holds one flag per service and is gone when the flag ends; nothing is written twice. A flag
+    over when it arrives raises nothing, and one without a time is no flag.
+    flags: service, detected_at, title, keywords.
+    """
+    clean = flags.filter(F.col("detected_at").isNotNull()).select(
+        "service", "detected_at", F.coalesce("title", F.lit("")).alias("title"),
+        F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords"))
+    return (clean.mapInPandas(_newest_in_task, FLAGS)
+            .withWatermark("detected_at", delay).groupBy("service")
+            .transformWithStateInPandas(_Incidents(hours), CHANGES, "Append", "EventTime"))
+
+
+def run_incidents(flags: DataFrame, path: str, hours: int = 24, delay: str = "1 hour") -> None:
+    """Append the changes to a log; state and log resume from the checkpoint."""
+    spark = flags.sparkSession
+    name, provider = "spark.sql.streaming.stateStore.providerClass", (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, provider)  # keyed state with timers needs it
+    try:
+        run_append(incident_changes(flags, hours, delay), path)
+    finally:
+        if old is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, old)
+
+
+def open_incidents(changes: DataFrame) -> DataFrame:
+    """Incidents of a change log that are raised and neither ended nor replaced."""
+    ended = changes.filter("event = 'end'").select("service", "detected_at", "title")
+    raised = latest_per_key(changes.filter("event = 'raise'").drop("event"), ["service"],
+                            F.struct("detected_at", "title"))
+    return raised.join(ended, ["service", "detected_at", "title"], "left_anti")
+
+
+# ------------------------------------------------------------ R04 / R06 ledgers by batch
+
+def run_flags(flags: DataFrame, articles: DataFrame, key: str, path: str,
+              match: Callable[[DataFrame, DataFrame, str], DataFrame], hours: int = 24) -> None:
+    """Apply and clear article flags as incidents come and go.
+
+    Every batch logs the newest flag per service and the changes it makes to the flags that batches
+    before it left. articles: the columns of ``match`` and ``flagged``, the state before the stream.
+    """
+    kind = dict(articles.dtypes)[key]
+
     def step(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        old = (spark.read.schema(schema).parquet(f"{path}/ledger/v{epoch - 1}") if epoch > 0
-               else spark.createDataFrame([], schema))
-        merge(old, batch).write.mode("overwrite").parquet(f"{path}/ledger/v{epoch}")
-
-    q = (stream.writeStream.foreachBatch(step)
-         .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-
-
-def read_ledger(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Newest version of a ledger table."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/ledger")
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [f.getPath().getName() for f in fs.listStatus(folder)]
-    newest = max(int(n[1:]) for n in names if n.startswith("v"))
-    return spark.read.schema(schema).parquet(f"{path}/ledger/v{newest}")
+        put_epoch(latest_per_key(batch.select("service", "detected_at", "title", "keywords"), ["service"],
+                                 F.struct("detected_at", "title")), f"{path}/flags", epoch)
+        seen = read_epochs(spark, f"{path}/flags", FLAGS, epoch + 1).drop("epoch")
+        now = seen.agg(F.max("detected_at")).first()[0]  # event time
+        if now is None:
+            put_epoch(spark.createDataFrame([], f"{key} {kind}, change string"), f"{path}/changes", epoch)
+            return
+        active = active_incidents(seen, F.lit(now), hours)
+        current = flag_state(articles, read_epochs(spark, f"{path}/changes", f"{key} {kind}, change string", epoch), key)
+        put_epoch(flag_changes(current, match(current, active, key), key).select(key, "change"),
+                  f"{path}/changes", epoch)
+
+    run_batches(flags, path, step)
+
+
+def flag_state(articles: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+    """Articles with the flag that the last change left."""
+    last = changes.groupBy(key).agg(F.max_by("change", "epoch").alias("_change"))
+    return articles.join(last, key, "left").withColumn("flagged", F.coalesce(
+        F.col("_change") == "apply", F.col("flagged"))).drop("_change")
+
+
+def run_notify(published: DataFrame, path: str, order, send: Callable[[DataFrame], None] | None = None) -> None:
+    """Notify each URL once: a batch logs the URLs that no batch before it has.
+
+    The log is written before ``send`` gets it, so a batch that fails in between and runs again sends
+    the same rows, and no later batch sends them again.
+    """
+    schema = ", ".join(f"{n} {t}" for n, t in published.dtypes)
+
+    def step(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        log = f"{path}/notified"
+        new = to_notify(batch, read_epochs(spark, log, schema, epoch), order)
+        put_epoch(new.select(*published.columns), log, epoch)
+        if send is not None:
+            send(read_epochs(spark, log, schema).filter(F.col("epoch") == epoch).drop("epoch"))
+
+    run_batches(published, path, step)
