@@ -44,9 +44,9 @@ from .katz import mixed, pack, pack_sorted, unpack, unpack_sorted
 
 LENGTH = 50
 #: Bytes of a gram, text bytes of a chunk and of what one bucket serves.
-GRAM, CHUNK, BUCKET = 20, 16 << 20, 32 << 20
+GRAM, CHUNK, BUCKET = 20, 8 << 20, 12 << 20
 #: String bytes of a key that is not hot; two such amounts are the most that one transform holds.
-SLICE = 1 << 20
+SLICE = 1 << 19
 #: Windows of a string at most, and of the blocks in which keys are computed.
 LONGEST, BLOCK = 4096, 1 << 17
 BORDER = 0xFF  # in no UTF-8 text
