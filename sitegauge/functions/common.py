@@ -66,6 +66,25 @@ def top_per_key(df: DataFrame, keys, order, k: int, rank: str = "rank") -> DataF
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
 
 
+def numbered(df: DataFrame, key: str, order: str, name: str) -> DataFrame:
+    """Add each row's place (from 0) in the order of its key, however many rows a key has.
+
+    Rows are dealt by ranges of (key, order) and stored once; a window sees one range of one key, and
+    one row per range says how many rows lie before it. ``order`` must name each row of a key.
+    """
+    from pyspark.sql import Window
+
+    from ..session import cut_lineage
+
+    ranged = cut_lineage(df.repartitionByRange(key, order).withColumn("_part", F.spark_partition_id()))
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (ranged.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_n"))
+             .select(key, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    inside = F.row_number().over(Window.partitionBy(key, "_part").orderBy(order))
+    return (ranged.join(parts, [key, "_part"])
+            .withColumn(name, F.col("_before") + inside - 1).drop("_part", "_before"))
+
+
 def latest_per_key(df: DataFrame, keys, order: Column) -> DataFrame:
     """One row per key with the greatest ``order``; partial aggregation, no window."""
     rest = [c for c in df.columns if c not in keys]

@@ -7,6 +7,8 @@ words, long texts and matches inside words are all seen; scores are whole number
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -14,7 +16,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import blocks as bl
 from ..functions import constants as C
 from ..functions import text as tx
-from ..functions.common import any_of, count_if, explode_once, r6, ratio, top_per_key
+from ..functions.common import any_of, count_if, explode_once, numbered, r6, ratio, top_per_key
+from ..functions.pyudf import best_message
 from ..session import cut_lineage
 
 # --------------------------------------------------------------- J04 / G03 coverage
@@ -177,19 +180,42 @@ def related_by_tag(items: DataFrame, k: int = 3) -> DataFrame:
     return top_per_key(hits.select("item", "related").distinct(), ["item"], [F.col("related")], k)
 
 
-def same_code_other_tags(items: DataFrame, k: int = 3) -> DataFrame:
+def same_code_other_tags(items: DataFrame, k: int = 3, block: int = 128, salts: int = 16) -> DataFrame:
     """First k items of the same code that share no tag.
 
-    Compared are the distinct tag sets of a code, not its items: each set keeps
-    its first items, and an item reads the list of its own set.
+    The distinct tag sets of a code scan its items in order, block by block, and stop as soon as they
+    have k + 1 without a shared tag: most after the first block, so a round compares few sets with
+    eight times the blocks of the round before. Items beyond the first k + 1 of a tag set are never
+    needed. Sets of a code are spread over ``salts`` tasks.
     """
     sig = items.filter(F.col("code") != "").select(
         "item", "code", F.array_sort(F.array_distinct("tags")).alias("sig"))
-    firsts = top_per_key(sig, ["code", "sig"], [F.col("item")], k + 1)
-    sets = sig.select("code", "sig").distinct()
-    other = firsts.select("code", F.col("sig").alias("other"), F.col("item").alias("related"))
-    lists = sets.join(other, "code").filter(~F.arrays_overlap("sig", "other"))
-    lists = top_per_key(lists, ["code", "sig"], [F.col("related")], k + 1).drop("rank", "other")
+    firsts = top_per_key(sig, ["code", "sig"], [F.col("item")], k + 1).drop("rank")
+    place = numbered(firsts, "code", "item", "place")
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    blocks = cut_lineage(
+        place.groupBy("code", F.floor(F.col("place") / block).alias("block"))
+        .agg(F.array_sort(F.collect_list(F.struct(F.col("item"), F.col("sig").alias("other")))).alias("entries")))
+    ends = blocks.groupBy("code").agg(F.max("block").alias("last"))
+    opened = cut_lineage(firsts.select("code", "sig").distinct().withColumn("n", F.lit(0).cast("long")))
+    found, low, width = [], 0, 1
+    while not opened.isEmpty():
+        near = blocks.filter((F.col("block") >= low) & (F.col("block") < low + width)).withColumn("salt", every)
+        free = F.transform(F.filter("entries", lambda e: ~F.arrays_overlap("sig", e["other"])), lambda e: e["item"])
+        hits = (opened.withColumn("salt", F.pmod(F.xxhash64("sig"), F.lit(salts)).cast("int"))
+                .join(near, ["code", "salt"]).select("code", "sig", "n", F.slice(free, 1, k + 1).alias("free")))
+        hits = top_per_key(hits.select("code", "sig", "n", F.explode("free").alias("related")),
+                           ["code", "sig"], [F.col("related")], k + 1)
+        found.append(cut_lineage(hits.filter(F.col("n") + F.col("rank") <= k + 1).select("code", "sig", "related")))
+        low, width = low + width, width * 8
+        more = found[-1].groupBy("code", "sig").agg(F.count(F.lit(1)).alias("more"))
+        opened = cut_lineage(
+            opened.join(ends, "code").filter(F.col("last") >= low).join(more, ["code", "sig"], "left")
+            .select("code", "sig", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"))
+            .filter(F.col("n") <= k))
+    if not found:
+        return sig.select("item", "code", F.col("item").alias("related"), F.lit(0).alias("rank")).limit(0)
+    lists = reduce(DataFrame.unionByName, found)
     hits = sig.join(lists, ["code", "sig"]).filter(F.col("item") != F.col("related"))
     return top_per_key(hits.select("item", "code", "related"), ["item"], [F.col("related")], k)
 
@@ -404,22 +430,6 @@ def prepare_queries(queries: DataFrame) -> DataFrame:
                           tx.case_tokens(F.coalesce("query", F.lit(""))).alias("qt"))
 
 
-def best_message() -> Column:
-    """Longest message contained in the query, else the one sharing most non-service words."""
-    qt = F.filter("qt", lambda t: ~F.array_contains("s_tok", t))
-    both = F.arrays_zip(F.col("messages").alias("m"), F.col("n_list").alias("n"))
-
-    def pick(score):
-        return F.aggregate(both, F.struct(F.lit(0).alias("s"), F.lit("").alias("m")),
-                           lambda acc, x: F.when(score(x) > acc["s"], F.struct(
-                               score(x).alias("s"), x["m"].alias("m"))).otherwise(acc))["m"]
-
-    longest = pick(lambda x: F.when((x["n"] != "") & F.contains(F.col("qn"), x["n"]),
-                                    F.length(x["m"])).otherwise(0))
-    shared = pick(lambda x: F.size(F.filter(qt, lambda t: F.contains(x["n"], t))))
-    return F.when(longest != "", longest).otherwise(shared)
-
-
 # fixed values, in tenths: a query word found in a field; a field found in the query; the latter two
 # for fields that may also hold the query
 FIELD_WEIGHTS = (("messages", 15), ("code", 12), ("name", 10), ("service", 8), ("situation", 6),
@@ -482,5 +492,6 @@ def search_cases(queries: DataFrame, cases: DataFrame, k: int = 12, **sizes) ->
                          f"query_id {kinds['query_id']}, case_id {kinds['case_id']}, points long", **sizes)
     top = top_per_key(found, ["query_id"], [F.desc("points"), F.col("case_id")], k, "position")
     return (top.join(q, "query_id").join(c.select("case_id", "messages", "n_list", "s_tok"), "case_id")
-            .select("query_id", "case_id", best_message().alias("message"),
+            .select("query_id", "case_id",
+                    best_message("messages", "n_list", "s_tok", "qn", "qt").alias("message"),
                     (-F.col("points") / 10).alias("case_rank"), "position"))

@@ -21,6 +21,17 @@ def top_query(rows: DataFrame) -> DataFrame:
         F.min_by("query", F.struct(-F.col("impressions"), F.col("query"))).alias("top_query"))
 
 
+def page_summary(facts: DataFrame) -> DataFrame:
+    """Metrics and top query of each page from one aggregate per page and query, rolled up."""
+    rows = facts.groupBy("page", "query").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"), F.count("value").alias("nv"),
+        F.sum(F.when(F.col("event_type") == "click", 1).otherwise(0)).cast("long").alias("c"))
+    return rows.groupBy("page").agg(
+        F.sum("n").alias("impressions"), F.sum("c").alias("clicks"),
+        (F.sum("c") / F.sum("n")).alias("ctr"), (F.sum("v") / F.sum("nv") / 4).alias("position"),
+        F.coalesce(F.min_by("query", F.struct(-F.col("n"), F.col("query"))), F.lit("")).alias("top_query"))
+
+
 def with_top_query(pages: DataFrame, rows: DataFrame) -> DataFrame:
     return (pages.join(top_query(rows), "page", "left")
             .withColumn("top_query", F.coalesce("top_query", F.lit(""))))

@@ -1,9 +1,8 @@
 """Dictionary terms in a corpus, for dictionaries of any size, and glossary links.
 
-Terms and texts meet by equi-joins, never all with all. A term inside a word is found through an
-index of the distinct words of the corpus: every term is looked up by its rarest n-gram there, and
-words and documents meet after that. A term with clean ends consists of whole runs of its character
-classes, so it is looked up by its rarest run. A document gets its own terms only.
+Terms and texts meet by equi-joins, never all with all. Terms are found through an index of the
+distinct words of the corpus: every term is looked up by its rarest n-gram there and compared with
+the words that have it; words and documents meet after that. A document gets its own terms only.
 """
 
 from __future__ import annotations
@@ -22,7 +21,6 @@ SPACES = "[ \\t\\n\\x0B\\f\\r]+"
 # fixed values: character classes that bound a term
 CLASSES = {"hiragana": "\\x{3040}-\\x{309F}", "katakana": "\\x{30A0}-\\x{30FF}\\x{FF65}-\\x{FF9F}",
            "kanji": "\\x{4E00}-\\x{9FFF}\\x{3400}-\\x{4DBF}", "ascii": "A-Za-z0-9"}
-RUNS = "|".join(f"[{c}]+" for c in CLASSES.values())
 
 
 def rarest(keys: DataFrame, owner: str, key: str, index: DataFrame) -> DataFrame:
@@ -40,36 +38,52 @@ def _pieces(text: Column) -> Column:
     return F.filter(F.split(text, SPACES), lambda w: w != "")
 
 
-def words_with(parts: DataFrame, words: DataFrame) -> DataFrame:
-    """(part, word) where the part lies in the word; both tables hold distinct texts without spaces."""
+def words_with(parts: DataFrame, words: DataFrame, clean: bool = False) -> DataFrame:
+    """(part, word) where the part lies in the word, with clean ends if asked for.
+
+    Both tables hold distinct texts without spaces.
+    """
+    size = F.least(F.length("part"), F.lit(GRAM))
+    sizes = sorted(r[0] for r in parts.select(size).distinct().collect())  # GRAM rows at most
+    if not sizes:
+        return parts.select("part", F.col("part").alias("word"))
     grams = explode_once(parts, ["part"], F.when(
         F.length("part") < GRAM, F.array("part")).otherwise(tx.grams("part", GRAM)), "gram")
-    longer = explode_once(words, ["word"], F.array_distinct(F.concat(
-        *[tx.grams("word", n) for n in range(1, GRAM + 1)])), "gram")
+    longer = explode_once(words, ["word"], F.array_distinct(F.concat(*[tx.grams("word", n) for n in sizes])), "gram")
     index = cut_lineage(longer.join(grams.select("gram").distinct(), "gram", "left_semi"))
-    return (rarest(grams, "part", "gram", index).join(index, "gram")
-            .filter(F.contains("word", F.col("part"))).select("part", "word"))
+    found = rarest(grams, "part", "gram", index).join(index, "gram").filter(F.contains("word", F.col("part")))
+    if clean:
+        found = found.filter(F.regexp_like("word", bounded_pattern(F.col("part"))))
+    return found.select("part", "word")
+
+
+def _found(terms: DataFrame, texts: DataFrame, key: str, clean: bool) -> DataFrame:
+    """(key, term): terms of one piece by the words they lie in; of several, by the longest piece and
+    then in the whole body."""
+    t = cut_lineage(terms.distinct().withColumn("pieces", _pieces(F.col("term"))).filter(F.size("pieces") > 0))
+    own = explode_once(texts, [key], F.array_distinct(_pieces(F.col("body"))), "word")
+    words = cut_lineage(own.select("word").distinct())
+    single = t.filter((F.size("pieces") == 1) & (F.col("pieces")[0] == F.col("term")))
+    index = words_with(single.select(F.col("term").alias("part")), words, clean)
+    hits = own.join(index, "word").select(key, F.col("part").alias("term")).distinct()
+    several = t.join(single.select("term"), "term", "left_anti")
+    if several.isEmpty():  # the dictionary alone is read for this
+        return hits
+    longest = F.aggregate("pieces", F.lit(""), lambda a, w: F.when(F.length(w) > F.length(a), w).otherwise(a))
+    anchor = several.select("term", longest.alias("part"))
+    index = words_with(anchor.select("part").distinct(), words)
+    cand = own.join(index, "word").join(anchor, "part").select(key, "term").distinct()
+    fits = (F.regexp_like("body", bounded_pattern(F.col("term"))) if clean
+            else F.contains("body", F.col("term")))
+    return hits.unionByName(texts.select(key, "body").join(cand, key).filter(fits).select(key, "term").distinct())
 
 
 def term_occurrences(terms: DataFrame, texts: DataFrame, key: str) -> DataFrame:
     """(key, term) for every dictionary term found as a substring of ``body``.
 
-    A term's longest piece without spaces lies in one word of the text; terms of several pieces are
-    then looked for in the whole body. White space at the ends of a term does not count, and blank
-    terms match nothing.
+    Spaces at the ends of a term do not count, and blank terms match nothing.
     """
-    t = (terms.select(F.trim("term").alias("term")).distinct()
-         .withColumn("pieces", _pieces(F.col("term"))).filter(F.size("pieces") > 0))
-    longest = F.aggregate("pieces", F.lit(""), lambda a, w: F.when(F.length(w) > F.length(a), w).otherwise(a))
-    t = t.select("term", longest.alias("part"), (F.size("pieces") > 1).alias("several"))
-    own = explode_once(texts, [key], F.array_distinct(_pieces(F.col("body"))), "word")
-    index = words_with(t.select("part").distinct(), cut_lineage(own.select("word").distinct()))
-    found = own.join(index, "word").join(t, "part").select(key, "term", "several").distinct()
-    if t.filter("several").isEmpty():  # the dictionary alone is read for this
-        return found.select(key, "term")
-    phrases = (texts.select(key, "body").join(found.filter("several"), key)
-               .filter(F.contains("body", F.col("term"))).select(key, "term").distinct())
-    return found.filter("not several").select(key, "term").unionByName(phrases)
+    return _found(terms.select(F.trim("term").alias("term")), texts, key, False)
 
 
 def first_documents(occurrences: DataFrame, key: str, k: int = 8) -> DataFrame:
@@ -89,34 +103,13 @@ def bounded_pattern(term: Column) -> Column:
     return F.concat(edge(F.substring(term, 1, 1), True), quoted, edge(F.substring(term, -1, 1), False))
 
 
-def _runs(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"({RUNS})"), F.lit(1)))
-
-
 def dictionary_hits(terms: DataFrame, texts: DataFrame, key: str) -> DataFrame:
     """(key, term) where a term of two or more characters occurs with clean ends.
 
-    A term that is one run is found by that run alone; others are looked up by their rarest run and
-    checked in the body. Terms without any run have no ends to be clean, so they are substrings.
+    What touches a term of one piece stands in the same word, so such terms are checked in distinct
+    words only. Blank terms match nothing.
     """
-    t = cut_lineage(terms.filter(F.length("term") >= 2).select("term").distinct()
-                    .withColumn("runs", _runs(F.col("term"))))
-    wanted = explode_once(t, ["term"], F.col("runs"), "run")
-    own = explode_once(texts, [key], _runs(F.col("body")), "run").join(
-        wanted.select("run").distinct(), "run", "left_semi")
-    single = t.filter((F.size("runs") == 1) & (F.col("runs")[0] == F.col("term")))
-    hits = own.join(single.select("term"), F.col("run") == F.col("term")).select(key, "term").distinct()
-    mixed = wanted.join(single.select("term"), "term", "left_anti")
-    if not mixed.isEmpty():
-        own = cut_lineage(own)
-        cand = own.join(rarest(mixed, "term", "run", own), "run").select(key, "term").distinct()
-        hits = hits.unionByName(texts.select(key, "body").join(cand, key)
-                                .filter(F.regexp_like("body", bounded_pattern(F.col("term"))))
-                                .select(key, "term").distinct())
-    bare = t.filter(F.size("runs") == 0).select("term")
-    if not bare.isEmpty():
-        hits = hits.unionByName(term_occurrences(bare, texts, key))
-    return hits
+    return _found(terms.filter(F.length("term") >= 2).select("term"), texts, key, True)
 
 
 def link_terms(corpus: DataFrame, terms: DataFrame, key: str) -> DataFrame:

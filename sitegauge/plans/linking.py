@@ -264,7 +264,7 @@ def j09_hits(spark, sf):
 #: Links per document and term: all places of all terms with clean ends, outside of headings, fences
 #: and protected spans; then from left to right, the longest first, none into the one before. Places
 #: that meet form a chain, and each chain is walked by itself.
-LINKS = f"""{PAGES}, {ARTICLES},
+LINKS = rf"""{PAGES}, {ARTICLES},
 ln AS (SELECT article_id, unnest(range(1, len(l) + 1)) AS n, unnest(l) AS line
   FROM (SELECT article_id, string_split(body, chr(10)) AS l FROM articles)),
 fe AS (SELECT *, regexp_matches(line, '^(`{{3,}}|~{{3,}})') AS fence FROM ln),
@@ -298,9 +298,11 @@ def t23_links(spark, sf):
     linked = te.link_terms(articles(spark, sf), _terms(spark, sf).select(
         "term", F.concat(F.lit("/glossary/"), F.sha2("term", 256), F.lit("/")).alias("url")), "article_id")
     put = F.regexp_extract_all("linked", F.lit("\\[([^\\]\\n]+)\\]\\(/glossary/[0-9a-f]{64}/\\)"), F.lit(1))
-    undone = (co.undo_term_links("linked") == F.col("body")).alias("undone")
-    return (explode_once(linked, ["article_id", undone], put, "term")
-            .groupBy("article_id", "term").agg(F.count(F.lit(1)).alias("links"), F.first("undone").alias("undone")))
+    undone = co.undo_term_links("linked") == F.col("body")
+    # both are made once per article, before the explode
+    rows = F.arrays_zip(put.alias("term"), F.array_repeat(undone, F.size(put)).alias("undone"))
+    return (explode_once(linked, ["article_id"], rows, "r").groupBy("article_id", "r.term")
+            .agg(F.count(F.lit(1)).alias("links"), F.bool_and("r.undone").alias("undone")))
 
 
 # -------------------------------------------------------------- sources and tiers

@@ -8,6 +8,7 @@ from ..functions import text as tx
 from ..functions.common import r6
 from ..operators import search as se
 from ..operators import traffic as tr
+from ..session import cut_lineage
 from .bindings import FACTS, SEARCH_QUERIES, facts, search_queries
 from .registry import query
 from .traffic import SCORED, vote_scores
@@ -37,12 +38,12 @@ def _posts(f):
 
 
 def _pages(spark, sf):
-    f = _posts(facts(spark, sf))
-    return se.with_top_query(tr.page_metrics(f), se.query_metrics(f))
+    return se.page_summary(_posts(facts(spark, sf)))
 
 
 def _found(spark, sf):
-    return se.bottlenecks(_pages(spark, sf), ctr_cap=0.2, ultra_ctr=0.15, pos_max=12.5,
+    # one row per page, read for the threshold and again for the report: write it once
+    return se.bottlenecks(cut_lineage(_pages(spark, sf)), ctr_cap=0.2, ultra_ctr=0.15, pos_max=12.5,
                           min_impressions=90)
 
 
@@ -62,8 +63,9 @@ titles AS (SELECT DISTINCT regexp_extract(page, '/posts/(p[0-9]+)/', 1) AS slug,
 SELECT page, impressions, clicks, round(ctr, 6) AS ctr, round(position, 6) AS position,
   coalesce(top_query, '') AS top_query FROM pages_m LEFT JOIN tq USING (page)""")
 def page_top_query(spark, sf):
-    return _pages(spark, sf).select("page", "impressions", "clicks", r6("ctr").alias("ctr"),
-                                    r6("position").alias("position"), "top_query")
+    f = _posts(facts(spark, sf))
+    return se.with_top_query(tr.page_metrics(f), se.query_metrics(f)).select(
+        "page", "impressions", "clicks", r6("ctr").alias("ctr"), r6("position").alias("position"), "top_query")
 
 
 @query("w02_top_query", W + PAGES + "SELECT * FROM tq")

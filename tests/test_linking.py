@@ -126,6 +126,82 @@ def test_related_items_with_one_dominant_service(spark):
         assert sorted(got[a[0]]) == sorted(pairs)[:7]
 
 
+def same_code(rows, k):
+    out = []
+    for item, code, tags in rows:
+        if code:
+            free = [i for i, c, t in rows if c == code and i != item and not set(t) & set(tags)]
+            out += [(item, i) for i in sorted(free)[:k]]
+    return sorted(out)
+
+
+def test_same_code_without_shared_tags(spark):
+    """Tags that nearly all items share, items without tags, and codes of very different sizes."""
+    rnd = random.Random(4)
+    rows = [(i, "hot" if i % 3 else f"c{i % 4}" if i % 2 else "", rnd.sample("abcdefgh", rnd.choice([0, 1, 2, 5, 7]))
+             + (["all"] if i % 40 else [])) for i in range(500)]
+    df = spark.createDataFrame(rows, "item int, code string, tags array<string>").repartition(5)
+    for block in (2, 64):
+        got = sorted((r.item, r.related) for r in li.same_code_other_tags(df, 3, block).collect())
+        assert got == same_code(rows, 3)
+    assert li.same_code_other_tags(df.limit(0)).count() == 0
+
+
+def test_same_code_with_many_tag_sets(spark):
+    """100,000 different tag sets in one code are not paired with each other."""
+    df = spark.range(100_000).select(
+        F.col("id").alias("item"), F.lit("one").alias("code"),
+        F.array(F.concat(F.lit("t"), F.col("id").cast("string")), F.concat(F.lit("u"), (F.col("id") % 9).cast("string"))).alias("tags"))
+    got = li.same_code_other_tags(df).filter("item in (0, 5, 99999)").collect()
+    assert sorted((r.item, r.related) for r in got) == [
+        (0, 1), (0, 2), (0, 3), (5, 0), (5, 1), (5, 2), (99999, 1), (99999, 2), (99999, 3)]
+
+
+def test_occurrences_beside_brute_force(spark):
+    rnd = random.Random(6)
+    some = lambda n: "".join(rnd.choices("abcé ", k=n))
+    texts = [(i, some(rnd.randint(0, 60))) for i in range(80)] + [(80, None), (3, "again abc")]
+    terms = sorted({some(rnd.randint(1, 5)) for _ in range(200)}) + ["abc abc", "é", "  ", "", "ab  c"]
+    t = spark.createDataFrame([(x,) for x in terms + terms[:5]], "term string")
+    df = spark.createDataFrame(texts, "i int, body string").repartition(3)
+    got = sorted((r.i, r.term) for r in te.term_occurrences(t, df, "i").collect())
+    words = {x.strip(" ") for x in terms} - {""}
+    assert got == sorted({(i, x) for i, body in texts for x in words if x in (body or "")})
+    assert te.term_occurrences(t.limit(0), df, "i").count() == te.term_occurrences(t, df.limit(0), "i").count() == 0
+
+
+def test_bounded_terms_beside_brute_force(spark):
+    import re
+    rnd = random.Random(7)
+    some = lambda n: "".join(rnd.choices("ab1éカ+ ", k=n))
+    texts = [(i, some(rnd.randint(0, 60))) for i in range(80)]
+    terms = sorted({some(rnd.randint(2, 6)).strip() for _ in range(300)} - {""})
+    terms = [x for x in terms if len(x) > 1]
+    t = spark.createDataFrame([(x,) for x in terms], "term string")
+    df = spark.createDataFrame(texts, "i int, body string").repartition(3)
+    got = sorted((r.i, r.term) for r in te.dictionary_hits(t, df, "i").collect())
+
+    def bounded(x):
+        cls = lambda c: "[A-Za-z0-9]" if c in "ab1" else "[ァ-ヿ]" if c == "カ" else None
+        left, right = cls(x[0]), cls(x[-1])
+        return (f"(?<!{left})" if left else "") + re.escape(x) + (f"(?!{right})" if right else "")
+
+    assert got == sorted((i, x) for i, body in texts for x in terms if re.search(bounded(x), body))
+
+
+def test_a_large_dictionary(spark):
+    """100,000 terms: each text meets its own terms only."""
+    terms = spark.range(100_000).select(F.concat(F.lit("w"), F.col("id").cast("string"), F.lit("x")).alias("term"))
+    texts = spark.createDataFrame([(1, "w12x and vw99999xy"), (2, "w100000x w7x"), (3, "none")], "i int, body string")
+    found = sorted((r.i, r.term) for r in te.term_occurrences(terms, texts, "i").collect())
+    assert found == [(1, "w12x"), (1, "w99999x"), (2, "w7x")]
+    hits = sorted((r.i, r.term) for r in te.dictionary_hits(terms, texts, "i").collect())
+    assert hits == [(1, "w12x"), (2, "w7x")]
+    linked = te.link_terms(texts, terms.withColumn("url", F.concat(F.lit("/g/"), "term", F.lit("/"))), "i")
+    assert {r.i: r.linked for r in linked.collect()} == {
+        1: "[w12x](/g/w12x/) and vw99999xy", 2: "w100000x [w7x](/g/w7x/)", 3: "none"}
+
+
 def test_dictionary_hits_need_clean_boundaries(spark):
     terms = spark.createDataFrame([("ポート",), ("HTTP",), ("docker compose",), ("C++",)], "term string")
     texts = spark.createDataFrame([(1, "サポート HTTPS"), (2, "このポートをHTTPで"), (3, "docker compose up"),

@@ -214,3 +214,16 @@ def test_sync_due(spark):
                                 "k string, synced string")
     assert {r.k: r.due for r in fd.sync_due(src, led, "k").collect()} == {
         "a": False, "b": True, "c": True, "d": True}
+
+
+def test_written_folders_are_removed(spark, monkeypatch):
+    from sitegauge import session
+    table = session.cut_lineage(spark.range(3))
+    assert table.count() == 3 and session._scratch(spark) in table.inputFiles()[0]
+    other = f"{session._scratch(spark)}-other"
+    monkeypatch.setattr(session, "_scratch", lambda _: other)
+    path = session.new_folder(spark, "x")
+    spark.range(2).write.parquet(path)
+    session.remove_folders(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
