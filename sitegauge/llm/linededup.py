@@ -28,9 +28,11 @@ def lines_of(text: Column) -> Column:
 
 def line_hashes(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     """(doc, text_hash, pos, h1, h2): one row per line whose key is long enough."""
-    lines = docs.select(F.col("doc_id").alias("doc"),
+    # Hash and lines are made before the explode: else every line would carry and hash the text.
+    split = docs.select(F.col("doc_id").alias("doc"),
                         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
-                        F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
+                        lines_of(F.col("text")).alias("lines"))
+    lines = split.select("doc", "text_hash", F.posexplode("lines").alias("pos", "line"))
     stripped = F.btrim("line", F.lit(ASCII_SPACE))
     key = ascii_lower(F.col("stripped"))
     return (lines.select("doc", "text_hash", "pos", stripped.alias("stripped"))
@@ -81,8 +83,9 @@ def with_kept_text(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     maps = (drop_bitmaps(docs, min_chars)
             .select(F.col("doc").alias("_line_doc"), F.col("text_hash").alias("_line_text"),
                     F.col("n_dropped").alias("_line_dropped"),
-                    F.expr("transform(sequence(0, words[size(words) - 1].word), w -> "
-                           "coalesce(map_from_entries(words)[w], 0L))").alias("_line_bits")))
+                    F.expr("flatten(transform(words, (x, i) -> concat(array_repeat(0L, "
+                           "x.word - 1 - if(i = 0, -1, words[i - 1].word)), array(x.bits))))")
+                    .alias("_line_bits")))
     joined = rows.join(maps, rows["doc_id"].eqNullSafe(maps["_line_doc"])
                        & (rows["_line_hash"] == maps["_line_text"]), "left")
     keep = F.expr(

@@ -35,8 +35,8 @@ from .common import bounded_sample
 KINDS = ("email", "ip", "card", "phone")
 #: The patterns of the base spans.
 PATTERNS = (
-    re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),  # found from its mark, see emails
+    re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),  # a run of digits is tried once
     re.compile(r"[0-9]([\x20-]?[0-9])+"),
     re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 )
@@ -64,7 +64,8 @@ def passes(kind: int, text: str) -> bool:
     """The check of a kind on matched text."""
     digits = re.sub(r"[^0-9]", "", text)
     if kind == 1:
-        return all(len(p) < 20 and int(p) <= 255 for p in re.findall(r"[0-9]+", text))
+        parts = [p.lstrip("0") or "0" for p in re.findall(r"[0-9]+", text)]
+        return all(len(p) <= 3 and int(p) <= 255 for p in parts)
     if kind == 2:
         return 14 <= len(digits) <= 19 and luhn(digits)
     if kind == 3:
@@ -72,10 +73,33 @@ def passes(kind: int, text: str) -> bool:
     return True
 
 
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+
+
+def emails(text: str) -> list[Span]:
+    """Matches of the first pattern, leftmost and not overlapping, in time linear in the text.
+
+    Going left from each mark over the characters before it finds the leftmost start; the pattern
+    itself would try every start in a long run without a mark.
+    """
+    out, done, mark = [], 0, text.find("@")
+    while mark >= 0:
+        start = mark
+        while start > done and text[start - 1] in LOCAL:
+            start -= 1
+        m = DOMAIN.match(text, mark + 1) if start < mark else None
+        if m:
+            done = m.end()
+            out.append((start, done, 0))
+        mark = text.find("@", max(done, mark + 1))
+    return out
+
+
 def base_spans(text: str) -> list[Span]:
-    out = []
+    out = emails(text)
     for kind, pattern in enumerate(PATTERNS):
-        if kind == 0 and "@" not in text or kind == 3 and "+" not in text:
+        if kind == 0 or kind == 3 and "+" not in text:
             continue
         out += [(m.start(), m.end(), kind) for m in pattern.finditer(text) if passes(kind, m[0])]
     return sorted(out, key=lambda s: (s[0], s[2]))

@@ -264,3 +264,40 @@ def test_passages_and_search_beside_sql(spark):
         sql(passages.ORACLE, documents=docs.toArrow()), key=repr)
     assert rows(lexical.op11(docs, items), "item_id", "rank", "doc_id", "score") == sorted(
         sql(lexical.ORACLE, documents=docs.toArrow(), benchmark=items.toArrow()), key=repr)
+
+
+# ------------------------------------------------------------------ very long texts
+
+def test_line_dedup_of_a_million_lines(spark):
+    from sitegauge.llm import linededup
+    n = 1_000_000
+    one = "\n".join(f"a line of its own number {i}" for i in range(n))
+    two = "\n".join(f"a line of its own number {i}" if i % 2 else f"another line with number {i}" for i in range(n))
+    df = spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string")
+    got = {r.doc_id: r for r in linededup.op5(df).collect()}
+    kept = "\n".join(two.split("\n")[::2])
+    assert (got[1].n_lines, got[1].n_dropped) == (n, 0)
+    assert (got[2].n_lines, got[2].n_dropped) == (n, n // 2)
+    assert got[2].kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+
+
+def test_personal_data_in_a_run_of_a_million_characters():
+    from sitegauge.llm import pii
+    text = "x@ " + "a" * 1_000_000 + " " + "7" * 1_000_000 + " me@example.org 1.2.3.4"
+    end = len(text)
+    assert pii.base_spans(text) == [(end - 22, end - 8, 0), (end - 7, end, 1)]
+
+
+def test_base_spans_beside_the_plain_patterns():
+    """Leftmost matches of the patterns as the contract states them."""
+    from sitegauge.llm import pii
+    plain = [re.compile(p) for p in (
+        r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")]
+    rng = random.Random(8)
+    for _ in range(3000):
+        text = "".join(rng.choice("ab1.2@@-+_ 0(é\n") for _ in range(rng.randint(0, 40)))
+        want = sorted(((m.start(), m.end(), k) for k, p in enumerate(plain) for m in p.finditer(text)
+                       if pii.passes(k, m[0])), key=lambda s: (s[0], s[2]))
+        assert pii.base_spans(text) == want, text
+    assert pii.passes(1, "0" * 30 + "1.2.3.255") and not pii.passes(1, "1.2.3.256")
