@@ -2,20 +2,25 @@
 
 Stream functions take and return streaming DataFrames or run them with an
 ``availableNow`` trigger into tables below the shared checkpoint folder, so a
-lost executor or a restart resumes from the checkpoint.
+lost executor or a restart resumes from the checkpoint. The module is pickled by value, so executors
+need no copy of this package.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions import constants as C
 from ..functions.common import contains_any, latest_per_key
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # -------------------------------------------------------------------- R01 seen entries
 
 
