@@ -15,7 +15,8 @@ Nodes are handled level by level:
 1. Every class of a node is compared with the node's first class, which joins large groups in a
    number of pairs linear in their size.
 2. Nodes whose classes already belong to one component are done. Open nodes of at most ``SMALL_NODE``
-   classes compare all classes of different components. In larger ones with at most ``OTHERS``
+   classes compare all classes of different components: their classes bring their full sets, and a
+   node gives only links, fewer than it has classes. In larger ones with at most ``OTHERS``
    classes outside the largest component, each of these is compared with every class of the node,
    which is linear in the node's size. All other nodes branch again, and the classes of these nodes
    are branched in further trees from the root, as many as the new depth asks for.
@@ -36,7 +37,7 @@ from __future__ import annotations
 import math
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -283,46 +284,97 @@ def _index_pairs(node: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             break
         yield i[same], k[same]
     for start, size in zip(starts[sizes > TINY_NODE], sizes[sizes > TINY_NODE]):
-        for row in range(0, size, 32):
-            i, k = np.meshgrid(np.arange(row, min(size, row + 32)), np.arange(row, size))
+        for row in range(0, size, 8):
+            i, k = np.meshgrid(np.arange(row, min(size, row + 8)), np.arange(row, size))
             yield start + i[k > i], start + k[k > i]
 
 
-def _within_nodes(batches: Iterator[pa.RecordBatch], best: bool) -> Iterator[pa.RecordBatch]:
-    """Rows (node, cid, comp, n, mini) sorted by node to agreeing pairs of different components:
-    all of them, or of each row the one that agrees most.
+def _cells(column: pa.Array) -> np.ndarray:
+    """Lists or binaries of 8-byte numbers as arrays, one per row."""
+    out = np.empty(len(column), object)
+    if pa.types.is_list(column.type):
+        ends, flat = np.cumsum(column.value_lengths().to_numpy()), column.flatten().to_numpy()
+        out[:] = np.split(flat, ends[:-1])
+    else:
+        out[:] = [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+    return out
+
+
+def _whole_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Rows (node, cid, comp, n, mini, ...) sorted by node, as arrays that hold nodes whole.
 
-    Every node gives its pairs, as another node that a pair shares may be too large to be compared.
     Nodes are small, so the rows of an unfinished one are kept for the next batch.
     """
-    def pairs(node, cid, comp, n, mini):
-        most, partner = np.zeros(len(node), np.int64), np.full(len(node), -1)
-        for i, k in _index_pairs(node):
-            i, k, same = _fitting(i, k, comp, n, mini)
-            if best:
-                row, other, same = np.r_[i, k], np.r_[k, i], np.r_[same, same]
-                up = np.argsort(same, kind="stable")  # of equal rows the last assignment stays
-                up = up[same[up] > most[row[up]]]
-                most[row[up]], partner[row[up]] = same[up], other[up]
-                continue
-            yield _pairs_of(cid[i], cid[k])
-        if best:
-            found = np.flatnonzero(partner >= 0)
-            yield _pairs_of(cid[found], cid[partner[found]])
-
     held = None
     for batch in batches:
         if not batch.num_rows:
             continue
         now = [batch.column(i).to_numpy() for i in range(4)]
         now.append(_matrix(batch.column(4), np.uint8, FINE // 2))
+        now += [_cells(batch.column(i)) for i in range(5, batch.num_columns)]
         if held is not None:
             now = [np.concatenate([x, y]) for x, y in zip(held, now)]
         done = int(np.searchsorted(now[0], now[0][-1]))
         held = [x[done:] for x in now]
-        yield from pairs(*[x[:done] for x in now])
+        if done:
+            yield [x[:done] for x in now]
     if held is not None:
-        yield from pairs(*held)
+        yield held
+
+
+def _best_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each row of a node the pair with the row of another component that agrees most."""
+    for node, cid, comp, n, mini in _whole_nodes(batches):
+        most, partner = np.zeros(len(node), np.int64), np.full(len(node), -1)
+        for i, k in _index_pairs(node):
+            i, k, same = _fitting(i, k, comp, n, mini)
+            row, other, same = np.r_[i, k], np.r_[k, i], np.r_[same, same]
+            up = np.argsort(same, kind="stable")  # of equal rows the last assignment stays
+            up = up[same[up] > most[row[up]]]
+            most[row[up]], partner[row[up]] = same[up], other[up]
+        found = np.flatnonzero(partner >= 0)
+        yield _pairs_of(cid[found], cid[partner[found]])
+
+
+def _with_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (node, cid) that agree with some row of another component in their node."""
+    for node, cid, comp, n, mini in _whole_nodes(batches):
+        has = np.zeros(len(node), bool)
+        for i, k in _index_pairs(node):
+            i, k, _ = _fitting(i, k, comp, n, mini)
+            has[i] = has[k] = True
+        yield pa.RecordBatch.from_arrays([pa.array(node[has]), pa.array(cid[has])], ["node", "cid"])
+
+
+def _links_in_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their sets and nodes to links by full sets, as few as join what a node joins.
+
+    Every agreeing pair of different components is compared, unless links of the node have joined
+    them before; a pair that shares several nodes is compared in the first of them alone.
+    """
+    for node, cid, comp, n, mini, hashes, nodes in _whole_nodes(batches):
+        starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+        for a, b in zip(starts, np.r_[starts[1:], len(node)]):
+            sets, own, of = hashes[a:b], nodes[a:b], comp[a:b].tolist()
+            parent = {c: c for c in of}
+
+            def root(c):
+                while parent[c] != c:
+                    parent[c] = c = parent[parent[c]]
+                return c
+
+            found: list[tuple[int, int]] = []
+            for i, k in _index_pairs(node[a:b]):
+                i, k, same = _fitting(i, k, comp[a:b], n[a:b], mini[a:b])
+                order = np.argsort(-same, kind="stable")
+                for x, y in zip(i[order].tolist(), k[order].tolist()):
+                    one, other = root(of[x]), root(of[y])
+                    if (one != other and np.intersect1d(own[x], own[y], True)[0] == node[a]
+                            and similar(sets[x], sets[y])):
+                        parent[one] = other
+                        found.append((x, y))
+            at = np.array(found, np.int64).reshape(-1, 2)
+            yield _pairs_of(cid[a:b][at[:, 0]], cid[a:b][at[:, 1]])
 
 
 def _against_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -508,11 +560,31 @@ class _Join:
                  .filter("n_others > 0"))
         return cut_lineage(placed.join(nodes, "node"))
 
-    def node_pairs(self, small: DataFrame, best: bool) -> DataFrame:
-        """Agreeing pairs inside nodes of at most SMALL_NODE classes."""
-        return (small.join(self.info, "cid").select("node", "cid", "comp", "n", "mini")
-                .repartition("node").sortWithinPartitions("node")
-                .mapInArrow(lambda it: _within_nodes(it, best), "a long, b long").distinct())
+    def node_rows(self, small: DataFrame) -> DataFrame:
+        return small.join(self.info, "cid").select("node", "cid", "comp", "n", "mini")
+
+    def best_pairs(self, small: DataFrame) -> DataFrame:
+        """The best partner of each class in nodes of at most SMALL_NODE classes."""
+        return (self.node_rows(small).repartition("node").sortWithinPartitions("node")
+                .mapInArrow(_best_partners, "a long, b long").distinct())
+
+    def join_nodes(self, small: DataFrame) -> None:
+        """Compare nodes of at most SMALL_NODE classes exhaustively and merge what they link.
+
+        Only classes with a partner that agrees bring their sets; a node gives fewer links than it
+        has classes, however many pairs it compares.
+        """
+        rows = cut_lineage(self.node_rows(small))
+        near = cut_lineage(rows.repartition("node").sortWithinPartitions("node")
+                           .mapInArrow(_with_partners, "node long, cid long"))
+        if near.isEmpty():
+            return
+        self.add_sets(near.select("cid").distinct())
+        shared = near.groupBy("cid").agg(F.collect_list("node").alias("nodes"))  # one per tree at most
+        full = (near.join(rows, ["node", "cid"]).join(self.sets, "cid").join(shared, "cid")
+                .select("node", "cid", "comp", "n", "mini", "hashes", "nodes")
+                .repartition("node").sortWithinPartitions("node"))
+        self.comps = self.merged(cut_lineage(full.mapInArrow(_links_in_nodes, "a long, b long").distinct()))
 
     def run(self) -> None:
         self.info = self.classes.select("cid", F.col("n_shingles").alias("n"), "mini")
@@ -522,18 +594,18 @@ class _Join:
         while True:
             small = F.col("size") <= SMALL_NODE
             # The best partners first: they merge most of what can merge, and spare other tests.
-            self.test(self.node_pairs(self.open_members(members).filter(small), True))
+            self.test(self.best_pairs(self.open_members(members).filter(small)))
             still = self.open_members(members)
-            pairs = self.node_pairs(still.filter(small), False)
+            self.join_nodes(still.filter(small))
+            parts = []
             one_main = ~small & (F.col("n_others") <= OTHERS)
             near = still.filter(one_main)
             if not near.isEmpty():
                 near = near.join(self.info, "cid").select("node", "cid", "comp", "main", "n", "mini")
                 others = (near.filter("comp <> main").groupBy("node")  # at most OTHERS a node
                           .agg(F.collect_list(F.struct("cid", "comp", "n", "mini")).alias("others")))
-                pairs = pairs.unionByName(
-                    near.join(others, "node").select("cid", "comp", "n", "mini", "others")
-                    .mapInArrow(_against_others, "a long, b long"))
+                parts.append(near.join(others, "node").select("cid", "comp", "n", "mini", "others")
+                             .mapInArrow(_against_others, "a long, b long"))
             large = still.filter(~small & ~one_main)
             deeper = not large.isEmpty()
             if deeper:
@@ -544,8 +616,9 @@ class _Join:
                     .mapInArrow(_branched, "node long, cid long")
                     .unionByName(self.planted(sketches.join(large.select("cid").distinct(), "cid",
                                                             "left_semi"), further, depth)))
-                pairs = pairs.unionByName(self.star_pairs(members))
-            self.test(pairs.distinct())
+                parts.append(self.star_pairs(members))
+            if parts:
+                self.test(reduce(DataFrame.unionByName, parts).distinct())
             if not deeper:
                 return
 

@@ -109,10 +109,35 @@ def test_pair_in_a_large_and_a_small_node():
     column = lambda rows: pa.array([rows[i].tobytes() for i in cid])
     batch = pa.RecordBatch.from_arrays(
         [pa.array(nodes), pa.array(cid), pa.array(cid), pa.array([len(sets[i]) for i in cid]),
-         column([neardup.fine_sketch(s) for s in sets]), column(sketches)],
-        ["node", "cid", "comp", "n", "mini", "sketch"])
-    found = [(r["a"], r["b"]) for b in neardup._within_nodes(iter([batch]), False) for r in b.to_pylist()]
-    assert set(found) == {(0, 1)}
+         column([neardup.fine_sketch(s) for s in sets]), column(sets),
+         pa.array([sorted(set(nodes.tolist()))] * len(cid))],
+        ["node", "cid", "comp", "n", "mini", "hashes", "nodes"])
+    near = [r["cid"] for b in neardup._with_partners(iter([batch.select(range(5))])) for r in b.to_pylist()]
+    assert near == cid.tolist()
+    found = [(r["a"], r["b"]) for b in neardup._links_in_nodes(iter([batch])) for r in b.to_pylist()]
+    assert found == [(0, 1)]  # in the first node that the pair shares
+
+
+def test_half_alike_texts_give_few_rows(docs, monkeypatch):
+    """Texts whose pairs agree enough to be compared but are mostly no links."""
+    rng = np.random.RandomState(9)
+    rows = []
+    for i in range(300):
+        words_ = [f"w{k}" for k in range(400)]
+        for at in rng.choice(80, 7, replace=False):  # each changed word changes five shingles
+            words_[5 * at] = f"x{rng.randint(10 ** 9)}"
+        rows.append((i, " ".join(words_)))
+    given, merged = [], neardup._Join.merged
+
+    def watched(self, links):
+        given.append(links.count())
+        return merged(self, links)
+
+    monkeypatch.setattr(neardup._Join, "merged", watched)
+    got = neardup.op3(docs(rows)).collect()
+    want = groups(rows)
+    assert Counter(map(tuple, got)) == Counter(want)
+    assert max(given) < 3 * len(rows)
 
 
 def test_deeper_nodes_get_further_trees(docs, monkeypatch):
