@@ -74,5 +74,5 @@ def test_stages_beside_brute_force(spark):
 def test_run_and_registry(spark):
     queries = entry.queries()
     numbers = {int(q[1]) for name in queries if (q := re.match(r"op(\d+)_", name))}
-    assert numbers == set(range(1, 11)) and "pipeline" in queries
+    assert numbers == set(range(1, 14)) and "pipeline" in queries
     assert queries["pipeline"](spark, SF).count() > 100
