@@ -48,3 +48,12 @@ def test_coverage_copies_no_rows_per_pair(spark):
     got = li.best_articles(q, f, q_rows=2, i_rows=2)
     assert "CartesianProduct" in plan(got) and "explode" not in plan(got)
     assert {(r.best_match_slug, round(r.match_score * 145)) for r in got.collect()} == {("s0", 40)}
+
+
+def test_article_search_copies_no_rows_per_pair(spark):
+    q = spark.createDataFrame([(i, "404 pull docker") for i in range(5)], "query_id int, query string")
+    a = spark.createDataFrame([(f"s{i}", "docker pull" if i % 2 else "none", "404", "/posts/x/") for i in range(9)],
+                              "slug string, title string, code string, permalink string")
+    got = li.search_articles(q, a, k=3, q_rows=2, i_rows=2)
+    assert "CartesianProduct" in plan(got) and "explode" not in plan(got)
+    assert {(r.slug, r.search_rank) for r in got.collect()} == {("s1", 0), ("s3", 0), ("s5", 0)}
