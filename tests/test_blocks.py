@@ -57,3 +57,14 @@ def test_article_search_copies_no_rows_per_pair(spark):
     got = li.search_articles(q, a, k=3, q_rows=2, i_rows=2)
     assert "CartesianProduct" in plan(got) and "explode" not in plan(got)
     assert {(r.slug, r.search_rank) for r in got.collect()} == {("s1", 0), ("s3", 0), ("s5", 0)}
+
+
+def test_case_search_copies_no_rows_per_pair(spark):
+    q = spark.createDataFrame([(i, "pull access denied") for i in range(5)], "query_id int, query string")
+    c = spark.createDataFrame([(i, "Docker", "", "", "", "", ["pull access denied" if i > 3 else "no"], [])
+                               for i in range(9)],
+                              "case_id int, service string, code string, name string, cause string, "
+                              "situation string, messages array<string>, aliases array<string>")
+    got = li.search_cases(q, c, k=2, q_rows=2, i_rows=2)
+    assert "CartesianProduct" in plan(got) and "explode" not in plan(got)
+    assert {(r.case_id, r.position) for r in got.collect()} == {(4, 1), (5, 2)}
