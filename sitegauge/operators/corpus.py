@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import constants as C
 from ..functions import text as tx
-from ..functions.common import any_of, as_col, contains_any, count_if, explode_once, guarded, ratio
+from ..functions.common import any_of, as_col, contains_any, count_if, explode_once, guarded, once, ratio
 
 def _empty() -> Column:
     return F.array().cast("array<string>")
@@ -189,28 +189,34 @@ def code_masked(body="body") -> Column:
 
 def section(heading: str = C.NOTE_HEADING, body="body") -> Column:
     """Text below the first matching heading up to the next heading of its level; else null."""
-    b, masked = as_col(body), code_masked(body)
-    pat = "(?m)" + heading
-    at = F.regexp_instr(masked, F.lit(pat))
-    found = F.regexp_extract(masked, pat, 0)
-    level = F.length(F.regexp_extract(found, "^\\s*(#+)", 1))
-    start = at + F.length(found)
-    rest = F.concat(F.lit("x"), F.substr(masked, start))
-    nxt = F.regexp_instr(rest, F.concat(F.lit("(?m)^#{1,"), level.cast("string"), F.lit("}\\s")))
-    length = F.when(nxt > 0, nxt - 2).otherwise(F.length(b))
-    return F.when(b.rlike(pat), F.when(at > 0, F.substr(b, start, F.greatest(length, F.lit(0)))))
+    b, pat = as_col(body), "(?m)" + heading
+
+    def cut(masked, at, found):
+        level = F.length(F.regexp_extract(found, "^\\s*(#+)", 1))
+        start = at + F.length(found)
+        rest = F.concat(F.lit("x"), F.substr(masked, start))
+        nxt = F.regexp_instr(rest, F.concat(F.lit("(?m)^#{1,"), level.cast("string"), F.lit("}\\s")))
+        return once(nxt, lambda n: F.substr(b, start, F.greatest(
+            F.when(n > 0, n - 2).otherwise(F.length(b)), F.lit(0))))
+
+    def found_in(masked):
+        first = F.struct(F.regexp_instr(masked, F.lit(pat)).alias("at"),
+                         F.regexp_extract(masked, pat, 0).alias("found"))
+        return once(first, lambda f: F.when(f["at"] > 0, cut(masked, f["at"], f["found"])))
+
+    return F.when(b.rlike(pat), once(code_masked(body), found_in))
 
 
 def rule_e1(body="body") -> Column:
-    s = section(body=body)
-    n = F.when(s.isNotNull(), F.size(tx.all_urls(s))).otherwise(1)
-    return _one(n == 0, "E1", "WARN", "note without URL")
+    def urls(s):
+        return F.when(s.isNotNull(), F.size(tx.all_urls(s))).otherwise(1)
+
+    return _one(once(section(body=body), urls) == 0, "E1", "WARN", "note without URL")
 
 
 def rule_e2(body="body") -> Column:
-    s = section(body=body)
-    urls = F.array_distinct(F.transform(guarded(s.isNotNull(), tx.all_urls(s), _empty()),
-                                        lambda u: F.regexp_replace(u, "[).,、。]+$", "")))
+    found = once(section(body=body), lambda s: guarded(s.isNotNull(), tx.all_urls(s), _empty()))
+    urls = F.array_distinct(F.transform(found, lambda u: F.regexp_replace(u, "[).,、。]+$", "")))
     bad = F.filter(urls, lambda u: tx.domain_tier(tx.url_host(u)) == "grounding_redirect")
     return F.transform(bad, lambda u: F.struct(
         F.lit("E2").alias("rule"), F.lit("FAIL").alias("severity"),
@@ -326,12 +332,13 @@ def strip_control(body="body") -> Column:
 
 def invalid_note_reason(body="body", min_chars: int = 50) -> Column:
     """Why the note section must go: no URL, redirect URL or too short; null if fine."""
-    s = section(body=body)
-    urls = tx.all_urls(F.coalesce(s, F.lit("")))
-    redirect = F.exists(urls, lambda u: tx.domain_tier(tx.url_host(u)) == "grounding_redirect")
-    short = F.length(F.regexp_replace(F.coalesce(s, F.lit("")), "[ \\n]", "")) < min_chars
-    return (F.when(s.isNull(), None).when(F.size(urls) == 0, "no url")
-            .when(redirect, "redirect url").when(short, "too short"))
+    def reason(s):
+        short = F.length(F.regexp_replace(s, "[ \\n]", "")) < min_chars
+        return once(tx.all_urls(s), lambda urls: F.when(F.size(urls) == 0, "no url").when(F.exists(
+            urls, lambda u: tx.domain_tier(tx.url_host(u)) == "grounding_redirect"), "redirect url")
+            .when(short, "too short"))
+
+    return once(section(body=body), lambda s: F.when(s.isNotNull(), reason(s)))
 
 
 def strip_invalid_note(body="body") -> Column:
