@@ -38,11 +38,27 @@ def list_field(value: Column) -> Column:
     return F.filter(items, lambda x: x != "")
 
 
-def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """One row per document: path, stem, fm, tags, body. One file is one row, read by its task."""
-    t = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.regexp_replace("value", "^﻿", "").alias("text"))
+#: Ends a document in a bundle; ``MARK`` stands before what replaces either of them in a text.
+END, MARK = "\x1e", "\x1f"
+
+
+def write_bundles(documents: DataFrame, text: str, path: str) -> None:
+    """Whole documents one after another in as many files as there are partitions."""
+    safe = F.replace(F.replace(text, F.lit(MARK), F.lit(MARK + "1")), F.lit(END), F.lit(MARK + "0"))
+    documents.select(safe.alias("value")).write.option("lineSep", END).text(path)
+
+
+def read_corpus(spark: SparkSession, path: str, bundles: bool = False) -> DataFrame:
+    """One row per document: path, stem, fm, tags, body.
+
+    One file is one row, read by its task, or holds many documents of ``write_bundles``: a file costs
+    more than a document, so large corpora come in bundles.
+    """
+    t = spark.read.text(path, lineSep=END) if bundles else spark.read.text(path, wholetext=True)
+    if bundles:
+        plain = F.replace(F.replace("value", F.lit(MARK + "0"), F.lit(END)), F.lit(MARK + "1"), F.lit(MARK))
+        t = t.withColumn("value", plain)
+    t = t.select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "^﻿", "").alias("text"))
     parts = split_front_matter(F.col("text"))
     return t.select(
         "path", F.regexp_extract("path", "([^/]+?)(?:\\.[^./]*)?$", 1).alias("stem"),

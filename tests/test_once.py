@@ -24,3 +24,13 @@ def test_note_reason_masks_code_once(spark):
     got = df.select(co.invalid_note_reason().alias("r"))
     assert plan(got).count("zip_with") == 1
     assert [r.r for r in got.collect()] == ["too short", None, None]
+
+
+def test_bundles_hold_whole_documents(spark, tmp_path):
+    from sitegauge.sources import readers as rd
+    texts = ["---\nid: a\ntags: [x]\n---\none\ntwo\n", "", "end \x1e mark \x1f0 \x1f1 \x1f\n\n", "last"]
+    df = spark.createDataFrame([(t,) for t in texts], "page string").coalesce(1)
+    rd.write_bundles(df, "page", str(tmp_path / "c"))
+    got = rd.read_corpus(spark, str(tmp_path / "c"), bundles=True)
+    assert sorted(r.body for r in got.collect()) == sorted(["one\ntwo\n", *texts[1:]])
+    assert got.select("path").distinct().count() == 1
