@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.common import any_of
+from ..functions.common import any_of, once
 
 
 def merge_queue(scored: DataFrame, queue: DataFrame, source: str = "feedback") -> DataFrame:
@@ -141,33 +141,38 @@ def payload_text(raw: Column) -> Column:
     t = F.trim(raw, F.lit(" \t\r\n"))
     fenced = F.regexp_extract(t, "(?is)```(?:json)?\\s*(.*?)```", 1)
     t = F.when(t.rlike("(?is)```.*?```"), F.trim(fenced, F.lit(" \t\r\n"))).otherwise(t)
-    obj = F.regexp_extract(t, "(?s)\\{.*\\}", 0)
-    return F.when(obj != "", obj).otherwise(t)
+    return once(t, lambda t: once(F.regexp_extract(t, "(?s)\\{.*\\}", 0), lambda obj: F.when(obj != "", obj).otherwise(t)))
 
 
 def validate_payload(raw: Column, keys=SCORE_KEYS, low: int = 0, high: int = 100) -> Column:
     """Struct(status, error, scores): required keys, numeric type and range; booleans fail."""
-    p = payload_text(raw)
-    parsed = F.try_parse_json(p)
-    kind = F.coalesce(F.schema_of_variant(parsed), F.lit(""))
-    have = F.coalesce(F.json_object_keys(p), F.array().cast("array<string>"))
-    missing = F.array_except(F.array(*[F.lit(k) for k in keys]), have)
-    text = {k: F.get_json_object(p, f"$.{k}") for k in keys}
-    num = {k: text[k].try_cast("double") for k in keys}
-    whole = {k: F.when(~F.isnan(num[k]) & (F.abs(num[k]) < 1e9), num[k].cast("int")) for k in keys}
-    error = (F.when(raw == "", "empty response").when(parsed.isNull(), "json_parse_error")
-             .when(~kind.startswith("OBJECT"), "root is not an object")
-             .when(F.size(missing) > 0, F.concat(F.lit("missing required keys: "),
-                                                 F.array_join(missing, ", "))))
-    for k in keys:
-        error = error.when(text[k].isNull() | text[k].rlike("^\\s*[\\[{]") | text[k].isin("true", "false"),
-                           f"invalid type for {k}")
-        error = error.when(whole[k].isNull(), f"non numeric score for {k}")
-        error = error.when(~whole[k].between(low, high), f"score out of range for {k}")
-    error = error.otherwise("")
-    scores = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[whole[k] for k in keys]))
-    return F.struct(F.when(error == "", "ok").otherwise("invalid_json").alias("status"),
-                    error.alias("error"), F.when(error == "", scores).alias("scores"))
+    def parts(p):
+        have = F.coalesce(F.json_object_keys(p), F.array().cast("array<string>"))
+        return F.struct(F.schema_of_variant(F.try_parse_json(p)).alias("kind"),
+                        F.array_except(F.array(*[F.lit(k) for k in keys]), have).alias("missing"),
+                        F.array(*[F.get_json_object(p, f"$.{k}") for k in keys]).alias("text"))
+
+    def numbers(f):
+        num = [f["text"][i].try_cast("double") for i in range(len(keys))]
+        return F.array(*[F.when(~F.isnan(n) & (F.abs(n) < 1e9), n.cast("int")) for n in num])
+
+    def verdict(f, whole):
+        error = (F.when(raw == "", "empty response").when(f["kind"].isNull(), "json_parse_error")
+                 .when(~f["kind"].startswith("OBJECT"), "root is not an object")
+                 .when(F.size(f["missing"]) > 0, F.concat(F.lit("missing required keys: "),
+                                                          F.array_join(f["missing"], ", "))))
+        for i, k in enumerate(keys):
+            text = f["text"][i]
+            error = error.when(text.isNull() | text.rlike("^\\s*[\\[{]") | text.isin("true", "false"),
+                               f"invalid type for {k}")
+            error = error.when(whole[i].isNull(), f"non numeric score for {k}")
+            error = error.when(~whole[i].between(low, high), f"score out of range for {k}")
+        scores = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), whole)
+        return once(error.otherwise(""), lambda e: F.struct(
+            F.when(e == "", "ok").otherwise("invalid_json").alias("status"),
+            e.alias("error"), F.when(e == "", scores).alias("scores")))
+
+    return once(payload_text(raw), lambda p: once(parts(p), lambda f: once(numbers(f), lambda w: verdict(f, w))))
 
 
 PAYLOAD_LISTS = ("struct<sources: array<struct<url: string, title: string, claim: string, "

@@ -34,3 +34,14 @@ def test_bundles_hold_whole_documents(spark, tmp_path):
     got = rd.read_corpus(spark, str(tmp_path / "c"), bundles=True)
     assert sorted(r.body for r in got.collect()) == sorted(["one\ntwo\n", *texts[1:]])
     assert got.select("path").distinct().count() == 1
+
+
+
+def test_payload_is_parsed_once(spark):
+    from sitegauge.operators.queues import validate_payload
+    df = spark.createDataFrame([('```json\n{"k": 7}\n```',), ("{",), ("",), (None,)], "raw string")
+    got = df.select(validate_payload(F.col("raw"), ("k",)).alias("v")).select("v.status", "v.error", "v.scores")
+    assert plan(got).count("get_json_object") == 1
+    assert [(r.status, r.error, r.scores) for r in got.collect()] == [
+        ("ok", "", {"k": 7}), ("invalid_json", "json_parse_error", None),
+        ("invalid_json", "empty response", None), ("invalid_json", "json_parse_error", None)]
