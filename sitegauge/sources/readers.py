@@ -100,8 +100,9 @@ def read_history(spark: SparkSession, path: str, since: str | None = None,
                      F.monotonically_increasing_id().alias("row"))
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     raw = (spark.read.text(path).select(order.alias("order_key"), "value")
-           .filter(F.trim("value") != "")
-           .withColumn("r", F.from_json("value", HISTORY_SCHEMA, opts)))
+           .filter(F.trim("value") != ""))
+    # parsed once per line: a generator keeps the filter and the fields from parsing again
+    raw = raw.select("order_key", "value", F.explode_outer(F.array(F.from_json("value", HISTORY_SCHEMA, opts))).alias("r"))
     bad = raw.filter(F.col("r._corrupt").isNotNull()).select("value")
     good = raw.filter(F.col("r._corrupt").isNull()).select("order_key", "r.*").drop("_corrupt")
     score = lambda c: as_score(c).cast("int")

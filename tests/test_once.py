@@ -45,3 +45,13 @@ def test_payload_is_parsed_once(spark):
     assert [(r.status, r.error, r.scores) for r in got.collect()] == [
         ("ok", "", {"k": 7}), ("invalid_json", "json_parse_error", None),
         ("invalid_json", "empty response", None), ("invalid_json", "json_parse_error", None)]
+
+
+def test_history_lines_are_parsed_once(spark, tmp_path):
+    from sitegauge.sources import readers as rd
+    spark.createDataFrame([('{"eval_id": "e", "path": "p", "factual_score": 5}',), ('{"eval_id',)], "value string").write.text(
+        str(tmp_path / "h"))
+    rows, bad = rd.read_history(spark, str(tmp_path / "h"))
+    kept = rows.filter("eval_id is not null")
+    assert plan(kept).count("from_json") == 2  # rows with an id, and those without
+    assert [(r.eval_id, r.factual) for r in kept.collect()] == [("e", 5)] and bad.count() == 1
