@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -38,7 +40,8 @@ def any_of(words) -> str:
 
 
 def contains_any(col, words) -> Column:
-    return as_col(col).rlike(any_of(words))
+    """A literal word lies in the text; plain searches cost less than one pattern of all words."""
+    return once(as_col(col), lambda t: reduce(or_, [F.contains(t, F.lit(w)) for w in words]))
 
 
 def lag_ranges(run_date: str, lag: int = 3, days: int = 7):

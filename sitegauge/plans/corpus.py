@@ -249,14 +249,14 @@ fr AS (SELECT *, CASE WHEN age IS NULL THEN CASE WHEN high THEN 45 ELSE 60 END E
   - CASE WHEN high AND age > 180 THEN 15 ELSE 0 END - CASE WHEN outdated THEN 8 ELSE 0 END) END AS freshness FROM fresh)"""
 
 
-def _fresh():
+def _fresh(high):
     updated = F.when(F.col("article_id") % 17 != 0, F.col("pub_date"))
-    return co.freshness(updated, lit_as_of(), co.high_change(F.col("body")))
+    return co.freshness(updated, lit_as_of(), high)
 
 
 @query("g02_freshness", W + f", {FRESH} SELECT article_id, freshness FROM fr")
 def g02_freshness(spark, sf):
-    return articles(spark, sf).select("article_id", _fresh().alias("freshness"))
+    return articles(spark, sf).select("article_id", _fresh(co.high_change(F.col("body"))).alias("freshness"))
 
 
 @query("g06_heuristic_scores", W + f""", {FRESH}, {CLAIMS},
@@ -272,9 +272,12 @@ SELECT article_id, citation::INTEGER AS citation, freshness,
     + CASE WHEN high THEN 8 ELSE 0 END + CASE WHEN danger THEN 35 ELSE 0 END + CASE WHEN absolute THEN 5 ELSE 0 END)) AS risk
 FROM s""")
 def g06_scores(spark, sf):
-    a = articles(spark, sf).withColumn("claims", co.claim_count()).withColumn("fresh", _fresh())
+    # each test of the body runs once per article; the scores use its outcome several times
+    a = (articles(spark, sf).withColumn("high", co.high_change(F.col("body")))
+         .withColumn("fresh", _fresh(F.col("high"))).withColumn("claims", co.claim_count())
+         .withColumn("danger", co.dangerous()).withColumn("absolute", co.absolute_wording()))
     s = co.heuristic_scores(F.col("article_id") % 4, F.col("claims"), F.col("fresh"),
-                            co.high_change(F.col("body")), co.dangerous(), co.absolute_wording())
+                            F.col("high"), F.col("danger"), F.col("absolute"))
     return a.select("article_id", *[c.alias(n) for n, c in s.items()])
 
 

@@ -26,17 +26,6 @@ def test_note_reason_masks_code_once(spark):
     assert [r.r for r in got.collect()] == ["too short", None, None]
 
 
-def test_bundles_hold_whole_documents(spark, tmp_path):
-    from sitegauge.sources import readers as rd
-    texts = ["---\nid: a\ntags: [x]\n---\none\ntwo\n", "", "end \x1e mark \x1f0 \x1f1 \x1f\n\n", "last"]
-    df = spark.createDataFrame([(t,) for t in texts], "page string").coalesce(1)
-    rd.write_bundles(df, "page", str(tmp_path / "c"))
-    got = rd.read_corpus(spark, str(tmp_path / "c"), bundles=True)
-    assert sorted(r.body for r in got.collect()) == sorted(["one\ntwo\n", *texts[1:]])
-    assert got.select("path").distinct().count() == 1
-
-
-
 def test_payload_is_parsed_once(spark):
     from sitegauge.operators.queues import validate_payload
     df = spark.createDataFrame([('```json\n{"k": 7}\n```',), ("{",), ("",), (None,)], "raw string")
@@ -47,6 +36,22 @@ def test_payload_is_parsed_once(spark):
         ("invalid_json", "empty response", None), ("invalid_json", "json_parse_error", None)]
 
 
+def test_heuristic_scores_test_the_body_once(spark):
+    from sitegauge.plans import QUERIES
+    text = plan(QUERIES["g06_heuristic_scores"](spark, "/root/testdata/sf0.001"))
+    assert [text.count(w) for w in ("kubernetes", "chmod", "never")] == [1, 1, 1]
+
+
+def test_bundles_hold_whole_documents(spark, tmp_path):
+    from sitegauge.sources import readers as rd
+    texts = ["---\nid: a\ntags: [x]\n---\none\ntwo\n", "", "end \x1e mark \x1f0 \x1f1 \x1f\n\n", "last"]
+    df = spark.createDataFrame([(t,) for t in texts], "page string").coalesce(1)
+    rd.write_bundles(df, "page", str(tmp_path / "c"))
+    got = rd.read_corpus(spark, str(tmp_path / "c"), bundles=True)
+    assert sorted(r.body for r in got.collect()) == sorted(["one\ntwo\n", *texts[1:]])
+    assert got.select("path").distinct().count() == 1
+
+
 def test_history_lines_are_parsed_once(spark, tmp_path):
     from sitegauge.sources import readers as rd
     spark.createDataFrame([('{"eval_id": "e", "path": "p", "factual_score": 5}',), ('{"eval_id',)], "value string").write.text(
