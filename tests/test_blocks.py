@@ -68,3 +68,34 @@ def test_case_search_copies_no_rows_per_pair(spark):
     got = li.search_cases(q, c, k=2, q_rows=2, i_rows=2)
     assert "CartesianProduct" in plan(got) and "explode" not in plan(got)
     assert {(r.case_id, r.position) for r in got.collect()} == {(4, 1), (5, 2)}
+
+
+CASE = ("case_id int, service string, code string, name string, cause string, "
+        "situation string, messages array<string>, aliases array<string>")
+
+
+def test_case_ranks_store_packed_blocks_only(spark):
+    """Cases are read once for their blocks: no stored copy, no join, no exchange but that of the blocks."""
+    q = spark.createDataFrame([(i, "pull access denied") for i in range(5)], "query_id int, query string")
+    c = spark.createDataFrame([(i, "Docker", "", "", "", "", ["pull access denied" if i > 3 else "no"], [])
+                               for i in range(9)], CASE).coalesce(1)
+    got = li.rank_cases(q, c, 2, i_rows=2)
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" not in text and text.count("Join") == 1  # the pairs of blocks
+    items = text[text.index("Repartition"):text.rindex("Repartition")]
+    assert "i#" in items and "FlatMapGroups" not in items
+    assert {(r.case_id, r.case_rank, r.position) for r in got.collect()} == {(4, -34.5, 1), (5, -34.5, 2)}
+
+
+def test_blocks_of_items_are_bounded(spark):
+    """A partition is cut into blocks of the given rows and characters; a longer item stands alone."""
+    items = spark.createDataFrame([(i, "x" * n) for i, n in enumerate((3, 3, 3, 50, 1, 1, 1, 1))],
+                                  "i int, t string").coalesce(1)
+    q = spark.createDataFrame([(0,)], "q int")
+
+    def search(q, sizes):
+        yield np.zeros(1, np.int64), np.zeros(1, np.int64), np.array([1000 * len(sizes) + sum(sizes)])
+
+    got = bl.in_blocks(q, items, F.lit(1), F.length("t"), lambda q: None, lambda i: [len(t) for t in i["t"]], search,
+                       "q int, i int, n long", 9, i_rows=3, i_chars=8)
+    assert sorted((r.i, r.n) for r in got.collect()) == [(0, 2006), (2, 1003), (3, 1050), (4, 3003), (7, 1001)]
