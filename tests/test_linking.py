@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from sitegauge.functions.pyudf import possible_terms
 from sitegauge.operators import linking as li
 from sitegauge.operators import termlinks as te
 
@@ -202,6 +203,35 @@ def test_a_large_dictionary(spark):
         1: "[w12x](/g/w12x/) and vw99999xy", 2: "w100000x [w7x](/g/w7x/)", 3: "none"}
 
 
+def test_first_documents_beside_brute_force(spark, monkeypatch):
+    """Also where most parts share a hash with some term; texts are read once, few rows leave a batch."""
+    rnd = random.Random(8)
+    some = lambda n: "".join(rnd.choices("abé カ1", k=n))
+    texts = [(rnd.randrange(300), some(rnd.randint(0, 40))) for _ in range(200)] + [(7, None)]
+    words = {some(rnd.randint(1, 4)).strip(" ") for _ in range(60)} - {""}
+    t = spark.createDataFrame([(x,) for x in words], "term string")
+    df = spark.createDataFrame(texts, "i long, body string").repartition(3)
+    want = sorted((x, i) for x in words for i in sorted({i for i, body in texts if x in (body or "")})[:3])
+    for least, most in ((te.LEAST, te.MOST), (1 << 15, 1 << 15)):
+        monkeypatch.setattr(te, "LEAST", least)
+        monkeypatch.setattr(te, "MOST", most)
+        got = te.term_documents(t, df, "i", 3)
+        assert sorted((r.term, r.i) for r in got.collect()) == want
+    every = {"low": 1, "high": 4, "mask": 7, "bits": b"\xff", "starts": b"\xff"}  # every part may be a term
+    rows = possible_terms(df.coalesce(1), "i", every, False, 3)
+    assert max(r["count"] for r in rows.groupBy("term").count().collect()) == 3
+    many = possible_terms(df.coalesce(1), "i", every, True)
+    assert many.count() > many.filter(F.length("term") > 2).count() > 0
+
+
+def test_texts_are_read_once_for_terms_without_spaces(spark):
+    t = spark.createDataFrame([("abc",), ("b+c",)], "term string")
+    df = spark.createDataFrame([(1, "abc xabc b+c")], "i int, body string")
+    for got in (te.dictionary_hits(t, df, "i"), te.term_occurrences(t, df, "i"), te.term_documents(t, df, "i")):
+        text = got._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("MapInArrow") == 1 and "Generate" not in text and text.count("Join") == 1
+
+
 def test_dictionary_hits_need_clean_boundaries(spark):
     terms = spark.createDataFrame([("ポート",), ("HTTP",), ("docker compose",), ("C++",)], "term string")
     texts = spark.createDataFrame([(1, "サポート HTTPS"), (2, "このポートをHTTPで"), (3, "docker compose up"),
