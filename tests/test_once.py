@@ -60,3 +60,9 @@ def test_history_lines_are_parsed_once(spark, tmp_path):
     kept = rows.filter("eval_id is not null")
     assert plan(kept).count("from_json") == 2  # rows with an id, and those without
     assert [(r.eval_id, r.factual) for r in kept.collect()] == [("e", 5)] and bad.count() == 1
+
+
+def test_term_links_are_taken_out_once(spark):
+    from sitegauge.plans import QUERIES
+    text = plan(QUERIES["t23_term_links"](spark, "/root/testdata/sf0.001"))
+    assert "arrays_zip" not in text and text.count("regexp_extract_all") == 1
