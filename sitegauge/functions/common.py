@@ -124,6 +124,22 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+PART_ROWS, MOST_ROWS, FLAT_PARTS = 2 ** 18, 2 ** 21, 200
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """Deal rows by key into partitions whose number grows with ``rows``, so no task sorts a fixed share.
+
+    A partition gets about 2^18 rows. Up to 200 partitions a shuffle is written without holding a
+    task's rows, so from there on partitions grow, to 2^21 rows at most. Every core gets a partition,
+    however few rows there are. Adaptive execution does not merge partitions dealt this way, so the
+    rows of one key stay in one task.
+    """
+    parts = max(min(FLAT_PARTS, -(-rows // PART_ROWS)), -(-rows // MOST_ROWS),
+                df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(parts, *keys)
+
+
 def guarded(cond: Column, value: Column, otherwise: Column) -> Column:
     """Evaluate a costly expression only where a cheap test holds."""
     return F.when(cond, value).otherwise(otherwise)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import constants as C
-from ..functions.common import (count_if, first_per_key, latest_per_key, newest_first, ratio,
+from ..functions.common import (count_if, dealt, first_per_key, latest_per_key, newest_first, ratio,
                                 top_per_key)
 from ..session import cut_lineage
 
@@ -25,9 +25,15 @@ def as_score(c) -> Column:
 # ----------------------------------------------------------------- rows and gates
 
 
-def keep_last(raw: DataFrame, order: str = "order_key") -> DataFrame:
-    """Keep the last row per evaluation id; rows without an id stay as they are."""
-    ided = latest_per_key(raw.filter(F.col("eval_id").isNotNull()), ["eval_id"], F.col(order))
+def keep_last(raw: DataFrame, order: str = "order_key", rows: int | None = None) -> DataFrame:
+    """Keep the last row per evaluation id; rows without an id stay as they are.
+
+    With the number of ``rows`` they are dealt by id first, into partitions of bounded size.
+    """
+    ided = raw.filter(F.col("eval_id").isNotNull())
+    if rows is not None:
+        ided = dealt(ided, rows, "eval_id")
+    ided = latest_per_key(ided, ["eval_id"], F.col(order))
     return ided.unionByName(raw.filter(F.col("eval_id").isNull())).drop(order)
 
 
@@ -402,13 +408,21 @@ def cooldown(history: DataFrame, as_of: Column, checked_hours: int = 168,
                               "recently_unavailable").otherwise("due"))
 
 
-def resume_states(progress: DataFrame, ok: DataFrame, posts: DataFrame) -> DataFrame:
-    """done: in progress and ok; requeue: in progress but not ok; missing: never ok."""
-    ok = ok.select("path").distinct()
-    tag = lambda d, s: d.select("path").withColumn("state", F.lit(s))
-    return (tag(progress.join(ok, "path", "left_semi"), "done")
-            .unionByName(tag(progress.join(ok, "path", "left_anti"), "requeue"))
-            .unionByName(tag(posts.join(ok, "path", "left_anti"), "missing")))
+def resume_states(progress: DataFrame, ok: DataFrame, posts: DataFrame,
+                  rows: int | None = None) -> DataFrame:
+    """done: in progress and ok; requeue: in progress but not ok; missing: never ok.
+
+    Both lists meet the ok paths in one join. With the number of ``rows`` of the lists and of ``ok``,
+    all are dealt by path into partitions of bounded size.
+    """
+    by_path = lambda d: d if rows is None else dealt(d, rows, "path")
+    ok = by_path(ok.select("path")).distinct().withColumn("ok", F.lit(True))
+    tag = lambda d, started: d.select("path", F.lit(started).alias("started"))
+    listed = by_path(tag(progress, True).unionByName(tag(posts, False)))
+    state = (F.when(F.col("started"), F.when(F.col("ok"), "done").otherwise("requeue"))
+             .when(F.col("ok").isNull(), "missing"))
+    return (listed.join(ok, "path", "left").select("path", state.alias("state"))
+            .filter(F.col("state").isNotNull()))
 
 
 def newest_report(posts: DataFrame, reports: DataFrame, is_new: Column) -> DataFrame:

@@ -19,8 +19,8 @@ AXES_SQL = "['factual', 'freshness', 'citation', 'risk']"
 
 def history(spark, sf, *cols):
     """History with the given columns; keeping the last row per id hides unused ones from pruning."""
-    raw = history_raw(spark, sf).select(*dict.fromkeys(("eval_id", "order_key", *cols)))
-    return au.keep_last(raw)
+    raw = history_raw(spark, sf)
+    return au.keep_last(raw.select(*dict.fromkeys(("eval_id", "order_key", *cols))), rows=raw.count())
 
 
 def ok_history(spark, sf, *cols):
@@ -334,7 +334,8 @@ UNION ALL SELECT path, 'missing' FROM posts WHERE path NOT IN (SELECT path FROM
 def j12_resume(spark, sf):
     posts = _posts(spark, sf)
     ok = ok_history(spark, sf, "path", "factual").filter(F.col("factual") >= 20)
-    return au.resume_states(posts.filter(F.col("o_orderkey") % 2 == 0), ok, posts)
+    rows = history_raw(spark, sf).count() + posts.count()
+    return au.resume_states(posts.filter(F.col("o_orderkey") % 2 == 0), ok, posts, rows)
 
 
 @query("j13_newest_report", W + """,

@@ -3,9 +3,10 @@ import json
 
 from pyspark.sql import functions as F
 
-from sitegauge.functions import constants as C
+from sitegauge.functions import common, constants as C
 from sitegauge.operators import audit as au
 from sitegauge.operators import queues as qu
+from sitegauge.plans import QUERIES
 from sitegauge.sources.readers import read_history
 
 SCHEMA = ("path string, eval_id string, article_hash string, factual int, freshness int, "
@@ -174,3 +175,32 @@ def test_distinct_mismatches(spark):
         "path string, seq int, citation_mismatches array<struct<url: string, claimed: string>>")
     got = {r.url: r.mismatch.claimed for r in au.distinct_mismatches(df).collect()}
     assert got == {"u": "first", "w": "c"}
+
+
+def test_resume_states_keep_repeats_and_nulls(spark):
+    frames = [spark.createDataFrame([(p,) for p in ps], "path string")
+              for ps in (["a", "a", "b", None], ["a", "a", None], ["a", "b", "c", "c", None])]
+    want = sorted([("a", "done")] * 2 + [("b", "requeue"), ("b", "missing"), ("None", "requeue"), ("None", "missing")]
+                  + [("c", "missing")] * 2)
+    for rows in (None, 12):
+        assert sorted((str(r.path), r.state) for r in au.resume_states(*frames, rows).collect()) == want
+
+
+def test_dealt_partitions_grow_with_rows(spark):
+    got = [common.dealt(spark.range(3), n, "id").rdd.getNumPartitions()
+           for n in (0, 50 * 2 ** 18, 1000 * 2 ** 18, 300 * 2 ** 21)]
+    assert got == [spark.sparkContext.defaultParallelism, 50, 200, 300]
+
+
+def test_resume_deals_every_side_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(common, "PART_ROWS", 100)
+    sf = "/root/testdata/sf0.001"
+    rows = [spark.read.parquet(f"{sf}/{t}.parquet").count() for t in ("lineitem", "orders")]
+    df = QUERIES["j12_resume"](spark, sf)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and plan.count("Aggregate [eval_id") == 1
+    parts = [-(-n // 100) for n in (rows[0], sum(rows))]
+    assert [plan.count(f"RepartitionByExpression [{k}") for k in ("eval_id", "path")] == [1, 2]
+    assert df.rdd.getNumPartitions() == parts[1] and f", {parts[0]}\n" in plan
+    most = df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).collect()[0][0]
+    assert most < 4 * 100
